@@ -178,3 +178,10 @@ def hash_bucket(k: int, *cs: ColumnOrName, seed: int = 0) -> Column:
 
 def md5_key(*cs: ColumnOrName, seed: int = 0) -> Column:
     return F.md5(F.concat_ws("|", *[col(c).cast("string") for c in cs], F.lit(str(seed))))
+
+
+def fixed_width_group(c: ColumnOrName) -> tuple[Column, Column]:
+    """Group key by fixed width: all but the last 3 characters as a number, and the first 4 characters."""
+    s = col(c)
+    head = s.substr(F.lit(1), F.greatest(F.length(s) - 3, F.lit(0)))
+    return head.try_cast("bigint").alias("group_num"), F.substring(s, 1, 4).alias("group_prefix")
