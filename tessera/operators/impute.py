@@ -65,24 +65,25 @@ def mode_table(df: DataFrame, keys: Sequence[str], column: str, name: str = "mod
 
 
 def cascade_mode_fill(
-    df: DataFrame, column: str, key_chain: Sequence[str], fit_on: Column | None = None
+    df: DataFrame, column: str, key_chain: Sequence[str], fit_on: Column | None = None, final_global: bool = True
 ) -> DataFrame:
     """Fill by the mode of key 1, then key 2, ..., then the global mode.
 
-    Each level is one aggregate + one join.  Every level is fitted on the
-    original values; the global mode is one scalar.
+    Each level is one aggregate + one join and sees the fills of the levels
+    before it; a null key value is not a group (it gets no fill from it).
+    Ties go to the lowest value.  The global mode is one scalar.
     """
-    src = df.filter(fit_on) if fit_on is not None else df
     out = df
-    fills = []
     for i, key in enumerate(key_chain):
-        stats = mode_table(src, [key], column, f"__mode{i}").filter(F.col(key).isNotNull())
+        src = out.filter(fit_on) if fit_on is not None else out
+        stats = mode_table(src.filter(F.col(key).isNotNull()), [key], column, f"__mode{i}")
         out = lookup(out, stats, [key])
-        fills.append(F.col(f"__mode{i}"))
-    glob = src.filter(F.col(column).isNotNull()).agg(F.mode(column, deterministic=True).alias("__g"))
-    g = glob.first()["__g"]
-    out = out.withColumn(column, F.coalesce(F.col(column), *fills, F.lit(g)))
-    return out.drop(*[f"__mode{i}" for i in range(len(key_chain))])
+        out = out.withColumn(column, F.coalesce(F.col(column), F.col(f"__mode{i}"))).drop(f"__mode{i}")
+    if final_global:
+        src = out.filter(fit_on) if fit_on is not None else out
+        g = src.filter(F.col(column).isNotNull()).agg(F.mode(column, deterministic=True).alias("__g")).first()["__g"]
+        out = out.withColumn(column, F.coalesce(F.col(column), F.lit(g)))
+    return out
 
 
 def cascade_median_fill(
@@ -90,13 +91,14 @@ def cascade_median_fill(
 ) -> DataFrame:
     """Median by key 1, fill; median by key 2 on the filled values, fill; ...; global.
 
-    Each step sees the earlier fills, as in the reference.
+    Each step sees the earlier fills, as in the reference; null key values
+    form no group.
     """
     out = df
     for i, key in enumerate(key_chain):
         src = out.filter(fit_on) if fit_on is not None else out
-        stats = src.groupBy(key).agg(F.median(column).alias(f"__med{i}"))
-        out = lookup(out, stats, [key], null_safe=True)
+        stats = src.filter(F.col(key).isNotNull()).groupBy(key).agg(F.median(column).alias(f"__med{i}"))
+        out = lookup(out, stats, [key])
         out = out.withColumn(column, F.coalesce(F.col(column), F.col(f"__med{i}"))).drop(f"__med{i}")
     src = out.filter(fit_on) if fit_on is not None else out
     g = src.agg(F.median(column).alias("g")).first()["g"]

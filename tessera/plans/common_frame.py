@@ -82,11 +82,15 @@ def prepare(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     return IM.enforce_flag_zero(df, r.flag, r.amounts)
 
 
+def prepared(df: DataFrame, r: Roles = Roles()) -> DataFrame:
+    """:func:`prepare` plus the age range guard: the frame every statistic is fitted on."""
+    return IM.range_guard(prepare(df, r), r.age, 0.0, 100.0, flag="age_out_of_range")
+
+
 def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     """The whole common frame for train and test rows of ``df``."""
-    df = prepare(df, r)
     train = F.col(r.split) == "train"
-    df = IM.range_guard(df, r.age, 0.0, 100.0, flag="age_out_of_range")
+    df = prepared(df, r)
     # every fit below and the apply read this frame: compute it once
     df = materialize(df)
     # train-fit statistics: every global number in one aggregate (one job) --
