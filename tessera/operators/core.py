@@ -145,3 +145,14 @@ def explode_folds(df: DataFrame, fold_col: str, k: int, name: str = "fit_fold")
     """
     folds = F.array(*[F.lit(i) for i in range(k)])
     return df.withColumn(name, F.explode(F.filter(folds, lambda f: f != F.col(fold_col))))
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row aggregate (a global statistic) to every row.
+
+    The right side is a keyless aggregate, so it has exactly one row by
+    construction; it is broadcast and matched on a constant key (no pairs
+    are formed beyond one per row, and no driver round trip is needed).
+    """
+    right = one_row.withColumn("__one", F.lit(1))
+    return df.withColumn("__one", F.lit(1)).join(F.broadcast(right), "__one").drop("__one")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import clean as CL
+from tessera.operators.core import attach_row
 from tessera.operators.features import FEATURE_SETS, EXTRA_MODES, feature_columns, extra_columns
 from tessera.plans.registry import register
 from tessera.plans.util import rounded
@@ -192,7 +193,7 @@ def b_minimal_clean(spark, sf_dir):
     w = wide(spark, sf_dir).drop("name")
     med = w.agg(F.median("age").alias("m"))
     d, n, s = C.split_code("code")
-    out = w.crossJoin(F.broadcast(med)).select(  # one-row side: bounded by construction
+    out = attach_row(w, med).select(
         "id", "split", d.alias("deck"), n.alias("num"), s.alias("side"), F.coalesce("age", "m").alias("age")
     )
     return rounded(out)
