@@ -157,7 +157,7 @@ def log1p_clipped(c: ColumnOrName) -> Column:
 
 def r6(c: ColumnOrName) -> Column:
     """Round a double to 6 digits (oracle hygiene)."""
-    return F.round(col(c).cast("double"), 6)
+    return F.floor(col(c).cast("double") * 1_000_000.0 + 0.5) / 1_000_000.0
 
 
 def hash_uniform(*cs: ColumnOrName, seed: int = 0) -> Column:
@@ -185,3 +185,14 @@ def fixed_width_group(c: ColumnOrName) -> tuple[Column, Column]:
     s = col(c)
     head = s.substr(F.lit(1), F.greatest(F.length(s) - 3, F.lit(0)))
     return head.try_cast("bigint").alias("group_num"), F.substring(s, 1, 4).alias("group_prefix")
+
+
+def exact_sum(c: ColumnOrName, scale: int = 4) -> Column:
+    """Sum of decimal data (amounts with at most ``scale`` decimals) as DECIMAL: exact, so
+    the result does not depend on the order in which partial sums are combined."""
+    return F.sum(col(c).cast(f"decimal(38,{scale})"))
+
+
+def exact_mean(c: ColumnOrName, scale: int = 4) -> Column:
+    """Mean of decimal data from an exact decimal sum (run-to-run deterministic)."""
+    return exact_sum(c, scale).cast("double") / F.count(col(c))

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.plans.util import unify_round
 from tessera.sources.fixture_sql import with_fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +54,7 @@ def register(name: str, op: str, sql: str | None = None, fixtures: tuple[str, ..
             raise ValueError(f"duplicate query {name}")
         full = None
         if sql is not None:
-            full = with_fixtures(sql, *fixtures) if fixtures else sql
+            full = unify_round(with_fixtures(sql, *fixtures) if fixtures else sql)
         REGISTRY[name] = Entry(name, op, fn, full)
         return fn
 
