@@ -68,7 +68,7 @@ def one_hot(df: DataFrame, column: str, fit_on: Column | None = None, name: str
     name = name or f"{column}_ohe"
     src = df.filter(fit_on) if fit_on is not None else df
     idx = StringIndexer(inputCol=column, outputCol="__idx", handleInvalid="keep", stringOrderType="alphabetAsc").fit(src)
-    enc = OneHotEncoder(inputCol="__idx", outputCol="__vec", dropLast=True, handleInvalid="keep")
+    enc = OneHotEncoder(inputCol="__idx", outputCol="__vec", dropLast=True)
     indexed = idx.transform(df)
     out = enc.fit(indexed).transform(indexed)
     return out.withColumn(name, vector_to_array("__vec")).drop("__idx", "__vec")
@@ -141,22 +141,22 @@ def target_encode_oof(
     name = name or f"te_{column}"
     fit = df.filter(fit_on)
     per_fold = target_stats(fit, column, label, by=[fold])
-    totals = per_fold.groupBy("__level").agg(F.sum("__s").alias("__S"), F.sum("__n").alias("__N"))
-    gf = fit.groupBy(fold).agg(F.sum(F.col(label).cast("double")).alias("__gs"), F.count(F.lit(1)).alias("__gn"))
-    gall = fit.agg(F.sum(F.col(label).cast("double")).alias("__GS"), F.count(F.lit(1)).alias("__GN"))
+    totals = per_fold.groupBy("__level").agg(F.sum("__s").alias("__tot_s"), F.sum("__n").alias("__tot_n"))
+    gf = fit.groupBy(fold).agg(F.sum(F.col(label).cast("double")).alias("__fold_s"), F.count(F.lit(1)).alias("__fold_n"))
+    gall = fit.agg(F.sum(F.col(label).cast("double")).alias("__all_s"), F.count(F.lit(1)).alias("__all_n"))
     out = df.withColumn("__level", level_col(column))
     out = lookup(out, totals, ["__level"])
     out = lookup(out, per_fold, ["__level", fold])
     out = lookup(out, gf, [fold], bound=1000)  # one row per fold
     out = attach_row(out, gall)
-    g_all = F.col("__GS") / F.col("__GN")
-    n_out = F.col("__N") - F.coalesce(F.col("__n"), F.lit(0))
-    s_out = F.col("__S") - F.coalesce(F.col("__s"), F.lit(0.0))
-    g_f = (F.col("__GS") - F.col("__gs")) / (F.col("__GN") - F.col("__gn"))
+    g_all = F.col("__all_s") / F.col("__all_n")
+    n_out = F.col("__tot_n") - F.coalesce(F.col("__n"), F.lit(0))
+    s_out = F.col("__tot_s") - F.coalesce(F.col("__s"), F.lit(0.0))
+    g_f = (F.col("__all_s") - F.col("__fold_s")) / (F.col("__all_n") - F.col("__fold_n"))
     oof = F.when(n_out > 0, (s_out + g_f * smoothing) / (n_out + smoothing)).otherwise(g_all)
-    plain = F.coalesce((F.col("__S") + g_all * smoothing) / (F.col("__N") + smoothing), g_all)
+    plain = F.coalesce((F.col("__tot_s") + g_all * smoothing) / (F.col("__tot_n") + smoothing), g_all)
     out = out.withColumn(name, F.when(fit_on, oof).otherwise(plain))
-    return out.drop("__level", "__S", "__N", "__s", "__n", "__gs", "__gn", "__GS", "__GN")
+    return out.drop("__level", "__tot_s", "__tot_n", "__s", "__n", "__fold_s", "__fold_n", "__all_s", "__all_n")
 
 
 def category_stat_encodings(df: DataFrame, column: str, label: str, fit_on: Column) -> DataFrame:
@@ -222,6 +222,7 @@ def tfidf_svd(weights: DataFrame, id_col: str, k: int = 5, seed: int = 42) -> Da
     ``RowMatrix.computeSVD`` and a projection ``A V``.  Sign of each component
     is normalised so the largest |loading| is positive.
     """
+    import numpy as np
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
@@ -235,7 +236,7 @@ def tfidf_svd(weights: DataFrame, id_col: str, k: int = 5, seed: int = 42) -> Da
     rdd = rows.rdd.map(lambda r: (r[0], Vectors.sparse(n_terms, [e[0] for e in r[1]], [e[1] for e in r[1]])))
     rdd = rdd.cache()
     svd = RowMatrix(rdd.map(lambda t: t[1])).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
+    v = np.array(svd.V.toArray(), copy=True)
     for j in range(v.shape[1]):
         if v[abs(v[:, j]).argmax(), j] < 0:
             v[:, j] = -v[:, j]
