@@ -97,6 +97,13 @@ def ordered_index(
     have few distinct values (label, split): the offsets table has at most
     ``partitions + groups`` rows.  For many small groups use a window.
     Optionally adds ``count_name`` = group size.
+
+    The rows are range-partitioned and sorted, each gets (partition, local
+    index), and that sorted table is written once under the checkpoint folder
+    (:func:`materialize`).  The per-partition counts and the final numbering
+    both read the written table, so they agree even though range bounds are
+    sampled per shuffle; a lost executor re-reads the files instead of
+    re-sampling.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -105,9 +112,9 @@ def ordered_index(
         df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("__mid", F.monotonically_increasing_id())
-        .withColumn("__pid", F.shiftright("__mid", 33))
-        .withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     )
+    s = materialize(s, "ordered")
+    s = s.withColumn("__pid", F.shiftright("__mid", 33)).withColumn("__loc", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = s.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__c"), F.min("__loc").alias("__first"))
     w_prev = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__c").over(w_prev), F.lit(0)))
