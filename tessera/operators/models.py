@@ -27,3 +27,83 @@ def pseudo_label_rows(
     n = conf.agg(F.count(F.lit(1)).alias("__cnt"))
     out = attach_row(conf, n).filter(F.col("__cnt") >= min_rows).drop("__cnt")
     return out.withColumn(label, (F.col(proba) >= hi).cast("int"))
+
+
+# ------------------------------------------------------------------ fits (L)
+
+from collections.abc import Callable, Sequence  # noqa: E402
+
+from pyspark.ml import Pipeline, PipelineModel  # noqa: E402
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier  # noqa: E402
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+
+def feature_pipeline(numeric: Sequence[str], categorical: Sequence[str], out: str = "features") -> list:
+    """Stages: train-fit median imputation, indexers (unseen kept then dropped), one-hot, assembler."""
+    stages = [Imputer(inputCols=list(numeric), outputCols=[f"{c}__imp" for c in numeric], strategy="median")]
+    for c in categorical:
+        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc"))
+    if categorical:
+        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in categorical], outputCols=[f"{c}__ohe" for c in categorical]))
+    stages.append(VectorAssembler(inputCols=[f"{c}__imp" for c in numeric] + [f"{c}__ohe" for c in categorical], outputCol=out))
+    return stages
+
+
+def slot_names(df: DataFrame, features: str = "features") -> list[str]:
+    """Names of the assembled vector slots, read from the column's ML attribute metadata."""
+    attrs = df.schema[features].metadata.get("ml_attr", {}).get("attrs", {})
+    slots = sorted((a["idx"], a["name"]) for group in attrs.values() for a in group)
+    return [n for _, n in slots]
+
+
+def probability(df: DataFrame, col: str = "probability", name: str = "p") -> DataFrame:
+    """P(class 1) as a double column."""
+    return df.withColumn(name, vector_to_array(col).getItem(1))
+
+
+def logistic(label: str = "y", c: float = 1.0, n: int = 1, max_iter: int = 100) -> LogisticRegression:
+    """L1: L2 logistic regression with sklearn's C: regParam = 1 / (C n), no standardisation."""
+    return LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (c * n), elasticNetParam=0.0,
+                              standardization=False, maxIter=max_iter)
+
+
+def run_cv(
+    df: DataFrame,
+    make: Callable[[int], object],
+    stages: list,
+    fold: str,
+    k: int,
+    label: str = "y",
+    test: DataFrame | None = None,
+    seed: int = 0,
+    keep: Sequence[str] = ("id",),
+) -> tuple[DataFrame, DataFrame | None, list[PipelineModel]]:
+    """Out-of-fold scores (keep..., fold, seed, p) and the mean test score over fold models.
+
+    The loop is around ``fit`` only (k model fits); data preparation is done
+    once by the caller with the fold as a column.
+    """
+    oof, tests, models = None, None, []
+    for f in range(k):
+        est = make(f)
+        model = Pipeline(stages=[*stages, est]).fit(df.filter(F.col(fold) != f))
+        models.append(model)
+        scored = probability(model.transform(df.filter(F.col(fold) == f)))
+        part = scored.select(*keep, F.lit(f).alias("fold"), F.lit(seed).alias("seed"), "p")
+        oof = part if oof is None else oof.unionByName(part)
+        if test is not None:
+            t = probability(model.transform(test)).select(*keep, F.lit(f).alias("fold"), F.lit(seed).alias("seed"), "p")
+            tests = t if tests is None else tests.unionByName(t)
+    test_mean = tests.groupBy(*keep).agg(F.avg("p").alias("p"), F.count(F.lit(1)).alias("members")) if tests is not None else None
+    return oof, test_mean, models
+
+
+def bag(scores: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
+    """Members (seeds x folds) averaged per key: sum / count."""
+    return scores.groupBy(*keys).agg((F.sum("p") / F.count("p")).alias("p"), F.count("p").alias("members"))
+
+
+def final_iterations(best: DataFrame, cap: int, floor: int = 50) -> DataFrame:
+    """Trees for the final fit = max(floor, min(round(mean fold best), cap))."""
+    return best.agg(F.greatest(F.lit(floor), F.least(F.round(F.avg("best_iter")), F.lit(cap))).cast("int").alias("final_iterations"))
