@@ -28,10 +28,16 @@ def col(c: ColumnOrName) -> Column:
 
 # ---------------------------------------------------------------- strings (B1, C)
 
+# Characters stripped from both ends of text values (ASCII whitespace).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def blank_to_null(c: ColumnOrName) -> Column:
-    """Trim surrounding whitespace; whitespace-only and empty strings become null."""
-    trimmed = F.regexp_replace(col(c), r"^\s+|\s+$", "")
-    return F.when(trimmed == "", F.lit(None).cast("string")).otherwise(trimmed)
+    """Trim surrounding whitespace; whitespace-only and empty strings become null.
+
+    ``btrim`` with the whitespace set (no regular expression), evaluated once.
+    """
+    return F.nullif(F.btrim(col(c), F.lit(WHITESPACE)), F.lit(""))
 
 
 def bool_like(c: ColumnOrName, numeric: bool = False) -> Column:

@@ -20,8 +20,7 @@ from tessera.sources.fixtures import predictions, wide
 
 
 def sql_clean(c: str) -> str:
-    t = f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
-    return f"CASE WHEN {t} = '' THEN NULL ELSE {t} END"
+    return f"nullif(trim({c}, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)), '')"
 
 
 def sql_bool(c: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import impute as IM
+from tessera.operators.core import materialize
 from tessera.plans import common_frame as CF
 from tessera.plans.common_frame_sql import APPLY_SQL, COMMON_FRAME_SQL, PREPARE_SQL, STATS_SQL
 from tessera.plans.registry import register
@@ -246,7 +247,7 @@ def d_hier_median_fit(spark, sf_dir):
 def d_hier_median_apply(spark, sf_dir):
     """Amounts filled from the train-fit level medians (3 joins whatever the amount count)."""
     r = CF.Roles()
-    df = CF.prepared(wide(spark, sf_dir), r)
+    df = materialize(CF.prepared(wide(spark, sf_dir), r), "prepared")  # four fits and the apply read it
     train = F.col("split") == "train"
     stats = IM.fit_hier_medians(df, A, r.levels, fit_on=train)
     out = IM.apply_hier_medians(df, stats, r.flag)
@@ -263,7 +264,7 @@ def d_hier_median_apply(spark, sf_dir):
 def d_hier_fill_counts(spark, sf_dir):
     """D13 fill counts by kind (zero / observed / level1-3 / positive / global)."""
     r = CF.Roles()
-    df = CF.prepared(wide(spark, sf_dir), r)
+    df = materialize(CF.prepared(wide(spark, sf_dir), r), "prepared")
     stats = IM.fit_hier_medians(df, A, r.levels, fit_on=F.col("split") == "train")
     out = IM.apply_hier_medians(df, stats, r.flag)
     long = out.select(F.explode(F.array(*[F.struct(F.lit(a).alias("amount"), F.col(f"{a}_fill").alias("kind")) for a in A])).alias("s"))

@@ -77,6 +77,8 @@ def prepare(df: DataFrame, r: Roles = Roles()) -> DataFrame:
         "surname": C.last_token(r.name),
     })
     df = IM.missing_indicators(df, r.indicator_sources)
+    # the group fill reads the rows twice (group table + join): compute them once
+    df = materialize(df, "rows")
     df = IM.group_consistent_fill(df, ["split", "group_id"], [r.home, r.vip, r.dest])
     df = IM.infer_flag(df, r.flag, r.amounts, r.age)
     return IM.enforce_flag_zero(df, r.flag, r.amounts)
