@@ -187,3 +187,38 @@ def rank01(df: DataFrame, score: str, tie: str, name: str = "rank01", by: Sequen
     return out.withColumn(
         name, F.when(F.col("__n") <= 1, F.lit(0.0)).otherwise((F.col("__pos") - 1) / (F.col("__n") - 1))
     ).drop("__pos", "__n")
+
+
+def univariate_cv_accuracy(df: DataFrame, variants: Mapping[str, Column], label: str, fold: str) -> DataFrame:
+    """Cross-validated accuracy of a one-feature logistic model per transform variant.
+
+    Re-aimed without model fits: the one-feature logistic score is monotone in
+    x, and the sign of its slope is the sign of cov(x, y) on the fold's training
+    rows (the profile log-likelihood is concave with derivative n cov(x, y) at
+    slope 0; an L2 penalty does not change the sign).  The reference then picks
+    the accuracy-maximising cutoff on the validation fold itself, so each
+    (variant, fold) scores max over t of accuracy(sign * x > t), t over the
+    validation values and +inf.  Sums are additive (total - own fold); the
+    cutoff search is a running sum over distinct values.
+    """
+    from tessera.operators.core import running_totals
+
+    y = F.col(label).cast("double")
+    long = df.select(y.alias("__y"), F.col(fold).alias("__f"),
+                     F.explode(F.array(*[F.struct(F.lit(n).alias("v"), e.cast("double").alias("x")) for n, e in variants.items()])).alias("s"))
+    long = long.select("s.v", "s.x", "__y", "__f").filter(F.col("x").isNotNull())
+    pf = long.groupBy("v", "__f").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("__y").alias("sy"),
+                                     F.sum(F.col("x") * F.col("__y")).alias("sxy"))
+    tot = pf.groupBy("v").agg(*[F.sum(c).alias(f"t_{c}") for c in ("n", "sx", "sy", "sxy")])
+    d = pf.join(F.broadcast(tot), "v").select(
+        "v", "__f",
+        F.signum((F.col("t_sxy") - F.col("sxy")) - (F.col("t_sx") - F.col("sx")) * (F.col("t_sy") - F.col("sy"))
+                 / (F.col("t_n") - F.col("n"))).alias("d"))
+    xs = long.join(F.broadcast(d), ["v", "__f"]).select("v", "__f", (F.col("x") * F.col("d")).alias("xp"), "__y")
+    d2 = xs.groupBy("v", "__f", "xp").agg(F.sum("__y").alias("pos"), F.sum(1 - F.col("__y")).alias("neg"))
+    c = running_totals(d2, [F.desc("xp")], ["v", "__f"], ["pos", "neg"])
+    c = c.withColumns({"tp": F.col("cum_pos") - F.col("pos"), "fp": F.col("cum_neg") - F.col("neg")})
+    per = c.groupBy("v", "__f").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+                                    F.max(F.col("tp") - F.col("fp")).alias("best_gain"))
+    acc = per.select("v", "__f", ((F.greatest(F.col("best_gain"), F.lit(0.0)) + F.col("N")) / (F.col("P") + F.col("N"))).alias("a"))
+    return acc.groupBy(F.col("v").alias("variant")).agg(F.avg("a").alias("cv_accuracy"))

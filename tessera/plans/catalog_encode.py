@@ -293,7 +293,7 @@ def j_ordinal(spark, sf_dir):
 
 
 @register(
-    "j_native_index", "J15",
+    "j_native_index", "J15/J16",
     sql=with_wk("""
     WITH lv AS (SELECT column_name, level, CAST(dense_rank() OVER (PARTITION BY column_name ORDER BY level) - 1 AS INTEGER) AS idx
                 FROM (SELECT DISTINCT 'home' AS column_name, home AS level FROM wk WHERE home IS NOT NULL
@@ -441,3 +441,34 @@ def j_tfidf_svd(spark, sf_dir):
     """Truncated SVD (5 components) of the TF-IDF matrix, rows projected (distributed RowMatrix)."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return rounded(EN.tfidf_svd(EN.tfidf(docs, "doc_id", "text"), "doc_id", k=5))
+
+
+_UNI = {
+    "raw": ("a2", "a2"),
+    "log1p": (C.log1p_clipped, "ln(1 + greatest(a2, 0.0))"),
+    "sqrt": (None, "sqrt(greatest(a2, 0.0))"),
+    "p25": (None, "pow(greatest(a2, 0.0), 0.25)"),
+}
+_UFOLD = sql_hash_bucket(10, "id", seed=42)
+
+
+@register(
+    "j_univariate_winner", "J26",
+    sql=f"""
+    WITH t AS (SELECT id, y, {_UFOLD} AS fold, a2 FROM w WHERE split = 'train'),
+    l AS ({" UNION ALL ".join(f"SELECT '{n}' AS v, fold, CAST(y AS DOUBLE) AS y, {e} AS x FROM t WHERE a2 IS NOT NULL" for n, (_, e) in _UNI.items())}),
+    pf AS (SELECT v, fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy FROM l GROUP BY v, fold),
+    tot AS (SELECT v, sum(n) AS tn, sum(sx) AS tsx, sum(sy) AS tsy, sum(sxy) AS tsxy FROM pf GROUP BY v),
+    dir AS (SELECT pf.v, pf.fold, sign((tsxy - sxy) - (tsx - sx) * (tsy - sy) / (tn - n)) AS d FROM pf JOIN tot USING (v)),
+    d2 AS (SELECT l.v, l.fold, l.x * d AS xp, sum(y) AS pos, sum(1 - y) AS neg FROM l JOIN dir USING (v, fold) GROUP BY l.v, l.fold, l.x * d),
+    c AS (SELECT *, sum(pos) OVER w - pos AS tp, sum(neg) OVER w - neg AS fp FROM d2
+          WINDOW w AS (PARTITION BY v, fold ORDER BY xp DESC ROWS UNBOUNDED PRECEDING)),
+    per AS (SELECT v, fold, sum(pos) AS P, sum(neg) AS N, max(tp - fp) AS g FROM c GROUP BY v, fold)
+    SELECT v AS variant, round(avg((greatest(g, 0.0) + N) / (P + N)), 6) AS cv_accuracy FROM per GROUP BY v""",
+)
+def j_univariate_winner(spark, sf_dir):
+    """10-fold one-feature logistic accuracy per transform of a2 (raw, log1p, sqrt, fourth root)."""
+    w = wide(spark, sf_dir).filter(TRAIN() & F.col("a2").isNotNull()).withColumn("fold", C.hash_bucket(10, "id", seed=42))
+    x = F.greatest(F.col("a2"), F.lit(0.0))
+    variants = {"raw": F.col("a2"), "log1p": F.log1p(x), "sqrt": F.sqrt(x), "p25": F.pow(x, 0.25)}
+    return rounded(FE.univariate_cv_accuracy(w, variants, "y", "fold"))

@@ -97,7 +97,7 @@ def e_semi_join(spark, sf_dir):
 
 
 @register(
-    "e_overlap_check", "E7",
+    "e_overlap_check", "E7/I5",
     sql=with_wk("""
     SELECT 'id_overlap' AS check_name, CAST(count(*) AS BIGINT) AS n FROM
       (SELECT id FROM wk WHERE split = 'train' INTERSECT SELECT id FROM wk WHERE split = 'test') a
@@ -163,7 +163,7 @@ def i_union_splits(spark, sf_dir):
 
 
 @register(
-    "i_pseudo_append", "I2",
+    "i_pseudo_append", "I2/L16",
     sql="""
     WITH conf AS (SELECT id, CAST(p >= 0.98 AS INTEGER) AS y FROM p WHERE family = 'f1' AND split = 'test' AND (p >= 0.98 OR p <= 0.02)),
     ok AS (SELECT count(*) >= 100 AS enough FROM conf)

@@ -205,3 +205,38 @@ def l_batch_scoring(spark, sf_dir):
     loaded = PipelineModel.load(path)
     scored = MO.probability(loaded.transform(test))
     return rounded(scored.select("id", "p", (F.col("p") >= 0.5).alias("label")))
+
+
+@register("k_leak_guard", "K8")
+def k_leak_guard(spark, sf_dir):
+    """K8: the assembled model input carries no audit, id or label column (raises otherwise)."""
+    from tessera.operators.folds import assert_no_leak
+
+    train, _ = _frame(spark, sf_dir)
+    model = Pipeline(stages=_stages()).fit(train)
+    names = MO.slot_names(model.transform(train.limit(1)))
+    forbidden = ["id", "y", "split", "fold", "flag_rule", "age_out_of_range"]
+    assert_no_leak([n.split("__")[0] for n in names], forbidden)
+    rows = [(n, n.split("__")[0] in forbidden) for n in names]
+    return spark.createDataFrame(rows, "slot string, forbidden boolean")
+
+
+@register("l_honest_group_oof", "L14")
+def l_honest_group_oof(spark, sf_dir):
+    """Group folds (a group never on both sides) with the target encoder refitted inside each fold."""
+    from tessera.operators import encode as EN
+    from tessera.operators import folds as FO
+
+    w = wide(spark, sf_dir).filter(F.col("split") == "train").select("id", "y", "dest", *NUMERIC, *CATEGORICAL)
+    w = w.withColumn("group_id", C.split_id("id")[0]).fillna("Unknown", subset=CATEGORICAL)
+    w = FO.stratified_group_kfold(w, "group_id", "y", K).withColumn("y", F.col("y").cast("double"))
+    w = materialize(w, "group-folds")
+    oof = None
+    for f in range(K):
+        fitted = EN.target_encode(w, "dest", "y", F.col("fold") != f)  # encoder fitted on the fold's train part only
+        model = Pipeline(stages=[*_stages(NUMERIC + ["te_dest"], CATEGORICAL), MO.logistic("y", 1.0, 1000)]).fit(
+            fitted.filter(F.col("fold") != f))
+        part = MO.probability(model.transform(fitted.filter(F.col("fold") == f))).select("id", "y", F.lit(f).alias("fold"), "p")
+        oof = part if oof is None else oof.unionByName(part)
+    m = EV.binary_metrics(oof, "p", "y", 0.5, by=["fold"]).join(EV.auc(oof, "p", "y", by=["fold"]), "fold")
+    return rounded(m.select("fold", "accuracy", "auc", "n"))
