@@ -1,7 +1,7 @@
 """Binning.
 
-Quantile edges are exact (``percentile`` = linear interpolation, as numpy's
-default), fitted in one aggregate, optionally per fold; the bin of a value is
+Quantile edges are exact (linear interpolation, as numpy's default) and
+computed from global positions, optionally per fold; the bin of a value is
 ``1 + size(filter(edges, e -> e < x))`` (right-closed bins), a higher-order
 function evaluated JVM-side.  ``ml.Bucketizer`` is left-closed and
 ``QuantileDiscretizer`` approximate, so neither gives the reference's bins.
@@ -14,30 +14,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.core import GlobalFit, explode_folds, lookup, run_fits, with_scalars
+from tessera.operators.core import explode_folds, lookup, with_scalars
 
 
-def _inner_quantiles(x: str, n_bins: int) -> Column:
-    qs = [i / n_bins for i in range(1, n_bins)]
-    return F.percentile(F.col(x), F.array(*[F.lit(q) for q in qs]))
-
-
-def quantile_edges_fit(column: str, bins: int = 5, name: str = "edges") -> GlobalFit:
-    """Interior edges of up to ``bins`` quantile bins over the non-null values.
-
-    The bin count is min(bins, distinct values); duplicate edges merge and
-    edges equal to the minimum or maximum vanish (outer edges are infinite).
-    Aggregates ignore nulls, so no filter is needed.
-    """
-    p = f"__{name}"
-    aggs = [F.count_distinct(column).alias(f"{p}_nd"), F.min(column).alias(f"{p}_lo"), F.max(column).alias(f"{p}_hi")]
-    aggs += [_inner_quantiles(column, b).alias(f"{p}_q{b}") for b in range(2, bins + 1)]
-    chosen = F.when(F.col(f"{p}_nd") <= 1, F.array().cast("array<double>"))
-    for b in range(2, bins):
-        chosen = chosen.when(F.col(f"{p}_nd") == b, F.col(f"{p}_q{b}"))
-    chosen = chosen.otherwise(F.col(f"{p}_q{bins}"))
-    inner = F.filter(chosen, lambda e: (e > F.col(f"{p}_lo")) & (e < F.col(f"{p}_hi")))
-    return GlobalFit(aggs, [F.array_sort(F.array_distinct(inner)).alias(name)])
+def edge_quantiles(bins: int) -> list[float]:
+    """Distinct fractions i / b (b = 2..bins) whose quantiles the edge fit needs."""
+    return sorted({i / b for b in range(2, bins + 1) for i in range(1, b)})
 
 
 def fit_quantile_edges(
@@ -49,13 +31,43 @@ def fit_quantile_edges(
     k: int | None = None,
     name: str = "edges",
 ) -> DataFrame:
-    """Edges as a DataFrame: one row, or one row per ``fit_fold`` (rows outside the fold)."""
+    """Interior edges of up to ``bins`` quantile bins over the non-null values.
+
+    The bin count is min(bins, distinct values); duplicate edges merge and
+    edges equal to the minimum or maximum vanish (outer edges are infinite).
+    One row, or one row per ``fit_fold`` (rows outside the fold, copied to
+    every fold they train).  Quantiles come from global positions
+    (:func:`profile.position_quantiles`), the distinct count from a two-phase
+    distinct aggregate: no single task ever holds all values.
+    """
+    from tessera.operators.profile import position_quantiles
+
     src = df.filter(fit_on) if fit_on is not None else df
+    src = src.filter(F.col(column).isNotNull())
     keys: list[str] = []
     if fold_col is not None:
-        src = explode_folds(src.filter(F.col(column).isNotNull()), fold_col, int(k))
+        src = explode_folds(src, fold_col, int(k))
         keys = ["fit_fold"]
-    return run_fits(src, [quantile_edges_fit(column, bins, name)], keys)
+    qs = edge_quantiles(bins)
+    q = position_quantiles(src, [column], qs, by=keys).drop("variable", "n")
+    st = src.groupBy(*keys).agg(
+        F.count_distinct(column).alias("__nd"), F.min(column).alias("__lo"), F.max(column).alias("__hi"))
+    # st has one row (per fold) even when there is no value; quantile rows may be missing then
+    if keys:
+        j = st.join(q, keys, "left")
+    else:
+        j = st.withColumn("__one", F.lit(1)).join(F.broadcast(q.withColumn("__one", F.lit(1))), "__one", "left")
+    pos = {v: i for i, v in enumerate(qs)}
+
+    def at(b):
+        return F.array(*[F.col(f"q{pos[i / b]}") for i in range(1, b)])
+
+    chosen = F.when(F.col("__nd") <= 1, F.array().cast("array<double>"))
+    for b in range(2, bins):
+        chosen = chosen.when(F.col("__nd") == b, at(b))
+    chosen = chosen.otherwise(at(bins))
+    inner = F.filter(chosen, lambda e: (e > F.col("__lo")) & (e < F.col("__hi")))
+    return j.select(*keys, F.array_sort(F.array_distinct(inner)).alias(name))
 
 
 def apply_quantile_bins(

@@ -90,6 +90,7 @@ def ordered_index(
     name: str = "rn",
     count_name: str | None = None,
     num_partitions: int | None = None,
+    many_groups: bool = False,
 ) -> DataFrame:
     """Add ``name`` = 1-based position in ``order`` inside each ``by`` group.
 
@@ -98,6 +99,9 @@ def ordered_index(
     ``partitions + groups`` rows.  For many small groups use a window.
     Optionally adds ``count_name`` = group size.
 
+    With ``many_groups`` the offsets are joined without a broadcast (group
+    keys such as level keys); a null group key is a group.
+
     The rows are range-partitioned and sorted, each gets (partition, local
     index), and that sorted table is written once under the checkpoint folder
     (:func:`materialize`).  The per-partition counts and the final numbering
@@ -121,7 +125,9 @@ def ordered_index(
     if count_name:
         offsets = offsets.withColumn(count_name, F.sum("__c").over(Window.partitionBy(*by)))
     keep = ["__pid", *by, "__off", "__first"] + ([count_name] if count_name else [])
-    out = s.join(F.broadcast(offsets.select(*keep)), ["__pid", *by])
+    # (range, group) offsets: about ranges + groups rows; broadcast unless the groups are many
+    out = lookup(s, offsets.select(*keep), ["__pid", *by], how="inner", null_safe=True,
+                 bound=None if many_groups else BROADCAST_ROW_BOUND)
     out = out.withColumn(name, (F.col("__off") + F.col("__loc") - F.col("__first") + 1).cast("bigint"))
     return out.drop("__mid", "__pid", "__loc", "__off", "__first")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
-from tessera.operators.core import GlobalFit, explode_folds, lookup, run_fits, with_scalars
+from tessera.operators.core import explode_folds, lookup, with_scalars
 
 
 def missing_indicators(df: DataFrame, columns: Sequence[str], suffix: str = "Missing") -> DataFrame:
@@ -56,12 +56,28 @@ def group_consistent_fill(
 
 
 def mode_table(df: DataFrame, keys: Sequence[str], column: str, name: str = "mode") -> DataFrame:
-    """Most frequent non-null value per key, ties to the lowest value."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys)
-        .agg(F.mode(column, deterministic=True).alias(name))
-    )
+    """Most frequent non-null value per key, ties to the lowest value.
+
+    Two aggregates: counts per (key, value), then the best (count desc,
+    value asc) per key -- no per-group value map in one task.
+    """
+    counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__n"))
+    best = F.min_by(F.col(column), F.struct((-F.col("__n")).alias("a"), F.col(column).alias("b")))
+    return counts.groupBy(*keys).agg(best.alias(name))
+
+
+def _scalar(one_row: DataFrame):
+    """The single fitted value of a keyless statistic (None when there was no value)."""
+    row = one_row.first()
+    return None if row is None else row[-1]
+
+
+def _median_table(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """Exact median per key from global positions (null key is a key)."""
+    from tessera.operators.profile import position_quantiles
+
+    q = position_quantiles(df, [column], [0.5], by=list(keys), many_groups=bool(keys))
+    return q.select(*keys, F.col("q0").alias(name))
 
 
 def cascade_mode_fill(
@@ -81,7 +97,7 @@ def cascade_mode_fill(
         out = out.withColumn(column, F.coalesce(F.col(column), F.col(f"__mode{i}"))).drop(f"__mode{i}")
     if final_global:
         src = out.filter(fit_on) if fit_on is not None else out
-        g = src.filter(F.col(column).isNotNull()).agg(F.mode(column, deterministic=True).alias("__g")).first()["__g"]
+        g = _scalar(mode_table(src, [], column, "__g"))
         out = out.withColumn(column, F.coalesce(F.col(column), F.lit(g)))
     return out
 
@@ -97,11 +113,11 @@ def cascade_median_fill(
     out = df
     for i, key in enumerate(key_chain):
         src = out.filter(fit_on) if fit_on is not None else out
-        stats = src.filter(F.col(key).isNotNull()).groupBy(key).agg(F.median(column).alias(f"__med{i}"))
+        stats = _median_table(src.filter(F.col(key).isNotNull()), [key], column, f"__med{i}")
         out = lookup(out, stats, [key])
         out = out.withColumn(column, F.coalesce(F.col(column), F.col(f"__med{i}"))).drop(f"__med{i}")
     src = out.filter(fit_on) if fit_on is not None else out
-    g = src.agg(F.median(column).alias("g")).first()["g"]
+    g = _scalar(_median_table(src, [], column, "g"))
     return out.withColumn(column, F.coalesce(F.col(column), F.lit(g)))
 
 
@@ -179,14 +195,24 @@ class SpendStats:
     fold_key: str | None
 
 
-def hier_global_fit(amounts: Sequence[str]) -> GlobalFit:
-    """Global and positive-only medians of every amount (fallbacks of D13)."""
-    aggs = []
-    for a in amounts:
-        aggs += [F.median(a).alias(f"__g_{a}"), F.median(F.when(F.col(a) > 0, F.col(a))).alias(f"__p_{a}")]
-    finals = [F.coalesce(F.col(f"__g_{a}"), F.lit(0.0)).alias(f"gmed_{a}") for a in amounts]
-    finals += [F.coalesce(F.col(f"__p_{a}"), F.col(f"__g_{a}"), F.lit(0.0)).alias(f"pmed_{a}") for a in amounts]
-    return GlobalFit(aggs, finals)
+def fit_hier_global(src: DataFrame, amounts: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Global and positive-only medians of every amount (fallbacks of D13), one row (per key).
+
+    gmed = median (0 if none); pmed = median of the positive values (else the
+    median, else 0).  All from one position pass over the unpivoted amounts.
+    """
+    from tessera.operators.profile import position_quantiles
+
+    vals = [*amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in amounts]]
+    q = position_quantiles(src, vals, [0.5], by=list(keys))
+    names = [*amounts, *[f"pos_{a}" for a in amounts]]
+    base = src.select(*keys).distinct() if keys else src.sparkSession.range(1).select()
+    wide = q.groupBy(*keys).pivot("variable", names).agg(F.first("q0"))
+    wide = base.join(wide, list(keys), "left") if keys else base.withColumn("__one", F.lit(1)).join(
+        F.broadcast(wide.withColumn("__one", F.lit(1))), "__one", "left").drop("__one")
+    finals = [F.coalesce(F.col(a), F.lit(0.0)).alias(f"gmed_{a}") for a in amounts]
+    finals += [F.coalesce(F.col(f"pos_{a}"), F.col(a), F.lit(0.0)).alias(f"pmed_{a}") for a in amounts]
+    return wide.select(*keys, *finals)
 
 
 def fit_hier_medians(
@@ -200,21 +226,26 @@ def fit_hier_medians(
 ) -> SpendStats:
     """Medians of every amount at every key level, plus global and positive-only medians.
 
-    A null key value is a level of its own.  One aggregate per level computes
-    all amounts.  With ``fold_col``/``k`` the statistics are fitted for every
-    fold at once on the rows outside that fold (rows copied k-1 times, which
-    exact medians need; additive statistics elsewhere avoid the copies).
+    A null key value is a level of its own.  Each level is one position pass
+    over the unpivoted amounts (exact medians without a per-group value map
+    in one task), pivoted back to one column per amount.  With
+    ``fold_col``/``k`` the statistics are fitted for every fold at once on the
+    rows outside that fold (rows copied k-1 times, which exact medians need;
+    additive statistics elsewhere avoid the copies).
     """
+    from tessera.operators.profile import position_quantiles
+
     src = df.filter(fit_on) if fit_on is not None else df
     fkey: list[str] = []
     if fold_col is not None:
         src = explode_folds(src, fold_col, int(k))
         fkey = ["fit_fold"]
-    level_tables = [
-        src.groupBy(*fkey, *lvl).agg(*[F.median(a).alias(f"med{i}_{a}") for a in amounts])
-        for i, lvl in enumerate(levels)
-    ]
-    glob = run_fits(src, [hier_global_fit(amounts)], fkey) if with_global else None
+    level_tables = []
+    for i, lvl in enumerate(levels):
+        q = position_quantiles(src, list(amounts), [0.5], by=[*fkey, *lvl], many_groups=True)
+        t = q.groupBy(*fkey, *lvl).pivot("variable", list(amounts)).agg(F.first("q0"))
+        level_tables.append(t.select(*fkey, *lvl, *[F.col(a).alias(f"med{i}_{a}") for a in amounts]))
+    glob = fit_hier_global(src, amounts, fkey) if with_global else None
     return SpendStats(list(amounts), [list(lv) for lv in levels], level_tables, glob, fold_col and "fit_fold")
 
 
@@ -264,9 +295,14 @@ def simple_impute(
 ) -> DataFrame:
     """Mean / median / most_frequent, fitted on ``fit_on`` rows (one aggregate)."""
     src = df.filter(fit_on) if fit_on is not None else df
-    fn = {"mean": F.avg, "median": F.median, "most_frequent": lambda c: F.mode(c, deterministic=True)}[strategy]
-    row = src.agg(*[fn(c).alias(c) for c in columns]).first()
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(row[c])) for c in columns})
+    if strategy == "mean":
+        row = src.agg(*[F.avg(c).alias(c) for c in columns]).first()
+        vals = {c: row[c] for c in columns}
+    elif strategy == "median":
+        vals = {c: _scalar(_median_table(src, [], c, "m")) for c in columns}
+    else:
+        vals = {c: _scalar(mode_table(src, [], c, "m")) for c in columns}
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(vals[c])) for c in columns})
 
 
 def post_fill(df: DataFrame, strings: Sequence[str] = (), numerics: Sequence[str] = (), unknown: str = "Unknown") -> DataFrame:

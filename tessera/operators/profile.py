@@ -37,11 +37,14 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], by: str | None = None
 
 
 def quantiles(df: DataFrame, column: str, qs: Sequence[float], by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
-    """exact linear-interpolated quantiles (or ``approx_percentile`` with ``accuracy``)."""
-    arr = F.array(*[F.lit(q) for q in qs])
-    agg = F.percentile(column, arr) if accuracy is None else F.percentile_approx(column, arr, accuracy)
-    out = df.groupBy(*by).agg(agg.alias("__q"))
-    return out.select(*by, *[F.get("__q", i).alias(f"q{int(round(q * 100)):02d}") for i, q in enumerate(qs)])
+    """exact linear-interpolated quantiles from global positions, or ``approx_percentile`` with ``accuracy``."""
+    names = [f"q{int(round(q * 100)):02d}" for q in qs]
+    if accuracy is not None:
+        arr = F.array(*[F.lit(q) for q in qs])
+        out = df.groupBy(*by).agg(F.percentile_approx(column, arr, accuracy).alias("__q"))
+        return out.select(*by, *[F.get("__q", i).alias(n) for i, n in enumerate(names)])
+    q = position_quantiles(df, [column], qs, by=list(by), many_groups=bool(by))
+    return q.select(*by, *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
 
 
 def lower_quantile(df: DataFrame, column: str, q: float, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
@@ -84,10 +87,8 @@ def box_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     Two aggregates and a join of the per-key fences (null key = a key).
     """
     x = F.col(column)
-    q = df.groupBy(*by).agg(
-        F.percentile(column, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("__q"), F.count(column).alias("n")
-    )
-    q = q.select(*by, "n", F.get("__q", 0).alias("q1"), F.get("__q", 1).alias("median"), F.get("__q", 2).alias("q3"))
+    q = position_quantiles(df, [column], [0.25, 0.5, 0.75], by=list(by), many_groups=bool(by))
+    q = q.select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     fences = q.select(*by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("__lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("__hi"))
     src = df.filter(x.isNotNull())
@@ -179,3 +180,44 @@ def sum_column(cs: Sequence[Column]) -> Column:
     for c in cs[1:]:
         out = out + c
     return out
+
+
+def position_quantiles(
+    df: DataFrame, values: Sequence[str | tuple[str, Column]], qs: Sequence[float], by: Sequence[str] = (),
+    many_groups: bool = False,
+) -> DataFrame:
+    """Exact linear-interpolation quantiles from global positions (scales with no single-task group).
+
+    ``values`` are column names or (name, expression) pairs; all are unpivoted
+    into one long table and numbered once with :func:`core.ordered_index`
+    inside (by, variable), so a group holding a third of the rows is spread
+    over many range partitions.  For n non-null values and quantile q, with
+    h = (n - 1) q: x[floor h] + (h - floor h) (x[ceil h] - x[floor h]), as
+    numpy's default and DuckDB's ``quantile_cont``.  Returns one row per
+    (by, variable) with columns ``q0, q1, ...`` in the order of ``qs``.
+    A null group key is a group; nulls in the values are ignored.
+    """
+    exprs = [(v, F.col(v)) if isinstance(v, str) else v for v in values]
+    long = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("__var"), e.cast("double").alias("__x")) for n, e in exprs
+    ])).alias("__s")).select(*by, "__s.__var", "__s.__x").filter(F.col("__x").isNotNull())
+    keys = [*by, "__var"]
+    idx = ordered_index(long, ["__x"], by=keys, name="__pos", count_name="__n", many_groups=many_groups)
+    h = [(F.col("__n") - 1) * F.lit(float(q)) for q in qs]
+    lo = [F.floor(x) + 1 for x in h]
+    hi = [F.ceil(x) + 1 for x in h]
+    hit = None
+    for a, b in zip(lo, hi):
+        c = (F.col("__pos") == a) | (F.col("__pos") == b)
+        hit = c if hit is None else hit | c
+    picked = idx.filter(hit)
+    aggs = []
+    for i, (a, b) in enumerate(zip(lo, hi)):
+        aggs += [F.max(F.when(F.col("__pos") == a, F.col("__x"))).alias(f"__lo{i}"),
+                 F.max(F.when(F.col("__pos") == b, F.col("__x"))).alias(f"__hi{i}")]
+    g = picked.groupBy(*keys, "__n").agg(*aggs)
+    outs = []
+    for i, q in enumerate(qs):
+        hh = (F.col("__n") - 1) * F.lit(float(q))
+        outs.append((F.col(f"__lo{i}") + (hh - F.floor(hh)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
+    return g.select(*by, F.col("__var").alias("variable"), F.col("__n").alias("n"), *outs)

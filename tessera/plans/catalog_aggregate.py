@@ -83,7 +83,7 @@ def f_quantiles(spark, sf_dir):
     """exact linear-interpolation quantiles and medians per key."""
     w = wide(spark, sf_dir)
     q = PR.quantiles(w, "a2", [0.25, 0.5, 0.75], by=["home"])
-    m = w.groupBy("home").agg(F.median("age").alias("med_age"))
+    m = PR.quantiles(w, "age", [0.5], by=["home"]).withColumnRenamed("q50", "med_age")
     return rounded(lookup(q, m, ["home"], null_safe=True))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import impute as IM
-from tessera.operators.core import materialize
+from tessera.operators.core import lookup, materialize
 from tessera.plans import common_frame as CF
 from tessera.plans.common_frame_sql import APPLY_SQL, COMMON_FRAME_SQL, PREPARE_SQL, STATS_SQL
 from tessera.plans.registry import register
@@ -233,8 +233,13 @@ def d_hier_median_fit(spark, sf_dir):
     train = df.filter(F.col("split") == "train")
     out = None
     for i, keys in enumerate(r.levels):
-        t = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.median(a).alias(f"med_{a}") for a in A])
-        t = t.select(F.lit(i + 1).alias("level"), C.lookup_key(*keys).alias("level_key"), "n", *[f"med_{a}" for a in A])
+        from tessera.operators.profile import position_quantiles
+
+        cnt = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        q = position_quantiles(train, A, [0.5], by=keys, many_groups=True)
+        med = q.groupBy(*keys).pivot("variable", A).agg(F.first("q0"))
+        t = lookup(cnt, med, keys, null_safe=True)
+        t = t.select(F.lit(i + 1).alias("level"), C.lookup_key(*keys).alias("level_key"), "n", *[F.col(a).alias(f"med_{a}") for a in A])
         out = t if out is None else out.unionByName(t)
     return rounded(out)
 

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import clean as CL
 from tessera.operators import impute as IM
-from tessera.operators.binning import apply_quantile_bins, quantile_edges_fit
-from tessera.operators.core import GlobalFit, lookup, materialize, run_fits, with_scalars
+from tessera.operators.binning import apply_quantile_bins, fit_quantile_edges
+from tessera.operators.profile import position_quantiles
+from tessera.operators.core import attach_row, lookup, materialize, with_scalars
 
 
 @dataclass
@@ -95,15 +96,12 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     df = prepared(df, r)
     # every fit below and the apply read this frame: compute it once
     df = materialize(df)
-    # train-fit statistics: every global number in one aggregate (one job) --
-    glob = run_fits(
-        df.filter(train),
-        [
-            GlobalFit([F.median(r.age).alias("__age")], [F.col("__age").alias("age_median")]),
-            IM.hier_global_fit(r.amounts),
-            quantile_edges_fit("num", bins=5),
-        ],
-    )
+    # train-fit statistics: every global number in one row (a few fitted scalars) --
+    fit = df.filter(train)
+    glob = IM.fit_hier_global(fit, r.amounts)
+    age_med = position_quantiles(fit, [r.age], [0.5]).select(F.col("q0").alias("age_median"))
+    glob = glob.withColumn("__one", F.lit(1)).join(F.broadcast(age_med.withColumn("__one", F.lit(1))), "__one", "left")
+    glob = attach_row(glob.drop("__one"), fit_quantile_edges(df, "num", 5, fit_on=train))
     spend = IM.fit_hier_medians(df, r.amounts, r.levels, fit_on=train, with_global=False)
     surname_freq = (
         df.filter(train & F.col("surname").isNotNull()).groupBy("surname").agg(F.count(F.lit(1)).alias("surname_freq"))
