@@ -40,7 +40,7 @@ def fit_quantile_edges(
     (:func:`profile.position_quantiles`), the distinct count from a two-phase
     distinct aggregate: no single task ever holds all values.
     """
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
     src = df.filter(fit_on) if fit_on is not None else df
     src = src.filter(F.col(column).isNotNull())
@@ -49,7 +49,7 @@ def fit_quantile_edges(
         src = explode_folds(src, fold_col, int(k))
         keys = ["fit_fold"]
     qs = edge_quantiles(bins)
-    q = position_quantiles(src, [column], qs, by=keys).drop("variable", "n")
+    q = exact_quantiles(src, [column], qs, by=keys).drop("variable", "n")
     st = src.groupBy(*keys).agg(
         F.count_distinct(column).alias("__nd"), F.min(column).alias("__lo"), F.max(column).alias("__hi"))
     # st has one row (per fold) even when there is no value; quantile rows may be missing then

@@ -142,9 +142,9 @@ def group_transform(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Colum
 
 def group_median_gap(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
     """``column`` minus the exact median of its group (positions, not a per-group value map)."""
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
-    med = position_quantiles(df, [column], [0.5], by=list(keys), many_groups=True).select(*keys, F.col("q0").alias("__med"))
+    med = exact_quantiles(df, [column], [0.5], by=list(keys), many_groups=True).select(*keys, F.col("q0").alias("__med"))
     out = lookup(df, med, list(keys))
     return out.withColumn(name, F.col(column) - F.col("__med")).drop("__med")
 

@@ -74,9 +74,9 @@ def _scalar(one_row: DataFrame):
 
 def _median_table(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
     """Exact median per key from global positions (null key is a key)."""
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
-    q = position_quantiles(df, [column], [0.5], by=list(keys), many_groups=bool(keys))
+    q = exact_quantiles(df, [column], [0.5], by=list(keys), many_groups=bool(keys))
     return q.select(*keys, F.col("q0").alias(name))
 
 
@@ -201,10 +201,10 @@ def fit_hier_global(src: DataFrame, amounts: Sequence[str], keys: Sequence[str]
     gmed = median (0 if none); pmed = median of the positive values (else the
     median, else 0).  All from one position pass over the unpivoted amounts.
     """
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
     vals = [*amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in amounts]]
-    q = position_quantiles(src, vals, [0.5], by=list(keys))
+    q = exact_quantiles(src, vals, [0.5], by=list(keys))
     names = [*amounts, *[f"pos_{a}" for a in amounts]]
     base = src.select(*keys).distinct() if keys else src.sparkSession.range(1).select()
     wide = q.groupBy(*keys).pivot("variable", names).agg(F.first("q0"))
@@ -233,7 +233,7 @@ def fit_hier_medians(
     rows outside that fold (rows copied k-1 times, which exact medians need;
     additive statistics elsewhere avoid the copies).
     """
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
     src = df.filter(fit_on) if fit_on is not None else df
     fkey: list[str] = []
@@ -242,7 +242,7 @@ def fit_hier_medians(
         fkey = ["fit_fold"]
     level_tables = []
     for i, lvl in enumerate(levels):
-        q = position_quantiles(src, list(amounts), [0.5], by=[*fkey, *lvl], many_groups=True)
+        q = exact_quantiles(src, list(amounts), [0.5], by=[*fkey, *lvl], many_groups=True)
         t = q.groupBy(*fkey, *lvl).pivot("variable", list(amounts)).agg(F.first("q0"))
         level_tables.append(t.select(*fkey, *lvl, *[F.col(a).alias(f"med{i}_{a}") for a in amounts]))
     glob = fit_hier_global(src, amounts, fkey) if with_global else None

@@ -43,7 +43,7 @@ def quantiles(df: DataFrame, column: str, qs: Sequence[float], by: Sequence[str]
         arr = F.array(*[F.lit(q) for q in qs])
         out = df.groupBy(*by).agg(F.percentile_approx(column, arr, accuracy).alias("__q"))
         return out.select(*by, *[F.get("__q", i).alias(n) for i, n in enumerate(names)])
-    q = position_quantiles(df, [column], qs, by=list(by), many_groups=bool(by))
+    q = exact_quantiles(df, [column], qs, by=list(by), many_groups=bool(by))
     return q.select(*by, *[F.col(f"q{i}").alias(n) for i, n in enumerate(names)])
 
 
@@ -87,7 +87,7 @@ def box_stats(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     Two aggregates and a join of the per-key fences (null key = a key).
     """
     x = F.col(column)
-    q = position_quantiles(df, [column], [0.25, 0.5, 0.75], by=list(by), many_groups=bool(by))
+    q = exact_quantiles(df, [column], [0.25, 0.5, 0.75], by=list(by), many_groups=bool(by))
     q = q.select(*by, "n", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     fences = q.select(*by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("__lo"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("__hi"))
@@ -221,3 +221,49 @@ def position_quantiles(
         hh = (F.col("__n") - 1) * F.lit(float(q))
         outs.append((F.col(f"__lo{i}") + (hh - F.floor(hh)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
     return g.select(*by, F.col("__var").alias("variable"), F.col("__n").alias("n"), *outs)
+
+
+# Largest group whose values one task may hold for an in-task exact percentile.
+MAX_VALUES_IN_TASK = 2_000_000
+
+
+def exact_quantiles(
+    df: DataFrame, values: Sequence[str | tuple[str, Column]], qs: Sequence[float], by: Sequence[str] = (),
+    many_groups: bool = False, max_in_task: int | None = None,
+) -> DataFrame:
+    """Exact quantiles with the same output as :func:`position_quantiles`, choosing the plan by group size.
+
+    One small aggregate measures the largest group (rows per ``by`` key).
+    Groups up to ``max_in_task`` rows use Spark's exact ``percentile``
+    aggregate (its per-group value map is then bounded); rows of larger groups
+    -- a hot key, or a global quantile over a big table -- go through the
+    position plan, which spreads one group over many range partitions.
+    """
+    limit = MAX_VALUES_IN_TASK if max_in_task is None else max_in_task
+    by = list(by)
+    exprs = [(v, F.col(v)) if isinstance(v, str) else v for v in values]
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
+    largest = sizes.agg(F.max("__rows").alias("m")).first()["m"] or 0
+    arr = F.array(*[F.lit(float(q)) for q in qs])
+
+    def in_task(src: DataFrame) -> DataFrame:
+        agg = src.groupBy(*by).agg(*[
+            F.struct(F.lit(n).alias("variable"), F.count(e).alias("n"), F.percentile(e.cast("double"), arr).alias("q")).alias(f"__v{i}")
+            for i, (n, e) in enumerate(exprs)
+        ])
+        long = agg.select(*by, F.explode(F.array(*[F.col(f"__v{i}") for i in range(len(exprs))])).alias("__s"))
+        long = long.filter(F.col("__s.n") > 0)
+        return long.select(*by, "__s.variable", "__s.n", *[F.get("__s.q", i).alias(f"q{i}") for i in range(len(qs))])
+
+    if largest <= limit:
+        return in_task(df)
+    if not by:
+        return position_quantiles(df, values, qs, by, many_groups)
+    hot = sizes.filter(F.col("__rows") > limit).select(*by, F.lit(True).alias("__hot"))  # at most rows / limit keys
+    tagged = lookup(df, hot, by, null_safe=True, bound=BOUND_HOT)
+    cold = in_task(tagged.filter(F.col("__hot").isNull()).drop("__hot"))
+    warm = position_quantiles(tagged.filter(F.col("__hot")).drop("__hot"), values, qs, by, many_groups)
+    return cold.unionByName(warm)
+
+
+BOUND_HOT = 10_000

@@ -190,9 +190,9 @@ for _mode in EXTRA_MODES:
 def b_minimal_clean(spark, sf_dir):
     """Drop the name, split the code, fill age by its median (one scalar aggregate)."""
     w = wide(spark, sf_dir).drop("name")
-    from tessera.operators.profile import position_quantiles
+    from tessera.operators.profile import exact_quantiles
 
-    med = position_quantiles(w, ["age"], [0.5]).select(F.col("q0").alias("m"))
+    med = exact_quantiles(w, ["age"], [0.5]).select(F.col("q0").alias("m"))
     d, n, s = C.split_code("code")
     out = attach_row(w, med).select(
         "id", "split", d.alias("deck"), n.alias("num"), s.alias("side"), F.coalesce("age", "m").alias("age")

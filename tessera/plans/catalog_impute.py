@@ -233,10 +233,10 @@ def d_hier_median_fit(spark, sf_dir):
     train = df.filter(F.col("split") == "train")
     out = None
     for i, keys in enumerate(r.levels):
-        from tessera.operators.profile import position_quantiles
+        from tessera.operators.profile import exact_quantiles
 
         cnt = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        q = position_quantiles(train, A, [0.5], by=keys, many_groups=True)
+        q = exact_quantiles(train, A, [0.5], by=keys, many_groups=True)
         med = q.groupBy(*keys).pivot("variable", A).agg(F.first("q0"))
         t = lookup(cnt, med, keys, null_safe=True)
         t = t.select(F.lit(i + 1).alias("level"), C.lookup_key(*keys).alias("level_key"), "n", *[F.col(a).alias(f"med_{a}") for a in A])

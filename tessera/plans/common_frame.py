@@ -22,7 +22,7 @@ from tessera.functions import columns as C
 from tessera.operators import clean as CL
 from tessera.operators import impute as IM
 from tessera.operators.binning import apply_quantile_bins, fit_quantile_edges
-from tessera.operators.profile import position_quantiles
+from tessera.operators.profile import exact_quantiles
 from tessera.operators.core import attach_row, lookup, materialize, with_scalars
 
 
@@ -99,7 +99,7 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     # train-fit statistics: every global number in one row (a few fitted scalars) --
     fit = df.filter(train)
     glob = IM.fit_hier_global(fit, r.amounts)
-    age_med = position_quantiles(fit, [r.age], [0.5]).select(F.col("q0").alias("age_median"))
+    age_med = exact_quantiles(fit, [r.age], [0.5]).select(F.col("q0").alias("age_median"))
     glob = glob.withColumn("__one", F.lit(1)).join(F.broadcast(age_med.withColumn("__one", F.lit(1))), "__one", "left")
     glob = attach_row(glob.drop("__one"), fit_quantile_edges(df, "num", 5, fit_on=train))
     spend = IM.fit_hier_medians(df, r.amounts, r.levels, fit_on=train, with_global=False)
