@@ -178,6 +178,7 @@ def running_totals(
     columns: Sequence[str],
     prefix: str = "cum_",
     num_partitions: int | None = None,
+    many_groups: bool = False,
 ) -> DataFrame:
     """Inclusive running sums of ``columns`` in ``order`` inside each ``by`` group.
 
@@ -197,6 +198,7 @@ def running_totals(
     tot = s.groupBy("__pid", *by).agg(*[F.sum(c).alias(f"__t_{c}") for c in columns])
     w_prev = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(w_prev), F.lit(0)).alias(f"__o_{c}") for c in columns])
-    out = s.join(F.broadcast(offs), ["__pid", *by])
+    out = lookup(s, offs, ["__pid", *by], how="inner", null_safe=True,
+                 bound=None if many_groups else BROADCAST_ROW_BOUND)
     out = out.withColumns({f"{prefix}{c}": F.col(f"__r_{c}") + F.col(f"__o_{c}") for c in columns})
     return out.drop("__pid", *[f"__{k}_{c}" for c in columns for k in ("r", "o")])

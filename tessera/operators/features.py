@@ -152,18 +152,25 @@ def group_median_gap(df: DataFrame, keys: Sequence[str], column: str, name: str)
 def percent_rank_avg(df: DataFrame, keys: Sequence[str], column: str, name: str, null_value: float = 0.5) -> DataFrame:
     """Percentile rank with average ties inside each group (pandas ``rank(pct=True)``).
 
-    pct = (values below + (ties + 1) / 2) / non-null count; null -> ``null_value``.
-    Rows are first collapsed to (group, value, ties) so the ordered window runs
-    over distinct values only, then joined back.  Not ``percent_rank()``,
-    which uses the lowest rank and n - 1.
+    pct = (values below + (ties + 1) / 2) / non-null count; null value or null
+    key -> ``null_value``.  Rows collapse to (group, value, ties) first; the
+    running count over each group's values is a range-partitioned running
+    sum (:func:`core.running_totals`), so a hot group's distinct values are
+    spread over many tasks.  Not ``percent_rank()``, which uses the lowest
+    rank and n - 1.
     """
-    vals = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__t"))
-    w_run = Window.partitionBy(*keys).orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy(*keys)
-    ranked = vals.select(
-        *keys, column,
-        ((F.sum("__t").over(w_run) - F.col("__t") + (F.col("__t") + 1) / 2.0) / F.sum("__t").over(w_all)).alias("__pct"),
-    )
+    from tessera.operators.core import running_totals
+
+    nonnull = F.col(column).isNotNull()
+    for k in keys:
+        nonnull = nonnull & F.col(k).isNotNull()
+    vals = df.filter(nonnull).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__t"))
+    run = running_totals(vals, [column], list(keys), ["__t"], many_groups=bool(keys))
+    tot = vals.groupBy(*keys).agg(F.sum("__t").alias("__tot"))
+    from tessera.operators.core import attach_row
+
+    ranked = lookup(run, tot, list(keys)) if keys else attach_row(run, tot)
+    ranked = ranked.select(*keys, column, ((F.col("cum___t") - F.col("__t") + (F.col("__t") + 1) / 2.0) / F.col("__tot")).alias("__pct"))
     out = lookup(df, ranked, [*keys, column])
     return out.withColumn(name, F.coalesce(F.col("__pct"), F.lit(null_value))).drop("__pct")
 
