@@ -57,17 +57,23 @@ def fit_quantile_edges(
         j = st.join(q, keys, "left")
     else:
         j = st.withColumn("__one", F.lit(1)).join(F.broadcast(q.withColumn("__one", F.lit(1))), "__one", "left")
-    pos = {v: i for i, v in enumerate(qs)}
+    return j.select(*keys, edges_expr({v: F.col(f"q{i}") for i, v in enumerate(qs)}, bins).alias(name))
 
+
+def edges_expr(quantile_at: dict[float, Column], bins: int = 5) -> Column:
+    """Edges from the quantile columns (keyed by fraction) and ``__nd``/``__lo``/``__hi`` columns.
+
+    min(bins, distinct values) bins; interior edges only, sorted, duplicates merged.
+    """
     def at(b):
-        return F.array(*[F.col(f"q{pos[i / b]}") for i in range(1, b)])
+        return F.array(*[quantile_at[i / b] for i in range(1, b)])
 
     chosen = F.when(F.col("__nd") <= 1, F.array().cast("array<double>"))
     for b in range(2, bins):
         chosen = chosen.when(F.col("__nd") == b, at(b))
     chosen = chosen.otherwise(at(bins))
     inner = F.filter(chosen, lambda e: (e > F.col("__lo")) & (e < F.col("__hi")))
-    return j.select(*keys, F.array_sort(F.array_distinct(inner)).alias(name))
+    return F.array_sort(F.array_distinct(inner))
 
 
 def apply_quantile_bins(

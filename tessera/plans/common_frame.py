@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import clean as CL
 from tessera.operators import impute as IM
-from tessera.operators.binning import apply_quantile_bins, fit_quantile_edges
+from tessera.operators.binning import apply_quantile_bins, edge_quantiles, edges_expr
 from tessera.operators.profile import exact_quantiles
-from tessera.operators.core import attach_row, lookup, materialize, with_scalars
+from tessera.operators.core import lookup, materialize, with_scalars
 
 
 @dataclass
@@ -96,12 +96,24 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     df = prepared(df, r)
     # every fit below and the apply read this frame: compute it once
     df = materialize(df)
-    # train-fit statistics: every global number in one row (a few fitted scalars) --
+    # train-fit statistics: every global number in one row (a few fitted scalars); all global
+    # quantiles (age, amounts, positive amounts, cabin number) come from one exact-quantile pass --
     fit = df.filter(train)
-    glob = IM.fit_hier_global(fit, r.amounts)
-    age_med = exact_quantiles(fit, [r.age], [0.5]).select(F.col("q0").alias("age_median"))
-    glob = glob.withColumn("__one", F.lit(1)).join(F.broadcast(age_med.withColumn("__one", F.lit(1))), "__one", "left")
-    glob = attach_row(glob.drop("__one"), fit_quantile_edges(df, "num", 5, fit_on=train))
+    qs = sorted({0.5, *edge_quantiles(5)})
+    half = qs.index(0.5)
+    variables = [r.age, *r.amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in r.amounts], "num"]
+    names = [r.age, *r.amounts, *[f"pos_{a}" for a in r.amounts], "num"]
+    q = exact_quantiles(fit, variables, qs)
+    wide = q.groupBy().pivot("variable", names).agg(F.first(F.array(*[F.col(f"q{i}") for i in range(len(qs))])))
+    num_stats = fit.agg(F.count_distinct("num").alias("__nd"), F.min("num").alias("__lo"), F.max("num").alias("__hi"))
+    glob = num_stats.withColumn("__one", F.lit(1)).join(F.broadcast(wide.withColumn("__one", F.lit(1))), "__one", "left")
+    med = {n: F.get(F.col(n), half) for n in names}
+    glob = glob.select(
+        med[r.age].alias("age_median"),
+        *[F.coalesce(med[a], F.lit(0.0)).alias(f"gmed_{a}") for a in r.amounts],
+        *[F.coalesce(med[f"pos_{a}"], med[a], F.lit(0.0)).alias(f"pmed_{a}") for a in r.amounts],
+        edges_expr({v: F.get(F.col("num"), i) for i, v in enumerate(qs)}, 5).alias("edges"),
+    )
     spend = IM.fit_hier_medians(df, r.amounts, r.levels, fit_on=train, with_global=False)
     surname_freq = (
         df.filter(train & F.col("surname").isNotNull()).groupBy("surname").agg(F.count(F.lit(1)).alias("surname_freq"))
