@@ -34,14 +34,24 @@ def lookup(
     how: str = "left",
     null_safe: bool = False,
     bound: int | None = None,
+    check_size: bool = False,
 ) -> DataFrame:
     """Join ``stats`` (one row per key) onto ``df``.
 
     ``null_safe`` matches null keys to null keys (a null level is a level).
     ``bound`` is the caller's proven upper bound on ``stats`` rows; when it
     is given and small the side is broadcast, otherwise AQE decides.
+    ``check_size`` measures the statistics table first (it is cached, then
+    counted: a small job over an aggregate) and broadcasts it only when it
+    has at most ``BROADCAST_ROW_BOUND`` rows; beyond that it stays a shuffle
+    join, which AQE can split when a key is skewed.  This avoids shuffling
+    the large side for a join that AQE would only turn into a broadcast
+    after both sides were already exchanged.
     """
     keys = list(keys)
+    if bound is None and check_size:
+        stats = stats.cache()
+        bound = stats.count()
     right = F.broadcast(stats) if bound is not None and bound <= BROADCAST_ROW_BOUND else stats
     if not null_safe:
         return df.join(right, keys, how)

@@ -264,7 +264,7 @@ def apply_hier_medians(
         out = out.withColumn("fit_fold", F.col(fold_col))
         fkey = ["fit_fold"]
     for lvl, tab in zip(stats.levels, stats.level_tables):
-        out = lookup(out, tab, [*fkey, *lvl], null_safe=True)
+        out = lookup(out, tab, [*fkey, *lvl], null_safe=True, check_size=True)
     if stats.global_table is not None:  # else gmed_/pmed_ columns are already attached
         out = lookup(out, stats.global_table, fkey, bound=k) if fkey else with_scalars(out, stats.global_table)
     flag_true = F.coalesce(F.col(flag) == "True", F.lit(False))

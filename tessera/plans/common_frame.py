@@ -123,8 +123,8 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     df = with_scalars(df, glob)
     df = df.withColumn(r.age, F.coalesce(F.col(r.age), F.col("age_median")))
     df = IM.apply_hier_medians(df, spend, r.flag)
-    df = lookup(df, surname_freq, ["surname"])
-    df = lookup(df, group_size, ["group_id"])
+    df = lookup(df, surname_freq, ["surname"], check_size=True)
+    df = lookup(df, group_size, ["group_id"], check_size=True)
     df = apply_quantile_bins(df, "num", None, "num_bin", label_prefix="Bin_", missing_label="Bin_Missing")
     df = df.withColumns({
         "surname_freq": F.coalesce(F.col("surname_freq"), F.lit(0)).cast("bigint"),
