@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import MISSING_TOKEN
-from tessera.operators.core import attach_row, lookup
+from tessera.operators.core import attach_row, lookup, ordered_index
 
 # Fixed values of the reference's encoders.
 DEFAULT_SMOOTHING = 20.0
@@ -37,12 +37,15 @@ def level_col(c: str) -> Column:
 def level_index(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None) -> DataFrame:
     """(column_name, level, idx): non-null levels of every column, alphabetical index from 0.
 
-    One unpivot + distinct; the window ranks distinct levels per column only.
+    One unpivot + distinct; the distinct levels are numbered per column with
+    :func:`core.ordered_index` (range partitioning), so a column with many
+    levels is not ranked in one task.
     """
     src = df.filter(fit_on) if fit_on is not None else df
     long = src.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "level")
     lv = long.filter(F.col("level").isNotNull()).distinct()
-    return lv.withColumn("idx", (F.dense_rank().over(Window.partitionBy("column_name").orderBy("level")) - 1).cast("int"))
+    idx = ordered_index(lv, ["level"], by=["column_name"], name="__rn")
+    return idx.select("column_name", "level", (F.col("__rn") - 1).cast("int").alias("idx"))
 
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], levels: DataFrame, unknown: int = -1) -> DataFrame:
@@ -166,8 +169,8 @@ def category_stat_encodings(df: DataFrame, column: str, label: str, fit_on: Colu
     * ``_count``: log1p(train count)
     * ``_count_label``: levels by count descending get L, L-1, ..., 1 (ties by level)
     * ``_woe``: log1p(pos / neg), null when neg = 0
-    Null or unseen levels get null.  The ranking windows run over the level
-    table (one row per level), never over the rows.
+    Null or unseen levels get null.  Levels are numbered with
+    :func:`core.ordered_index` over the level table (one row per level).
     """
     fit = df.filter(fit_on & F.col(column).isNotNull())
     st = fit.groupBy(column).agg(
@@ -175,13 +178,13 @@ def category_stat_encodings(df: DataFrame, column: str, label: str, fit_on: Colu
         F.count(F.lit(1)).alias("__c"),
         F.sum(F.col(label).cast("double")).alias("__pos"),
     )
-    w_all = Window.partitionBy(F.lit(1))
-    st = st.select(
+    by_mean = ordered_index(st, ["__m", column], name="__r_m", count_name="__levels")
+    by_count = ordered_index(st.select(column, "__c"), [F.desc("__c"), F.asc(column)], name="__r_c").drop("__c")
+    st = by_mean.join(by_count, column).select(
         column,
-        (F.row_number().over(Window.orderBy("__m", column)) - 1).cast("int").alias(f"{column}_target"),
+        (F.col("__r_m") - 1).cast("int").alias(f"{column}_target"),
         F.log1p("__c").alias(f"{column}_count"),
-        (F.count(F.lit(1)).over(w_all) - F.row_number().over(Window.orderBy(F.desc("__c"), column)) + 1)
-        .cast("int").alias(f"{column}_count_label"),
+        (F.col("__levels") - F.col("__r_c") + 1).cast("int").alias(f"{column}_count_label"),
         F.log1p(F.try_divide(F.col("__pos"), F.when(F.col("__c") - F.col("__pos") == 0, None).otherwise(F.col("__c") - F.col("__pos"))))
         .alias(f"{column}_woe"),
     )
