@@ -19,8 +19,10 @@ def test_quantile_bins_duplicates_and_edges(spark):
     assert edges == sorted(set(edges))  # duplicates merged
     assert got[-1] == "Bin_Missing"
     # a value equal to an edge falls in the bin that edge closes (right-closed)
-    for e in edges:
-        got2, _ = _bins(spark, [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, e])
+    vals = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+    got2, edges2 = _bins(spark, vals)
+    assert edges2 == [2.0, 3.0, 4.0, 5.0]  # quintile edges of 1..6, outer values dropped
+    assert got2 == ["Bin_1", "Bin_1", "Bin_2", "Bin_3", "Bin_4", "Bin_5"]
 
 
 def test_quantile_bins_one_value_and_all_null(spark):
