@@ -156,9 +156,31 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
+# Tables written by :func:`materialize` in this process (scratch, removable after the job).
+MATERIALIZED: list[str] = []
+
+
+def drop_materialized(spark) -> int:
+    """Delete the scratch tables this process wrote under the checkpoint folder.
+
+    Call it once the results that read them have been written; any DataFrame
+    still reading a deleted table fails afterwards.  Uses the Hadoop file
+    system of the path, so it works for a shared cluster folder as well.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while MATERIALIZED:
+        p = jvm.org.apache.hadoop.fs.Path(MATERIALIZED.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            n += 1
+    return n
+
+
 def explode_folds(df: DataFrame, fold_col: str, k: int, name: str = "fit_fold") -> DataFrame:
     """Copy each training row to every fold it trains (all folds but its own).
 

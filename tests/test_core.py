@@ -43,3 +43,12 @@ def test_univariate_accuracy_brute_force(spark):
         best = max(sum((xp > t) == (y == 1) for xp, (_, y, _) in zip(xs, va)) for t in xs + [float("inf")])
         accs.append(best / len(va))
     assert abs(got - sum(accs) / 3) < 1e-12
+
+
+def test_drop_materialized(spark):
+    from tessera.operators import core
+
+    df = core.materialize(spark.range(10), "probe")
+    assert df.count() == 10
+    assert core.drop_materialized(spark) >= 1
+    assert core.MATERIALIZED == []
