@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, pii, quality, secret_scan, toxicity
+from tessera.llm import bpe, license_scan, line_dedup, pii, quality, secret_scan, toxicity
 from tessera.llm.common import table
 
 #: The tokenizer of the BPE query.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -36,7 +40,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_bpe, op5_toxicity, op6_quality, op8_pii, op9_secrets)
+    f.__name__: f for f in (op1_licenses, op3_bpe, op5_toxicity, op6_quality, op8_pii, op9_secrets, op10_line_dedup)
 }
 ORACLES: dict[str, str] = {}
