@@ -167,7 +167,8 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     part = remainder(F.col("doc_id"), 12)
     marked = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("channel")).where(part % 3 != 1)
     counted = ~part.isin(3, 6, 8)
-    trained = docs.where((part % 3 != 1) & counted).select("doc_id", "text").join(marked.where(counted), "doc_id")
+    # labels have no bound, so they are never broadcast, at any size
+    trained = docs.where((part % 3 != 1) & counted).select("doc_id", "text").join(marked.where(counted).hint("merge"), "doc_id")
     every = docs.select("text", F.lit(ALL).alias("channel"))
     sums = (
         map_arrow(every.unionByName(trained.select("text", "channel")), count_cells, "cell long, n long")
