@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, license_scan, line_dedup, pii, quality, secret_scan, toxicity
+from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, pii, quality, secret_scan, topk, toxicity
 from tessera.llm.common import table
 
 #: The tokenizer of the BPE query.
@@ -19,10 +19,18 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +40,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "host_rate")
 
 
+def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_dups(table(spark, sf_dir, "documents"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents"))
 
@@ -46,6 +58,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_licenses, op3_bpe, op5_toxicity, op6_quality, op8_pii, op9_secrets, op10_line_dedup)
+    f.__name__: f for f in (op1_licenses, op2_top_k, op3_bpe, op4_mixing, op5_toxicity, op6_quality, op7_near_dups, op8_pii, op9_secrets, op10_line_dedup)
 }
 ORACLES: dict[str, str] = {}
