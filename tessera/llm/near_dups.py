@@ -183,7 +183,7 @@ def _mixed_pairs(bands: DataFrame, sigs: DataFrame, small: int, depth: int = 0)
 
 
 def near_dups(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs`` (``doc_id, text``)."""
+    """``doc_id, n_shingles, component_id, kept, text_hash`` of every row of ``docs`` (``doc_id, text``)."""
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     kind = dict(docs.dtypes)["doc_id"]
     signed = map_arrow(own, sign, f"doc_id {kind}, text_hash long, n_shingles long, node binary, sig binary")
@@ -211,4 +211,4 @@ def near_dups(docs: DataFrame) -> DataFrame:
     of_node = of_node.select("node", F.coalesce("component_id", "own").alias("component_id"))
     out = signed.withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node"))).join(of_node, "node", "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"), "text_hash")

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, pii, quality, secret_scan, topk, toxicity
 from tessera.llm.common import table
 
-#: The tokenizer of the BPE query.
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +22,7 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.encode(table(spark, sf_dir, "documents"), corpus_pipeline.TOKENIZER)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +30,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +39,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_dups(table(spark, sf_dir, "documents"))
+    return near_dups.near_dups(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +56,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_licenses, op2_top_k, op3_bpe, op4_mixing, op5_toxicity, op6_quality, op7_near_dups, op8_pii, op9_secrets, op10_line_dedup)
-}
+    f.__name__: f
+    for f in (op1_licenses, op2_top_k, op3_bpe, op4_mixing, op5_toxicity, op6_quality, op7_near_dups, op8_pii, op9_secrets, op10_line_dedup)
+} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {}

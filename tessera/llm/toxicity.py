@@ -152,12 +152,13 @@ def features_of(ratio, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
             total = np.bincount(doc, weights=evidence[code], minlength=len(starts) - 1)
         mean = total / np.maximum(n, 1)
         yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(mean), pa.array(mean * np.sqrt(n))], names=["doc_id", "per_word", "scaled"]
+            [b.column("doc_id"), b.column("text_hash"), pa.array(mean), pa.array(mean * np.sqrt(n))],
+            names=["doc_id", "text_hash", "per_word", "scaled"],
         )
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score`` of every row of ``docs``.
+    """``doc_id, held_out, score, text_hash`` of every row of ``docs``.
 
     ``docs`` has ``doc_id, text``; ``labels`` has ``doc_id, toxic``.  Labels are read
     only where crc32 of ``doc_id`` leaves a remainder other than 1 by 3; of those,
@@ -183,12 +184,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     both = bool(counts[ORDINARY].any() and counts[TOXIC].any())
     kind = dict(docs.dtypes)["doc_id"]
     feats = materialize(
-        map_arrow(docs.select("doc_id", "text"), lambda it: features_of(ratio, it), f"doc_id {kind}, per_word double, scaled double"),
+        map_arrow(
+            docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")),
+            lambda it: features_of(ratio, it),
+            f"doc_id {kind}, text_hash long, per_word double, scaled double",
+        ),
         "toxicity",
     )
     feats = feats.withColumn("held_out", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)))
     if not both:
-        return feats.select("doc_id", "held_out", F.lit(0.5).alias("score"))
+        return feats.select("doc_id", "held_out", F.lit(0.5).alias("score"), "text_hash")
     sample = feats.join(marked.where(~counted), "doc_id")
     if sample.select("channel").distinct().count() < 2:  # too few rows to set some apart
         sample = feats.join(marked, "doc_id")
@@ -198,7 +203,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     a, (b, c) = float(fit.intercept), (float(x) for x in fit.coefficients)
     z = F.lit(a) + F.lit(b) * F.col("per_word") + F.lit(c) * F.col("scaled")
-    return feats.select("doc_id", "held_out", (1 / (1 + F.exp(-z))).alias("score"))
+    return feats.select("doc_id", "held_out", (1 / (1 + F.exp(-z))).alias("score"), "text_hash")
 
 
 def flag(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
