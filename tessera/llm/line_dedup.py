@@ -90,18 +90,21 @@ def _at(rows: DataFrame, names: DataFrame, shift: Column, alias: str) -> DataFra
     return rows.join(there, on).drop("d2", "h2", "p2")
 
 
+def with_windows(table: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """:func:`line_table` with each document once, and with ``ahead, back`` for each line: lines of its shortest windows."""
+    windows = F.transform(
+        "lines",
+        lambda s, i: F.struct(
+            s["line"].alias("line"), s["id"].alias("id"), s["w"].alias("w"),
+            _window("lines", i, min_words, True).alias("ahead"), _window("lines", i, min_words, False).alias("back"),
+        ),
+    )
+    return materialize(table.dropDuplicates(_DOC).select(*_DOC, windows.alias("lines")), "windows")
+
+
 def later_copies(table: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, text_hash, pos``: lines (numbered among lines with words) inside later copies, each once."""
-    sized = table.dropDuplicates(_DOC).select(
-        *_DOC,
-        F.transform(
-            "lines",
-            lambda s, i: F.struct(
-                s["id"].alias("id"), s["w"].alias("w"), _window("lines", i, min_words, True).alias("ahead"), _window("lines", i, min_words, False).alias("back")
-            ),
-        ).alias("lines"),
-    )
-    rows = sized.select(*_DOC, F.posexplode("lines").alias("pos", "l")).select(*_DOC, "pos", "l.*")
+    """``doc_id, text_hash, pos``: lines of :func:`with_windows` (numbered among lines with words) inside later copies, each once."""
+    rows = table.select(*_DOC, F.posexplode("lines").alias("pos", "l")).select(*_DOC, "pos", "l.id", "l.w", "l.ahead", "l.back")
     names = materialize(_named(rows, ["id"]).drop("id"), "names")  # level 0
     found = [names.where((F.col("w") >= min_words) & (F.col("name") != _place())).select(*_DOC, "pos")]
     short = names.where(F.col("w") < min_words)
@@ -122,9 +125,9 @@ def later_copies(table: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the later copies deleted from ``text``, and ``n_lines, n_deleted`` (lines with words)."""
-    table = line_table(docs, min_words)
+    table = with_windows(line_table(docs, min_words), min_words)
     gone = later_copies(table, min_words).groupBy(*_DOC).agg(F.collect_list("pos").alias("gone"))
-    every = table.dropDuplicates(_DOC).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("lines.line").alias("line"))
+    every = table.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("lines.line").alias("line"))
     on = F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash"))
     cuts = every.join(gone, on, "left").select(
         "d", "h", F.size("line").cast("long").alias("n_lines"), F.transform("gone", lambda p: F.get("line", p)).alias("cut")
