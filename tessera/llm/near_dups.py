@@ -3,16 +3,18 @@
 1. Each text becomes its set of five-word shingles (64-bit hashes), the set's digest, and a
    signature of ``BANDS * ROWS`` minima under universal hash functions.
 2. Equal sets are one class from here on, so thousands of exact copies cost one row.
-3. Classes that agree in a band share a bucket.  Each bucket's smallest class is
-   compared with its other members: one pair a member, never all pairs.  Groups of
-   near copies fall together here.
+3. Classes that agree in a band share a bucket.  Each bucket's center, the class that shares
+   most buckets, is compared with its other members: one pair a member, never all pairs.  Groups
+   of near copies fall together here.
 4. Buckets that still hold several components may hide links between members that are
-   not the smallest.  Their members of different components are compared; a bucket of
-   more than ``SMALL`` components is first split by further, independent bands (rows
-   per member stay linear), as often as needed.  Pairs are dropped by their
-   signatures only where the sets would link with a probability below 1e-9.
-5. Pairs are confirmed on the full sets of their whole texts.  Components of the confirmed links come from
-   alternating large-star and small-star rounds.
+   not the center.  In buckets of up to ``SMALL`` components, members of different components are
+   paired (fewer than ``SMALL`` partners a member).  Larger ones are cut into tiles of two blocks of
+   about ``BLOCK`` members; a tile counts the shared shingles of all its members by products
+   of incidence matrices and returns links that join components only, no more than it has members.
+   So a group of variants that are all just too different costs arithmetic, but no rows.
+5. Pairs are dropped by their signatures only where sets as similar as a link would agree so little
+   with a probability below 1e-9, and confirmed on the full sets of their whole texts.  Components
+   of the confirmed links come from alternating large-star and small-star rounds.
 
 A linked pair shares no band of stage 3 with a probability of at most 8e-7 (similarity
 0.85, 24 bands of 5 rows; less for more similar ones).
@@ -36,15 +38,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import distinct, document_of, map_arrow, words_of
+from tessera.llm.common import distinct, map_arrow, words_of
 from tessera.operators.core import materialize
 
 #: Words of a shingle; links need 100 * intersection >= SIMILARITY * union.
 SHINGLE, SIMILARITY = 5, 85
 #: Bands of a signature and minima of each.
 BANDS, ROWS = 24, 5
-#: Components of the largest bucket whose members are compared without a further split.
-SMALL = 32
+#: Components of the largest bucket whose members are paired, and members of a block of larger ones.
+SMALL, BLOCK = 8, 256
 #: Agreeing minima (of BANDS * ROWS) below which a pair can't be a link: 0.85 * 120 less more than six standard deviations.
 AGREE = 76
 _SEED = np.random.Generator(np.random.PCG64(20240607))
@@ -64,7 +66,6 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     starts, codes, words = words_of(texts, lower=True)
     hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()], dtype=np.uint64)
     h = hashes[codes] if len(codes) else np.zeros(0, dtype=np.uint64)
-    n = np.diff(starts)
     rolled = np.zeros(len(h), dtype=np.uint64)
     for k in range(SHINGLE):
         rolled[: len(h) - k] += h[k:] * _PLACE[k]
@@ -116,14 +117,51 @@ def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
-def band_keys(sig: str, extra: int | None = None) -> Column:
-    """Bucket keys of a signature: one per band; with ``extra``, bands of other minima, drawn by that number."""
-    if extra is None:
-        parts = [F.substring(sig, 4 * ROWS * k + 1, 4 * ROWS) for k in range(BANDS)]
-    else:
-        order = np.random.Generator(np.random.PCG64(extra)).permutation(BANDS * ROWS).reshape(BANDS, ROWS)
-        parts = [F.concat(*[F.substring(sig, int(4 * i + 1), 4) for i in row]) for row in order]
-    return F.array(*[F.xxhash64(F.lit(k), p) for k, p in enumerate(parts)])
+def band_keys(sig: str) -> Column:
+    """Bucket keys of a signature, one per band."""
+    return F.array(*[F.xxhash64(F.lit(k), F.substring(sig, 4 * ROWS * k + 1, 4 * ROWS)) for k in range(BANDS)])
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets, from products of incidence matrices of a few thousand shingles at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1  # shingles that only one set has don't count
+    owner, code = owner[times[code] > 1], number[code[times[code] > 1]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    out = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, 8192):
+        a, b = np.searchsorted(code, [low, low + 8192])
+        part = np.zeros((len(sets), 8192), dtype=np.float32)
+        part[owner[a:b], code[a:b] - low] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+def tile_links(group: pa.Table) -> pa.Table:
+    """Links between members of different components in a tile, one for each two components that fall together."""
+    group = group.combine_chunks()
+    sets = shingle_sets(group.column("text").chunk(0))
+    size = np.array([len(s) for s in sets])
+    shared = shared_counts(sets)
+    linked = 100 * shared >= SIMILARITY * (size[:, None] + size[None, :] - shared)
+    nodes, roots = group.column("node").to_pylist(), group.column("root").to_pylist()
+    parent: dict[bytes, bytes] = {r: r for r in roots}
+
+    def top(r: bytes) -> bytes:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    found = []
+    for i, j in np.argwhere(np.triu(linked, 1)).tolist():
+        x, y = top(roots[i]), top(roots[j])
+        if x != y:
+            parent[x] = y
+            found.append((nodes[i], nodes[j]))
+    return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -151,11 +189,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     """Links among candidate ``pairs`` (``a, b``): first by signatures, then by the sets of the texts."""
     sig = classes.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), classes.select(F.col("node").alias("b"), F.col("sig").alias("sig_b"))
     near = pairs.join(sig[1], "b").join(sig[0], "a").where(_agreeing("sig_a", "sig_b") >= AGREE).select("a", "b")
-    near = materialize(near, "pairs")
-    needed = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    own = materialize(texts.join(needed, "node"), "texts")
-    rows = near.join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = rows.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    rows = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    rows = rows.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return map_arrow(rows.select("a", "b", "text_a", "text_b"), confirm, "a binary, b binary")
 
 
@@ -165,21 +200,31 @@ def _agreeing(a: str, b: str) -> Column:
     return reduce(Column.__add__, same)
 
 
-def _mixed_pairs(bands: DataFrame, sigs: DataFrame, small: int, depth: int = 0) -> list[DataFrame]:
-    """Pairs of members of different components (``root``) in each bucket of ``bands`` (``key, node, root``)."""
-    counts = bands.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("roots"))
-    mixed = materialize(bands.join(counts.where("roots > 1"), "key"), "mixed")
-    own = mixed.where(F.col("roots") <= small)
+def _centered(bands: DataFrame) -> DataFrame:
+    """``key, node, center`` of the buckets that have several members."""
+    buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("x"), F.max("node").alias("y")).where("x != y")
+    members = materialize(bands.join(buckets.select("key", "members"), "key"), "members")
+    shares = members.groupBy("node").agg(F.sum("members").alias("shares"))
+    centers = members.join(shares, "node").groupBy("key").agg(F.max(F.struct("shares", "node")).alias("center"))
+    return materialize(members.join(centers.select("key", "center.node").withColumnRenamed("node", "center"), "key").drop("members"), "centered")
+
+
+def _links_in_mixed(members: DataFrame, stars: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between different components (``root``) that share a bucket of ``members`` (``key, node, root``)."""
+    counts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("n").alias("n"))
+    mixed = materialize(members.join(counts.where("roots > 1"), "key"), "mixed")
+    own = mixed.where(F.col("roots") <= SMALL)
     a, b = (own.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "root")]) for s in "ab")
-    # fewer than `small` partners from other components for each member's component; copies of one component don't meet
-    heads = a.join(b, "key").where("root_a < root_b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    rest = mixed.where(F.col("roots") > small)
-    if depth == 8 or rest.isEmpty():
-        # after eight splits members of a bucket agree in 45 minima or more: they are as good as links
-        return [heads] if rest.isEmpty() else [heads, *_mixed_pairs(rest.drop("roots"), sigs, 1 << 30, 0)]
-    split = rest.select("key", "node", "root").join(sigs, "node")
-    split = split.select(F.explode(band_keys("sig", 1000 + depth)).alias("sub"), "key", "node", "root")
-    return [heads, *_mixed_pairs(split.select(F.xxhash64("key", "sub").alias("key"), "node", "root").distinct(), sigs, small, depth + 1)]
+    pairs = a.join(b, "key").where("root_a < root_b").select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    known = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    paired = _confirmed(pairs.join(known, ["a", "b"], "left_anti"), classes, texts)
+    large = mixed.where(F.col("roots") > SMALL)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    block = F.pmod(F.xxhash64("node"), blocks)
+    rows = large.select("key", "node", "root", block.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    rows = rows.select("key", "node", "root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    tiles = rows.join(texts, "node").groupBy("key", "low", "high")
+    return paired.union(tiles.applyInArrow(tile_links, "a binary, b binary"))
 
 
 def near_dups(docs: DataFrame) -> DataFrame:
@@ -192,19 +237,15 @@ def near_dups(docs: DataFrame) -> DataFrame:
     classes = named.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("sig").alias("sig"))
     classes = materialize(classes, "classes")
     bands = classes.select("node", F.explode(band_keys("sig")).alias("key"))
-    # stage 3: each bucket's smallest class against its other members
-    buckets = bands.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center != last").drop("last")
-    members = materialize(bands.join(buckets, "key"), "members")
-    stars = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    members = _centered(bands)
     place = classes.select("node", "first.doc_id", "first.text_hash")
-    texts = own.join(place, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"])
+    needed = place.join(members.select("node").distinct(), "node")
+    texts = materialize(own.join(needed, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    stars = members.where("node != center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     links = materialize(_confirmed(stars, classes, texts), "links")
-    # stage 4: what several components still share
     roots = components(links)
     rooted = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    more = reduce(DataFrame.union, _mixed_pairs(rooted, classes.select("node", "sig"), SMALL))
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    links = materialize(links.union(_confirmed(more, classes, texts)), "links")
+    links = materialize(links.union(_links_in_mixed(rooted, stars, classes, texts)), "links")
     roots = materialize(components(links), "roots")
     least = roots.join(place, "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = place.select("node", F.col("doc_id").alias("own")).join(roots, "node", "left").join(least, "root", "left")
