@@ -111,6 +111,9 @@ def draw(sources: DataFrame) -> DataFrame:
     more = (last - first - 1) + (u(first) >= F.col("low")).cast("long") + (u(last) < F.col("high")).cast("long")
     counts = at.select("number", "blocks", "shard", F.when(first == last, one).otherwise(more).alias("n")).where("n > 0")
     counts = running_totals(counts, ["shard"], ["number"], ["n"], prefix="up_to_", many_groups=True)
+    # few rows make many slots: deal them out before that
+    parts = max(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / 250_000))
+    counts = counts.repartition(parts, "number", "shard")
     j = F.explode(F.sequence(F.col("up_to_n") - F.col("n"), F.col("up_to_n") - 1)).alias("j")
     drawn = counts.select("shard", "number", "blocks", j).where(F.col("j") < MOST * F.col("blocks"))
     turn = F.floor(F.col("j") / F.col("blocks")).cast("long")
