@@ -7,7 +7,7 @@ of one length that a batch brings are rows of one matrix, so numpy does each of
 these steps for all of them at once.  For a word of more than ``SHORT`` bytes the
 same merges come from a heap of pairs over linked parts: n log n for any length.
 
-A worker keeps the pieces of words it has met in two generations of up to ``CACHE``
+A task keeps the pieces of words it has met in two generations of up to ``CACHE``
 words each (a full one replaces the older), which saves time and changes nothing.  Texts are read whole, documents are independent rows,
 nothing is shuffled.
 
@@ -36,7 +36,7 @@ from tessera.llm.common import map_arrow, per_document, words_of
 #: Words of at most so many parts are merged by scanning.
 SHORT = 64
 #: Words whose pieces each of a worker's two generations keeps.
-CACHE = 150_000
+CACHE = 40_000
 #: Rank of a pair that is no merge; slots of the table of ranks (a power of two); ids are below _WIDE.
 NONE, SLOTS, _WIDE = 1 << 60, 1 << 20, 1 << 31
 
@@ -290,6 +290,10 @@ def encode(docs: DataFrame, tokenizer_path: str, keep_text: bool = False) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(spec.value)
+        yield from encoded(bpe, batches)
+        bpe.cache, bpe.older = {}, {}  # a worker lives on, and other operators need its memory
+
+    def encoded(bpe: Bpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, decoded, n = bpe.encode_column(b.column("text"))
             hashes = [pa.array([sha256(x.as_buffer()).hexdigest() for x in column], pa.string()) for column in (ids, decoded)]

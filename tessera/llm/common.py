@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of a record batch handed to Python; texts stay whole, so this bounds a worker's memory.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 #: Bytes of a record batch handed to Python.
 BATCH_BYTES = 16 << 20
 #: The words of most operators: runs of anything but ASCII white space.
@@ -26,7 +26,12 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # the worker lives on
+
+    return df.mapInArrow(run, schema)
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:

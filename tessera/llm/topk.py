@@ -125,9 +125,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE)
     clean = clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     rows = clean.select("vec_id", quantized(F.col("embedding"), scale).alias("v"))
     schema = "dim int, ids binary, data binary"
-    packed = map_arrow(rows, lambda it: _pack(SHARD, it), schema)
+    # as many partitions as packs: a small partition would make a small pack, and more tiles than needed
+    n_rows, n_asked = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
+    packed = map_arrow(rows.repartition(max(1, -(-n_rows // SHARD))), lambda it: _pack(SHARD, it), schema)
     shards = materialize(packed.withColumn("mark", F.monotonically_increasing_id()), "shards")
-    asked = map_arrow(rows.where(is_query), lambda it: _pack(BLOCK, it), schema)
+    asked = map_arrow(rows.where(is_query).repartition(max(1, -(-n_asked // BLOCK))), lambda it: _pack(BLOCK, it), schema)
     asked = materialize(asked.withColumn("mark", F.monotonically_increasing_id()), "queries")
     shards, asked = (_numbered(t, name) for t, name in ((shards, "shard"), (asked, "block")))
     n_shards, n_blocks = shards.count(), asked.count()

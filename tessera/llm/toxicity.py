@@ -99,7 +99,7 @@ def _types(starts: np.ndarray, codes: np.ndarray, n_words: int) -> tuple[np.ndar
 
 def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of one task (documents that hold a word, by channel): a row per channel and cell that occurs."""
-    sums = np.zeros((3, SIZE), dtype=np.int64)
+    sums: dict[int, np.ndarray] = {}
     for b in batches:
         starts, codes, words = words_of(b.column("text"))
         if not len(words):
@@ -108,10 +108,10 @@ def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, first = cells(words)
         length = np.diff(np.append(first, len(cell)))
         channel = b.column("channel").to_numpy(zero_copy_only=False)[doc]
-        for k in np.unique(channel):
+        for k in np.unique(channel).tolist():
             times = np.bincount(code[channel == k], minlength=len(words))
-            np.add.at(sums[k], cell, np.repeat(times, length))
-    for k in range(3):
+            np.add.at(sums.setdefault(k, np.zeros(SIZE, dtype=np.int64)), cell, np.repeat(times, length))
+    for k in sorted(sums):
         at = np.flatnonzero(sums[k])
         for i in range(0, len(at), 1 << 16):
             part = at[i : i + (1 << 16)]
