@@ -68,7 +68,7 @@ def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     h = hashes[codes] if len(codes) else np.zeros(0, dtype=np.uint64)
     rolled = np.zeros(len(h), dtype=np.uint64)
     for k in range(SHINGLE):
-        rolled[: len(h) - k] += h[k:] * _PLACE[k]
+        rolled[: max(len(h) - k, 0)] += h[k:] * _PLACE[k]
     rolled = _mix(rolled)
     out = []
     for a, b in zip(starts[:-1], starts[1:]):
