@@ -132,13 +132,13 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cuts = every.join(gone, on, "left").select(
         "d", "h", F.size("line").cast("long").alias("n_lines"), F.transform("gone", lambda p: F.get("line", p)).alias("cut")
     )
-    cuts = materialize(cuts, "cuts")
+    cuts = materialize(cuts.toDF("__d", "__h", "__n", "__cut"), "cuts")
     own = docs.withColumn("__hash", F.xxhash64("text"))
-    own = own.join(cuts, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("__hash")), "left")
-    own = own.withColumn("__lines", F.when(F.size("cut") > 0, F.split("text", "\n", -1)))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("cut"))
+    own = own.join(cuts, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__h") == F.col("__hash")), "left")
+    own = own.withColumn("__lines", F.when(F.size("__cut") > 0, F.split("text", "\n", -1)))
+    keep = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__cut"))
     text = F.array_join(F.transform(keep, lambda i: F.get("__lines", i)), "\n")
     # a document without any line left has no use for its blank ones
-    text = F.when(F.size("cut") == F.col("n_lines"), F.lit("")).when(F.size("cut") > 0, text).otherwise(F.col("text"))
-    counts = [F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("cut"), F.lit(0)), F.lit(0)).cast("long").alias("n_deleted")]
+    text = F.when(F.size("__cut") == F.col("__n"), F.lit("")).when(F.size("__cut") > 0, text).otherwise(F.col("text"))
+    counts = [F.coalesce("__n", F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("__cut"), F.lit(0)), F.lit(0)).cast("long").alias("n_deleted")]
     return own.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], *counts)

@@ -165,9 +165,9 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     spans = per_pass.groupBy("doc_id", "text_hash", "place", "size", "pass").agg(
         F.sum(F.col("to") - F.col("from")).alias("own"), F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans")
     )
-    spans = spans.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "size", "own", "spans")
+    spans = spans.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), F.col("own").alias("__own"), F.col("spans").alias("__spans"))
     once = docs.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
-    rows = once.join(spans, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("__hash") == F.col("h"))).withColumn("__words", words(F.col("text")))
-    cut = F.flatten(F.transform("spans", lambda s: F.slice("__words", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int"))))
-    text = F.when(F.size("__words") == F.col("own"), F.col("text")).otherwise(F.array_join(cut, " "))
+    rows = once.join(spans, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__h"))).withColumn("__words", words(F.col("text")))
+    cut = F.flatten(F.transform("__spans", lambda s: F.slice("__words", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int"))))
+    text = F.when(F.size("__words") == F.col("__own"), F.col("text")).otherwise(F.array_join(cut, " "))
     return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
