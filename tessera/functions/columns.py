@@ -67,9 +67,9 @@ def bool_bucket(c: ColumnOrName) -> Column:
     """True / False / Missing / Other class of a raw boolean-like value."""
     s = F.lower(F.trim(col(c).cast("string")))
     return (
-        F.when(col(c).isNull(), "Missing")
-        .when(s == "true", "True")
-        .when(s == "false", "False")
+        F.when(col(c).isNull() | (s == ""), "Missing")
+        .when(s.isin("true", "1", "yes", "y"), "True")
+        .when(s.isin("false", "0", "no", "n"), "False")
         .otherwise("Other")
     )
 
@@ -92,7 +92,7 @@ def last_token(c: ColumnOrName) -> Column:
     return F.when(F.trim(col(c)) == "", F.lit(None).cast("string")).otherwise(F.element_at(tokens, -1))
 
 
-def last_token_lower(c: ColumnOrName, default: str = "No_Name") -> Column:
+def last_token_lower(c: ColumnOrName, default: str = "no_name") -> Column:
     """Lower-cased last token with a default for null."""
     return F.coalesce(F.lower(last_token(c)), F.lit(default))
 

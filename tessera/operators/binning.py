@@ -37,7 +37,7 @@ def fit_quantile_edges(
     edges equal to the minimum or maximum vanish (outer edges are infinite).
     One row, or one row per ``fit_fold`` (rows outside the fold, copied to
     every fold they train).  Quantiles come from global positions
-    (:func:`profile.position_quantiles`), the distinct count from a two-phase
+    (:func:`profile.exact_quantiles`), the distinct count from a two-phase
     distinct aggregate: no single task ever holds all values.
     """
     from tessera.operators.profile import exact_quantiles

@@ -34,24 +34,14 @@ def lookup(
     how: str = "left",
     null_safe: bool = False,
     bound: int | None = None,
-    check_size: bool = False,
 ) -> DataFrame:
     """Join ``stats`` (one row per key) onto ``df``.
 
     ``null_safe`` matches null keys to null keys (a null level is a level).
     ``bound`` is the caller's proven upper bound on ``stats`` rows; when it
     is given and small the side is broadcast, otherwise AQE decides.
-    ``check_size`` measures the statistics table first (it is cached, then
-    counted: a small job over an aggregate) and broadcasts it only when it
-    has at most ``BROADCAST_ROW_BOUND`` rows; beyond that it stays a shuffle
-    join, which AQE can split when a key is skewed.  This avoids shuffling
-    the large side for a join that AQE would only turn into a broadcast
-    after both sides were already exchanged.
     """
     keys = list(keys)
-    if bound is None and check_size:
-        stats = stats.cache()
-        bound = stats.count()
     right = F.broadcast(stats) if bound is not None and bound <= BROADCAST_ROW_BOUND else stats
     if not null_safe:
         return df.join(right, keys, how)
@@ -135,9 +125,9 @@ def ordered_index(
     if count_name:
         offsets = offsets.withColumn(count_name, F.sum("__c").over(Window.partitionBy(*by)))
     keep = ["__pid", *by, "__off", "__first"] + ([count_name] if count_name else [])
-    # (range, group) offsets: about ranges + groups rows; broadcast unless the groups are many
-    out = lookup(s, offsets.select(*keep), ["__pid", *by], how="inner", null_safe=True,
-                 bound=None if many_groups else BROADCAST_ROW_BOUND)
+    # (range, group) offsets: about ranges + groups rows; broadcast only after counting them
+    offsets = offsets.select(*keep)
+    out = lookup(s, offsets, ["__pid", *by], how="inner", null_safe=True, bound=None if many_groups else offsets.count())
     out = out.withColumn(name, (F.col("__off") + F.col("__loc") - F.col("__first") + 1).cast("bigint"))
     return out.drop("__mid", "__pid", "__loc", "__off", "__first")
 
@@ -230,7 +220,6 @@ def running_totals(
     tot = s.groupBy("__pid", *by).agg(*[F.sum(c).alias(f"__t_{c}") for c in columns])
     w_prev = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(w_prev), F.lit(0)).alias(f"__o_{c}") for c in columns])
-    out = lookup(s, offs, ["__pid", *by], how="inner", null_safe=True,
-                 bound=None if many_groups else BROADCAST_ROW_BOUND)
+    out = lookup(s, offs, ["__pid", *by], how="inner", null_safe=True, bound=None if many_groups else offs.count())
     out = out.withColumns({f"{prefix}{c}": F.col(f"__r_{c}") + F.col(f"__o_{c}") for c in columns})
     return out.drop("__pid", *[f"__{k}_{c}" for c in columns for k in ("r", "o")])

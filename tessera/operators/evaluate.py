@@ -110,8 +110,11 @@ def threshold_scan(
     sums over at most (hi - lo + 2) buckets per key give every threshold.
     """
     y = _y(label)
-    b = F.least(F.greatest(F.floor(F.col(score) * scale), F.lit(lo - 1)), F.lit(hi)).cast("int")
-    per = df.groupBy(*by, b.alias("b")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    # the product may round to the wrong side of a threshold, so the bucket is settled by the thresholds themselves
+    b = F.floor(F.col(score) * scale)
+    b = F.when(F.col(score) >= (b + 1) / F.lit(float(scale)), b + 1).when(F.col(score) < b / F.lit(float(scale)), b - 1).otherwise(b)
+    b = F.least(F.greatest(b, F.lit(lo - 1)), F.lit(hi)).cast("int")
+    per = df.where(F.col(score).isNotNull()).groupBy(*by, b.alias("b")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
     grid = per.select(*by).distinct().withColumn("b", F.explode(F.sequence(F.lit(lo - 1), F.lit(hi))))
     full = grid.join(per, [*by, "b"], "left").fillna(0.0, subset=["pos", "neg"])
     w_rev = Window.partitionBy(*by).orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -96,16 +96,16 @@ def power_features(df: DataFrame, column: str) -> DataFrame:
     })
 
 
-def ratio_features(df: DataFrame, amounts: Sequence[str], luxury: Sequence[str], basic: Sequence[str], age: str, size: str) -> DataFrame:
+def ratio_features(df: DataFrame, amounts: Sequence[str], luxury: Sequence[str], basic: Sequence[str], age: str, size: str, flag: str) -> DataFrame:
     """Per-age and per-member spend, luxury minus basic, luxury/basic, anomaly flag."""
     total = C.row_sum(amounts)
     lux, bas = C.row_sum(luxury), C.row_sum(basic)
     return df.withColumns({
         "spend_per_age": C.safe_ratio(total, F.col(age) + 1.0),
-        "spend_per_member": C.safe_ratio(total, F.col(size)),
+        "spend_per_member": C.safe_ratio(total, F.greatest(F.col(size), F.lit(1))),
         "lux_minus_basic": lux - bas,
         "lux_to_basic": C.safe_ratio(lux, bas + 1.0),
-        "young_spender": ((F.col(age) < 13) & (total > 0)).cast("int"),
+        "flag_spender": (F.coalesce(F.col(flag) == "True", F.lit(False)) & (total > 0)).cast("int"),
     })
 
 
@@ -126,8 +126,9 @@ def rule_features(df: DataFrame, amounts: Sequence[str], flag: str) -> DataFrame
         "strict_zero": (known & (known_total == 0)).cast("int"),
         "flag_conflict": (flag_true & has_pos).cast("int"),
         "missing_amounts": C.row_count_null(amounts),
-        "flag_x_total": flag_true.cast("int") * known_total,
-        "flag_x_missing": flag_true.cast("int") * C.row_count_null(amounts),
+        "flag_x_zero": (flag_true & (known_total == 0)).cast("int"),
+        "flag_x_strict_zero": (flag_true & known & (known_total == 0)).cast("int"),
+        "flag_x_spend_count": flag_true.cast("int") * C.row_count_positive(amounts),
     })
 
 
@@ -181,7 +182,7 @@ def structure_flags(df: DataFrame, size: str, member: str) -> DataFrame:
         "is_solo": (F.col(size) == 1).cast("int"),
         "is_multi": (F.col(size) > 1).cast("int"),
         "is_leader": (F.col(member) == 1).cast("int"),
-        "member_ratio": C.safe_ratio(member, size),
+        "member_ratio": C.safe_ratio(F.greatest(F.col(member), F.lit(0)), F.greatest(F.col(size), F.lit(1))),
         "is_first": (F.col(member) == 1).cast("int"),
         "is_last": (F.col(member) == F.col(size)).cast("int"),
     })

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.core import attach_row, lookup, ordered_index
+from tessera.operators.core import attach_row, lookup, ordered_index, running_totals
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,7 +67,8 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
     """
     x = F.col(column)
     rng = df.groupBy(*by).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
-    j = df.filter(x.isNotNull()).join(F.broadcast(rng), list(by)) if by else attach_row(df.filter(x.isNotNull()), rng)
+    # a null key is a key
+    j = lookup(df.filter(x.isNotNull()), rng, list(by), null_safe=True) if by else attach_row(df.filter(x.isNotNull()), rng)
     width = (F.col("__hi") - F.col("__lo")) / F.lit(bins)
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((x - F.col("__lo")) / width), F.lit(bins - 1))
@@ -182,89 +183,39 @@ def sum_column(cs: Sequence[Column]) -> Column:
     return out
 
 
-def position_quantiles(
+def exact_quantiles(
     df: DataFrame, values: Sequence[str | tuple[str, Column]], qs: Sequence[float], by: Sequence[str] = (),
     many_groups: bool = False,
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles from global positions (scales with no single-task group).
-
-    ``values`` are column names or (name, expression) pairs; all are unpivoted
-    into one long table and numbered once with :func:`core.ordered_index`
-    inside (by, variable), so a group holding a third of the rows is spread
-    over many range partitions.  For n non-null values and quantile q, with
-    h = (n - 1) q: x[floor h] + (h - floor h) (x[ceil h] - x[floor h]), as
-    numpy's default and DuckDB's ``quantile_cont``.  Returns one row per
-    (by, variable) with columns ``q0, q1, ...`` in the order of ``qs``.
-    A null group key is a group; nulls in the values are ignored.
+    """Exact linear-interpolation quantiles, by one plan for every size.
+
+    ``values`` are column names or (name, expression) pairs, unpivoted into one
+    long table.  Rows first collapse to counts per (by, variable, value), so a
+    value that many rows share is one row; running counts over the values
+    (range partitioned, :func:`core.running_totals`) then say which value
+    stands at a position, and no task holds a group.  For n non-null values
+    and quantile q, with h = (n - 1) q: x[floor h] + (h - floor h) (x[ceil h] -
+    x[floor h]), as numpy's default and DuckDB's ``quantile_cont``.  Returns one
+    row per (by, variable) with columns ``q0, q1, ...`` in the order of ``qs``.  A
+    null group key is a group; nulls in the values are ignored.
     """
     exprs = [(v, F.col(v)) if isinstance(v, str) else v for v in values]
+    keys = [*by, "__var"]
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(n).alias("__var"), e.cast("double").alias("__x")) for n, e in exprs
     ])).alias("__s")).select(*by, "__s.__var", "__s.__x").filter(F.col("__x").isNotNull())
-    keys = [*by, "__var"]
-    idx = ordered_index(long, ["__x"], by=keys, name="__pos", count_name="__n", many_groups=many_groups)
-    h = [(F.col("__n") - 1) * F.lit(float(q)) for q in qs]
-    lo = [F.floor(x) + 1 for x in h]
-    hi = [F.ceil(x) + 1 for x in h]
-    hit = None
-    for a, b in zip(lo, hi):
-        c = (F.col("__pos") == a) | (F.col("__pos") == b)
-        hit = c if hit is None else hit | c
-    picked = idx.filter(hit)
-    aggs = []
-    for i, (a, b) in enumerate(zip(lo, hi)):
-        aggs += [F.max(F.when(F.col("__pos") == a, F.col("__x"))).alias(f"__lo{i}"),
-                 F.max(F.when(F.col("__pos") == b, F.col("__x"))).alias(f"__hi{i}")]
-    g = picked.groupBy(*keys, "__n").agg(*aggs)
-    outs = []
-    for i, q in enumerate(qs):
-        hh = (F.col("__n") - 1) * F.lit(float(q))
-        outs.append((F.col(f"__lo{i}") + (hh - F.floor(hh)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
-    return g.select(*by, F.col("__var").alias("variable"), F.col("__n").alias("n"), *outs)
+    counts = long.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__t"))
+    run = running_totals(counts, ["__x"], keys, ["__t"], many_groups=many_groups)
+    sizes = run.groupBy(*keys).agg(F.sum("__t").alias("__n"))
+    run = lookup(run, sizes, keys, how="inner", null_safe=True)
 
+    def at(position: Column) -> Column:
+        here = (F.col("cum___t") - F.col("__t") < position) & (position <= F.col("cum___t"))
+        return F.max(F.when(here, F.col("__x")))
 
-# Largest group whose values one task may hold for an in-task exact percentile (above it the
-# position plan is both bounded and, with Spark's boxed percentile maps, faster).
-MAX_VALUES_IN_TASK = 50_000
-
-
-def exact_quantiles(
-    df: DataFrame, values: Sequence[str | tuple[str, Column]], qs: Sequence[float], by: Sequence[str] = (),
-    many_groups: bool = False, max_in_task: int | None = None,
-) -> DataFrame:
-    """Exact quantiles with the same output as :func:`position_quantiles`, choosing the plan by group size.
-
-    One small aggregate measures the largest group (rows per ``by`` key).
-    Groups up to ``max_in_task`` rows use Spark's exact ``percentile``
-    aggregate (its per-group value map is then bounded); rows of larger groups
-    -- a hot key, or a global quantile over a big table -- go through the
-    position plan, which spreads one group over many range partitions.
-    """
-    limit = MAX_VALUES_IN_TASK if max_in_task is None else max_in_task
-    by = list(by)
-    exprs = [(v, F.col(v)) if isinstance(v, str) else v for v in values]
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    largest = sizes.agg(F.max("__rows").alias("m")).first()["m"] or 0
-    arr = F.array(*[F.lit(float(q)) for q in qs])
-
-    def in_task(src: DataFrame) -> DataFrame:
-        agg = src.groupBy(*by).agg(*[
-            F.struct(F.lit(n).alias("variable"), F.count(e).alias("n"), F.percentile(e.cast("double"), arr).alias("q")).alias(f"__v{i}")
-            for i, (n, e) in enumerate(exprs)
-        ])
-        long = agg.select(*by, F.explode(F.array(*[F.col(f"__v{i}") for i in range(len(exprs))])).alias("__s"))
-        long = long.filter(F.col("__s.n") > 0)
-        return long.select(*by, "__s.variable", "__s.n", *[F.get("__s.q", i).alias(f"q{i}") for i in range(len(qs))])
-
-    if largest <= limit:
-        return in_task(df)
-    if not by:
-        return position_quantiles(df, values, qs, by, many_groups)
-    hot = sizes.filter(F.col("__rows") > limit).select(*by, F.lit(True).alias("__hot"))  # at most rows / limit keys
-    tagged = lookup(df, hot, by, null_safe=True, bound=BOUND_HOT)
-    cold = in_task(tagged.filter(F.col("__hot").isNull()).drop("__hot"))
-    warm = position_quantiles(tagged.filter(F.col("__hot")).drop("__hot"), values, qs, by, many_groups)
-    return cold.unionByName(warm)
-
-
-BOUND_HOT = 10_000
+    aggs, outs = [], []
+    for i, q in enumerate(qs):
+        h = (F.col("__n") - 1) * F.lit(float(q))
+        aggs += [at(F.floor(h) + 1).alias(f"__lo{i}"), at(F.ceil(h) + 1).alias(f"__hi{i}")]
+        outs.append((F.col(f"__lo{i}") + (h - F.floor(h)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
+    return run.groupBy(*keys, "__n").agg(*aggs).select(*by, F.col("__var").alias("variable"), F.col("__n").alias("n"), *outs)

@@ -78,8 +78,8 @@ def b_bool_strict(spark, sf_dir):
 
 
 _BUCKET_SQL = (
-    "CASE WHEN {c} IS NULL THEN 'Missing' WHEN lower(trim({c})) = 'true' THEN 'True' "
-    "WHEN lower(trim({c})) = 'false' THEN 'False' ELSE 'Other' END"
+    "CASE WHEN {c} IS NULL OR trim({c}) = '' THEN 'Missing' WHEN lower(trim({c})) IN ('true', '1', 'yes', 'y') THEN 'True' "
+    "WHEN lower(trim({c})) IN ('false', '0', 'no', 'n') THEN 'False' ELSE 'Other' END"
 )
 
 
@@ -258,7 +258,7 @@ def c_last_token(spark, sf_dir):
 
 @register(
     "c_last_token_lower", "C5",
-    sql=f"SELECT id, coalesce(lower({sql_last_token('name')}), 'No_Name') AS surname FROM w",
+    sql=f"SELECT id, coalesce(lower({sql_last_token('name')}), 'no_name') AS surname FROM w",
 )
 def c_last_token_lower(spark, sf_dir):
     return wide(spark, sf_dir).select("id", C.last_token_lower("name").alias("surname"))

@@ -235,15 +235,15 @@ def j_power_apply(spark, sf_dir):
     r AS (SELECT *, coalesce(a4, 0.0) + coalesce(a5, 0.0) AS lux, coalesce(a1, 0.0) + coalesce(a2, 0.0) + coalesce(a3, 0.0) AS bas FROM g)
     SELECT id, round(coalesce(total / nullif(age + 1.0, 0.0), 0.0), 6) AS spend_per_age, round(coalesce(total / gs, 0.0), 6) AS spend_per_member,
            round(lux - bas, 6) AS lux_minus_basic, round(coalesce(lux / nullif(bas + 1.0, 0.0), 0.0), 6) AS lux_to_basic,
-           CAST(age < 13 AND total > 0 AS INTEGER) AS young_spender
+           CAST(coalesce(flag = 'True', false) AND total > 0 AS INTEGER) AS flag_spender
     FROM r"""),
 )
 def j_ratios(spark, sf_dir):
     """Spend per age and per group member, luxury minus / over basic, anomaly flag."""
     w = keyed(wide(spark, sf_dir))
     w = FE.group_transform(w, ["group_id"], {"group_size": F.count(F.lit(1))})
-    out = FE.ratio_features(w, A, ["a4", "a5"], ["a1", "a2", "a3"], "age", "group_size")
-    return rounded(out.select("id", "spend_per_age", "spend_per_member", "lux_minus_basic", "lux_to_basic", "young_spender"))
+    out = FE.ratio_features(w, A, ["a4", "a5"], ["a1", "a2", "a3"], "age", "group_size", "flag")
+    return rounded(out.select("id", "spend_per_age", "spend_per_member", "lux_minus_basic", "lux_to_basic", "flag_spender"))
 
 
 _RULE_SQL = {
@@ -253,8 +253,10 @@ _RULE_SQL = {
     "strict_zero": "CAST(" + " AND ".join(f"{a} IS NOT NULL" for a in A) + " AND (" + " + ".join(f"coalesce({a}, 0.0)" for a in A) + ") = 0 AS INTEGER)",
     "flag_conflict": "CAST(coalesce(flag = 'True', false) AND (" + " OR ".join(f"coalesce({a} > 0, false)" for a in A) + ") AS INTEGER)",
     "missing_amounts": " + ".join(f"CAST({a} IS NULL AS INTEGER)" for a in A),
-    "flag_x_total": "round(CAST(coalesce(flag = 'True', false) AS INTEGER) * (" + " + ".join(f"coalesce({a}, 0.0)" for a in A) + "), 6)",
-    "flag_x_missing": "CAST(coalesce(flag = 'True', false) AS INTEGER) * (" + " + ".join(f"CAST({a} IS NULL AS INTEGER)" for a in A) + ")",
+    "flag_x_zero": "CAST(coalesce(flag = 'True', false) AND (" + " + ".join(f"coalesce({a}, 0.0)" for a in A) + ") = 0 AS INTEGER)",
+    "flag_x_strict_zero": "CAST(coalesce(flag = 'True', false) AND " + " AND ".join(f"{a} IS NOT NULL" for a in A)
+                          + " AND (" + " + ".join(f"coalesce({a}, 0.0)" for a in A) + ") = 0 AS INTEGER)",
+    "flag_x_spend_count": "CAST(coalesce(flag = 'True', false) AS INTEGER) * (" + " + ".join(f"CAST(coalesce({a} > 0, false) AS INTEGER)" for a in A) + ")",
 }
 
 

@@ -114,13 +114,9 @@ def m_confusion(spark, sf_dir):
 
 
 _SCAN_SQL = """
-    b AS (SELECT family, CAST(least(greatest(floor(p * 100), 29), 70) AS INTEGER) AS b, y FROM p WHERE split = 'train'),
-    per AS (SELECT family, b, sum(y) AS pos, sum(1 - y) AS neg FROM b GROUP BY family, b),
-    grid AS (SELECT DISTINCT family, unnest(range(29, 71)) AS b FROM per),
-    full_ AS (SELECT grid.family, grid.b, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg FROM grid LEFT JOIN per USING (family, b)),
-    t AS (SELECT family, b, sum(pos) OVER (PARTITION BY family ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS tp,
-                 sum(neg) OVER (PARTITION BY family ORDER BY b DESC ROWS UNBOUNDED PRECEDING) AS fp,
-                 sum(pos) OVER (PARTITION BY family) AS P, sum(neg) OVER (PARTITION BY family) AS N FROM full_),
+    t AS (SELECT family, b, sum(CASE WHEN p >= b / 100.0::DOUBLE THEN y ELSE 0 END) AS tp,
+                 sum(CASE WHEN p >= b / 100.0::DOUBLE THEN 1 - y ELSE 0 END) AS fp, sum(y) AS P, sum(1 - y) AS N
+          FROM p, range(30, 71) g(b) WHERE split = 'train' GROUP BY family, b),
     scan AS (SELECT family, b / 100.0 AS threshold, (tp + N - fp) / (P + N) AS accuracy,
                     coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision, coalesce(tp / nullif(P, 0), 0.0) AS recall
              FROM t WHERE b >= 30)"""

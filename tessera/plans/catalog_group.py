@@ -123,14 +123,14 @@ def g_mean_gap(spark, sf_dir):
 
 @register(
     "g_surname_group_size", "G7",
-    sql=with_wk("""SELECT id, CAST(CASE WHEN surname IS NULL THEN NULL ELSE count(*) OVER (PARTITION BY group_id, surname) END
+    sql=with_wk("""SELECT id, CAST(count(*) OVER (PARTITION BY group_id, coalesce(surname, 'Unknown'))
                    AS BIGINT) AS group_surname_size FROM wk"""),
 )
 def g_surname_group_size(spark, sf_dir):
-    """Rows sharing group and surname (null surname -> null)."""
-    w = keyed(wide(spark, sf_dir))
+    """Rows sharing group and surname (a null surname is the level Unknown)."""
+    w = keyed(wide(spark, sf_dir)).withColumn("surname", F.coalesce("surname", F.lit("Unknown")))
     out = FE.group_transform(w, ["group_id", "surname"], {"group_surname_size": F.count(F.lit(1))})
-    return out.select("id", F.when(F.col("surname").isNotNull(), F.col("group_surname_size")).alias("group_surname_size"))
+    return out.select("id", "group_surname_size")
 
 
 @register(

@@ -62,15 +62,20 @@ def test_rank01_stable(spark):
     assert got == {"c": 0.0, "a": 0.5, "b": 1.0}
 
 
-def test_exact_quantiles_hot_group_path_matches_percentile(spark):
-    rows = [("hot", float(i % 17) + i / 1000.0) for i in range(200)] + [("cold", 1.0), ("cold", 4.0), (None, 2.0), (None, None)]
+def test_exact_quantiles_match_percentile_with_hot_values(spark):
+    rows = [("hot", 0.0 if i % 10 else float(i % 17) + i / 1000.0) for i in range(400)] + [("cold", 1.0), ("cold", 4.0), (None, 2.0), (None, None)]
     df = spark.createDataFrame(rows, "k string, x double")
-    want = {r.k: (r.p[0], r.p[1]) for r in df.groupBy("k").agg(F.percentile("x", F.array(F.lit(0.5), F.lit(0.3))).alias("p")).collect()
+    want = {r.k: (r.p[0], r.p[1]) for r in df.groupBy("k").agg(F.percentile("x", F.array(F.lit(0.5), F.lit(0.97))).alias("p")).collect()
             if r.p is not None}
-    for limit in (None, 3):  # default: in-task percentile; 3: the hot group takes the position plan
-        got = {r.k: (r.q0, r.q1) for r in PR.exact_quantiles(df, ["x"], [0.5, 0.3], by=["k"], max_in_task=limit).collect()}
-        assert set(got) == set(want)
-        for k in want:
-            assert abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9
-    glob = PR.exact_quantiles(df, ["x"], [0.5], max_in_task=3).first()
+    got = {r.k: (r.q0, r.q1, r.n) for r in PR.exact_quantiles(df, ["x"], [0.5, 0.97], by=["k"]).collect()}
+    assert set(got) == set(want) and got["hot"][2] == 400
+    for k in want:
+        assert abs(got[k][0] - want[k][0]) < 1e-9 and abs(got[k][1] - want[k][1]) < 1e-9
+    glob = PR.exact_quantiles(df, ["x"], [0.5]).first()
     assert abs(glob.q0 - df.agg(F.median("x")).first()[0]) < 1e-9
+
+
+def test_histogram_counts_rows_of_a_null_key(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, x double")
+    got = PR.histogram(df, "x", 2, by=["k"]).collect()
+    assert sum(r.n for r in got) == 3 and sum(r.n for r in got if r.k is None) == 2

@@ -50,3 +50,11 @@ def test_metrics_undefined_are_zero(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 0)], "p double, y int")
     m = EV.binary_metrics(df, "p", "y", 0.5).first()
     assert m["precision"] == 0.0 and m["recall"] == 0.0 and m["f1"] == 0.0 and m["accuracy"] == 1.0
+
+
+def test_threshold_scan_counts_scores_on_the_grid(spark):
+    df = spark.createDataFrame([(i / 100.0, i % 2) for i in range(30, 71)] + [(None, 1)], "p double, y int")
+    for r in EV.threshold_scan(df, "p", "y", 30, 70, 100).collect():
+        rows = [(i / 100.0, i % 2) for i in range(30, 71)]
+        right = sum((p >= r.threshold) == bool(y) for p, y in rows)
+        assert abs(r.accuracy - right / len(rows)) < 1e-12, r.threshold
