@@ -147,7 +147,7 @@ def materialize(df: DataFrame, name: str = "frame") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     MATERIALIZED.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # the schema is known: no job that reads it from the files
 
 
 # Tables written by :func:`materialize` in this process (scratch, removable after the job).
