@@ -199,16 +199,19 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
 
 
-def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = MAX_FEATURES) -> DataFrame:
+def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = MAX_FEATURES, fit_on: Column | None = None) -> DataFrame:
     """(id, term, weight) with raw term counts, smooth idf ln((1+n)/(1+df)) + 1 and L2 row norm.
 
     The vocabulary is the ``max_features`` terms with the highest corpus
     count (ties by term): a take-ordered limit, so it is bounded by the
-    parameter and broadcast.  Documents are tokenised whole.
+    parameter and broadcast.  Documents are tokenised whole.  Vocabulary and idf
+    come from the ``fit_on`` rows (all, if None); every row is transformed.
     """
-    tf = df.select(id_col, F.explode(tokens(F.col(text))).alias("term")).groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = df.agg(F.count(F.lit(1)).alias("__nd"))
-    stats = tf.groupBy("term").agg(F.sum("tf").alias("__tot"), F.count(F.lit(1)).alias("__df"))
+    fit = F.lit(True) if fit_on is None else fit_on
+    src = df.select(id_col, fit.alias("__fit"), F.explode(tokens(F.col(text))).alias("term"))
+    tf = src.groupBy(id_col, "__fit", "term").agg(F.count(F.lit(1)).alias("tf"))
+    n_docs = df.filter(fit).agg(F.count(F.lit(1)).alias("__nd"))
+    stats = tf.filter("__fit").groupBy("term").agg(F.sum("tf").alias("__tot"), F.count(F.lit(1)).alias("__df"))
     vocab = stats.orderBy(F.desc("__tot"), "term").limit(max_features)
     vocab = attach_row(vocab, n_docs).select(
         "term", (F.log((1 + F.col("__nd")) / (1 + F.col("__df"))) + 1).alias("__idf")
@@ -218,38 +221,32 @@ def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = MAX_FEATURE
     return v.join(norm, id_col).select(id_col, "term", (F.col("__w") / F.col("__norm")).alias("weight"))
 
 
-def tfidf_svd(weights: DataFrame, id_col: str, k: int = 5, seed: int = 42) -> DataFrame:
-    """Truncated SVD of the TF-IDF matrix (k components), rows projected onto V.
+def tfidf_svd(weights: DataFrame, id_col: str, ids: DataFrame, k: int = 5) -> DataFrame:
+    """Truncated SVD of the TF-IDF matrix (k components), every row of ``ids`` projected onto V.
 
-    Distributed: rows become sparse vectors (bounded by the vocabulary), then
-    ``RowMatrix.computeSVD`` and a projection ``A V``.  Sign of each component
-    is normalised so the largest |loading| is positive.
+    ``RowMatrix.computeSVD`` gives the loadings, a table (term, component, loading) of at most
+    vocabulary x k rows; the projection is its join with the weights and a sum per document.
+    Documents without a vocabulary term are all zeros.  The sign of each component makes its
+    largest loading positive.
     """
-    import numpy as np
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
     vocab = weights.select("term").distinct()
     terms = vocab.withColumn("__j", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-    n_terms = terms.count()
+    names = [r["term"] for r in terms.orderBy("__j").collect()]  # the vocabulary, bounded by max_features
+    n_terms = len(names)
     k = int(min(k, max(1, n_terms - 1)))
     rows = weights.join(F.broadcast(terms), "term").groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("__j", "weight"))).alias("__e")
+        F.sort_array(F.collect_list(F.struct("__j", "weight"))).alias("__e")  # at most max_features entries
     )
-    rdd = rows.rdd.map(lambda r: (r[0], Vectors.sparse(n_terms, [e[0] for e in r[1]], [e[1] for e in r[1]])))
-    rdd = rdd.cache()
-    svd = RowMatrix(rdd.map(lambda t: t[1])).computeSVD(k, computeU=False)
-    v = np.array(svd.V.toArray(), copy=True)
-    for j in range(v.shape[1]):
-        if v[abs(v[:, j]).argmax(), j] < 0:
-            v[:, j] = -v[:, j]
-    vb = weights.sparkSession.sparkContext.broadcast(v)
-
-    def project(t):
-        vec = t[1]
-        vv = vb.value
-        return (t[0], *[float(sum(vec.values[i] * vv[vec.indices[i], c] for i in range(len(vec.indices)))) for c in range(vv.shape[1])])
-
-    schema = f"{id_col} long, " + ", ".join(f"svd_{c} double" for c in range(k))
-    out = weights.sparkSession.createDataFrame(rdd.map(project), schema)
-    return out
+    matrix = rows.rdd.map(lambda r: Vectors.sparse(n_terms, [(e[0], e[1]) for e in r["__e"]]))
+    v = RowMatrix(matrix).computeSVD(k, computeU=False).V.toArray()
+    table = []
+    for c in range(v.shape[1]):
+        sign = -1.0 if v[abs(v[:, c]).argmax(), c] < 0 else 1.0
+        table += [(names[j], c, float(sign * v[j, c])) for j in range(n_terms)]
+    loadings = weights.sparkSession.createDataFrame(table, "term string, component int, loading double")
+    parts = [F.sum(F.when(F.col("component") == c, F.col("weight") * F.col("loading"))).alias(f"svd_{c}") for c in range(k)]
+    found = weights.join(F.broadcast(loadings), "term").groupBy(id_col).agg(*parts)
+    return ids.select(id_col).join(found, id_col, "left").fillna(0.0, subset=[f"svd_{c}" for c in range(k)])

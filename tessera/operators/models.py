@@ -9,7 +9,7 @@ bagging, blending and evaluation are aggregates, never positional joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.core import attach_row
@@ -104,6 +104,24 @@ def bag(scores: DataFrame, keys: Sequence[str] = ("id",)) -> DataFrame:
     return scores.groupBy(*keys).agg((F.sum("p") / F.count("p")).alias("p"), F.count("p").alias("members"))
 
 
-def final_iterations(best: DataFrame, cap: int, floor: int = 50) -> DataFrame:
-    """Trees for the final fit = max(floor, min(round(mean fold best), cap))."""
-    return best.agg(F.greatest(F.lit(floor), F.least(F.round(F.avg("best_iter")), F.lit(cap))).cast("int").alias("final_iterations"))
+def final_iterations(best: DataFrame, cap: int | None, default: int, floor: int = 50) -> DataFrame:
+    """Trees for the final fit: max(floor, min(mean fold best rounded half to even, cap)).
+
+    Fold bests below 1 or null do not count; without any, the cap stands in, and without a cap ``default``.
+    """
+    mean = F.bround(F.avg(F.when(F.col("best_iter") >= 1, F.col("best_iter"))), 0).cast("int")
+    top = F.lit(cap).cast("int")
+    taken = F.coalesce(mean, top, F.lit(default))
+    source = F.when(mean.isNotNull(), "valid_fold_mean").when(top.isNotNull(), "tuned_iterations_fallback").otherwise("default_config_fallback")
+    return best.agg(F.greatest(F.lit(floor), F.least(taken, top)).alias("final_iterations"), source.alias("source"),
+                    F.count_if(F.col("best_iter") >= 1).alias("valid_folds"))
+
+
+def importance_table(importances: DataFrame) -> DataFrame:
+    """Mean importance over members (``model, feature, importance, original_order``), divided by each model's
+    largest mean; rank by mean, then original order.  A row per model and feature."""
+    t = importances.groupBy("model", "feature").agg(
+        F.avg("importance").alias("importance"), F.min("original_order").alias("original_order"), F.count(F.lit(1)).alias("members"))
+    own = Window.partitionBy("model")
+    t = t.withColumn("normalised", F.try_divide(F.col("importance"), F.max("importance").over(own)))
+    return t.withColumn("rank", F.row_number().over(own.orderBy(F.desc("importance"), "original_order")))

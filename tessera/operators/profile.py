@@ -166,14 +166,23 @@ def category_counts(df: DataFrame, column: str, missing: str = "Missing") -> Dat
 
 
 def schema_summary(train: DataFrame, test: DataFrame) -> DataFrame:
-    """Columns and types of two frames; shared / train-only / test-only."""
-    spark = train.sparkSession
+    """Per column of two frames: type, missing and distinct counts of each; shared, train-only or test-only.
+
+    The counts are one row per column from an unpivot and two-level aggregates, so no column's values meet in one task.
+    """
     tr, te = dict(train.dtypes), dict(test.dtypes)
     names = list(dict.fromkeys([*tr, *te]))
     rows = [(c, tr.get(c), te.get(c), c in tr and c in te, c in tr and c not in te, c in te and c not in tr) for c in names]
-    return spark.createDataFrame(
+    out = train.sparkSession.createDataFrame(
         rows, "column_name string, train_type string, test_type string, shared boolean, train_only boolean, test_only boolean"
     )
+    for name, df in (("train", train), ("test", test)):
+        long = df.select([F.col(c).cast("string").alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "v")
+        values = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+        counts = values.groupBy("column_name").agg(
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias(f"{name}_missing"), F.count("v").alias(f"{name}_unique"))
+        out = out.join(counts, "column_name", "left")
+    return out
 
 
 def sum_column(cs: Sequence[Column]) -> Column:

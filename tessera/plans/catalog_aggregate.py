@@ -137,11 +137,24 @@ def f_null_counts(spark, sf_dir):
     return rounded(PR.null_counts(wide(spark, sf_dir), _ALL))
 
 
-@register("f_schema_summary", "F9/I4")
+_SUMMARY_COLS = ["id", "member_no", *_ALL, "split"]
+
+
+@register(
+    "f_schema_summary", "F9/I4",
+    sql="WITH t AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, " + ", ".join(
+            f"CAST(count(*) FILTER (split = '{s}' AND {c} IS NULL) AS BIGINT) AS {s}_missing, "
+            f"CAST(count(DISTINCT {c}) FILTER (split = '{s}') AS BIGINT) AS {s}_unique" for s in ("train", "test")) + " FROM w"
+        for c in _SUMMARY_COLS) + """)
+    SELECT column_name, column_name <> 'y' AS shared, column_name = 'y' AS train_only, train_missing, train_unique,
+           CASE WHEN column_name <> 'y' THEN test_missing END AS test_missing, CASE WHEN column_name <> 'y' THEN test_unique END AS test_unique FROM t""",
+)
 def f_schema_summary(spark, sf_dir):
-    """Columns and types of the labelled and unlabelled parts (train has the label, test not)."""
+    """Columns of the labelled and unlabelled parts with missing and distinct counts (train has the label, test not)."""
     w = wide(spark, sf_dir)
-    return PR.schema_summary(w.filter(TRAIN()), w.filter(F.col("split") == "test").drop("y"))
+    t = PR.schema_summary(w.filter(TRAIN()), w.filter(F.col("split") == "test").drop("y"))
+    return t.select("column_name", "shared", "train_only", "train_missing", "train_unique", "test_missing", "test_unique")
 
 
 def _amount_sql(names):

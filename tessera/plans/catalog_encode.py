@@ -8,7 +8,7 @@ from tessera.functions import columns as C
 from tessera.operators import encode as EN
 from tessera.operators import features as FE
 from tessera.operators import transforms as TR
-from tessera.operators.core import attach_row, lookup
+from tessera.operators.core import attach_row, lookup, materialize
 from tessera.operators.binning import apply_quantile_bins, count_bucket, fit_quantile_edges, fixed_bins
 from tessera.plans import common_frame as CF
 from tessera.plans.common_frame_sql import age_group as age_group_sql
@@ -314,18 +314,12 @@ def j_native_index(spark, sf_dir):
 
 @register("j_dense_matrix", "J17")
 def j_dense_matrix(spark, sf_dir):
-    """Scaled numerics + dense one-hot assembled into one vector, with a null audit (raises on nulls)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    w = wide(spark, sf_dir)
-    w = TR.standard_scale(w, A, TRAIN())
-    w = w.fillna(0.0, subset=[f"{a}_std" for a in A])
+    """Scaled numerics of the imputed frame + one-hot of every fitted level in one float32 array; a null in it raises."""
+    w = TR.standard_scale(CF.build(wide(spark, sf_dir)), A, TRAIN())
     w = EN.one_hot(w, "home", fit_on=TRAIN())
-    w = w.select("id", *[f"{a}_std" for a in A], *[F.col("home_ohe")[i].alias(f"home_{i}") for i in range(5)])
-    cols = [c for c in w.columns if c != "id"]
-    vec = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error").transform(w)
-    return vec.select("id", vector_to_array("features", "float32").alias("features"))
+    dense = F.concat(F.array(*[F.col(f"{a}_std") for a in A]), F.col("home_ohe"))
+    audited = F.when(F.coalesce(F.exists(dense, F.isnull), F.lit(True)), F.raise_error(F.lit("null in the dense matrix"))).otherwise(dense)
+    return w.select("id", audited.cast("array<float>").alias("features"))
 
 
 def _te_sql(col: str, kind: str) -> str:
@@ -440,9 +434,28 @@ def j_tfidf(spark, sf_dir):
 
 @register("j_tfidf_svd", "J25")
 def j_tfidf_svd(spark, sf_dir):
-    """Truncated SVD (5 components) of the TF-IDF matrix, rows projected (distributed RowMatrix)."""
+    """Truncated SVD (5 components) of the TF-IDF matrix, every document projected (distributed RowMatrix)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return rounded(EN.tfidf_svd(materialize(EN.tfidf(docs, "doc_id", "text"), "tfidf"), "doc_id", docs, k=5))
+
+
+@register(
+    "j_tfidf_transform", "J24",
+    sql=rf"""
+    WITH t AS (SELECT doc_id, {sql_hash_bucket(5, 'doc_id')} <> 0 AS fit, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM documents),
+    tf AS (SELECT doc_id, fit, term, count(*) AS tf FROM t GROUP BY doc_id, fit, term),
+    st AS (SELECT term, sum(tf) AS tot, count(*) AS df FROM tf WHERE fit GROUP BY term),
+    nd AS (SELECT count(*) AS nd FROM documents WHERE {sql_hash_bucket(5, 'doc_id')} <> 0),
+    vocab AS (SELECT term, ln((1 + nd) / (1 + df)) + 1 AS idf FROM st, nd ORDER BY tot DESC, term LIMIT 1000),
+    v AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN vocab USING (term)),
+    nrm AS (SELECT doc_id, sqrt(sum(w * w)) AS nrm FROM v GROUP BY doc_id)
+    SELECT doc_id, term, round(w / nrm, 6) AS weight FROM v JOIN nrm USING (doc_id)""",
+    fixtures=(),
+)
+def j_tfidf_transform(spark, sf_dir):
+    """Vocabulary and idf fitted on four of five hash folds, applied to every document."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return rounded(EN.tfidf_svd(EN.tfidf(docs, "doc_id", "text"), "doc_id", k=5))
+    return rounded(EN.tfidf(docs, "doc_id", "text", fit_on=C.hash_bucket(5, "doc_id") != 0))
 
 
 _UNI = {

@@ -20,18 +20,20 @@ def _oof(spark, sf_dir):
     return predictions(spark, sf_dir).filter(F.col("split") == "train")
 
 
-_METRICS_SQL = """
-    SELECT {keys}, round((tp + tn) / n, 6) AS accuracy, round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision,
-           round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
-           round(CASE WHEN coalesce(tp / nullif(tp + fp, 0), 0.0) + coalesce(tp / nullif(tp + fn, 0), 0.0) > 0
+_ROUNDED_METRICS = ["accuracy", "precision", "recall", "f1", "logloss", "positive_rate"]
+_EXACT_METRICS_SQL = """
+    SELECT {keys}, ((tp + tn) / n) AS accuracy, (coalesce(tp / nullif(tp + fp, 0), 0.0)) AS precision,
+           (coalesce(tp / nullif(tp + fn, 0), 0.0)) AS recall,
+           (CASE WHEN coalesce(tp / nullif(tp + fp, 0), 0.0) + coalesce(tp / nullif(tp + fn, 0), 0.0) > 0
                  THEN 2 * coalesce(tp / nullif(tp + fp, 0), 0.0) * coalesce(tp / nullif(tp + fn, 0), 0.0)
-                      / (coalesce(tp / nullif(tp + fp, 0), 0.0) + coalesce(tp / nullif(tp + fn, 0), 0.0)) ELSE 0.0 END, 6) AS f1,
-           round(logloss, 6) AS logloss, round((tp + fp) / n, 6) AS positive_rate, CAST(tp + fp AS BIGINT) AS positives,
+                      / (coalesce(tp / nullif(tp + fp, 0), 0.0) + coalesce(tp / nullif(tp + fn, 0), 0.0)) ELSE 0.0 END) AS f1,
+           (logloss) AS logloss, ((tp + fp) / n) AS positive_rate, CAST(tp + fp AS BIGINT) AS positives,
            CAST(n AS BIGINT) AS n
     FROM (SELECT {keys}, count(*) AS n, sum(CAST(p >= {t} AS DOUBLE) * y) AS tp, sum(CAST(p >= {t} AS DOUBLE) * (1 - y)) AS fp,
                  sum((1 - CAST(p >= {t} AS DOUBLE)) * y) AS fn, sum((1 - CAST(p >= {t} AS DOUBLE)) * (1 - y)) AS tn,
                  avg(-(y * ln(least(greatest(p, 1e-6), 1 - 1e-6)) + (1 - y) * ln(1 - least(greatest(p, 1e-6), 1 - 1e-6)))) AS logloss
           FROM {src} GROUP BY {keys}) t"""
+_METRICS_SQL = "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in _ROUNDED_METRICS) + ") FROM (" + _EXACT_METRICS_SQL + ") e"
 
 
 @register(
@@ -102,6 +104,38 @@ def m_pr_auc(spark, sf_dir):
     return rounded(EV.pr_auc(EV.roc_pr_curve(_oof(spark, sf_dir), "p", "y", by=["family"]), by=["family"]))
 
 
+#: Threshold grids (first, last and steps per unit), besides .30-.70 by hundredths.
+GRIDS = {"thousandths": (350, 650, 1000), "wide": (10, 190, 200), "narrow": (88, 108, 200)}
+
+
+@register(
+    "m_threshold_grids", "M6",
+    sql="WITH " + _AUC_SQL.format(keys="family", src="(SELECT * FROM p WHERE split = 'train') s")
+        + ", m AS (" + _EXACT_METRICS_SQL.format(keys="family", t="0.5", src="(SELECT * FROM p WHERE split = 'train') s") + "), g AS ("
+        + " UNION ALL ".join(f"SELECT '{g}' AS grid, i / {n}.0::DOUBLE AS threshold FROM range({lo}, {hi + 1}) t(i)" for g, (lo, hi, n) in GRIDS.items())
+        + """), t AS (SELECT family, grid, threshold, sum(CASE WHEN p >= threshold THEN y ELSE 0 END) AS tp,
+                 sum(CASE WHEN p >= threshold THEN 1 - y ELSE 0 END) AS fp, sum(y) AS P, sum(1 - y) AS N
+          FROM p, g WHERE split = 'train' GROUP BY family, grid, threshold),
+    s AS (SELECT family, grid, threshold, (tp + N - fp) / (P + N) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
+                 coalesce(tp / nullif(P, 0), 0.0) AS recall FROM t)
+    SELECT s.family, grid, round(threshold, 6) AS threshold, round(s.accuracy, 6) AS accuracy, round(s.precision, 6) AS precision,
+           round(s.recall, 6) AS recall,
+           round(CASE WHEN s.precision + s.recall > 0 THEN 2 * s.precision * s.recall / (s.precision + s.recall) ELSE 0.0 END, 6) AS f1,
+           round(auc, 6) AS auc, round(logloss, 6) AS logloss
+    FROM s JOIN a ON s.family = a.family JOIN m ON s.family = m.family""",
+    fixtures=("p",),
+)
+def m_threshold_grids(spark, sf_dir):
+    """M6: every threshold of the three finer grids, with the family's AUC and log-loss."""
+    s = _oof(spark, sf_dir)
+    out = None
+    for name, (lo, hi, n) in GRIDS.items():
+        part = EV.threshold_scan(s, "p", "y", lo, hi, n, by=["family"]).withColumn("grid", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    whole = EV.auc(s, "p", "y", by=["family"]).join(EV.binary_metrics(s, "p", "y", 0.5, by=["family"]).select("family", "logloss"), "family")
+    return rounded(out.join(whole, "family"))
+
+
 @register(
     "m_confusion", "M5",
     sql="SELECT family, CAST(y AS INTEGER) AS y, CAST(p >= 0.5 AS INTEGER) AS pred, CAST(count(*) AS BIGINT) AS n "
@@ -203,14 +237,14 @@ def m_fold_metrics(spark, sf_dir):
     "f_fold_metric_stats", "F14",
     sql=f"""
     WITH s AS (SELECT *, {_FOLD} AS fold FROM p WHERE split = 'train'),
-    m AS ({_METRICS_SQL.format(keys="family, fold", t="0.5", src="s")})
+    m AS ({_EXACT_METRICS_SQL.format(keys="family, fold", t="0.5", src="s")})
     SELECT family, round(avg(accuracy), 6) AS acc_mean, round(stddev_pop(accuracy), 6) AS acc_std FROM m GROUP BY family""",
     fixtures=("p",),
 )
 def f_fold_metric_stats(spark, sf_dir):
     """mean and population std of the fold accuracies per family."""
     s = _oof(spark, sf_dir).withColumn("fold", C.hash_bucket(5, "id", seed=3))
-    m = rounded(EV.binary_metrics(s, "p", "y", 0.5, by=["family", "fold"]))
+    m = EV.binary_metrics(s, "p", "y", 0.5, by=["family", "fold"])
     return rounded(m.groupBy("family").agg(F.avg("accuracy").alias("acc_mean"), F.stddev_pop("accuracy").alias("acc_std")))
 
 
@@ -277,16 +311,16 @@ def m_calibration(spark, sf_dir):
 @register(
     "m_run_comparison", "M15",
     sql="""
-    WITH m AS (""" + _METRICS_SQL.format(keys="family, split", t="0.5", src="p") + """),
+    WITH m AS (""" + _EXACT_METRICS_SQL.format(keys="family, split", t="0.5", src="p") + """),
     l AS (SELECT family, split, 'accuracy' AS metric, accuracy AS value FROM m UNION ALL
           SELECT family, split, 'f1', f1 FROM m UNION ALL SELECT family, split, 'logloss', logloss FROM m)
-    SELECT r.family, r.metric, r.value AS reported, e.value AS rerun, round(e.value - r.value, 6) AS delta
+    SELECT r.family, r.metric, round(r.value, 6) AS reported, round(e.value, 6) AS rerun, round(e.value - r.value, 6) AS delta
     FROM l r JOIN l e ON r.family = e.family AND r.metric = e.metric AND r.split = 'train' AND e.split = 'test'""",
     fixtures=("p",),
 )
 def m_run_comparison(spark, sf_dir):
     """Two runs side by side (train vs test split metrics as reported vs rerun) with the delta."""
-    m = rounded(EV.binary_metrics(predictions(spark, sf_dir), "p", "y", 0.5, by=["family", "split"]))
+    m = EV.binary_metrics(predictions(spark, sf_dir), "p", "y", 0.5, by=["family", "split"])
     long = m.unpivot(["family", "split"], ["accuracy", "f1", "logloss"], "metric", "value")
     r = long.filter(F.col("split") == "train").select("family", "metric", F.col("value").alias("reported"))
     e = long.filter(F.col("split") == "test").select("family", "metric", F.col("value").alias("rerun"))

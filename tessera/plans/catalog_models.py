@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from tessera.functions import columns as C
 from tessera.operators import evaluate as EV
 from tessera.operators import models as MO
-from tessera.operators.core import materialize
+from tessera.operators.core import MATERIALIZED, attach_row, materialize
 from tessera.plans.registry import register
 from tessera.plans.util import rounded
 from tessera.session import ensure_checkpoint_dir
-from tessera.sources.fixtures import AMOUNTS, wide
+from tessera.sources.fixtures import AMOUNTS, predictions, wide
 
 K = 3
 NUMERIC = ["age", *AMOUNTS]
@@ -96,26 +96,25 @@ def l_gbt_cv(spark, sf_dir):
 
     oof, test_mean, models = MO.run_cv(train, make, _stages(), "fold", K, test=test, keep=("id", "y"))
     trees = spark.createDataFrame([(f, m.stages[-1].getNumTrees) for f, m in enumerate(models)], "fold int, trees int")
+    oof = materialize(oof, "oof")  # scored once for both tables
     m = EV.binary_metrics(oof, "p", "y", 0.5, by=["fold"]).join(EV.auc(oof, "p", "y", by=["fold"]), "fold")
     out = m.join(trees, "fold").select("fold", "accuracy", "auc", "logloss", "trees", "n")
     test_n = test_mean.agg(F.count(F.lit(1)).alias("test_rows"), F.avg("p").alias("test_mean_p"))
-    from tessera.operators.core import attach_row
-
     return rounded(attach_row(out, test_n))
 
 
 @register("l_iteration_rule", "L9")
 def l_iteration_rule(spark, sf_dir):
-    """Trees of the final fit from the fold best iterations: max(50, min(round(mean), cap))."""
+    """Trees of the final fit from the fold best iterations: max(50, min(mean rounded half to even, cap of 60))."""
     train, _ = _frame(spark, sf_dir)
     train = train.withColumn("is_val", C.hash_bucket(10, "id", seed=5) == 0)
     best = []
     for f in range(K):
-        gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=20, maxDepth=3, seed=f,
+        gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=60, maxDepth=3, seed=f,
                             validationIndicatorCol="is_val", validationTol=0.01)
         model = Pipeline(stages=[*_stages(), gbt]).fit(train.filter(F.col("fold") != f))
         best.append((f, model.stages[-1].getNumTrees))
-    return MO.final_iterations(spark.createDataFrame(best, "fold int, best_iter int"), cap=400)
+    return MO.final_iterations(spark.createDataFrame(best, "fold int, best_iter int"), cap=60, default=60)
 
 
 @register("l_seed_bagging", "L12")
@@ -164,42 +163,100 @@ STAGES = {
 def l_ablation(spark, sf_dir):
     """Stage ladder of feature sets, k-fold accuracy and AUC per stage, delta to the first stage."""
     train, _ = _frame(spark, sf_dir)
+    n = train.count()
     rows = []
     for name, (num, cat) in STAGES.items():
-        oof, _, _ = MO.run_cv(train, lambda f: MO.logistic("y", 1.0, 1000), _stages(num, cat), "fold", K, keep=("id", "y"))
-        m = EV.binary_metrics(oof, "p", "y").join(EV.auc(oof, "p", "y"), how="cross").first()
+        oof, _, _ = MO.run_cv(train, lambda f: MO.logistic("y", 1.0, n * (K - 1) / K), _stages(num, cat), "fold", K, keep=("id", "y"))
+        oof = materialize(oof, "oof")
+        m = attach_row(EV.binary_metrics(oof, "p", "y"), EV.auc(oof, "p", "y")).first()
         rows.append((name, float(m["accuracy"]), float(m["auc"] or 0.0)))
     t = spark.createDataFrame(rows, "stage string, accuracy double, auc double")
     base = rows[0][1]
     return rounded(t.withColumn("delta", F.col("accuracy") - F.lit(base)))
 
 
-@register("l_importance_topk", "L21/L22/M14")
+@register("l_importance_topk", "L22/M14")
 def l_importance_topk(spark, sf_dir):
-    """Forest and boosted-tree importances joined to slot names, normalised by each
-    model's maximum, top-k kept and the logistic model refitted on them."""
+    """Forest and boosted-tree importances joined to slot names, the mean over two seeds divided
+    by each model's maximum."""
     train, _ = _frame(spark, sf_dir)
     prep = Pipeline(stages=_stages()).fit(train)
     x = prep.transform(train)
     names = MO.slot_names(x)
     rows = []
-    for family, est in (("rf", RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=20, maxDepth=5, seed=1)),
-                        ("gbt", GBTClassifier(featuresCol="features", labelCol="y", maxIter=10, maxDepth=3, seed=1))):
-        imp = est.fit(x).featureImportances.toArray().tolist()
-        rows += [(family, n, float(v), i) for i, (n, v) in enumerate(zip(names, imp))]
-    t = spark.createDataFrame(rows, "model string, feature string, importance double, original_order int")
-    t = t.withColumn("normalised", F.col("importance") / F.max("importance").over(Window.partitionBy("model")))
-    t = t.withColumn("rank", F.row_number().over(Window.partitionBy("model").orderBy(F.desc("importance"), "original_order")))
-    return rounded(t)
+    for seed in (1, 2):
+        for family, est in (("rf", RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=20, maxDepth=5, seed=seed)),
+                            ("gbt", GBTClassifier(featuresCol="features", labelCol="y", maxIter=10, maxDepth=3, subsamplingRate=0.8, seed=seed))):
+            imp = est.fit(x).featureImportances.toArray().tolist()
+            rows += [(family, n, float(v), i) for i, (n, v) in enumerate(zip(names, imp))]
+    return rounded(MO.importance_table(spark.createDataFrame(rows, "model string, feature string, importance double, original_order int")))
+
+
+@register("l_topk_retrain", "L21")
+def l_topk_retrain(spark, sf_dir):
+    """Folds on all slots give mean importances; the best five slots are kept and the folds run again on them."""
+    from pyspark.ml.feature import VectorSlicer
+
+    train, _ = _frame(spark, sf_dir)
+
+    def forest(features):
+        return lambda f: RandomForestClassifier(featuresCol=features, labelCol="y", numTrees=20, maxDepth=5, seed=f)
+
+    oof, _, models = MO.run_cv(train, forest("features"), _stages(), "fold", K, keep=("id", "y"))
+    rows = []
+    for m in models:
+        names = MO.slot_names(m.transform(train.limit(1)))
+        rows += [("rf", n, float(v), i) for i, (n, v) in enumerate(zip(names, m.stages[-1].featureImportances.toArray().tolist()))]
+    t = MO.importance_table(spark.createDataFrame(rows, "model string, feature string, importance double, original_order int"))
+    best = [r["feature"] for r in t.orderBy("rank").limit(5).collect()]
+    top, _, _ = MO.run_cv(train, forest("top"), [*_stages(), VectorSlicer(inputCol="features", outputCol="top", names=best)], "fold", K, keep=("id", "y"))
+    out = None
+    for name, scores, n in (("all", oof, len(names)), ("top", top, len(best))):
+        scores = materialize(scores, "oof")
+        m = attach_row(EV.binary_metrics(scores, "p", "y"), EV.auc(scores, "p", "y"))
+        m = m.select(F.lit(name).alias("features"), F.lit(n).alias("n_slots"), F.lit(", ".join(best)).alias("kept"), "accuracy", "auc", "n")
+        out = m if out is None else out.unionByName(m)
+    return rounded(out)
+
+
+@register(
+    "l_member_mean", "L12/L13/L22/M14",
+    sql="""
+    WITH i AS (SELECT family AS model, split AS feature, avg(p) AS importance, count(*) AS members, CAST(min(length(split)) AS INTEGER) AS original_order FROM p GROUP BY ALL)
+    SELECT model, feature, round(importance, 6) AS importance, original_order, CAST(members AS BIGINT) AS members,
+           round(importance / max(importance) OVER (PARTITION BY model), 6) AS normalised,
+           CAST(row_number() OVER (PARTITION BY model ORDER BY importance DESC, original_order) AS INTEGER) AS rank FROM i""",
+    fixtures=("p",),
+)
+def l_member_mean(spark, sf_dir):
+    """Mean over members, division by the model's maximum and rank, on the score table
+    (families stand for models, splits for features, rows for members)."""
+    p = predictions(spark, sf_dir)
+    return rounded(MO.importance_table(p.select(F.col("family").alias("model"), F.col("split").alias("feature"), F.col("p").alias("importance"), F.length("split").alias("original_order"))))
+
+
+@register("l_oof_table", "A9/L10")
+def l_oof_table(spark, sf_dir):
+    """Out-of-fold scores of a logistic model written as (id, y_true, proba, pred, fold) and read back."""
+    from tessera.sources.sinks import write_frame
+    import uuid
+
+    train, _ = _frame(spark, sf_dir)
+    n = train.count()
+    oof, _, _ = MO.run_cv(train, lambda f: MO.logistic("y", 1.0, n * (K - 1) / K), _stages(), "fold", K, keep=("id", "y"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-oof-{uuid.uuid4().hex}"
+    MATERIALIZED.append(path)
+    write_frame(oof.select("id", F.col("y").cast("int").alias("y_true"), F.col("p").alias("proba"), (F.col("p") >= 0.5).alias("pred"), "fold"), path)
+    return rounded(spark.read.parquet(path))
 
 
-@register("l_batch_scoring", "L23/A7/A9")
+@register("l_batch_scoring", "L23")
 def l_batch_scoring(spark, sf_dir):
     """Fitted pipeline saved under the checkpoint folder, loaded back and applied to the test rows."""
     import uuid
 
     train, test = _frame(spark, sf_dir)
-    model = Pipeline(stages=[*_stages(), MO.logistic("y", 1.0, 1000)]).fit(train)
+    model = Pipeline(stages=[*_stages(), MO.logistic("y", 1.0, train.count())]).fit(train)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -234,7 +291,7 @@ def l_honest_group_oof(spark, sf_dir):
     oof = None
     for f in range(K):
         fitted = EN.target_encode(w, "dest", "y", F.col("fold") != f)  # encoder fitted on the fold's train part only
-        model = Pipeline(stages=[*_stages(NUMERIC + ["te_dest"], CATEGORICAL), MO.logistic("y", 1.0, 1000)]).fit(
+        model = Pipeline(stages=[*_stages(NUMERIC + ["te_dest"], CATEGORICAL), MO.logistic("y", 1.0, fitted.filter(F.col("fold") != f).count())]).fit(
             fitted.filter(F.col("fold") != f))
         part = MO.probability(model.transform(fitted.filter(F.col("fold") == f))).select("id", "y", F.lit(f).alias("fold"), "p")
         oof = part if oof is None else oof.unionByName(part)

@@ -114,12 +114,12 @@ def a_long_scores(spark, sf_dir):
     fixtures=("p",),
 )
 def a_submission(spark, sf_dir):
-    """Submission CSV (id, boolean label) written in test order (explicit row key), read back."""
+    """Submission CSV (id, boolean label) written in test order (group, then member), read back."""
     p = predictions(spark, sf_dir).filter((F.col("family") == "f1") & (F.col("split") == "test"))
-    sub = SK.submission_frame(p.withColumn("row_no", C.split_id("id")[0].cast("bigint")), "id", "p")
-    sub = sub.join(p.select("id", C.split_id("id")[0].cast("bigint").alias("row_no")), "id")
+    order = {"group_no": C.split_id("id")[0].cast("bigint"), "member_no": C.split_id("id")[1].cast("bigint")}
+    sub = SK.submission_frame(p.withColumns(order), "id", "p", keep=list(order))
     path = _scratch(spark, "submission")
-    SK.write_submission(sub, path, order_col="row_no")
+    SK.write_submission(sub, path, order_cols=list(order))
     return spark.read.schema("id string, label boolean").option("header", True).csv(path)
 
 

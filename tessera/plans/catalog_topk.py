@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators.core import attach_row, ordered_index
+from tessera.operators.blend import top_rate_cuts
 from tessera.plans.registry import register
 from tessera.plans.util import rounded
 from tessera.sources.fixtures import EVENT_TYPES, FAMILIES, predictions
@@ -114,20 +115,18 @@ def h_topn_confidence(spark, sf_dir):
 @register(
     "h_top_rate_cut", "H5",
     sql="""
-    WITH r AS (SELECT family, p, row_number() OVER (PARTITION BY family ORDER BY p DESC, id) AS rn,
+    WITH r AS (SELECT family, id, p, row_number() OVER (PARTITION BY family ORDER BY p DESC, id) AS rn,
                       count(*) OVER (PARTITION BY family) AS n FROM p),
-    k AS (SELECT family, n, CAST(round_even(n * 0.35, 0) AS BIGINT) AS k FROM r GROUP BY family, n)
-    SELECT k.family, k.k, round((max(CASE WHEN rn = k.k THEN p END) + max(CASE WHEN rn = k.k + 1 THEN p END)) / 2, 6) AS threshold
-    FROM r JOIN k ON r.family = k.family GROUP BY k.family, k.k""",
+    rates AS (SELECT * FROM (VALUES ('none', 0.0::DOUBLE), ('some', 0.35::DOUBLE), ('all', 1.0::DOUBLE)) v(candidate, rate)),
+    k AS (SELECT family, n, candidate, CAST(round_even(n * rate, 0) AS BIGINT) AS k FROM (SELECT DISTINCT family, n FROM r), rates),
+    t AS (SELECT k.family, k.candidate, k.k, CASE WHEN k.k > 0 AND k.k < k.n
+                 THEN (max(CASE WHEN rn = k.k THEN p END) + max(CASE WHEN rn = k.k + 1 THEN p END)) / 2 ELSE 0.5 END AS threshold
+          FROM r JOIN k ON r.family = k.family GROUP BY k.family, k.candidate, k.k, k.n)
+    SELECT r.family, r.id, t.candidate, r.rn <= t.k AS label, round(t.threshold, 6) AS threshold FROM r JOIN t ON r.family = t.family""",
     fixtures=("p",),
 )
 def h_top_rate_cut(spark, sf_dir):
-    """H5: exactly round(0.35 n) highest scores positive; threshold halfway between the two neighbours."""
-    p = predictions(spark, sf_dir)
-    r = ordered_index(p, [F.desc("p"), F.asc("id")], by=["family"], name="rn", count_name="n")
-    r = r.withColumn("k", F.bround(F.col("n") * 0.35, 0).cast("bigint"))
-    out = r.filter((F.col("rn") == F.col("k")) | (F.col("rn") == F.col("k") + 1)).groupBy("family", "k").agg(
-        ((F.max(F.when(F.col("rn") == F.col("k"), F.col("p"))) + F.max(F.when(F.col("rn") == F.col("k") + 1, F.col("p")))) / 2)
-        .alias("threshold")
-    )
-    return rounded(out)
+    """H5: the round(rate n) highest scores are positive (ties by id), for rates 0, 0.35 and 1; labels and midpoint threshold."""
+    r, cuts = top_rate_cuts(predictions(spark, sf_dir), {"none": 0.0, "some": 0.35, "all": 1.0}, ["family"])
+    out = r.join(F.broadcast(cuts.select("family", "candidate", "k", "threshold")), "family")  # families x rates rows
+    return rounded(out.select("family", "id", "candidate", (F.col("rn") <= F.col("k")).alias("label"), "threshold"))

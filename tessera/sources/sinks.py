@@ -2,26 +2,32 @@
 
 Writers are distributed (each task writes its part); the submission keeps
 the test order through an explicit ``row_no`` sort, never a positional
-assumption.  ``single_file`` coalesces to one writer and is meant for the
-small outputs the reference writes (a submission, a report).
+assumption.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def submission_frame(df: DataFrame, id_col: str, proba: str, threshold: float = 0.5, label: str = "label") -> DataFrame:
-    """Two columns ``id, label(bool)`` with ``p >= threshold``."""
-    return df.select(F.col(id_col), (F.col(proba) >= F.lit(threshold)).alias(label))
+def submission_frame(df: DataFrame, id_col: str, proba: str, threshold: float = 0.5, label: str = "label",
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """``id, label(bool)`` with ``p >= threshold``; ``keep`` carries the order key for the writer."""
+    return df.select(F.col(id_col), *keep, (F.col(proba) >= F.lit(threshold)).alias(label))
+
 
+def write_submission(df: DataFrame, path: str, order_cols: Sequence[str] = (), single_file: bool = False) -> None:
+    """CSV in the order of ``order_cols`` (a unique key; its columns are not written), in range-ordered part files.
 
-def write_submission(df: DataFrame, path: str, order_col: str | None = None, single_file: bool = True) -> None:
-    out = df.orderBy(order_col) if order_col else df
+    ``single_file`` makes one task write everything, so it is for small outputs only.
+    """
+    out = df.orderBy(*order_cols) if order_cols else df
     if single_file:
         out = out.coalesce(1)
-    out.drop(*([order_col] if order_col and order_col in out.columns else [])).write.mode("overwrite").option(
+    out.drop(*order_cols).write.mode("overwrite").option(
         "header", True
     ).csv(path)
 

@@ -51,3 +51,16 @@ def test_tfidf_norm_and_whole_text(spark):
         norms[r.doc_id] = norms.get(r.doc_id, 0.0) + r.weight ** 2
     assert all(abs(v - 1.0) < 1e-9 for v in norms.values())
     assert any(r.term == "delta" for r in w)  # tokens far into the text are kept
+
+
+def test_tfidf_svd_keeps_documents_without_terms(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (3, "?"), (4, None), (5, "aa cc dd")], "doc_id long, text string")
+    out = {r.doc_id: r for r in EN.tfidf_svd(EN.tfidf(docs, "doc_id", "text"), "doc_id", docs, k=2).collect()}
+    assert set(out) == {1, 2, 3, 4, 5}
+    assert out[3].svd_0 == out[4].svd_0 == 0.0 and out[1].svd_0 != 0.0
+
+
+def test_tfidf_fits_on_the_chosen_rows_only(spark):
+    docs = spark.createDataFrame([(1, "aa bb"), (2, "bb cc"), (3, "zz bb")], "doc_id long, text string")
+    terms = {(r.doc_id, r.term) for r in EN.tfidf(docs, "doc_id", "text", fit_on=F.col("doc_id") < 3).collect()}
+    assert (3, "bb") in terms and (3, "zz") not in terms

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from tessera.operators import evaluate as EV
 
 
@@ -58,3 +60,52 @@ def test_threshold_scan_counts_scores_on_the_grid(spark):
         rows = [(i / 100.0, i % 2) for i in range(30, 71)]
         right = sum((p >= r.threshold) == bool(y) for p, y in rows)
         assert abs(r.accuracy - right / len(rows)) < 1e-12, r.threshold
+
+
+def test_top_rate_cut_edges(spark):
+    from tessera.operators.blend import top_rate_cuts
+
+    df = spark.createDataFrame([("f", "a", 0.2), ("f", "b", 0.9), ("f", "c", 0.9), ("f", "d", 0.4)], "family string, id string, p double")
+    rows, cuts = top_rate_cuts(df, {"none": 0.0, "half": 0.5, "all": 1.0}, ["family"])
+    got = {r.candidate: (r.k, r.threshold) for r in cuts.collect()}
+    assert got["none"] == (0, 0.5) and got["all"] == (4, 0.5)
+    assert got["half"][0] == 2 and abs(got["half"][1] - 0.65) < 1e-12
+    assert {r.id: r.rn for r in rows.collect()} == {"b": 1, "c": 2, "d": 3, "a": 4}
+
+
+def test_fusion_search_matches_numpy_with_ties(spark):
+    import numpy as np
+
+    from tessera.operators import blend as BL
+
+    rng = np.random.default_rng(2)
+    rows = [(i, "test" if i % 3 else "train", i // 2 % 2, f, float(rng.integers(1, 8)) / 8) for i in range(120) for f in ("a", "b")]
+    df = spark.createDataFrame(rows, "id int, split string, y int, family string, p double")
+    grid = [{"a": 0.5, "b": 0.5}, {"a": 1.0, "b": 0.0}]
+    views = BL.kind_views(df, ["a", "b"]).withColumn("reference", F.lit(0))
+    got = BL.fusion_search(views, grid, ["prob", "logit"], {"r": 0.4, "s": 0.9}).collect()
+    assert len(got) == 8
+    p = {(r[0], r[3]): r[4] for r in rows}
+    for r in got:
+        def score(i):
+            a, b = p[i, "a"], p[i, "b"]
+            if r.kind == "logit":
+                a, b = np.log(a / (1 - a)), np.log(b / (1 - b))
+            return r.w_a * a + r.w_b * b
+        test = np.sort([score(i) for i in range(120) if i % 3])
+        t = test[int(np.floor((1 - {"r": 0.4, "s": 0.9}[r.rate_name]) * (len(test) - 1)))]
+        assert abs(r.threshold - t) < 1e-12 and r.changed == (test >= r.threshold).sum()
+
+
+def test_final_iterations_fallbacks(spark):
+    from tessera.operators.models import final_iterations
+
+    def rule(best, cap):
+        df = spark.createDataFrame([(b,) for b in best], "best_iter int")
+        return tuple(final_iterations(df, cap, default=500).first())
+
+    assert rule([100, 101], None) == (100, "valid_fold_mean", 2)  # 100.5 rounds to even
+    assert rule([100, None, 0], 80) == (80, "valid_fold_mean", 1)
+    assert rule([None], 70) == (70, "tuned_iterations_fallback", 0)
+    assert rule([None], None) == (500, "default_config_fallback", 0)
+    assert rule([3], 400) == (50, "valid_fold_mean", 1)

@@ -56,3 +56,10 @@ def test_leak_guard():
     with pytest.raises(ValueError):
         FO.assert_no_leak(["age", "y"], ["y", "id"])
     FO.assert_no_leak(["age"], ["y", "id"])
+
+
+def test_null_ids_are_no_duplicates(spark):
+    from tessera.operators.contracts import duplicate_count
+
+    df = spark.createDataFrame([("a",), ("a",), (None,), (None,)], "id string")
+    assert df.agg(duplicate_count("id")).first()[0] == 1
