@@ -3,12 +3,13 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, pii, quality, secret_scan, topk, toxicity
+from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, pii, quality, queries, secret_scan, topk, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, score double"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -196,3 +197,16 @@ def test_pipeline_keeps_clean_and_drops_copies(spark, docs, labels, tmp_path):
     assert cleaned.columns == docs.columns
     kept = {r.doc_id for r in corpus_pipeline.drop_near_dups(spark, cleaned, "").collect()}
     assert 0 in kept and 1 not in kept and {2, 3, 9} <= kept
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_query_agrees_with_its_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    cursor = con.execute(queries.ORACLES[name])
+    columns = [d[0] for d in cursor.description]
+    got = queries.QUERIES[name](spark, sf_dir)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, cursor.fetchall()))
