@@ -84,16 +84,27 @@ def amount_features(df: DataFrame, amounts: Sequence[str], luxury: Sequence[str]
     })
 
 
-def power_features(df: DataFrame, column: str) -> DataFrame:
-    """Log, sqrt, fourth and tenth root, log of the fourth root (inputs clipped at 0)."""
-    x = F.greatest(F.col(column), F.lit(0.0))
-    return df.withColumns({
-        f"{column}_log1p": F.log1p(x),
-        f"{column}_sqrt": F.sqrt(x),
-        f"{column}_p25": F.pow(x, 0.25),
-        f"{column}_p10": F.pow(x, 0.10),
-        f"{column}_logp25": F.log1p(F.pow(x, 0.25)),
-    })
+def power_variants(column: str, scaled: Column) -> dict[str, Column]:
+    """A column and its transforms on the train-scaled value; what is null or not finite is 0."""
+    x = F.greatest(scaled, F.lit(0.0))
+    tenth = F.when(scaled.isNotNull(), F.pow(x, 0.10))
+    variants = {
+        column: F.col(column).cast("double"),
+        f"log_{column}": F.log1p(scaled),
+        f"sqrt_{column}": F.when(scaled.isNotNull(), F.sqrt(x)),
+        f"pow_{column}": F.when(scaled.isNotNull(), F.pow(x, 0.25)),
+        f"pow2_{column}": tenth,
+        f"log_pow2_{column}": F.log1p(tenth),
+    }
+    return {n: F.when(F.abs(e) < float("inf"), e).otherwise(F.lit(0.0)) for n, e in variants.items()}
+
+
+def power_features(df: DataFrame, column: str, fit_on: Column) -> DataFrame:
+    """:func:`power_variants` of a column that is min-max scaled by its ``fit_on`` rows (others may fall outside)."""
+    from tessera.operators.transforms import minmax_scale
+
+    w = minmax_scale(df, [column], fit_on)
+    return w.withColumns(power_variants(column, F.col(f"{column}_mm"))).drop(f"{column}_mm")
 
 
 def ratio_features(df: DataFrame, amounts: Sequence[str], luxury: Sequence[str], basic: Sequence[str], age: str, size: str, flag: str) -> DataFrame:
@@ -232,4 +243,8 @@ def univariate_cv_accuracy(df: DataFrame, variants: Mapping[str, Column], label:
     per = c.groupBy("v", "__f").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
                                     F.max(F.col("tp") - F.col("fp")).alias("best_gain"))
     acc = per.select("v", "__f", ((F.greatest(F.col("best_gain"), F.lit(0.0)) + F.col("N")) / (F.col("P") + F.col("N"))).alias("a"))
-    return acc.groupBy(F.col("v").alias("variant")).agg(F.avg("a").alias("cv_accuracy"))
+    out = acc.groupBy(F.col("v").alias("variant")).agg(F.avg("a").alias("cv_accuracy"))
+    # the first variant of the greatest accuracy wins (to nine digits: sums of folds have no order), the others are the drop list
+    place = F.array_position(F.array(*map(F.lit, variants)), F.col("variant"))
+    best = F.row_number().over(Window.orderBy(F.desc(F.round("cv_accuracy", 9)), place))  # a row per variant
+    return out.withColumn("winner", best == 1)

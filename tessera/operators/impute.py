@@ -160,11 +160,11 @@ def infer_flag(df: DataFrame, flag: str, amounts: Sequence[str], age: str, adult
 
 
 def infer_flag_loose(df: DataFrame, flag: str, amounts: Sequence[str], overwrite: bool = False) -> DataFrame:
-    """Null flag -> True if total == 0 else False; ``overwrite`` replaces every flag."""
+    """Null flag -> True if total == 0 else False; ``overwrite`` replaces every flag, and null amounts are 0 from then on."""
     total = C.row_sum(amounts)
     derived = F.when(total == 0, "True").otherwise("False")
     if overwrite:
-        return df.withColumn(flag, derived)
+        return df.withColumns({flag: derived, **{a: F.coalesce(F.col(a), F.lit(0.0)) for a in amounts}})
     return df.withColumn(flag, F.coalesce(F.col(flag), derived))
 
 

@@ -173,16 +173,22 @@ def j_minmax_scale(spark, sf_dir):
     return rounded(TR.minmax_scale(wide(spark, sf_dir), A, TRAIN()).select("id", "split", *[f"{a}_mm" for a in A]))
 
 
+_MM = "mm AS (SELECT min(a2) AS lo, CASE WHEN max(a2) - min(a2) = 0 THEN 1.0 ELSE max(a2) - min(a2) END AS rng FROM w WHERE split = 'train')"
+_X = "greatest((a2 - lo) / rng, 0.0)"
+_POWER_SQL = {
+    "a2": "a2", "log_a2": "CASE WHEN (a2 - lo) / rng > -1 THEN ln(1 + (a2 - lo) / rng) END", "sqrt_a2": f"sqrt({_X})", "pow_a2": f"pow({_X}, 0.25)",
+    "pow2_a2": f"pow({_X}, 0.1)", "log_pow2_a2": f"ln(1 + pow({_X}, 0.1))",
+}
+_POWER_SQL = {n: f"CASE WHEN a2 IS NULL THEN 0.0 ELSE coalesce({e}, 0.0) END" for n, e in _POWER_SQL.items()}
+
+
 @register(
     "j_power", "J9",
-    sql="SELECT id, round(ln(1 + greatest(a2, 0.0)), 6) AS a2_log1p, round(sqrt(greatest(a2, 0.0)), 6) AS a2_sqrt, "
-        "round(pow(greatest(a2, 0.0), 0.25), 6) AS a2_p25, round(pow(greatest(a2, 0.0), 0.1), 6) AS a2_p10, "
-        "round(ln(1 + pow(greatest(a2, 0.0), 0.25)), 6) AS a2_logp25 FROM w",
+    sql=f"WITH {_MM} SELECT id, " + ", ".join(f"round({e}, 6) AS {n}" for n, e in _POWER_SQL.items()) + " FROM w, mm",
 )
 def j_power(spark, sf_dir):
-    """Log, square root, fourth and tenth root, log of the fourth root."""
-    w = FE.power_features(wide(spark, sf_dir), "a2")
-    return rounded(w.select("id", "a2_log1p", "a2_sqrt", "a2_p25", "a2_p10", "a2_logp25"))
+    """Log, square, fourth and tenth root and log of the tenth root of the train-scaled column; nulls are 0."""
+    return rounded(FE.power_features(wide(spark, sf_dir), "a2", TRAIN()).select("id", *_POWER_SQL))
 
 
 _YJ = ["a1", "a3"]
@@ -458,20 +464,14 @@ def j_tfidf_transform(spark, sf_dir):
     return rounded(EN.tfidf(docs, "doc_id", "text", fit_on=C.hash_bucket(5, "doc_id") != 0))
 
 
-_UNI = {
-    "raw": ("a2", "a2"),
-    "log1p": (C.log1p_clipped, "ln(1 + greatest(a2, 0.0))"),
-    "sqrt": (None, "sqrt(greatest(a2, 0.0))"),
-    "p25": (None, "pow(greatest(a2, 0.0), 0.25)"),
-}
 _UFOLD = sql_hash_bucket(10, "id", seed=42)
 
 
 @register(
     "j_univariate_winner", "J26",
     sql=f"""
-    WITH t AS (SELECT id, y, {_UFOLD} AS fold, a2 FROM w WHERE split = 'train'),
-    l AS ({" UNION ALL ".join(f"SELECT '{n}' AS v, fold, CAST(y AS DOUBLE) AS y, {e} AS x FROM t WHERE a2 IS NOT NULL" for n, (_, e) in _UNI.items())}),
+    WITH {_MM}, t AS (SELECT id, y, {_UFOLD} AS fold, a2, lo, rng FROM w, mm WHERE split = 'train'),
+    l AS ({" UNION ALL ".join(f"SELECT '{n}' AS v, {k} AS place, fold, CAST(y AS DOUBLE) AS y, {e} AS x FROM t" for k, (n, e) in enumerate(_POWER_SQL.items()))}),
     pf AS (SELECT v, fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy FROM l GROUP BY v, fold),
     tot AS (SELECT v, sum(n) AS tn, sum(sx) AS tsx, sum(sy) AS tsy, sum(sxy) AS tsxy FROM pf GROUP BY v),
     dir AS (SELECT pf.v, pf.fold, sign((tsxy - sxy) - (tsx - sx) * (tsy - sy) / (tn - n)) AS d FROM pf JOIN tot USING (v)),
@@ -479,11 +479,11 @@ _UFOLD = sql_hash_bucket(10, "id", seed=42)
     c AS (SELECT *, sum(pos) OVER w - pos AS tp, sum(neg) OVER w - neg AS fp FROM d2
           WINDOW w AS (PARTITION BY v, fold ORDER BY xp DESC ROWS UNBOUNDED PRECEDING)),
     per AS (SELECT v, fold, sum(pos) AS P, sum(neg) AS N, max(tp - fp) AS g FROM c GROUP BY v, fold)
-    SELECT v AS variant, round(avg((greatest(g, 0.0) + N) / (P + N)), 6) AS cv_accuracy FROM per GROUP BY v""",
+    , acc AS (SELECT v, avg((greatest(g, 0.0) + N) / (P + N)) AS a FROM per GROUP BY v), o AS (SELECT DISTINCT v, place FROM l)
+    SELECT v AS variant, round(a, 6) AS cv_accuracy,
+           row_number() OVER (ORDER BY floor(a * 1e9 + 0.5) DESC, place) = 1 AS winner FROM acc JOIN o USING (v)""",
 )
 def j_univariate_winner(spark, sf_dir):
-    """10-fold one-feature logistic accuracy per transform of a2 (raw, log1p, sqrt, fourth root)."""
-    w = wide(spark, sf_dir).filter(TRAIN() & F.col("a2").isNotNull()).withColumn("fold", C.hash_bucket(10, "id", seed=42))
-    x = F.greatest(F.col("a2"), F.lit(0.0))
-    variants = {"raw": F.col("a2"), "log1p": F.log1p(x), "sqrt": F.sqrt(x), "p25": F.pow(x, 0.25)}
-    return rounded(FE.univariate_cv_accuracy(w, variants, "y", "fold"))
+    """10-fold one-feature logistic accuracy of a2 and its power variants, the winner and (the others) the drop list."""
+    w = FE.power_features(wide(spark, sf_dir), "a2", TRAIN()).filter(TRAIN()).withColumn("fold", C.hash_bucket(10, "id", seed=42))
+    return rounded(FE.univariate_cv_accuracy(w, {n: F.col(n) for n in _POWER_SQL}, "y", "fold"))

@@ -182,17 +182,16 @@ def d_infer_flag_counts(spark, sf_dir):
     sql=f"""
     SELECT id, coalesce(flag, CASE WHEN ({_SUM}) = 0 THEN 'True' ELSE 'False' END) AS flag_fill,
            CASE WHEN ({_SUM}) = 0 THEN 'True' ELSE 'False' END AS flag_overwrite,
-           CASE WHEN ({_SUM}) = 0 THEN 'False' ELSE 'True' END AS vip_overwrite
+           CASE WHEN ({_SUM}) = 0 THEN 'False' ELSE 'True' END AS vip_overwrite, {", ".join(f"round(coalesce({a}, 0.0), 6) AS {a}" for a in A)}
     FROM w""",
 )
 def d_infer_flag_loose(spark, sf_dir):
-    """Loose fill, and the overwrite variant (flag = total == 0, vip = not flag)."""
+    """Loose fill, and the overwrite variant (flag = total == 0, vip = not flag, null amounts 0) in one projection."""
     w = wide(spark, sf_dir)
-    a = IM.infer_flag_loose(w, "flag", A).select("id", F.col("flag").alias("flag_fill"))
-    b = IM.infer_flag_loose(w.select("id", *A, "flag"), "flag", A, overwrite=True)
-    b = b.select("id", F.col("flag").alias("flag_overwrite"),
-                 F.when(F.col("flag") == "True", "False").otherwise("True").alias("vip_overwrite"))
-    return a.join(b, "id")
+    both = IM.infer_flag_loose(w, "flag", A)
+    both = IM.infer_flag_loose(both.withColumn("flag_fill", F.col("flag")), "flag", A, overwrite=True)
+    return rounded(both.select("id", "flag_fill", F.col("flag").alias("flag_overwrite"),
+                               F.when(F.col("flag") == "True", "False").otherwise("True").alias("vip_overwrite"), *A))
 
 
 @register(
