@@ -13,10 +13,13 @@ is taken over its different words and compared per word; that, and the same time
 the root of the number of words, go into a logistic calibration fitted on
 labelled rows that gave no class counts.
 
-Counts live in a dense table ``[low, left, char]`` whose sides are hashes into a
-fixed number of slots, so the model has one size whatever the corpus: each task
-sums its own table, Spark sums those, and the one broadcast, a table of
-``LOW * LEFT * CHARS`` log ratios (float32, 16 MB), is bounded by these parameters.
+Counts are Spark tables that grow with the input.  Each different word (in lower case, without
+marks at its ends) is one row with the number of documents that hold it, by class; its characters are
+counted by their true contexts (``left``, ``low``, ``char``: code points packed into integers, so no two
+contexts share a row), and left contexts are counted exactly.  Words are dealt into parts of about
+``PART`` characters, whose number grows with the input.  A part is counted by itself, its cells
+(each once) are joined with the log ratios, and its words are scored by the cells that come back.
+Words with evidence, known by 128-bit digests, are joined to the documents; nothing is broadcast by hint.
 No row, context or class is dropped or capped.
 
 Defined results: a null or empty text, or one of white space alone, scores as a
@@ -34,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -42,16 +46,15 @@ from pyspark.sql import functions as F
 from tessera.llm.common import distinct, document_of, map_arrow, words_of
 from tessera.operators.core import materialize
 
-#: Slots for the two characters before, for the three before those, and for the character itself (powers of two).
-LOW, LEFT, CHARS = 1024, 64, 64
-SIZE = LOW * LEFT * CHARS
+#: Characters of the different words of a part.
+PART = 1 << 20
 #: Discount of the class counts, and Kneser-Ney's of the lower order.
 DISCOUNT, LOW_DISCOUNT = 2.0, 0.75
 #: Nats of a word's log ratio that are no evidence yet.
 MARGIN = 3.0
 #: A document is toxic from this score on.
 THRESHOLD = 0.7
-#: Channels of the counts.
+#: Labels, and the mark of rows that give no class counts.
 ORDINARY, TOXIC, ALL = 0, 1, 2
 #: Marks that don't belong to a word at its ends.
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -61,34 +64,30 @@ def remainder(doc_id: Column, k: int = 3) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % k
 
 
-def _slot(x: np.ndarray, slots: int) -> np.ndarray:
-    """Slot of 64-bit keys: multiply, fold, multiply, and take the high bits."""
-    x = (x + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x >> np.uint64(65 - slots.bit_length())
+def normal(words: pa.Array) -> pa.Array:
+    """Words in lower case, without marks at their ends, with 0 for every digit."""
+    return pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(words), r"[0-9]", "0"), characters=EDGES)
 
 
-def cells(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Cells of the count table that the characters of each word fall into, and where each word's start.
+def digests(words: list[str]) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(w.encode()) for w in words]
 
-    Words are taken in lower case, without marks at their ends, with 0 for every
-    digit, and with five pads before and an end mark after them.
+
+def cells(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each character of the words: the word's number, the three and the two characters before it (packed), and itself.
+
+    Words get five pads before and an end mark (1) after them; code points count from 2.
     """
-    words = pc.utf8_trim(pc.replace_substring_regex(pc.utf8_lower(words), r"[0-9]", "0"), characters=EDGES)
     n = len(words)
-    length = pc.utf8_length(words).to_numpy().astype(np.int64)
-    points = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), dtype="<u4")
+    length = np.array([len(w) for w in words], dtype=np.int64)
+    points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
     ends = np.cumsum(length)
-    padded = np.zeros(len(points) + 6 * n, dtype=np.uint64)
-    padded[np.arange(len(points)) + 6 * np.repeat(np.arange(n), length) + 5] = points + np.uint64(2)
+    padded = np.zeros(len(points) + 6 * n, dtype=np.int64)
+    padded[np.arange(len(points)) + 6 * np.repeat(np.arange(n), length) + 5] = points + np.int64(2)
     padded[ends + 6 * np.arange(n) + 5] = 1
     at = np.flatnonzero(padded)
-    wide = np.uint64(21)
-    two = padded[at - 1] << wide | padded[at - 2]
-    three = (padded[at - 3] << wide | padded[at - 4]) << wide | padded[at - 5]
-    low, left, char = _slot(two, LOW), _slot(three, LEFT), _slot(padded[at], CHARS)
-    return ((low * np.uint64(LEFT) + left) * np.uint64(CHARS) + char).astype(np.int64), ends - length + np.arange(n)
+    left = (padded[at - 3] << 21 | padded[at - 4]) << 21 | padded[at - 5]
+    return np.repeat(np.arange(n), length + 1), left, padded[at - 1] << 21 | padded[at - 2], padded[at]
 
 
 def _types(starts: np.ndarray, codes: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,64 +96,122 @@ def _types(starts: np.ndarray, codes: np.ndarray, n_words: int) -> tuple[np.ndar
     return pairs // n_words, pairs % n_words
 
 
-def count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of one task (documents that hold a word, by channel): a row per channel and cell that occurs."""
-    sums: dict[int, np.ndarray] = {}
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Different words of each batch, with the number of documents of each class that hold them."""
     for b in batches:
         starts, codes, words = words_of(b.column("text"))
         if not len(words):
             continue
         doc, code = _types(starts, codes, len(words))
-        cell, first = cells(words)
-        length = np.diff(np.append(first, len(cell)))
         channel = b.column("channel").to_numpy(zero_copy_only=False)[doc]
-        for k in np.unique(channel).tolist():
-            times = np.bincount(code[channel == k], minlength=len(words))
-            np.add.at(sums.setdefault(k, np.zeros(SIZE, dtype=np.int64)), cell, np.repeat(times, length))
-    for k in sorted(sums):
-        at = np.flatnonzero(sums[k])
-        for i in range(0, len(at), 1 << 16):
-            part = at[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part + k * SIZE), pa.array(sums[k][part])], names=["cell", "n"])
-
-
-def _discounted(counts: np.ndarray, backoff: np.ndarray, discount: float) -> np.ndarray:
+        held = normal(words).dictionary_encode()
+        code = held.indices.to_numpy()[code]
+        counts = [pa.array(np.bincount(code[channel == k], minlength=len(held.dictionary))) for k in (ORDINARY, TOXIC)]
+        yield pa.RecordBatch.from_arrays([held.dictionary.cast(pa.string()), *counts], names=["word", "ordinary", "toxic"])
+
+
+def _distinct_cells(left: np.ndarray, low: np.ndarray, char: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different cell occurs first (ordered by cell), and the number of every character's cell."""
+    near = low << 21 | char
+    order = np.lexsort((near, left))
+    new = np.append(True, (np.diff(left[order]) != 0) | (np.diff(near[order]) != 0))
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
+
+
+def spell(group: pa.Table) -> pa.Table:
+    """Cells of a part's words, with the sums of the words' counts."""
+    word, left, low, char = cells(group.column("word").to_pylist())
+    first, number = _distinct_cells(left, low, char)
+    sums = []
+    for c in ("ordinary", "toxic"):
+        out = np.zeros(len(first), dtype=np.int64)
+        np.add.at(out, number, group.column(c).to_numpy()[word])
+        sums.append(out)
+    part = np.full(len(first), group.column("part")[0].as_py(), dtype=np.int64)
+    return pa.table([pa.array(x) for x in (part, left[first], low[first], char[first], *sums)], names=["part", "left", "low", "char", "ordinary", "toxic"])
+
+
+def weigh(group: pa.Table, ratios: pa.Table) -> pa.Table:
+    """Digests and evidence of a part's words that have any, by the log ratios of the part's cells."""
+    words = group.column("word").to_pylist()
+    word, left, low, char = cells(words)
+    first, number = _distinct_cells(left, low, char)
+    a, b, c = (ratios.column(x).to_numpy() for x in ("left", "low", "char"))
+    if len(first) != len(a):
+        raise ValueError("the cells of a part are not those of its words")
+    order = np.lexsort((b << 21 | c, a))
+    sums = np.bincount(word, weights=ratios.column("ratio").to_numpy()[order][number], minlength=len(words))
+    at = np.flatnonzero(sums > MARGIN)
+    return pa.table([pa.array(digests([words[i] for i in at.tolist()]), pa.binary()), pa.array(sums[at] - MARGIN)], names=["word", "evidence"])
+
+
+def _discounted(count: Column, n: Column, freed: Column, backoff: Column, discount: float) -> Column:
     """Counts less a discount, whose mass goes to ``backoff``; a context without counts leaves all to it."""
-    counts = counts.astype(np.float64)
-    n, freed = counts.sum(axis=-1, keepdims=True), np.minimum(counts, discount).sum(axis=-1, keepdims=True)
-    return np.where(n > 0, (np.maximum(counts - discount, 0) + freed * backoff) / np.maximum(n, 1), backoff)
-
-
-def log_ratios(counts: np.ndarray) -> np.ndarray:
-    """Table of log p(char | context, toxic) - log p(char | context, ordinary), from counts of the three channels."""
-    follows = (counts[ALL].reshape(LOW, LEFT, CHARS) > 0).sum(axis=1)  # left contexts of (low, char)
-    alone = follows.sum(axis=0) + 0.5
-    lower = _discounted(follows, alone / alone.sum(), LOW_DISCOUNT)
-    out = np.empty((LOW, LEFT, CHARS), dtype=np.float32)
-    for i in range(0, LOW, 64):  # in slices, to keep the peak small
-        toxic, ordinary = (
-            _discounted(counts[k].reshape(LOW, LEFT, CHARS)[i : i + 64], lower[i : i + 64, None], DISCOUNT) for k in (TOXIC, ORDINARY)
-        )
-        out[i : i + 64] = np.log(toxic) - np.log(ordinary)
-    return out.reshape(-1)
-
-
-def features_of(ratio, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = ratio.value
+    return F.when(n > 0, (F.greatest(count - discount, F.lit(0.0)) + freed * backoff) / n).otherwise(backoff)
+
+
+def log_ratios(spelled: DataFrame) -> DataFrame:
+    """``left, low, char, ratio``: log p(char | context, toxic) - log p(char | context, ordinary) of all that occur."""
+    names = ("ordinary", "toxic")
+    counts = materialize(spelled.groupBy("left", "low", "char").agg(*[F.sum(c).alias(c) for c in names]), "cells")
+    follows = materialize(counts.groupBy("low", "char").agg(F.count(F.lit(1)).alias("follows")), "follows")  # left contexts of (low, char)
+    alone = follows.groupBy("char").agg((F.sum("follows") + 0.5).alias("alone"))
+    total = alone.agg(F.sum("alone")).first()[0]
+    sums = follows.groupBy("low").agg(F.sum("follows").alias("n"), F.sum(F.least("follows", F.lit(LOW_DISCOUNT))).alias("freed"))
+    lower = _discounted(F.col("follows"), F.col("n"), F.col("freed"), F.col("alone") / F.lit(total), LOW_DISCOUNT)
+    lower = follows.join(sums, "low").join(alone, "char").select("low", "char", lower.alias("lower"))
+    mass = [F.sum(c).alias(f"{c}_n") for c in names] + [F.sum(F.least(c, F.lit(DISCOUNT))).alias(f"{c}_freed") for c in names]
+    contexts = counts.groupBy("left", "low").agg(*mass)
+    ordinary, toxic = (F.log(_discounted(F.col(c), F.col(f"{c}_n"), F.col(f"{c}_freed"), F.col("lower"), DISCOUNT)) for c in names)
+    return counts.join(contexts, ["left", "low"]).join(lower, ["low", "char"]).select("left", "low", "char", (toxic - ordinary).alias("ratio"))
+
+
+def word_evidence(words: DataFrame) -> DataFrame:
+    """``word, evidence`` (digest, nats beyond the margin) of the ``words`` (``word, ordinary, toxic``) that have any."""
+    size = words.agg(F.sum(F.length("word") + 1)).first()[0] or 0
+    words = words.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(size // PART + 1)))
+    spelled = words.groupBy("part").applyInArrow(spell, "part long, left long, low long, char long, ordinary long, toxic long")
+    spelled = materialize(spelled, "spelled")
+    ratios = spelled.select("part", "left", "low", "char").join(log_ratios(spelled), ["left", "low", "char"])
+    own = words.select("part", "word").groupBy("part").cogroup(ratios.groupBy("part"))
+    return materialize(own.applyInArrow(weigh, "word binary, evidence double"), "evidence")
+
+
+def words_held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document a row per word (``times`` if several words are that one without marks), and one that is no word."""
     for b in batches:
         starts, codes, words = words_of(b.column("text"))
-        n = total = np.zeros(len(starts) - 1)
+        hashes = b.column("text_hash").to_pylist()
+        marks = pa.array([h.to_bytes(8, "little", signed=True) for h in hashes], pa.binary())
+        doc, key, times, n = np.arange(len(hashes)), marks, np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
         if len(words):
-            doc, code = _types(starts, codes, len(words))
-            cell, first = cells(words)
-            evidence = np.maximum(np.add.reduceat(table[cell].astype(np.float64), first) - MARGIN, 0)
-            n = np.bincount(doc, minlength=len(starts) - 1)
-            total = np.bincount(doc, weights=evidence[code], minlength=len(starts) - 1)
-        mean = total / np.maximum(n, 1)
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), b.column("text_hash"), pa.array(mean), pa.array(mean * np.sqrt(n))],
-            names=["doc_id", "text_hash", "per_word", "scaled"],
-        )
+            d, code = _types(starts, codes, len(words))
+            n = np.bincount(d, minlength=len(n))
+            held = normal(words).dictionary_encode()
+            pairs, of = np.unique(d * len(held.dictionary) + held.indices.to_numpy()[code], return_counts=True)
+            d, code = pairs // len(held.dictionary), pairs % len(held.dictionary)
+            own = pa.array(digests(held.dictionary.to_pylist()), pa.binary()).take(pa.array(code))
+            doc, key, times = np.append(doc, d), pa.concat_arrays([marks, own]), np.append(times, of)
+        order = np.argsort(doc, kind="stable")  # rows of a document together, for the sums before the shuffle
+        at = pa.array(doc[order])
+        for i in range(0, len(order), 1 << 16):
+            part, own = pa.array(order[i : i + (1 << 16)]), at[i : i + (1 << 16)]
+            columns = [b.column("doc_id").take(own), b.column("text_hash").take(own), key.take(part), pa.array(times).take(part), pa.array(n).take(own)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "word", "times", "n"])
+
+
+def features(docs: DataFrame, evidence: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, per_word, scaled`` of every row of ``docs``."""
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    held = map_arrow(own, words_held, f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, word binary, times long, n long")
+    held = held.join(evidence, "word", "left").groupBy("doc_id", "text_hash")
+    # repeated rows fall together: their number is that of the rows that are no words
+    sums = held.agg(F.sum((F.col("times") == 0).cast("int")).alias("rows"), F.max("n").alias("n"), F.sum(F.col("times") * F.col("evidence")).alias("total"))
+    sums = sums.withColumn("per_word", F.coalesce(F.col("total") / F.col("rows") / F.col("n"), F.lit(0.0)))
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))
+    return sums.select("doc_id", "text_hash", "per_word", (F.col("per_word") * F.sqrt("n")).alias("scaled"), each.alias("row")).drop("row")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,33 +221,16 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     only where crc32 of ``doc_id`` leaves a remainder other than 1 by 3; of those,
     the rows with remainder 3, 6 or 8 by 12 calibrate and the others count.
     """
-    spark = docs.sparkSession
     part = remainder(F.col("doc_id"), 12)
     marked = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("channel")).where(part % 3 != 1)
     counted = ~part.isin(3, 6, 8)
     # labels have no bound, so they are never broadcast, at any size
     trained = docs.where((part % 3 != 1) & counted).select("doc_id", "text").join(marked.where(counted).hint("merge"), "doc_id")
     every = docs.select("text", F.lit(ALL).alias("channel"))
-    sums = (
-        map_arrow(every.unionByName(trained.select("text", "channel")), count_cells, "cell long, n long")
-        .groupBy("cell")
-        .agg(F.sum("n").alias("n"))
-    )
-    counts = np.zeros(3 * SIZE, dtype=np.int64)
-    found = sums.toArrow()  # at most 3 * SIZE rows, whatever the input
-    counts[found.column(0).to_numpy()] = found.column(1).to_numpy()
-    counts = counts.reshape(3, SIZE)
-    ratio = spark.sparkContext.broadcast(log_ratios(counts))
-    both = bool(counts[ORDINARY].any() and counts[TOXIC].any())
-    kind = dict(docs.dtypes)["doc_id"]
-    feats = materialize(
-        map_arrow(
-            docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")),
-            lambda it: features_of(ratio, it),
-            f"doc_id {kind}, text_hash long, per_word double, scaled double",
-        ),
-        "toxicity",
-    )
+    words = map_arrow(every.unionByName(trained.select("text", "channel")), count_words, "word string, ordinary long, toxic long")
+    words = materialize(words.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "words")
+    both = all(words.agg(F.max("ordinary"), F.max("toxic")).first())
+    feats = materialize(features(docs, word_evidence(words)), "toxicity")
     feats = feats.withColumn("held_out", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)))
     if not both:
         return feats.select("doc_id", "held_out", F.lit(0.5).alias("score"), "text_hash")

@@ -210,3 +210,36 @@ def test_query_agrees_with_its_sql(spark, name):
     got = queries.QUERIES[name](spark, sf_dir)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(str, map(tuple, got.select(*columns).collect()))) == sorted(map(str, cursor.fetchall()))
+
+
+def test_toxicity_counts_true_contexts(spark, monkeypatch):
+    rng = random.Random(8)
+    words = {"".join(rng.choice(s) for _ in range(rng.randint(1, 7))) for s in ("abc", "abcdefghijklmnop", "абвгде", "漢字文語") for _ in range(500)}
+    words |= {f"{a}{b}zin" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"} | {"x" * 3000, ""}
+    rows = [(w, rng.choice([0, 0, 1, 5]), rng.choice([0, 0, 0, 2, 9])) for w in sorted(words)]
+    cell, ctx, follows, low, alone = {}, {}, {}, {}, {}
+    chars = {w: [(p[k : k + 5], p[k + 5]) for k in range(len(w) + 1)] for w, *_ in rows for p in ["\0" * 5 + w + "\1"]}
+    for w, *n in rows:
+        for key in chars[w]:
+            cell[key] = [x + y for x, y in zip(cell.get(key, (0, 0)), n)]
+    for (c, x), n in cell.items():
+        ctx.setdefault(c, []).append(n)
+        follows[c[3:], x] = follows.get((c[3:], x), 0) + 1
+    for (c, x), n in follows.items():
+        low.setdefault(c, []).append(n)
+        alone[x] = alone.get(x, 0.5) + n
+    assert max(follows.values()) > 64
+    all_alone = sum(alone.values())
+
+    def p(c, x, k):
+        f = low[c[3:]]
+        back = (max(follows[c[3:], x] - 0.75, 0) + sum(min(n, 0.75) for n in f) * alone[x] / all_alone) / sum(f)
+        n = [m[k] for m in ctx[c]]
+        return (max(cell[c, x][k] - 2, 0) + sum(min(m, 2) for m in n) * back) / sum(n) if sum(n) else back
+
+    want = {w: sum(np.log(p(c, x, 1)) - np.log(p(c, x, 0)) for c, x in chars[w]) - 3 for w in chars}
+    monkeypatch.setattr(toxicity, "PART", 4000)
+    got = toxicity.word_evidence(spark.createDataFrame(rows, "word string, ordinary long, toxic long")).collect()
+    got = {bytes(r.word): r.evidence for r in got}
+    want = {toxicity.digests([w])[0]: e for w, e in want.items() if e > 0}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
