@@ -1,7 +1,9 @@
 """License scans: phrases, and text blocks that contain most words of a license notice.
 
-A block is a line.  It matches a template if it holds at least ``CONTAINMENT`` of the
-template's different words, whatever their order.  The join is exact: words of all
+A block is a line, or a window of words of the whole text, whatever its line breaks: windows are twice as
+long as the longest template and start at each multiple of its length, so a wrapped notice stands in one of
+them whole.  A block matches a template if it holds at least ``CONTAINMENT`` of the template's different
+words, whatever their order.  The join is exact: words of all
 templates are ordered by their frequency in the whole corpus, rarest first; a
 block that reaches the threshold shares one of the template's first words in that
 order (prefix filter), has enough template words at all (length filter), and enough
@@ -109,10 +111,14 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containm
     starts = sorted({w for p in PHRASES for w in p.split(" ")[:1]})
     own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", words(F.coalesce("text", F.lit(""))).alias("words"))
     hit = F.arrays_overlap("words", F.array(*map(F.lit, sorted({*starts, *prefix}))))
-    # template words of each line that has a prefix word, in the order of their ranks
+    # template words of each block that has a prefix word, in the order of their ranks
     rank_of = F.create_map(*[x for w, r in ranks.items() for x in (F.lit(w), F.lit(r))])
     vocab, first = F.array(*map(F.lit, vocabulary)), F.array(*map(F.lit, prefix))
-    blocks = F.transform(F.split("text", "\n", -1), lambda x: F.array_intersect(words(x), vocab))
+    longest = max((len([w for w in re.split(_GAP, t) if w]) for _, t in templates), default=1)
+    windows = F.sequence(F.lit(0), F.greatest(F.size("words") - longest - 1, F.lit(0)), F.lit(longest))
+    windows = F.transform(windows, lambda i: F.array_intersect(F.slice("words", i + 1, 2 * longest), vocab))
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.array_intersect(words(x), vocab))
+    blocks = F.when(F.contains("text", F.lit("\n")), F.concat(lines, windows)).otherwise(lines)
     blocks = F.filter(blocks, lambda b: F.arrays_overlap(b, first))
     blocks = F.transform(blocks, lambda b: F.array_sort(F.transform(b, lambda w: F.element_at(rank_of, w))))
     none = F.array().cast("array<struct<at:bigint,label:string>>")

@@ -100,6 +100,18 @@ def test_licenses_places_and_templates(spark):
     assert got[3] == (4, 1, 1, 1, "mit", "mit") and got[4][1] == 1
 
 
+def test_licenses_find_wrapped_notices(spark):
+    before, rows = prose(5, 37), []
+    for i, label in enumerate(("gpl", "lgpl", "bsd", "mit", "apache")):
+        notice = next(t for k, t in license_scan.TEMPLATES if k == label).split()
+        lines = [" ".join(notice[k : k + 9]) for k in range(0, len(notice), 9)]
+        rows += [(10 * i + j, before[: 40 * j] + "\n# " + "\n# ".join(lines) + "\n\n" + prose(6, 70), label) for j in range(8)]
+    got = license_scan.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.score for r in got} == {r[0]: 1.0 for r in rows}
+    labels = {r.doc_id: r.labels.split(",") for r in got}
+    assert all(label in labels[i] for i, _, label in rows)
+
+
 def test_top_k_agrees_with_brute_force_and_breaks_ties_by_id(spark):
     rng = np.random.default_rng(1)
     v = np.round(rng.normal(size=(300, 8)), 1)
