@@ -6,7 +6,7 @@ transducers: a text in which a disguise may occur is rewritten step by step
 bracketed marks to ``@`` and ``.``) while an array keeps, for every character of the
 result, the span of the original it stands for.  The same patterns then run over the
 result and their matches are mapped back to the original text; a mapped
-span that overlaps no span of its kind found before is added.
+span is added unless it is, or lies in, a plain span of its kind.
 
 Every pattern takes time linear in the text: runs are only entered at their
 start, and an ``@`` or ``+`` is looked for first.
@@ -18,6 +18,7 @@ extra columns are ignored.  Offsets count code points, ends are exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -187,15 +188,14 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     found = disguised_spans(text)
     if not found:
         return base, base
-    every, taken = [], {k: np.zeros(len(text) + 1, dtype=bool) for k in {s[0] for s in found}}
-    for kind, a, b in base:
-        if kind in taken:
-            taken[kind][a:b] = True
+    # plain spans of a kind don't overlap, so the last that starts no later is the only one that can hold a span
+    every, plain = set(), {k: ([s[1] for s in base if s[0] == k], [s[2] for s in base if s[0] == k]) for k in KINDS}
     for kind, a, b in found:
-        if not taken[kind][a:b].any():
-            taken[kind][a:b] = True
-            every.append((kind, a, b))
-    return base, sorted(base + every, key=lambda s: (KINDS.index(s[0]), s[1]))
+        starts, ends = plain[kind]
+        at = bisect_right(starts, a) - 1
+        if at < 0 or ends[at] < b:
+            every.add((kind, a, b))
+    return base, sorted([*base, *every], key=lambda s: (KINDS.index(s[0]), *s[1:]))
 
 
 def joined(spans: list[Span]) -> str:

@@ -178,6 +178,13 @@ def test_personal_data_plain_and_disguised():
         pii.find(slow)
 
 
+def test_personal_data_partly_disguised():
+    for hidden in ("\u0430lice@example.com", "bob@example.c\u043em", "+1 555 123 45\uff167"):
+        text = f"see {hidden} now, or a@b.org"
+        base, every = pii.find(text)
+        assert hidden in [text[a:b] for _, a, b in every] and set(base) < set(every) and len(every) == len(base) + 1
+
+
 def test_secrets_plain_and_random(spark):
     rng = random.Random(4)
     key = "".join(rng.choice(secret_scan.ENCODINGS["base62"]) for _ in range(150))
