@@ -22,6 +22,8 @@ from tessera.operators.core import materialize
 
 #: The tokenizer of the last stage.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Hundredths of the words' shingles that near duplicates share.
+SIMILARITY = 80
 
 
 def _matching(docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
@@ -50,7 +52,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: one document of each group of near duplicates stays."""
-    kept = near_dups.near_dups(docs).where("kept")
+    kept = near_dups.near_dups(docs, SIMILARITY).where("kept")
     return _matching(docs, kept, "left_semi").dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
 
 

@@ -41,7 +41,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.near_dups(table(spark, sf_dir, "documents")).drop("text_hash")
+    return near_dups.near_dups(table(spark, sf_dir, "documents"), similarity=85).drop("text_hash")
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,17 @@ def test_near_dups_agree_with_brute_force_around_the_threshold(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == {i: (len(sets[i]), top(i)) for i in range(len(texts))}
 
 
+def test_pipeline_drops_near_copies_from_a_similarity_of_080(spark):
+    words = prose(12, 204).split()
+    def changed(n):  # each word replaced far from others takes five of the 200 shingles
+        return " ".join(f"new{k}" if k % 20 == 10 and k // 20 < n else w for k, w in enumerate(words))
+    rows = [(1, " ".join(words)), (2, changed(4)), (11, prose(13)), (12, prose(14))]  # 180 / 220 = 0.82
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in near_dups.near_dups(df).where("kept").collect()} == {1, 2, 11, 12}
+    assert {r.doc_id for r in corpus_pipeline.drop_near_dups(spark, df, "").collect()} == {1, 11, 12}
+    assert (near_dups.Plan(85).bands, near_dups.Plan(85).agree, near_dups.Plan(80).bands) == (24, 76, 36)
+
+
 def test_line_dedup_deletes_later_runs_only(spark):
     run = prose(2, 60)
     rows = [(1, f"first words\n{run}\nend one"), (2, f"x\n\n{run}\ny"), (3, run), (4, "a b c\nd e f g\nh i j"), (5, "z\na b c\nd e f g\nh i j"), (6, "a b c"), (7, None)]
