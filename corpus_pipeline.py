@@ -2,7 +2,8 @@
 
 ``STAGES`` lists the stages in order; each takes ``(spark, docs, sf_dir)`` and works on all
 that the one before returned, written as Parquet and read again.  All but the last return
-the columns of ``documents``.  Rows are told apart by ``doc_id`` and a hash of the text.
+the columns of ``documents``, the mixture also ``mix_pass``; the last returns the token ids of each
+document and pass.  The query's columns are digests of those (:func:`run`); :func:`corpus` has the ids.  Rows are told apart by ``doc_id`` and a hash of the text.
 
 Defined results: null and empty texts are never toxic, have no lines, are no copies of each other,
 and the mixture takes no words of them, so they are not in the result; rows equal in
@@ -58,12 +59,12 @@ def drop_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: sources at their target weights; a row per document and pass, with the words that the pass takes."""
-    return _with_length(mixing.mixed_texts(docs), docs.columns)
+    return _with_length(mixing.mixed_texts(docs, "mix_pass"), [*docs.columns, "mix_pass"])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: tokens of each row."""
-    return bpe.encode(docs, TOKENIZER)
+    """Operator 3: ``doc_id, mix_pass, n_tokens, ids`` of each row."""
+    return bpe.token_ids(docs, TOKENIZER, ["doc_id", "mix_pass"])
 
 
 STAGES = [
@@ -78,11 +79,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages but the last over ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = materialize(docs, name)
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: the token ids of each document and pass."""
+    return STAGES[-1][1](spark, mixture(spark, sf_dir), sf_dir)
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query ``pipeline``: number of tokens and digests of each row of :func:`corpus`, in the columns of op3_bpe."""
+    return bpe.encode(mixture(spark, sf_dir), TOKENIZER)

@@ -278,6 +278,28 @@ def load(spec: str) -> Bpe:
     return _LOADED[key]
 
 
+def id_lists(ids: pa.Array, n: np.ndarray) -> pa.Array:
+    """Lists of the ``n`` ids of each text, from ids joined by a space."""
+    flat = pc.split_pattern(ids.filter(pa.array(n > 0)), " ").flatten().cast(pa.int32())
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat)
+
+
+def token_ids(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row, ``n_tokens`` and the token ``ids`` (array of int) of its ``text``."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        spec = docs.sparkSession.sparkContext.broadcast(f.read())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(spec.value)
+        for b in batches:
+            ids, _, n = bpe.encode_column(b.column("text"))
+            yield pa.RecordBatch.from_arrays([*map(b.column, keep), pa.array(n, pa.int64()), id_lists(ids, n)], names=[*keep, "n_tokens", "ids"])
+        bpe.cache, bpe.older = {}, {}  # a worker lives on, and other operators need its memory
+
+    kinds = dict(docs.dtypes)
+    return map_arrow(docs.select(*keep, "text"), run, ", ".join([*(f"{c} {kinds[c]}" for c in keep), "n_tokens long", "ids array<int>"]))
+
+
 def encode(docs: DataFrame, tokenizer_path: str, keep_text: bool = False) -> DataFrame:
     """Encode and decode every row's ``text``.
 

@@ -154,10 +154,11 @@ def taken_words(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
-def mixed_texts(docs: DataFrame) -> DataFrame:
+def mixed_texts(docs: DataFrame, number: str | None = None) -> DataFrame:
     """The mixture as documents: for each document and pass a row with the words taken in it, other columns as they were.
 
-    A document of which a pass takes every word keeps its text as it is.  Rows of
+    With ``number``, a column of that name tells a document's passes apart.  A document
+    of which a pass takes every word keeps its text as it is.  Rows of
     equal ``doc_id`` and text get the pieces of each of them.
     """
     per_pass = mix(docs).pieces.select("doc_id", "text_hash", "place", "size", "from", "to", F.explode("passes").alias("pass"))
@@ -165,9 +166,10 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     spans = per_pass.groupBy("doc_id", "text_hash", "place", "size", "pass").agg(
         F.sum(F.col("to") - F.col("from")).alias("own"), F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans")
     )
-    spans = spans.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), F.col("own").alias("__own"), F.col("spans").alias("__spans"))
+    spans = spans.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), F.col("own").alias("__own"), F.col("spans").alias("__spans"), F.col("pass").alias("__pass"))
     once = docs.withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"])
     rows = once.join(spans, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__h"))).withColumn("__words", words(F.col("text")))
     cut = F.flatten(F.transform("__spans", lambda s: F.slice("__words", (s["from"] + 1).cast("int"), (s["to"] - s["from"]).cast("int"))))
     text = F.when(F.size("__words") == F.col("__own"), F.col("text")).otherwise(F.array_join(cut, " "))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    passes = [F.col("__pass").alias(number)] if number else []
+    return rows.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], *passes)

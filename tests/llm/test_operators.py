@@ -229,6 +229,18 @@ def test_pipeline_keeps_clean_and_drops_copies(spark, docs, labels, tmp_path):
     assert 0 in kept and 1 not in kept and {2, 3, 9} <= kept
 
 
+def test_pipeline_returns_the_ids_of_each_pass(spark, docs, tmp_path):
+    mixed = corpus_pipeline.mix_sources(spark, docs.where("doc_id is not null").dropDuplicates(["doc_id"]), "").cache()
+    texts = {(r.doc_id, r.mix_pass): r.text for r in mixed.collect()}
+    assert len(texts) == mixed.count() and len({p for _, p in texts}) > 1
+    _, stage = corpus_pipeline.STAGES[-1]
+    t = bpe.load(open(corpus_pipeline.TOKENIZER, encoding="utf-8").read())
+    got = {(r.doc_id, r.mix_pass): (r.n_tokens, r.ids) for r in stage(spark, mixed, "").collect()}
+    assert got == {k: (len(t.encode(x)), t.encode(x)) for k, x in texts.items()}
+    odd = spark.createDataFrame([(1, 0, None), (2, 0, ""), (3, 1, "a b")], "doc_id long, mix_pass long, text string")
+    assert [r.n_tokens for r in stage(spark, odd, "").sort("doc_id").collect()] == [0, 0, 2]
+
+
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query_agrees_with_its_sql(spark, name):
     sf_dir = "/root/testdata/sf0.001"
