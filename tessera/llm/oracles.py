@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from tessera.llm import license_scan, line_dedup, near_dups, quality
+from tessera.llm import license_scan, line_dedup, near_dups, part_codes, phrases, quality
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -133,10 +133,63 @@ def _line_dedup() -> str:
     FROM documents LEFT JOIN n ON documents.doc_id = n.doc_id LEFT JOIN c ON documents.doc_id = c.doc_id LEFT JOIN left_ ON documents.doc_id = left_.doc_id"""
 
 
+def _part_codes() -> str:
+    parts, entries = part_codes.PARTS, part_codes.ENTRIES
+
+    def near(k: int) -> str:
+        gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: CAST(x[i] - c[i] AS HUGEINT) * (x[i] - c[i])))"
+        return f"""a{k} AS (SELECT rid, p, any_value(x) AS x, min({{'d': coalesce({gap}, 0), 'e': e}}) AS best FROM part JOIN b{k} USING (p) GROUP BY rid, p)"""
+
+    def means(k: int) -> str:
+        return f"""
+    s{k} AS (SELECT p, best.e AS e, i, sum(x[i]) AS s, CAST(count(*) AS HUGEINT) AS n FROM a{k}, unnest(range(1, len(x) + 1)) t(i) GROUP BY ALL),
+    m{k} AS (SELECT p, e, list((s - (((s % n) + n) % n)) // n ORDER BY i) AS c FROM s{k} GROUP BY p, e),
+    b{k + 1} AS (SELECT b{k}.p, b{k}.e, coalesce(m{k}.c, b{k}.c) AS c FROM b{k} LEFT JOIN m{k} ON b{k}.p = m{k}.p AND b{k}.e = m{k}.e)"""
+
+    rounds = ",\n    ".join(f"{near(k)},{means(k)}" for k in range(part_codes.ROUNDS))
+    last = part_codes.ROUNDS
+    return f"""
+    WITH kept AS (SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS HUGEINT)) AS v
+                  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    part AS (SELECT rid, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) t(p)),
+    first AS (SELECT rid, row_number() OVER (ORDER BY vec_id, v) - 1 AS e FROM kept QUALIFY e < {entries}),
+    b0 AS (SELECT p, e, x AS c FROM part JOIN first USING (rid)),
+    {rounds},
+    {near(last)},
+    book AS (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, i)) AS codebooks_sha256
+             FROM (SELECT p, e, unnest(c) AS y, unnest(range(len(c))) AS i FROM b{last})),
+    code AS (SELECT rid, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a{last} GROUP BY rid)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM kept JOIN code USING (rid), book"""
+
+
+def _phrases() -> str:
+    least, longest = phrases.LEAST, phrases.LONGEST
+    lengths = ", ".join(str(k) for k in range(1, longest + 1))
+    text = _LOWER.format("coalesce(text, '')")
+    return f"""
+    WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({text}, '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents),
+    w AS (SELECT lang, regexp_extract_all(x, '[^\\x20\\x09]+') AS w FROM piece),
+    n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    g AS (SELECT lang, unnest(flatten(list_transform([{lengths}], lambda k: list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))))) AS phrase FROM w),
+    f AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM g GROUP BY lang, phrase HAVING count(*) >= {least}),
+    c AS (SELECT lang, phrase, f AS a, ws, unnest(range(1, len(ws))) AS k FROM f WHERE len(ws) > 1),
+    cut AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, n.n, CAST(CAST(1000 AS HUGEINT) * a * n.n // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+            FROM c JOIN f l ON c.lang = l.lang AND l.phrase = array_to_string(c.ws[1 : k], ' ')
+            JOIN f r ON c.lang = r.lang AND r.phrase = array_to_string(c.ws[k + 1 :], ' ') JOIN n ON c.lang = n.lang),
+    best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inside AS (SELECT lang, f AS longer, unnest(flatten(list_transform(range(2, len(ws)), lambda k: list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i : i + k - 1], ' '))))) AS phrase FROM f WHERE len(ws) > 2),
+    left_ AS (SELECT * FROM best ANTI JOIN inside ON best.lang = inside.lang AND best.phrase = inside.phrase AND 100 * inside.longer >= 100 * best.a)
+    SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM left_ WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+    QUALIFY row_number() OVER o <= {phrases.TOP}"""
+
+
 ORACLES: dict[str, str] = {
     "op1_licenses": _licenses(),
     "op2_top_k": _top_k(),
     "op6_quality": _quality(),
     "op7_near_dups": _near_dups(),
     "op10_line_dedup": _line_dedup(),
+    "op12_part_codes": _part_codes(),
+    "op13_phrases": _phrases(),
 }

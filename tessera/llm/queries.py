@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, pii, quality, secret_scan, topk, toxicity
+import public_tokenizers
+from tessera.llm import bpe, license_scan, line_dedup, mixing, near_dups, part_codes, phrases, pii, quality, secret_scan, token_store, topk, toxicity
 from tessera.llm.common import table
 from tessera.llm.oracles import ORACLES  # noqa: F401
+from tessera.operators.core import materialize
 
 
 
@@ -57,7 +59,23 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_deleted", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = token_store.write_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_documents(materialize(blocks, "token-blocks"))
+
+
+def op12_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_licenses, op2_top_k, op3_bpe, op4_mixing, op5_toxicity, op6_quality, op7_near_dups, op8_pii, op9_secrets, op10_line_dedup)
+    for f in (
+        op1_licenses, op2_top_k, op3_bpe, op4_mixing, op5_toxicity, op6_quality, op7_near_dups, op8_pii, op9_secrets, op10_line_dedup,
+        op11_repair, op12_part_codes, op13_phrases,
+    )
 } | {"pipeline": corpus_pipeline.run}
