@@ -182,6 +182,12 @@ def hash_bucket(k: int, *cs: ColumnOrName, seed: int = 0) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint"), F.lit(k)).cast("int")
 
 
+def hash_int(*cs: ColumnOrName, seed: int | str = 0) -> Column:
+    """The 60-bit integer behind :func:`hash_uniform` and :func:`hash_bucket`."""
+    key = F.concat_ws("|", *[col(c).cast("string") for c in cs], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+
+
 def md5_key(*cs: ColumnOrName, seed: int = 0) -> Column:
     return F.md5(F.concat_ws("|", *[col(c).cast("string") for c in cs], F.lit(str(seed))))
 

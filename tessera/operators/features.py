@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
-from tessera.operators.core import lookup, ordered_index
+from tessera.operators.core import lookup, materialize, ordered_index
 
 AMOUNTS = ["a1", "a2", "a3", "a4", "a5"]
 NUMERIC = ["age", "a1", "a2", "a3", "a4", "a5", "member_no"]
@@ -107,6 +107,37 @@ def power_features(df: DataFrame, column: str, fit_on: Column) -> DataFrame:
     return w.withColumns(power_variants(column, F.col(f"{column}_mm"))).drop(f"{column}_mm")
 
 
+def all_power_features(df: DataFrame, column: str, fit_on: Column) -> tuple[DataFrame, list[str]]:
+    """J26's nine variants of a column: J9's, the fitted Box-Cox and Yeo-Johnson transforms and the first component of all these.
+
+    Box-Cox takes the train-scaled column plus 1; nulls and values without a transform are 0.  The component
+    is the first right singular vector of the fit rows' variants (not centered), from their 8 x 8 Gram
+    matrix, which is one aggregate; its largest loading is positive.
+    """
+    import numpy as np
+
+    from tessera.operators.transforms import fit_power, minmax_scale, power_column
+
+    w = minmax_scale(df, [column], fit_on).withColumn("__bx", F.col(f"{column}_mm") + 1.0).withColumn("__yj", F.col(column).cast("double"))
+    fits = fit_power(w, {"__bx": "box-cox", "__yj": "yeo-johnson"}, fit_on)
+    simple = power_variants(column, F.col(f"{column}_mm"))
+    fitted = {f"bx_cx_{column}": power_column("__bx", fits["__bx"]), f"y_J_{column}": power_column("__yj", fits["__yj"])}
+    names = [column, f"log_{column}", f"sqrt_{column}", *fitted, f"pow_{column}", f"pow2_{column}", f"log_pow2_{column}"]
+    variants = simple | {n: F.coalesce(e, F.lit(0.0)) for n, e in fitted.items()}
+    w = materialize(w.withColumns({n: variants[n] for n in names}).drop("__bx", "__yj", f"{column}_mm"), "variants")
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    row = w.where(fit_on).agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    gram = np.zeros((len(names), len(names)))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+    loading = np.linalg.eigh(gram)[1][:, -1]
+    loading = loading * (1.0 if loading[np.abs(loading).argmax()] >= 0 else -1.0)
+    component = F.lit(0.0)
+    for n, v in zip(names, loading.tolist()):
+        component = component + F.col(n) * v
+    return w.withColumn(f"{column}_pca_comb", component), [*names, f"{column}_pca_comb"]
+
+
 def ratio_features(df: DataFrame, amounts: Sequence[str], luxury: Sequence[str], basic: Sequence[str], age: str, size: str, flag: str) -> DataFrame:
     """Per-age and per-member spend, luxury minus basic, luxury/basic, anomaly flag."""
     total = C.row_sum(amounts)

@@ -191,47 +191,71 @@ def j_power(spark, sf_dir):
     return rounded(FE.power_features(wide(spark, sf_dir), "a2", TRAIN()).select("id", *_POWER_SQL))
 
 
-_YJ = ["a1", "a3"]
+# a2_up is the train-scaled a2 plus 1, as Box-Cox takes it; a2_far has its best lambda far outside [-2, 2]
+_POWERS = {"a1": "yeo-johnson", "a3": "yeo-johnson", "age": "yeo-johnson", "a2_up": "box-cox", "a2_far": "box-cox"}
+_POWER_EXTRA = {"a2_up": "(a2 - lo) / rng + 1.0", "a2_far": "(a2 - lo) / rng + 10.0"}
 
 
-def _yj_sql(v: str, lam: str) -> str:
-    return (f"CASE WHEN {v} >= 0 THEN (CASE WHEN {lam} = 0 THEN ln(1 + {v}) ELSE (pow({v} + 1.0, {lam}) - 1.0) / {lam} END) "
-            f"ELSE (CASE WHEN {lam} = 2 THEN -ln(1 - {v}) ELSE -(pow(1.0 - {v}, 2.0 - {lam}) - 1.0) / (2.0 - {lam}) END) END")
+def _kernel_sql(method: str, v: str, lam: str) -> str:
+    if method == "box-cox":
+        return f"CASE WHEN {v} > 0 THEN CASE WHEN {lam} = 0 THEN ln({v}) ELSE pow({v}, {lam}) / {lam} END END"
+    return (f"CASE WHEN {v} >= 0 THEN CASE WHEN {lam} = 0 THEN ln(1 + {v}) ELSE pow({v} + 1.0, {lam}) / {lam} END "
+            f"ELSE CASE WHEN {lam} = 2 THEN -ln(1 - {v}) ELSE -(pow(1.0 - {v}, 2.0 - {lam}) - 1.0) / (2.0 - {lam}) END + CASE WHEN {lam} = 0 THEN 0.0 ELSE 1.0 / {lam} END END")
 
 
-_YJ_FIT_SQL = """
-    g AS (SELECT i / 10.0 AS lam FROM range(-20, 21) t(i)),
-    x AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS v FROM w WHERE split = 'train' AND {c} IS NOT NULL" for c in _YJ) + """),
-    y AS (SELECT column_name, lam, v, """ + _yj_sql("v", "lam") + """ AS y FROM x, g),
-    a AS (SELECT column_name, lam, count(*) AS n, sum(y) AS s, sum(y * y) AS q, sum(sign(v) * ln(1 + abs(v))) AS j
-          FROM y GROUP BY column_name, lam),
-    l AS (SELECT column_name, lam, s / n AS mean, q / n - (s / n) * (s / n) AS var,
-                 -n / 2.0 * ln(q / n - (s / n) * (s / n)) + (lam - 1.0) * j AS llf FROM a),
-    best AS (SELECT column_name, arg_max(lam, llf) AS lam, arg_max(mean, llf) AS mean, arg_max(sqrt(var), llf) AS std
-             FROM l GROUP BY column_name)"""
+def _power_fit_sql(columns: dict[str, str], rows: str, moves: int = 1) -> str:
+    """CTEs up to ``fitted`` (column_name, method, lam, center, std): the likelihood of every candidate, round by round.
+
+    ``moves`` is how often the coarse grid may move to its outermost candidate.
+    """
+    x = " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{m}' AS method, CAST({c} AS DOUBLE) AS v FROM {rows} WHERE {c} IS NOT NULL" for c, m in columns.items())
+    kernel = f"CASE method WHEN 'box-cox' THEN {_kernel_sql('box-cox', 'v', 'lam')} ELSE {_kernel_sql('yeo-johnson', 'v', 'lam')} END"
+    ctes = [f"px AS MATERIALIZED ({x})", "pj AS (SELECT column_name, method, count(*) AS n, sum(CASE method WHEN 'box-cox' THEN ln(v) ELSE sign(v) * ln(1 + abs(v)) END) AS j FROM px GROUP BY ALL)",
+            "p0 AS (SELECT column_name, 0.0::DOUBLE AS lam FROM pj)"]
+    rounds = [("1.0", TR.FIRST_STEPS)] * moves + [(f"(1.0 / {8 ** k}.0)", TR.LATER_STEPS) for k in range(1, TR.ROUNDS + 1)]
+    for k, (step, steps) in enumerate(rounds):
+        ctes.append(f"""p{k + 1} AS MATERIALIZED (SELECT column_name, arg_max(lam, llf) AS lam FROM (
+            SELECT column_name, lam, -any_value(n) / 2.0 * ln(var_pop({kernel})) + (lam - 1.0) * any_value(j) AS llf
+            FROM (SELECT column_name, lam + i * {step} AS lam FROM p{k}, range({steps[0]}, {steps[-1] + 1}) t(i)) JOIN pj USING (column_name) JOIN px USING (column_name, method)
+            GROUP BY column_name, lam) GROUP BY column_name)""")
+    ctes.append(f"fitted AS MATERIALIZED (SELECT column_name, method, lam, avg({kernel}) AS center, stddev_pop({kernel}) AS std FROM px JOIN p{len(rounds)} USING (column_name) GROUP BY ALL)")
+    return ",\n    ".join(ctes)
+
+
+_POWER_ROWS_SQL = f"pw AS (SELECT w.*, {', '.join(f'{e} AS {n}' for n, e in _POWER_EXTRA.items())} FROM w, mm), pt AS (SELECT * FROM pw WHERE split = 'train')"
+_POWER_FIT_SQL = f"{_MM}, {_POWER_ROWS_SQL}, {_power_fit_sql(_POWERS, 'pt', moves=9)}"
+
+
+def _power_rows(spark, sf_dir):
+    w = TR.minmax_scale(wide(spark, sf_dir), ["a2"], TRAIN())
+    return w.withColumns({"a2_up": F.col("a2_mm") + 1.0, "a2_far": F.col("a2_mm") + 10.0})
 
 
 @register(
     "j_power_fit", "J10",
-    sql="WITH " + _YJ_FIT_SQL + " SELECT column_name, round(lam, 6) AS lambda, round(mean, 6) AS mean, round(std, 6) AS std FROM best",
+    sql=f"WITH {_POWER_FIT_SQL} SELECT column_name, method, round(lam, 6) AS lambda FROM fitted",
 )
 def j_power_fit(spark, sf_dir):
-    """Yeo-Johnson lambda by maximum likelihood over a grid, every candidate in one aggregate."""
-    return rounded(TR.fit_yeo_johnson(wide(spark, sf_dir), _YJ, TRAIN()))
+    """Lambda of Yeo-Johnson and Box-Cox by maximum likelihood, also far outside [-2, 2]."""
+    fits = TR.fit_power(_power_rows(spark, sf_dir), _POWERS, TRAIN())
+    rows = [(c, f.method, f.lam) for c, f in fits.items()]
+    return rounded(spark.createDataFrame(rows, "column_name string, method string, lambda double"))
+
+
+_APPLIED = ["a1", "a3", "age", "a2_up"]
 
 
 @register(
     "j_power_apply", "J10",
-    sql="WITH " + _YJ_FIT_SQL + ", p AS (SELECT * FROM best) SELECT id, " + ", ".join(
-        f"round(CASE WHEN {c} IS NULL THEN NULL ELSE coalesce(({_yj_sql(c, f'b{i}.lam')} - b{i}.mean) / "
-        f"CASE WHEN b{i}.std = 0 THEN 1.0 ELSE b{i}.std END, 0.0) END, 6) AS {c}_yj" for i, c in enumerate(_YJ))
-        + " FROM w, " + ", ".join(f"(SELECT * FROM p WHERE column_name = '{c}') b{i}" for i, c in enumerate(_YJ)),
+    sql=f"WITH {_POWER_FIT_SQL} SELECT id, " + ", ".join(
+        f"round(CASE WHEN {c} IS NOT NULL THEN coalesce(({_kernel_sql(_POWERS[c], c, f'f{i}.lam')} - f{i}.center) / f{i}.std, 0.0) END, 6) AS {c}_power" for i, c in enumerate(_APPLIED))
+        + " FROM pw, " + ", ".join(f"(SELECT * FROM fitted WHERE column_name = '{c}') f{i}" for i, c in enumerate(_APPLIED)),
 )
 def j_power_apply(spark, sf_dir):
-    """The standardised Yeo-Johnson transform with the fitted lambda."""
-    w = wide(spark, sf_dir)
-    fitted = TR.fit_yeo_johnson(w, _YJ, TRAIN())
-    return rounded(TR.apply_yeo_johnson(w, fitted, _YJ).select("id", *[f"{c}_yj" for c in _YJ]))
+    """The standardised transforms with the fitted lambdas, on train and test rows."""
+    w = _power_rows(spark, sf_dir)
+    fits = TR.fit_power(w, {c: _POWERS[c] for c in _APPLIED}, TRAIN())
+    return rounded(w.select("id", *[TR.power_column(c, fits[c]).alias(f"{c}_power") for c in _APPLIED]))
 
 
 @register(
@@ -467,11 +491,34 @@ def j_tfidf_transform(spark, sf_dir):
 _UFOLD = sql_hash_bucket(10, "id", seed=42)
 
 
+_BX, _YJ = ("bx_cx_a2", "box-cox", "(a2 - lo) / rng + 1.0"), ("y_J_a2", "yeo-johnson", "a2")
+_NINE = ["a2", "log_a2", "sqrt_a2", "bx_cx_a2", "y_J_a2", "pow_a2", "pow2_a2", "log_pow2_a2"]
+
+
+def _nine_sql() -> str:
+    """CTEs up to ``nine``: the eight variants, Gram matrix, power iteration and the first component."""
+    fitted = {n: f"CASE WHEN a2 IS NULL THEN 0.0 ELSE coalesce(({_kernel_sql(m, e, f'{n}_f.lam')} - {n}_f.center) / {n}_f.std, 0.0) END" for n, m, e in (_BX, _YJ)}
+    every = _POWER_SQL | fitted
+    sums = "[" + ", ".join("[" + ", ".join(f"sum(x[{i + 1}] * x[{j + 1}])" for j in range(8)) + "]" for i in range(8)) + "]"
+    ctes = [
+        "ut AS (SELECT w.*, (a2 - lo) / rng + 1.0 AS bx_cx_a2, a2 AS y_J_a2, lo, rng FROM w, mm WHERE split = 'train')",
+        _power_fit_sql({n: m for n, m, _ in (_BX, _YJ)}, "ut"),
+        f"""eight AS MATERIALIZED (SELECT id, y, {_UFOLD} AS fold, [{", ".join(every[n] for n in _NINE)}] AS x FROM (SELECT id, y, a2, lo, rng FROM ut),
+            (SELECT * FROM fitted WHERE column_name = 'bx_cx_a2') bx_cx_a2_f, (SELECT * FROM fitted WHERE column_name = 'y_J_a2') y_J_a2_f)""",
+        f"gram AS MATERIALIZED (SELECT {sums} AS g FROM eight)",
+        "u0 AS (SELECT [1.0::DOUBLE, 1, 1, 1, 1, 1, 1, 1] AS u)",
+    ]
+    for k in range(12):
+        ctes.append(f"u{k + 1} AS MATERIALIZED (SELECT list_transform(h, lambda q: q / sqrt(list_dot_product(h, h))) AS u FROM (SELECT list_transform(g, lambda r: list_dot_product(r, u)) AS h FROM gram, u{k}))")
+    ctes.append("nine AS MATERIALIZED (SELECT id, y, fold, list_append(x, list_dot_product(x, u)) AS x FROM eight, u12)")
+    return ",\n    ".join(ctes)
+
+
 @register(
     "j_univariate_winner", "J26",
     sql=f"""
-    WITH {_MM}, t AS (SELECT id, y, {_UFOLD} AS fold, a2, lo, rng FROM w, mm WHERE split = 'train'),
-    l AS ({" UNION ALL ".join(f"SELECT '{n}' AS v, {k} AS place, fold, CAST(y AS DOUBLE) AS y, {e} AS x FROM t" for k, (n, e) in enumerate(_POWER_SQL.items()))}),
+    WITH {_MM}, {_nine_sql()},
+    l AS ({" UNION ALL ".join(f"SELECT '{n}' AS v, {k} AS place, fold, CAST(y AS DOUBLE) AS y, x[{k + 1}] AS x FROM nine" for k, n in enumerate([*_NINE, 'a2_pca_comb']))}),
     pf AS (SELECT v, fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * y) AS sxy FROM l GROUP BY v, fold),
     tot AS (SELECT v, sum(n) AS tn, sum(sx) AS tsx, sum(sy) AS tsy, sum(sxy) AS tsxy FROM pf GROUP BY v),
     dir AS (SELECT pf.v, pf.fold, sign((tsxy - sxy) - (tsx - sx) * (tsy - sy) / (tn - n)) AS d FROM pf JOIN tot USING (v)),
@@ -484,6 +531,17 @@ _UFOLD = sql_hash_bucket(10, "id", seed=42)
            row_number() OVER (ORDER BY floor(a * 1e9 + 0.5) DESC, place) = 1 AS winner FROM acc JOIN o USING (v)""",
 )
 def j_univariate_winner(spark, sf_dir):
-    """10-fold one-feature logistic accuracy of a2 and its power variants, the winner and (the others) the drop list."""
-    w = FE.power_features(wide(spark, sf_dir), "a2", TRAIN()).filter(TRAIN()).withColumn("fold", C.hash_bucket(10, "id", seed=42))
-    return rounded(FE.univariate_cv_accuracy(w, {n: F.col(n) for n in _POWER_SQL}, "y", "fold"))
+    """10-fold one-feature logistic accuracy of a2 and its eight variants, the winner and (the others) the drop list."""
+    w, names = FE.all_power_features(wide(spark, sf_dir).select("id", "y", "split", "a2"), "a2", TRAIN())
+    w = w.filter(TRAIN()).withColumn("fold", C.hash_bucket(10, "id", seed=42))
+    return rounded(FE.univariate_cv_accuracy(w, {n: F.col(n) for n in names}, "y", "fold"))
+
+
+@register(
+    "j_component", "J26",
+    sql=f"WITH {_MM}, {_nine_sql()} SELECT id, " + ", ".join(f"round(x[{k + 1}], 6) AS {n}" for k, n in enumerate([*_NINE, "a2_pca_comb"])) + " FROM nine",
+)
+def j_component(spark, sf_dir):
+    """The nine variants of a2 on the train rows: fitted power transforms and the first component among them."""
+    w, names = FE.all_power_features(wide(spark, sf_dir).select("id", "y", "split", "a2"), "a2", TRAIN())
+    return rounded(w.where(TRAIN()).select("id", *names))

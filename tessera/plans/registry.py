@@ -34,6 +34,7 @@ CATALOG_MODULES = [
     "tessera.plans.catalog_clean",
     "tessera.plans.catalog_impute",
     "tessera.plans.catalog_joins",
+    "tessera.plans.catalog_neighbours",
     "tessera.plans.catalog_aggregate",
     "tessera.plans.catalog_group",
     "tessera.plans.catalog_topk",
