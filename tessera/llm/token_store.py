@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.operators.core import lookup, running_totals
+from tessera.operators.core import lookup, materialize, running_totals
 
 #: Id at the end of each document; ids of a block; uses that a rule must have; symbols from mark to mark.
 END, BLOCK, LEAST, MARK = 2, 1 << 20, 16, 1024
@@ -239,10 +239,11 @@ class Encoder:
 
     def encode(self, text: bytes) -> bytes:
         """Ids of a text, as 32-bit numbers."""
-        text = text.decode()
-        if self.by_piece and _WORD.fullmatch(text):  # one pre-token: no need to search for others
-            return array("I", [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(_BYTE_LETTERS))]).tobytes()
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        whole = text.decode()
+        if self.by_piece and _WORD.fullmatch(whole):  # one pre-token: no need to search for others
+            letters = whole.replace(" ", _BYTE_LETTERS[32]) if whole.isascii() else text.decode("latin-1").translate(_BYTE_LETTERS)
+            return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+        return array("I", self.tokenizer.encode(whole, add_special_tokens=False).ids).tobytes()
 
     def pieces(self, texts: list[bytes]) -> list[bytes]:
         """Ids of different pieces."""
@@ -278,7 +279,8 @@ class Encoder:
         used = coded.indices.to_numpy()
         n = size[used]
         total = np.concatenate([[0], np.cumsum(n)])
-        ids = pool[np.repeat(begin[used] - total[:-1], n) + np.arange(total[-1])]
+        kind = np.int32 if total[-1] < 2**31 else np.int64
+        ids = pool[np.repeat((begin[used] - total[:-1]).astype(kind), n) + np.arange(total[-1], dtype=kind)]
         of = np.searchsorted(cuts, at)  # pieces before each text
         return ids, total[of[1:]] - total[of[:-1]]
 
@@ -452,6 +454,7 @@ def read_documents(blocks: DataFrame) -> DataFrame:
     pieces = blocks.select("part", "block", "opened", "closes", "doc_ids", "doc_n", "payload").mapInArrow(
         _pieces, "doc_id long, part int, block int, opened int, whole boolean, place long, n_tokens long, crc long"
     )
+    pieces = materialize(pieces, "token-pieces")  # a narrow row a document, read twice: blocks are decoded once
     sums = running_totals(blocks.select("part", "block", "n_ids"), ["part", "block"], [], ["n_ids"])
     firsts = sums.select("part", "block", (F.col("cum_n_ids") - F.col("n_ids")).alias("first"))
     pieces = lookup(pieces, firsts, ["part", "block"], "inner").withColumn("start", F.col("first") + F.col("place"))
