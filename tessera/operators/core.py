@@ -201,13 +201,15 @@ def running_totals(
     prefix: str = "cum_",
     num_partitions: int | None = None,
     many_groups: bool = False,
+    total_prefix: str | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``columns`` in ``order`` inside each ``by`` group.
 
     Same layout as :func:`ordered_index`: range partitioning (so one large
     group is spread over many tasks), running sums inside each range, and
     per-range totals turned into offsets by a window over the small table of
-    ranges.  ``order`` must be a total order within ``by``.
+    ranges.  ``order`` must be a total order within ``by``.  With ``total_prefix`` the
+    sums of the whole group come along (from the table of ranges, at no other join).
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -219,7 +221,8 @@ def running_totals(
     s = s.withColumns({f"__r_{c}": F.sum(c).over(w_in) for c in columns})
     tot = s.groupBy("__pid", *by).agg(*[F.sum(c).alias(f"__t_{c}") for c in columns])
     w_prev = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(w_prev), F.lit(0)).alias(f"__o_{c}") for c in columns])
+    whole = [F.sum(f"__t_{c}").over(Window.partitionBy(*by)).alias(f"{total_prefix}{c}") for c in columns] if total_prefix else []
+    offs = tot.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{c}").over(w_prev), F.lit(0)).alias(f"__o_{c}") for c in columns], *whole)
     out = lookup(s, offs, ["__pid", *by], how="inner", null_safe=True, bound=None if many_groups else offs.count())
     out = out.withColumns({f"{prefix}{c}": F.col(f"__r_{c}") + F.col(f"__o_{c}") for c in columns})
     return out.drop("__pid", *[f"__{k}_{c}" for c in columns for k in ("r", "o")])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
-from tessera.operators.core import explode_folds, lookup, with_scalars
+from tessera.operators.core import explode_folds, lookup, materialize, with_scalars
 
 
 def missing_indicators(df: DataFrame, columns: Sequence[str], suffix: str = "Missing") -> DataFrame:
@@ -195,24 +195,15 @@ class SpendStats:
     fold_key: str | None
 
 
-def fit_hier_global(src: DataFrame, amounts: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Global and positive-only medians of every amount (fallbacks of D13), one row (per key).
+def _global_values(amounts: Sequence[str]) -> list:
+    return [*amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in amounts]]
 
-    gmed = median (0 if none); pmed = median of the positive values (else the
-    median, else 0).  All from one position pass over the unpivoted amounts.
-    """
-    from tessera.operators.profile import exact_quantiles
 
-    vals = [*amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in amounts]]
-    q = exact_quantiles(src, vals, [0.5], by=list(keys))
-    names = [*amounts, *[f"pos_{a}" for a in amounts]]
-    base = src.select(*keys).distinct() if keys else src.sparkSession.range(1).select()
-    wide = q.groupBy(*keys).pivot("variable", names).agg(F.first("q0"))
-    wide = base.join(wide, list(keys), "left") if keys else base.withColumn("__one", F.lit(1)).join(
-        F.broadcast(wide.withColumn("__one", F.lit(1))), "__one", "left").drop("__one")
-    finals = [F.coalesce(F.col(a), F.lit(0.0)).alias(f"gmed_{a}") for a in amounts]
-    finals += [F.coalesce(F.col(f"pos_{a}"), F.col(a), F.lit(0.0)).alias(f"pmed_{a}") for a in amounts]
-    return wide.select(*keys, *finals)
+def _global_finals(amounts: Sequence[str]) -> list[Column]:
+    """gmed = median (0 if none); pmed = median of the positive values (else the median, else 0)."""
+    return [F.coalesce(F.col(a), F.lit(0.0)).alias(f"gmed_{a}") for a in amounts] + [
+        F.coalesce(F.col(f"pos_{a}"), F.col(a), F.lit(0.0)).alias(f"pmed_{a}") for a in amounts
+    ]
 
 
 def fit_hier_medians(
@@ -226,27 +217,40 @@ def fit_hier_medians(
 ) -> SpendStats:
     """Medians of every amount at every key level, plus global and positive-only medians.
 
-    A null key value is a level of its own.  Each level is one position pass
-    over the unpivoted amounts (exact medians without a per-group value map
+    A null key value is a level of its own.  All levels and the global medians are one
+    pass (:func:`profile.level_quantiles`, exact medians without a per-group value map
     in one task), pivoted back to one column per amount.  With
     ``fold_col``/``k`` the statistics are fitted for every fold at once on the
     rows outside that fold (rows copied k-1 times, which exact medians need;
     additive statistics elsewhere avoid the copies).
     """
-    from tessera.operators.profile import exact_quantiles
+    from tessera.operators.profile import level_quantiles
 
     src = df.filter(fit_on) if fit_on is not None else df
     fkey: list[str] = []
     if fold_col is not None:
         src = explode_folds(src, fold_col, int(k))
         fkey = ["fit_fold"]
-    level_tables = []
-    for i, lvl in enumerate(levels):
-        q = exact_quantiles(src, list(amounts), [0.5], by=[*fkey, *lvl], many_groups=True)
-        t = q.groupBy(*fkey, *lvl).pivot("variable", list(amounts)).agg(F.first("q0"))
-        level_tables.append(t.select(*fkey, *lvl, *[F.col(a).alias(f"med{i}_{a}") for a in amounts]))
-    glob = fit_hier_global(src, amounts, fkey) if with_global else None
-    return SpendStats(list(amounts), [list(lv) for lv in levels], level_tables, glob, fold_col and "fit_fold")
+    asked = [(lvl, list(amounts)) for lvl in levels] + ([([], _global_values(amounts))] if with_global else [])
+    found = materialize(level_quantiles(src, asked, [0.5], by=fkey), "medians")
+    return spend_stats(src, found, amounts, levels, fkey, with_global)
+
+
+def spend_stats(
+    src: DataFrame, found: DataFrame, amounts: Sequence[str], levels: Sequence[Sequence[str]], fkey: Sequence[str], with_global: bool = True
+) -> SpendStats:
+    """The statistics of D12 from written ``level_quantiles`` rows (``q0`` the median), global values in the level after the last."""
+    from tessera.operators.profile import level_table
+
+    tables = [level_table(found, i, lvl, {a: f"med{i}_{a}" for a in amounts}, by=fkey) for i, lvl in enumerate(levels)]
+    glob = None
+    if with_global:
+        names = {n: n for n in [*amounts, *[f"pos_{a}" for a in amounts]]}
+        wide = level_table(found, len(levels), [], names, by=fkey)
+        if fkey:  # a fold without any value has no quantiles
+            wide = src.select(*fkey).distinct().join(wide, list(fkey), "left")
+        glob = wide.select(*fkey, *_global_finals(amounts))
+    return SpendStats(list(amounts), [list(lv) for lv in levels], tables, glob, fkey[0] if fkey else None)
 
 
 def apply_hier_medians(

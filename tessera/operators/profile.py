@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.core import attach_row, lookup, ordered_index, running_totals
+from tessera.operators.core import attach_row, lookup, materialize, ordered_index, running_totals
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -208,23 +208,57 @@ def exact_quantiles(
     row per (by, variable) with columns ``q0, q1, ...`` in the order of ``qs``.  A
     null group key is a group; nulls in the values are ignored.
     """
-    exprs = [(v, F.col(v)) if isinstance(v, str) else v for v in values]
     keys = [*by, "__var"]
     long = df.select(*by, F.explode(F.array(*[
-        F.struct(F.lit(n).alias("__var"), e.cast("double").alias("__x")) for n, e in exprs
+        F.struct(F.lit(n).alias("__var"), e.cast("double").alias("__x")) for n, e in _named(values)
     ])).alias("__s")).select(*by, "__s.__var", "__s.__x").filter(F.col("__x").isNotNull())
     counts = long.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__t"))
-    run = running_totals(counts, ["__x"], keys, ["__t"], many_groups=many_groups)
-    sizes = run.groupBy(*keys).agg(F.sum("__t").alias("__n"))
-    run = lookup(run, sizes, keys, how="inner", null_safe=True)
+    return _quantiles_of_counts(counts, keys, qs, many_groups).withColumnRenamed("__var", "variable")
+
+
+def _named(values: Sequence[str | tuple[str, Column]]) -> list[tuple[str, Column]]:
+    return [(v, F.col(v)) if isinstance(v, str) else v for v in values]
+
+
+def _quantiles_of_counts(counts: DataFrame, keys: Sequence[str], qs: Sequence[float], many_groups: bool) -> DataFrame:
+    """``keys, n, q0, q1, ...`` from counts ``__t`` per (keys, value ``__x``)."""
+    # range partitioning samples its input: written once, it isn't computed twice
+    run = running_totals(materialize(counts, "counts"), ["__x"], list(keys), ["__t"], many_groups=many_groups, total_prefix="__all")
 
     def at(position: Column) -> Column:
         here = (F.col("cum___t") - F.col("__t") < position) & (position <= F.col("cum___t"))
         return F.max(F.when(here, F.col("__x")))
 
-    aggs, outs = [], []
+    aggs, outs = [F.first("__all__t").alias("__n")], []
     for i, q in enumerate(qs):
-        h = (F.col("__n") - 1) * F.lit(float(q))
+        h, n = (F.col("__all__t") - 1) * F.lit(float(q)), (F.col("__n") - 1) * F.lit(float(q))
         aggs += [at(F.floor(h) + 1).alias(f"__lo{i}"), at(F.ceil(h) + 1).alias(f"__hi{i}")]
-        outs.append((F.col(f"__lo{i}") + (h - F.floor(h)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
-    return run.groupBy(*keys, "__n").agg(*aggs).select(*by, F.col("__var").alias("variable"), F.col("__n").alias("n"), *outs)
+        outs.append((F.col(f"__lo{i}") + (n - F.floor(n)) * (F.col(f"__hi{i}") - F.col(f"__lo{i}"))).alias(f"q{i}"))
+    return run.groupBy(*keys).agg(*aggs).select(*keys, F.col("__n").alias("n"), *outs)
+
+
+def level_quantiles(
+    df: DataFrame, levels: Sequence[tuple[Sequence[str], Sequence[str | tuple[str, Column]]]], qs: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`exact_quantiles` of several groupings at once: one unpivot, one count, one pass over the positions.
+
+    ``levels`` are (group keys, values) pairs, the keys none for a global quantile.  Returns a row per group with
+    ``level`` (its place in ``levels``, from 0), ``by``, every key of any level (null where the level has it not),
+    ``variable``, ``n`` and ``q0, q1, ...``.
+    """
+    names = list(dict.fromkeys(k for keys, _ in levels for k in keys))
+    kinds = dict(df.dtypes)
+    parts = []
+    for i, (keys, values) in enumerate(levels):
+        own = [(F.col(k) if k in keys else F.lit(None).cast(kinds[k])).alias(k) for k in names]
+        parts += [F.struct(F.lit(i).alias("level"), *own, F.lit(n).alias("variable"), e.cast("double").alias("__x")) for n, e in _named(values)]
+    long = df.select(*by, F.explode(F.array(*parts)).alias("__s")).select(*by, "__s.*").filter(F.col("__x").isNotNull())
+    keys = [*by, "level", *names, "variable"]
+    counts = long.groupBy(*keys, "__x").agg(F.count(F.lit(1)).alias("__t"))
+    return _quantiles_of_counts(counts, keys, qs, many_groups=True)
+
+
+def level_table(found: DataFrame, level: int, keys: Sequence[str], columns: dict[str, str], by: Sequence[str] = ()) -> DataFrame:
+    """One level of written :func:`level_quantiles` rows, a column for each variable: ``columns`` maps variable -> name (of its ``q0``)."""
+    wide = [F.max(F.when(F.col("variable") == v, F.col("q0"))).alias(n) for v, n in columns.items()]
+    return found.where(F.col("level") == level).groupBy(*by, *keys).agg(*wide)

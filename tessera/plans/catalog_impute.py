@@ -229,16 +229,15 @@ def d_hier_median_fit(spark, sf_dir):
     """The fitted level medians of every amount, one row per (level, key); null key = own level."""
     r = CF.Roles()
     df = CF.prepared(wide(spark, sf_dir), r)
-    train = df.filter(F.col("split") == "train")
+    train = materialize(df.filter(F.col("split") == "train"), "prepared")
+    from tessera.operators.profile import level_quantiles, level_table
+
+    found = materialize(level_quantiles(train, [(keys, A) for keys in r.levels], [0.5]), "medians")
     out = None
     for i, keys in enumerate(r.levels):
-        from tessera.operators.profile import exact_quantiles
-
         cnt = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        q = exact_quantiles(train, A, [0.5], by=keys, many_groups=True)
-        med = q.groupBy(*keys).pivot("variable", A).agg(F.first("q0"))
-        t = lookup(cnt, med, keys, null_safe=True)
-        t = t.select(F.lit(i + 1).alias("level"), C.lookup_key(*keys).alias("level_key"), "n", *[F.col(a).alias(f"med_{a}") for a in A])
+        t = lookup(cnt, level_table(found, i, keys, {a: f"med_{a}" for a in A}), keys, null_safe=True)
+        t = t.select(F.lit(i + 1).alias("level"), C.lookup_key(*keys).alias("level_key"), "n", *[f"med_{a}" for a in A])
         out = t if out is None else out.unionByName(t)
     return rounded(out)
 

@@ -22,8 +22,9 @@ from tessera.functions import columns as C
 from tessera.operators import clean as CL
 from tessera.operators import impute as IM
 from tessera.operators.binning import apply_quantile_bins, edge_quantiles, edges_expr
-from tessera.operators.profile import exact_quantiles
 from tessera.operators.core import lookup, materialize, with_scalars
+from tessera.operators.folds import fold_frame
+from tessera.operators.profile import level_quantiles, level_table
 
 
 @dataclass
@@ -67,8 +68,8 @@ def age_group(c: Column) -> Column:
     return F.coalesce(out.when(c >= lo, AGE_LABELS[-1]), F.lit("Unknown"))
 
 
-def prepare(df: DataFrame, r: Roles = Roles()) -> DataFrame:
-    """Clean, key parts, indicators, group fill and rule steps (row-local + one group fill)."""
+def typed(df: DataFrame, r: Roles = Roles()) -> DataFrame:
+    """Clean, key parts and indicators: the row-local steps."""
     df = CL.clean_strings(df)
     df = CL.normalize_booleans(df, [r.flag, r.vip])
     group, member = C.split_id(r.id)
@@ -77,7 +78,12 @@ def prepare(df: DataFrame, r: Roles = Roles()) -> DataFrame:
         "group_id": group, "member": member, "deck": deck, "num": num, "side": side,
         "surname": C.last_token(r.name),
     })
-    df = IM.missing_indicators(df, r.indicator_sources)
+    return IM.missing_indicators(df, r.indicator_sources)
+
+
+def prepare(df: DataFrame, r: Roles = Roles()) -> DataFrame:
+    """Clean, key parts, indicators, group fill and rule steps (row-local + one group fill)."""
+    df = typed(df, r)
     # the group fill reads the rows twice (group table + join): compute them once
     df = materialize(df, "rows")
     df = IM.group_consistent_fill(df, ["split", "group_id"], [r.home, r.vip, r.dest])
@@ -103,8 +109,10 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     half = qs.index(0.5)
     variables = [r.age, *r.amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in r.amounts], "num"]
     names = [r.age, *r.amounts, *[f"pos_{a}" for a in r.amounts], "num"]
-    q = exact_quantiles(fit, variables, qs)
-    wide = q.groupBy().pivot("variable", names).agg(F.first(F.array(*[F.col(f"q{i}") for i in range(len(qs))])))
+    # the amounts' level medians, in one pass with them
+    found = materialize(level_quantiles(fit, [*[(lvl, r.amounts) for lvl in r.levels], ([], variables)], qs), "quantiles")
+    every = found.withColumn("q0", F.array(*[F.col(f"q{i}") for i in range(len(qs))]))
+    wide = level_table(every, len(r.levels), [], {n: n for n in names})
     num_stats = fit.agg(F.count_distinct("num").alias("__nd"), F.min("num").alias("__lo"), F.max("num").alias("__hi"))
     glob = num_stats.withColumn("__one", F.lit(1)).join(F.broadcast(wide.withColumn("__one", F.lit(1))), "__one", "left")
     med = {n: F.get(F.col(n), half) for n in names}
@@ -114,7 +122,7 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
         *[F.coalesce(med[f"pos_{a}"], med[a], F.lit(0.0)).alias(f"pmed_{a}") for a in r.amounts],
         edges_expr({v: F.get(F.col("num"), i) for i, v in enumerate(qs)}, 5).alias("edges"),
     )
-    spend = IM.fit_hier_medians(df, r.amounts, r.levels, fit_on=train, with_global=False)
+    spend = IM.spend_stats(fit, found.withColumn("q0", F.col(f"q{half}")), r.amounts, r.levels, [], with_global=False)
     surname_freq = (
         df.filter(train & F.col("surname").isNotNull()).groupBy("surname").agg(F.count(F.lit(1)).alias("surname_freq"))
     )
@@ -136,6 +144,48 @@ def build(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     return add_features(df, r)
 
 
+def build_folds(df: DataFrame, fold: str, k: int, r: Roles = Roles()) -> DataFrame:
+    """K6: the common frame of every row as its own fold sees it: all statistics from the rows of the other folds.
+
+    Each row is copied to every fold's split once (``fit_fold``, role train or valid) and every statistic is fitted for
+    all folds at once, keyed by ``fit_fold``: group sizes and fill values, then on the filled rows all medians and
+    bin edges in one pass, surname counts.  Only valid copies are returned.
+    """
+    rows = fold_frame(materialize(typed(df, r), "rows"), fold, k)
+    fitted = F.col("role") == "train"
+    one = lambda c: F.when(F.min(c) == F.max(c), F.min(c))
+    filled = [r.home, r.vip, r.dest]
+    groups = rows.where(fitted).groupBy("fit_fold", "group_id").agg(F.count(F.lit(1)).alias("group_size"), *[one(c).alias(f"__f_{c}") for c in filled])
+    rows = lookup(rows, groups, ["fit_fold", "group_id"], null_safe=True)
+    rows = rows.withColumns({c: F.coalesce(F.col(c), F.col(f"__f_{c}")) for c in filled} | {"group_size": F.coalesce("group_size", F.lit(1)).cast("bigint")})
+    rows = IM.enforce_flag_zero(IM.infer_flag(rows.drop(*[f"__f_{c}" for c in filled]), r.flag, r.amounts, r.age), r.flag, r.amounts)
+    rows = materialize(IM.range_guard(rows, r.age, 0.0, 100.0, flag="age_out_of_range"), "fold-rows")
+    fit = rows.where(fitted)
+    qs = sorted({0.5, *edge_quantiles(5)})
+    half = qs.index(0.5)
+    names = [*r.amounts, *[f"pos_{a}" for a in r.amounts], r.age, "num"]
+    variables = [*r.amounts, *[(f"pos_{a}", F.when(F.col(a) > 0, F.col(a))) for a in r.amounts], r.age, "num"]
+    found = materialize(level_quantiles(fit, [*[(lvl, r.amounts) for lvl in r.levels], ([], variables)], qs, by=["fit_fold"]), "fold-quantiles")
+    medians = found.withColumn("q0", F.col(f"q{half}"))
+    stats = IM.spend_stats(fit, medians, r.amounts, r.levels, ["fit_fold"])
+    every = found.withColumn("q0", F.array(*[F.col(f"q{i}") for i in range(len(qs))]))
+    wide = level_table(every, len(r.levels), [], {n: f"__{n}" for n in names}, by=["fit_fold"])
+    spread = fit.groupBy("fit_fold").agg(F.count_distinct("num").alias("__nd"), F.min("num").alias("__lo"), F.max("num").alias("__hi"))
+    glob = spread.join(wide, "fit_fold", "left").select(
+        "fit_fold", F.get(F.col(f"__{r.age}"), half).alias("age_median"), edges_expr({v: F.get(F.col("__num"), i) for i, v in enumerate(qs)}, 5).alias("edges")
+    )
+    freq = fit.where(F.col("surname").isNotNull()).groupBy("fit_fold", "surname").agg(F.count(F.lit(1)).alias("surname_freq"))
+    out = lookup(lookup(rows.where(~fitted), glob, ["fit_fold"], bound=k), freq, ["fit_fold", "surname"])
+    out = IM.apply_hier_medians(out.drop("fit_fold"), stats, r.flag, fold_col=fold, k=k)
+    out = apply_quantile_bins(out, "num", None, "num_bin", label_prefix="Bin_", missing_label="Bin_Missing")
+    out = out.withColumns({
+        r.age: F.coalesce(F.col(r.age), F.col("age_median")), "surname_freq": F.coalesce(F.col("surname_freq"), F.lit(0)).cast("bigint"),
+        "member": F.coalesce(F.col("member"), F.lit(-1)), "num": F.coalesce(F.col("num"), F.lit(-1.0)),
+        **{c: F.coalesce(F.col(c), F.lit("Unknown")) for c in [r.home, r.flag, r.dest, r.vip, "deck", "side", "surname", r.name, r.code]},
+    })
+    return add_features(out, r)
+
+
 def add_features(df: DataFrame, r: Roles = Roles()) -> DataFrame:
     """Amount, age, structure and interaction features (one projection)."""
     total = C.row_sum(r.amounts)
