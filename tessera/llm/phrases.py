@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
+from tessera.llm.common import arrow_batches
 from tessera.operators.core import lookup, materialize
 
 #: Occurrences that a phrase needs, its most words, and the phrases reported for each language.
@@ -40,8 +41,8 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SAMPLE = 8
 #: Bits of the set of proposed phrases, a power of 2 up to 32 (8 MB).
 FILTER_BITS = 1 << 26
-#: Bytes of text that are counted at a time.
-SLICE = 8 << 20
+#: Bytes of text that are counted at a time (their arrays take some 60 times as many).
+SLICE = 2 << 20
 UNKNOWN = "und"
 _COUNTS = "lang string, k int, h long, phrase string, n long"
 _STOPS = b".,;:!?\n\x0b\x0c\r"
@@ -119,7 +120,7 @@ class Words:
         length = np.flatnonzero(stop) - first + 1
         breaks = kind == 2
         breaks[begins] = True
-        piece = np.cumsum(breaks)[first]
+        piece = np.cumsum(breaks, dtype=np.int32)[first]
         self.joined = piece[1:] == piece[:-1]
         ends = np.concatenate([[0], np.cumsum(length)])
         words = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(_LOWER[raw[in_word]])])
@@ -228,7 +229,8 @@ def _pass(docs: DataFrame, proposed: np.ndarray, counted: list[np.ndarray], leve
 
     found = docs.select("lang", "text").mapInArrow(run, _COUNTS)
     total = found.groupBy("lang", "k", "h", "phrase").agg(F.sum("n").alias("n"))
-    return materialize(total.where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+    with arrow_batches(docs.sparkSession):
+        return materialize(total.where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
 
 
 def _set_bits(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
