@@ -61,20 +61,15 @@ def ordinal_encode(df: DataFrame, columns: Sequence[str], levels: DataFrame, unk
 def one_hot(df: DataFrame, column: str, fit_on: Column | None = None, name: str | None = None) -> DataFrame:
     """One-hot with train levels, unseen/null -> all zeros, as an ``array<double>`` column.
 
-    Spark ML does the work: ``StringIndexer(handleInvalid="keep", alphabetAsc)``
-    fitted on the train rows + ``OneHotEncoder(dropLast=True)`` puts the
-    unseen slot last and drops it, which is exactly "unknown ignored".
+    Levels are numbered in their order (:func:`level_index`) and joined to the rows, so no level list passes
+    through the driver; only their number does, which is the width of the arrays.
     """
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    from pyspark.ml.functions import vector_to_array
-
     name = name or f"{column}_ohe"
-    src = df.filter(fit_on) if fit_on is not None else df
-    idx = StringIndexer(inputCol=column, outputCol="__idx", handleInvalid="keep", stringOrderType="alphabetAsc").fit(src)
-    enc = OneHotEncoder(inputCol="__idx", outputCol="__vec", dropLast=True)
-    indexed = idx.transform(df)
-    out = enc.fit(indexed).transform(indexed)
-    return out.withColumn(name, vector_to_array("__vec")).drop("__idx", "__vec")
+    levels = level_index(df, [column], fit_on).select(F.col("level").alias("__lv"), F.col("idx").alias("__idx"))
+    width = levels.count()
+    out = df.join(levels, F.col(column).cast("string") == F.col("__lv"), "left")
+    slots = F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.coalesce((i == F.col("__idx")).cast("double"), F.lit(0.0)))
+    return out.withColumn(name, slots if width else F.array().cast("array<double>")).drop("__lv", "__idx")
 
 
 def native_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:

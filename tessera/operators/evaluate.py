@@ -115,8 +115,11 @@ def threshold_scan(
     b = F.when(F.col(score) >= (b + 1) / F.lit(float(scale)), b + 1).when(F.col(score) < b / F.lit(float(scale)), b - 1).otherwise(b)
     b = F.least(F.greatest(b, F.lit(lo - 1)), F.lit(hi)).cast("int")
     per = df.where(F.col(score).isNotNull()).groupBy(*by, b.alias("b")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    grid = per.select(*by).distinct().withColumn("b", F.explode(F.sequence(F.lit(lo - 1), F.lit(hi))))
-    full = grid.join(per, [*by, "b"], "left").fillna(0.0, subset=["pos", "neg"])
+    # a key's buckets in one row, at most as many as the grid has; gaps of the grid are 0.  The windows keep that partitioning.
+    held = per.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("b", F.struct("pos", "neg")))).alias("__m"))
+    full = held.select(*by, "__m", F.explode(F.sequence(F.lit(lo - 1), F.lit(hi))).alias("b"))
+    cell = F.try_element_at("__m", F.col("b"))
+    full = full.select(*by, "b", *[F.coalesce(cell[c], F.lit(0.0)).alias(c) for c in ("pos", "neg")])
     w_rev = Window.partitionBy(*by).orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = Window.partitionBy(*by)
     t = full.select(

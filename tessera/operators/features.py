@@ -33,6 +33,20 @@ FEATURE_SETS: dict[str, list[str]] = {
     "knn": NUMERIC,
 }
 
+#: Every column that a branch may select.
+EVERY_FEATURE = ["member_no", "home", "dest", "vip", "flag", "code", "age", *AMOUNTS, "name"]
+
+#: Switchable column families of the boosted-tree branch (B9), on the common frame, and their defaults.
+OPTION_FAMILIES: dict[str, list[str]] = {
+    "include_group": ["group_size", "is_solo", "is_leader"],
+    "include_cabin": ["num", "deck_side", "num_bin"],
+    "include_spend": ["luxury", "basic", "luxury_share", "spend_per_active", "spend_count"],
+    "include_surname_features": ["surname_freq"],
+    "include_surname": ["surname"],
+}
+OPTION_DEFAULTS = {o: o != "include_surname" for o in OPTION_FAMILIES}
+OPTION_BASE = ["age", *AMOUNTS, "total", "spend_count", "home", "dest", "vip", "flag", "deck", "side", "age_group", "num_bin"]
+
 EXTRA_MODES = ["none", "logs_only", "summary_only", "all"]
 
 
@@ -40,6 +54,27 @@ def feature_columns(branch: str) -> list[str]:
     return list(FEATURE_SETS[branch])
 
 
+def feature_spec(branch: str, columns: Sequence[str]) -> dict[str, list[str]]:
+    """A branch's numeric, categorical and dropped columns among ``columns``; one that it selects and isn't there raises."""
+    chosen = feature_columns(branch)
+    absent = [c for c in chosen if c not in columns]
+    if absent:
+        raise ValueError(f"branch {branch} needs {absent}")
+    numeric = [c for c in chosen if c in NUMERIC]
+    return {"numeric": numeric, "categorical": [c for c in chosen if c not in NUMERIC], "dropped": [c for c in columns if c not in chosen]}
+
+
+def resolve_options(options: Mapping[str, object] | None) -> dict[str, bool]:
+    """The defaults with the known options switched; unknown names are ignored."""
+    return {o: bool(options[o]) if options and o in options else d for o, d in OPTION_DEFAULTS.items()}
+
+
+def optional_columns(options: Mapping[str, bool]) -> list[str]:
+    """The base columns and those of the families that are on, each once, in the order of first mention."""
+    names = [*OPTION_BASE, *[c for o, family in OPTION_FAMILIES.items() if options[o] for c in family]]
+    return list(dict.fromkeys(names))
+
+
 def extra_columns(mode: str, amounts: Sequence[str] = AMOUNTS) -> dict[str, Column]:
     """Extra numeric features by mode (none / logs_only / summary_only / all)."""
     logs = {f"{a}_log": C.log1p_clipped(a) for a in amounts}

@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import clean as CL
-from tessera.operators.core import attach_row
+from tessera.operators import features as FE
+from tessera.operators import profile as PR
+from tessera.operators.binning import apply_quantile_bins, fit_quantile_edges
+from tessera.operators.core import attach_row, materialize
 from tessera.operators.features import FEATURE_SETS, EXTRA_MODES, feature_columns, extra_columns
+from tessera.plans import common_frame as CF
+from tessera.plans.catalog_encode import _bin_sql, _edges_sql
+from tessera.plans.common_frame_sql import COMMON_FRAME_SQL
 from tessera.plans.registry import register
+from tessera.plans.sqlparts import keyed, with_wk
 from tessera.plans.util import rounded
-from tessera.sources.fixtures import predictions, wide
+from tessera.sources.fixtures import AMOUNTS, predictions, wide
 
 # ------------------------------------------------------------------ SQL helpers
 
@@ -142,14 +149,45 @@ for _branch in FEATURE_SETS:
     register(f"b_feature_set_{_branch}", "B8", sql=_feature_set_sql(_branch))(_make(_branch))
 
 
+_SPEC_NUMERIC, _SPEC_AUDIT = ["age", *AMOUNTS, "member_no"], ["id", "y", "split"]
+
+
 @register(
-    "b_feature_options", "B9",
-    sql="SELECT " + ", ".join(["id", *dict.fromkeys(feature_columns("cat") + ["home", "name", "age"])]) + " FROM w",
+    "b_feature_spec", "B8",
+    sql=" UNION ALL ".join(
+        f"SELECT '{b}' AS branch, '{c}' AS column_name, '{r}' AS role, {i} AS place, CAST(count(*) - count({c}) AS BIGINT) AS nulls FROM w"
+        for b in FEATURE_SETS for r, cs in FE.feature_spec(b, [*_SPEC_AUDIT, *FE.EVERY_FEATURE]).items() for i, c in enumerate(cs)
+    ),
 )
+def b_feature_spec(spark, sf_dir):
+    """Of every branch the numeric, categorical and dropped columns of the table in order, with their nulls (a column that isn't there raises)."""
+    w = wide(spark, sf_dir)
+    rows = [(b, c, r, i) for b in FEATURE_SETS for r, cs in FE.feature_spec(b, [*_SPEC_AUDIT, *[c for c in w.columns if c not in _SPEC_AUDIT]]).items() for i, c in enumerate(cs)]
+    spec = spark.createDataFrame(rows, "branch string, column_name string, role string, place int")
+    nulls = PR.null_counts(w, w.columns).select("column_name", "nulls")
+    return spec.join(nulls, "column_name").select("branch", "column_name", "role", "place", "nulls")
+
+
+_SWITCHED = {"include_spend": False, "include_surname": True, "no_such_option": True}
+
+
+def _options_sql(options) -> str:
+    names = FE.optional_columns(FE.resolve_options(options))
+    return "SELECT id, " + ", ".join(names) + " FROM (" + COMMON_FRAME_SQL + ") cf"
+
+
+@register("b_feature_options", "B9", sql=_options_sql(None))
 def b_feature_options(spark, sf_dir):
-    """The boosted-tree branch plus the switchable families, names de-duplicated in order."""
-    names = CL.dedupe(["id", *feature_columns("cat"), "home", "name", "age"])
-    return rounded(wide(spark, sf_dir).select(*names))
+    """The boosted-tree branch with the default switches: all families but the surname itself."""
+    cf = rounded(CF.build(wide(spark, sf_dir)))
+    return cf.select("id", *FE.optional_columns(FE.resolve_options(None)))
+
+
+@register("b_feature_switches", "B9", sql=_options_sql(_SWITCHED))
+def b_feature_switches(spark, sf_dir):
+    """The spend family off and the surname on; an unknown option is ignored."""
+    cf = rounded(CF.build(wide(spark, sf_dir)))
+    return cf.select("id", *FE.optional_columns(FE.resolve_options(_SWITCHED)))
 
 
 _VIEW_DROP = ["name", "code", "a5", "not_a_column"]
@@ -284,7 +322,7 @@ def c_interaction_key(spark, sf_dir):
 
 
 _C8 = {
-    "deck_numbin": ("deck", "size_bin"),
+    "deck_numbin": ("deck", "num_bin"),
     "deck_dest": ("deck", "dest"),
     "home_deck": ("home", "deck"),
     "home_dest": ("home", "dest"),
@@ -295,28 +333,17 @@ _C8 = {
 
 @register(
     "c_interaction_more", "C8",
-    sql="""
-    WITH b AS (
-      SELECT id, home, dest, flag, split_part(code, '/', 1) AS deck,
-             CAST(floor(TRY_CAST(nullif(split_part(code, '/', 2), '') AS DOUBLE) / 10) AS BIGINT) AS size_bin,
-             CAST(coalesce(a1, 0) + coalesce(a2, 0) + coalesce(a3, 0) + coalesce(a4, 0) + coalesce(a5, 0) = 0 AS INTEGER)
-               AS no_spend,
-             split_part(id, '_', 1) AS group_id,
-             CASE WHEN trim(name) = '' THEN NULL ELSE regexp_split_to_array(trim(name), '\\s+')[-1] END AS surname
-      FROM w)
+    sql=with_wk(f"""
+    WITH e AS ({_edges_sql("num", "(SELECT * FROM wk WHERE split = 'train') tr")}),
+    b AS (SELECT id, home, dest, flag, deck, {_bin_sql("num")} AS num_bin, CAST(total = 0 AS INTEGER) AS no_spend, group_id, surname FROM wk, e)
     SELECT id, """ + ", ".join(
         f"coalesce(CAST({a} AS VARCHAR), 'Unknown') || '_' || coalesce(CAST({b} AS VARCHAR), 'Unknown') AS {n}"
         for n, (a, b) in _C8.items()
-    ) + " FROM b",
+    ) + " FROM b"),
 )
 def c_interaction_more(spark, sf_dir):
-    w = wide(spark, sf_dir)
-    d, n, _ = C.split_code("code")
-    g, _m = C.split_id("id")
-    b = w.select(
-        "id", "home", "dest", "flag", d.alias("deck"),
-        F.floor(n / 10).cast("bigint").alias("size_bin"),
-        (C.row_sum(["a1", "a2", "a3", "a4", "a5"]) == 0).cast("int").alias("no_spend"),
-        g.alias("group_id"), C.last_token("name").alias("surname"),
-    )
+    """Interaction keys, the number by its quantile bin (J1) of the train rows."""
+    w = materialize(keyed(wide(spark, sf_dir)), "keyed")
+    edges = fit_quantile_edges(w, "num", 5, fit_on=F.col("split") == "train")
+    b = apply_quantile_bins(attach_row(w, edges), "num", None, "num_bin").withColumn("no_spend", (F.col("total") == 0).cast("int"))
     return b.select("id", *[C.interaction_key(a, bb).alias(k) for k, (a, bb) in _C8.items()])

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import features as FE
+from tessera.operators import impute as IM
+from tessera.operators.core import lookup
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import keyed, sql_hash_bucket, with_wk
 from tessera.plans.util import rounded
@@ -162,21 +164,22 @@ def g_union_aggregates(spark, sf_dir):
 @register(
     "g_group_counts", "G9",
     sql=with_wk("""
-    SELECT id, CAST(count(*) OVER (PARTITION BY group_id) AS BIGINT) AS group_size,
-           CAST(CASE WHEN surname IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY surname) END AS BIGINT) AS surname_size,
+    WITH c AS (SELECT group_id, surname, count(*) AS n FROM wk WHERE surname IS NOT NULL GROUP BY group_id, surname),
+    mode AS (SELECT group_id, arg_min(surname, {'a': -n, 'b': surname}) AS of_group FROM c GROUP BY group_id),
+    f AS (SELECT id, wk.group_id, coalesce(surname, of_group, 'Unknown') AS surname FROM wk LEFT JOIN mode ON wk.group_id = mode.group_id)
+    SELECT id, CAST(count(*) OVER (PARTITION BY group_id) AS BIGINT) AS group_size, surname,
+           CAST(count(*) OVER (PARTITION BY surname) AS BIGINT) AS surname_size,
            CAST(count(*) OVER (PARTITION BY group_id) = 1 AS INTEGER) AS is_solo
-    FROM wk"""),
+    FROM f"""),
 )
 def g_group_counts(spark, sf_dir):
-    """Group size, surname size (0 for no surname) and the solo flag over the union."""
-    w = keyed(wide(spark, sf_dir))
-    out = FE.group_transform(w, ["group_id"], {"group_size": F.count(F.lit(1))})
+    """Group size, surname size and the solo flag over the union; a missing surname is the group's mode, else Unknown, which is a level."""
+    w = keyed(wide(spark, sf_dir)).select("id", "group_id", "surname")
+    out = lookup(w, IM.mode_table(w, ["group_id"], "surname", "of_group"), ["group_id"])
+    out = out.withColumn("surname", F.coalesce("surname", "of_group", F.lit("Unknown")))
+    out = FE.group_transform(out, ["group_id"], {"group_size": F.count(F.lit(1))}, null_safe=True)
     out = FE.group_transform(out, ["surname"], {"surname_size": F.count(F.lit(1))})
-    return out.select(
-        "id", "group_size",
-        F.when(F.col("surname").isNull(), F.lit(0)).otherwise(F.col("surname_size")).cast("bigint").alias("surname_size"),
-        (F.col("group_size") == 1).cast("int").alias("is_solo"),
-    )
+    return out.select("id", "group_size", "surname", "surname_size", (F.col("group_size") == 1).cast("int").alias("is_solo"))
 
 
 @register(

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions import columns as C
 from tessera.operators import evaluate as EV
+from tessera.operators import folds as FO
+from tessera.operators import members as ME
 from tessera.operators import models as MO
 from tessera.operators.core import MATERIALIZED, attach_row, materialize
 from tessera.plans.registry import register
+from tessera.plans.sqlparts import keyed
 from tessera.plans.util import rounded
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources.fixtures import AMOUNTS, predictions, wide
@@ -117,6 +120,175 @@ def l_iteration_rule(spark, sf_dir):
     return MO.final_iterations(spark.createDataFrame(best, "fold int, best_iter int"), cap=60, default=60)
 
 
+_BESTS = "CAST(CASE WHEN p < 0.1 THEN NULL WHEN p < 0.2 THEN 0 ELSE floor(p * 200) END AS INTEGER)"
+
+
+@register(
+    "l_iteration_table", "L9",
+    sql=f"""
+    WITH b AS (SELECT family, {_BESTS} AS best_iter FROM p WHERE id LIKE '%1_1'),
+    m AS (SELECT family, CAST(round_even(avg(best_iter) FILTER (best_iter >= 1), 0) AS INTEGER) AS mean, count(*) FILTER (best_iter >= 1) AS valid_folds FROM b GROUP BY family),
+    c AS (SELECT * FROM (VALUES ('f1', 80, 120), ('f2', NULL, 120), ('f3', 300, 120), ('f4', 30, 120)) t(family, cap, fallback))
+    SELECT family, greatest(50, least(coalesce(mean, cap, fallback), cap)) AS final_iterations,
+           CASE WHEN mean IS NOT NULL THEN 'valid_fold_mean' WHEN cap IS NOT NULL THEN 'tuned_iterations_fallback' ELSE 'default_config_fallback' END AS source, valid_folds
+    FROM m JOIN c USING (family)""",
+    fixtures=("p",),
+)
+def l_iteration_table(spark, sf_dir):
+    """The rule alone on given best iterations (from scores): four families with caps below, above and without."""
+    best = predictions(spark, sf_dir).where("id like '%1_1'").withColumn("best_iter", F.expr(_BESTS))
+    out = None
+    for family, cap in (("f1", 80), ("f2", None), ("f3", 300), ("f4", 30)):
+        part = MO.final_iterations(best.where(F.col("family") == family), cap=cap, default=120).withColumn("family", F.lit(family))
+        out = part if out is None else out.unionByName(part)
+    return out.select("family", "final_iterations", "source", "valid_folds")
+
+
+# --- members over groups, seeds and folds -------------------------------------------------------
+
+_ROLES = {"surname": "surname", "group": "group_id", "number": "num", "age": "age", "total": "total", "flag": "flag"}
+_SMALL = {"maxIter": 8, "maxDepth": 3, "stepSize": 0.2, "validationTol": 0.001}
+
+
+def _folded(spark, sf_dir):
+    """Train and test rows with keys, row folds and group folds (null on test rows) and inner folds."""
+    w = keyed(wide(spark, sf_dir))
+    train = F.col("split") == "train"
+    w = w.withColumns({"fold_row": F.when(train, C.hash_bucket(K, "id", seed=3)), "fold_group": F.when(train, C.hash_bucket(K, "group_id", seed=3)), "inner": C.hash_bucket(5, "id", seed=0)})
+    w = w.withColumn("y", F.when(train, F.col("y")).cast("double"))
+    return materialize(w.drop("split"), "folded")
+
+
+def _member_matrix(spark, sf_dir, mode="oof"):
+    spec = ME.StageSpec("members", "row", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder=mode, encoded=("dest", "deck"), refit=True)
+    return ME.stage_matrix(_folded(spark, sf_dir), spec, K, _ROLES)
+
+
+_GROUPS = [ME.MemberGroup("shallow", {**_SMALL, "maxDepth": 2}, (1, 2)), ME.MemberGroup("deep", {**_SMALL, "maxDepth": 4, "subsamplingRate": 0.8}, (1, 2))]
+
+
+@register("l_member_plan", "L4/L8")
+def l_member_plan(spark, sf_dir):
+    """L4: members over 2 groups x 2 seeds x folds on one matrix with early stopping: trees, rows, accuracy, and the groups chosen for the blend."""
+    scores, trees = ME.fit_members(_member_matrix(spark, sf_dir), _GROUPS, range(K))
+    chosen = ME.select_groups(ME.group_scores(scores), [g.name for g in _GROUPS])
+    m = EV.binary_metrics(scores.where("role = 'valid'"), "p", "y", 0.5, by=["group", "seed", "fold"]).select("group", "seed", "fold", "n", "accuracy")
+    t = spark.createDataFrame(trees, "group string, seed int, fold int, trees int")
+    tests = scores.where("role = 'test'").groupBy("group", "seed", "fold").agg(F.count(F.lit(1)).alias("n_test"))
+    keys = ["group", "seed", "fold"]
+    return rounded(m.join(t, keys).join(tests, keys).withColumn("chosen", F.col("group").isin(chosen)))
+
+
+@register("l_member_scores", "L4/L13")
+def l_member_scores(spark, sf_dir):
+    """The mean member score of every train row (its own fold, over seeds and groups) and test row (over all members)."""
+    scores, _ = ME.fit_members(_member_matrix(spark, sf_dir), _GROUPS, range(K))
+    return rounded(scores.groupBy("id", "role").agg(F.avg("p").alias("p"), F.count(F.lit(1)).alias("members")))
+
+
+@register("l_nominal_trees", "L5")
+def l_nominal_trees(spark, sf_dir):
+    """Trees on nominal slots (sets of levels) without a holdout: gain importance of every slot."""
+    w = _folded(spark, sf_dir).where("fold_row is not null").withColumns({"fit_fold": F.lit(0), "role": F.lit("train")})
+    slots = [*NUMERIC, "home", "vip", "flag"]
+    x = materialize(ME.assemble(w, NUMERIC, ["home", "vip", "flag"]), "nominal")
+    model = GBTClassifier(featuresCol="features", labelCol="y", maxIter=8, maxDepth=3, seed=1).fit(x)
+    rows = [("gbt", n, float(v), i) for i, (n, v) in enumerate(zip(slots, model.featureImportances.toArray().tolist()))]
+    return rounded(MO.importance_table(spark.createDataFrame(rows, "model string, feature string, importance double, original_order int")))
+
+
+@register("l_seed_ensemble", "L6")
+def l_seed_ensemble(spark, sf_dir):
+    """Folds with early stopping give the mean number of trees; three seeds are fitted with it on all train rows and averaged."""
+    matrix = _member_matrix(spark, sf_dir)
+    _, trees = ME.fit_members(matrix.where("role <> 'test'"), [ME.MemberGroup("cv", _SMALL, (1,))], range(K))
+    n = ME.final_tree_count(trees, least=6)
+    scores = ME.final_members(matrix, {k: v for k, v in _SMALL.items() if k != "maxIter"}, n, (1, 2, 3))
+    return rounded(MO.bag(scores).withColumn("trees", F.lit(n)))
+
+
+@register("l_encoded_trees", "L7")
+def l_encoded_trees(spark, sf_dir):
+    """Trees on string categories, encoded out of fold inside each fold's train part: fold metrics and trees."""
+    scores, trees = ME.fit_members(_member_matrix(spark, sf_dir).where("role <> 'test'"), [ME.MemberGroup("encoded", _SMALL, (7,))], range(K))
+    m = EV.binary_metrics(scores, "p", "y", 0.5, by=["fold"]).join(EV.auc(scores, "p", "y", by=["fold"]), "fold")
+    t = spark.createDataFrame([(f, n) for _, _, f, n in trees], "fold int, trees int")
+    return rounded(m.join(t, "fold").select("fold", "n", "accuracy", "auc", "logloss", "trees"))
+
+
+_LOW = {**_SMALL, "maxIter": 5}
+LADDER = [
+    ME.StageSpec("A0", "row", early=False, numeric=tuple(NUMERIC), params=(_LOW,)),
+    ME.StageSpec("A1", "group", numeric=tuple(NUMERIC), params=(_LOW,)),
+    ME.StageSpec("A2", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), params=(_LOW,)),
+    ME.StageSpec("A3", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="plain", encoded=("dest", "deck"), refit=True, params=(_LOW,)),
+    ME.StageSpec("A3b", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, aggregates=True, params=(_LOW,)),
+    ME.StageSpec("A4", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW, {**_LOW, "maxDepth": 2})),
+    ME.StageSpec("A5", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW,), threshold="best"),
+    ME.StageSpec("A6", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW,), seeds=(1, 2)),
+    ME.StageSpec("A7", "group", numeric=tuple(NUMERIC), encoder="loo", encoded=("dest",), params=(_LOW,), blend_with="A6"),
+]
+
+
+@register("l_stage_ladder", "L20/P10")
+def l_stage_ladder(spark, sf_dir):
+    """Stages A0 to A7 (folds, early stopping, nominal slots, encoder, search, threshold, seeds, blend) and their differences to A0 and A1."""
+    return rounded(ME.ladder(_folded(spark, sf_dir), LADDER, K, _ROLES, "A0", "A1").drop("place"))
+
+
+@register("l_pseudo_rounds", "L16")
+def l_pseudo_rounds(spark, sf_dir):
+    """Scores, confident test rows with their predicted label, refit on train and these, score: counts of each round."""
+    train, test = _frame(spark, sf_dir)
+    test = test.withColumn("y", F.lit(None).cast("double"))
+
+    def fit_score(fit, rows):
+        model = Pipeline(stages=[*_stages(), MO.logistic("y", 1.0, fit.count())]).fit(fit)
+        return MO.probability(model.transform(rows))
+
+    scores, log = ME.pseudo_label_rounds(train, test, fit_score, hi=0.36, lo=0.31, rounds=2)
+    t = spark.createDataFrame([tuple(r.values()) for r in log], "round int, n_train long, n_confident long, n_positive long, refitted boolean")
+    return rounded(attach_row(t, scores.agg(F.count(F.lit(1)).alias("scored"), F.avg("p").alias("mean_p"))))
+
+
+@register("l_tree_search", "L17")
+def l_tree_search(spark, sf_dir):
+    """Seeded random configurations of forests and boosted trees, ranked by mean fold accuracy, the earlier one on ties."""
+    train, _ = _frame(spark, sf_dir)
+    x = materialize(Pipeline(stages=_stages()).fit(train).transform(train).select("id", "y", "fold", "features"), "search")
+    rng = random.Random(17)
+    draws = [("forest", {"numTrees": rng.choice([5, 10]), "maxDepth": rng.choice([3, 4, 5]), "minInstancesPerNode": rng.choice([1, 5, 20])}) for _ in range(2)]
+    draws += [("boosted", {"maxIter": rng.choice([3, 5]), "maxDepth": rng.choice([2, 3]), "stepSize": round(rng.uniform(0.05, 0.3), 3)}) for _ in range(2)]
+    rows = []
+    for i, (kind, params) in enumerate(draws):
+        make = RandomForestClassifier if kind == "forest" else GBTClassifier
+        oof, _, _ = MO.run_cv(x, lambda f: make(featuresCol="features", labelCol="y", seed=f, **params), [], "fold", K, keep=("id", "y"))
+        per = EV.binary_metrics(oof, "p", "y", 0.5, by=["fold"]).agg(F.avg("accuracy").alias("a"), F.stddev_pop("accuracy").alias("s")).first()
+        rows.append((i, kind, ", ".join(f"{k}={v}" for k, v in params.items()), per["a"], per["s"]))
+    t = spark.createDataFrame(rows, "draw int, kind string, params string, accuracy double, spread double")
+    return rounded(t.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("accuracy"), "draw"))))  # a row per draw
+
+
+@register("l_forest_check", "L2")
+def l_forest_check(spark, sf_dir):
+    """L2: two forests on 80 % of each label, checked on the other 20 % (member mean), then refitted on all for the test rows."""
+    train, test = _frame(spark, sf_dir)
+    parts = materialize(FO.stratified_holdout(train, "id", "y", 0.2, seed=2), "holdout")
+
+    def mean_of(fit, rows):
+        scores = None
+        for seed in (1, 2):
+            rf = RandomForestClassifier(featuresCol="features", labelCol="y", numTrees=10, maxDepth=5, seed=seed)
+            s = MO.probability(Pipeline(stages=[*_stages(), rf]).fit(fit).transform(rows)).select("id", "y", "p")
+            scores = s if scores is None else scores.unionByName(s)
+        return scores.groupBy("id", "y").agg(F.avg("p").alias("p"), F.count(F.lit(1)).alias("members"))
+
+    valid = parts.where("holdout = 'valid'")
+    checked = EV.binary_metrics(mean_of(parts.where("holdout = 'train'"), valid), "p", "y", 0.5).select("n", F.col("accuracy").alias("check_accuracy"))
+    scored = mean_of(train, test).agg(F.count(F.lit(1)).alias("test_rows"), F.avg("p").alias("test_mean"), F.min("members").alias("members"))
+    return rounded(attach_row(checked, scored))
+
+
 @register("l_seed_bagging", "L12")
 def l_seed_bagging(spark, sf_dir):
     """Same folds, two model seeds (forests), out-of-fold mean per id."""
@@ -258,6 +430,7 @@ def l_batch_scoring(spark, sf_dir):
     train, test = _frame(spark, sf_dir)
     model = Pipeline(stages=[*_stages(), MO.logistic("y", 1.0, train.count())]).fit(train)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-model-{uuid.uuid4().hex}"
+    MATERIALIZED.append(path)
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     scored = MO.probability(loaded.transform(test))

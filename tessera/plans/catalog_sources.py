@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from tessera.functions import columns as C
+from tessera.operators.core import MATERIALIZED, materialize
+from tessera.operators.encode import level_index
 from tessera.operators.profile import null_counts
+from tessera.plans import common_frame as CF
+from tessera.plans.common_frame_sql import COMMON_FRAME_SQL
 from tessera.plans.registry import register
+from tessera.plans.sqlparts import sql_hash_bucket
 from tessera.plans.util import rounded
 from tessera.session import ensure_checkpoint_dir
 from tessera.sources import readers as RD
@@ -32,7 +37,9 @@ _COLS = [f.name for f in W_SCHEMA.fields]
 
 
 def _scratch(spark, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+    MATERIALIZED.append(path)  # removed with the other scratch tables
+    return path
 
 
 def _write_pair(spark, sf_dir, fmt: str):
@@ -138,3 +145,33 @@ def a_json_report(spark, sf_dir):
     SK.write_json_report(rep.select(F.lit("nulls").alias("section"), F.col("column_name").alias("metric"),
                                     F.col("nulls").cast("double").alias("value")), path)
     return spark.read.schema("section string, metric string, value double").json(path)
+
+
+_COMMON_FEATURES = ["age", "a1", "a2", "a3", "a4", "a5", "home", "dest", "vip", "flag", "deck", "num_bin", "group_size", "surname_freq"]
+
+
+@register(
+    "a_common_reload", "A7",
+    sql=f"SELECT *, CASE WHEN split = 'train' THEN {sql_hash_bucket(5, 'id', seed=3)} END AS fold FROM ({COMMON_FRAME_SQL}) cf",
+)
+def a_common_reload(spark, sf_dir):
+    """The common frame stored as one unit with its features, folds and levels, and read back with its version checked."""
+    cf = rounded(CF.build(wide(spark, sf_dir)).select(*CF.OUTPUT_COLUMNS))
+    cf = materialize(cf.withColumn("fold", F.when(F.col("split") == "train", C.hash_bucket(5, "id", seed=3))), "common")
+    path = _scratch(spark, "common")
+    SK.store_common(cf, path, _COMMON_FEATURES, ["fold"], level_index(cf, ["home", "dest", "deck"]))
+    return RD.load_common(spark, path, SK.COMMON_VERSION, label="y").rows
+
+
+@register(
+    "a_common_levels", "A7",
+    sql="WITH cf0 AS MATERIALIZED (SELECT home, dest, deck FROM (" + COMMON_FRAME_SQL + ") cf) " + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS level, CAST(row_number() OVER (ORDER BY {c}) - 1 AS INTEGER) AS idx FROM (SELECT DISTINCT {c} FROM cf0) {c}_levels" for c in ("home", "dest", "deck")),
+)
+def a_common_levels(spark, sf_dir):
+    """The level table that the stored unit carries."""
+    cf = CF.build(wide(spark, sf_dir)).select(*CF.OUTPUT_COLUMNS)
+    path = _scratch(spark, "common")
+    cf = materialize(cf, "common")
+    SK.store_common(cf, path, _COMMON_FEATURES, (), level_index(cf, ["home", "dest", "deck"]))
+    return RD.load_common(spark, path, SK.COMMON_VERSION, label="y").levels

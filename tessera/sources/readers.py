@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +69,37 @@ def prediction_frame(df: DataFrame, id_col: str = "id", proba: str = "y_proba",
     p = F.coalesce(F.col(blend), F.col(proba)) if blend in df.columns else F.col(proba)
     keep = [c for c in df.columns if c not in (proba, blend)]
     return df.select(*keep, p.alias(proba))
+
+
+@dataclass
+class CommonFrame:
+    """A stored common frame: its rows, feature and fold columns, and the level table (or None)."""
+
+    rows: DataFrame
+    features: list[str]
+    folds: list[str]
+    levels: DataFrame | None
+
+
+def load_common(spark: SparkSession, path: str, version: int, id_col: str = "id", label: str | None = None) -> CommonFrame:
+    """The unit of ``sinks.store_common``, its columns in the stored order and of the stored types.
+
+    Another version, rows that lack a described column, a null or repeated id, or a feature that is the id or the
+    label raise; columns that are not described are left out.
+    """
+    spec = spark.read.parquet(f"{path}/spec").orderBy("place").collect()  # a row per column
+    if not spec or any(r["version"] != version for r in spec):
+        raise ValueError(f"{path} has version {spec[0]['version'] if spec else None}, not {version}")
+    rows = spark.read.parquet(f"{path}/rows")
+    absent = [r["column_name"] for r in spec if r["column_name"] not in rows.columns]
+    if absent:
+        raise ValueError(f"the stored rows lack {absent}")
+    rows = rows.select(*[F.col(r["column_name"]).cast(r["kind"]).alias(r["column_name"]) for r in spec])
+    features = [r["column_name"] for r in spec if r["feature"]]
+    if leaked := [c for c in features if c in (id_col, label)]:
+        raise ValueError(f"{leaked} can't be features")
+    ids = rows.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col(id_col).isNull() | (F.col("n") > 1)).alias("bad")).first()["bad"]
+    if ids:
+        raise ValueError(f"{ids} ids are null or repeated")
+    levels = spark.read.parquet(f"{path}/levels") if spec[0]["has_levels"] else None
+    return CommonFrame(rows, features, [r["column_name"] for r in spec if r["fold"]], levels)

@@ -45,3 +45,25 @@ def preview(df: DataFrame, key: str, n: int = 100) -> DataFrame:
 def write_json_report(report: DataFrame, path: str) -> None:
     """Long report rows ``(section, metric, value)`` as JSON lines."""
     report.coalesce(1).write.mode("overwrite").json(path)
+
+
+#: Layout of a stored common frame; a reader asks for the one it knows.
+COMMON_VERSION = 1
+
+
+def store_common(df: DataFrame, path: str, features: Sequence[str], folds: Sequence[str] = (), levels: DataFrame | None = None, version: int = COMMON_VERSION) -> None:
+    """One unit on disk: the rows, a level table (``column_name, level, idx``), and a description of both.
+
+    ``features`` and ``folds`` are columns of ``df``.  The description is written last, so a unit without it is not one.
+    """
+    absent = [c for c in [*features, *folds] if c not in df.columns]
+    if absent:
+        raise ValueError(f"the frame lacks {absent}")
+    df.write.mode("overwrite").parquet(f"{path}/rows")
+    if levels is not None:
+        levels.write.mode("overwrite").parquet(f"{path}/levels")
+    kinds = dict(df.dtypes)
+    columns = [(i, c, kinds[c], c in features, c in folds) for i, c in enumerate(df.columns)]
+    spec = df.sparkSession.createDataFrame(columns, "place int, column_name string, kind string, feature boolean, fold boolean")  # a row per column
+    spec = spec.withColumns({"version": F.lit(version), "has_levels": F.lit(levels is not None)})
+    spec.coalesce(1).write.mode("overwrite").parquet(f"{path}/spec")
