@@ -10,7 +10,7 @@ Phrases are runs of words inside the pieces of a text between stops; everything
    Further passes count the phrases whose shorter phrases are frequent by what is known and that no pass has
    counted, until a pass finds no new frequent phrase that could grow: then the set is closed, and exact.
 
-Proposed phrases reach the tasks as one bit set of ``FILTER_BITS`` (its size is the parameter, whatever the corpus); a false
+Proposed phrases reach the tasks as one bit set of at most ``FILTER_BITS``, whatever the corpus (smaller for few words); a false
 hit makes a pass count a phrase more, never one less.  Counts are by the phrases themselves: a task counts
 those of a slice of texts by exact codes, Spark adds them up.  Texts longer than a slice are cut at stops.
 
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -39,8 +40,8 @@ from tessera.operators.core import lookup, materialize
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: One in so many documents is sampled.
 SAMPLE = 8
-#: Bits of the set of proposed phrases, a power of 2 up to 32 (8 MB).
-FILTER_BITS = 1 << 26
+#: Most bits of a set of proposed phrases (8 MB), and bits for each word that the sample proposes, which leaves some for phrases.
+FILTER_BITS, WORD_BITS = 1 << 26, 64
 #: Bytes of text that are counted at a time (their arrays take some 60 times as many).
 SLICE = 2 << 20
 UNKNOWN = "und"
@@ -219,12 +220,11 @@ def _rows(lang: pa.Array, k: int, h: np.ndarray, phrase: pa.Array, n: np.ndarray
 # --- passes ----------------------------------------------------------------------------------
 
 
-def _pass(docs: DataFrame, proposed: np.ndarray, counted: list[np.ndarray], levels: range, least: int) -> DataFrame:
+def _pass(docs: DataFrame, proposed: Broadcast, counted: list[Broadcast], levels: range, least: int) -> DataFrame:
     """Phrases with at least ``least`` occurrences among those that this pass counts, written as a table."""
-    held = docs.sparkSession.sparkContext.broadcast((proposed, counted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _count(batches, *held.value, levels)
+        yield from _count(batches, proposed.value, [c.value for c in counted], levels)
         pa.default_memory_pool().release_unused()
 
     found = docs.select("lang", "text").mapInArrow(run, _COUNTS)
@@ -254,21 +254,27 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text", F.xxhash64("doc_id", "text").alias("dealt"))
     part = docs.where(F.pmod("dealt", F.lit(sample)) == 0)
     proposing = sample_least(least, sample) if proposing is None else proposing
-    proposed = np.zeros(filter_bits // 8, dtype=np.uint8)
+    send = docs.sparkSession.sparkContext.broadcast
+    proposed = send(np.zeros(8, dtype=np.uint8))
     for k in range(1, longest):
         grown = _pass(part, proposed, [], range(k, k + 1), proposing).where("k > 0")
-        if grown.isEmpty():
+        n = grown.count()
+        if not n:
             break
-        proposed = _set_bits(proposed, grown)
+        bits = proposed.value if k > 1 else np.zeros(min(filter_bits, max(1 << 9, 1 << (WORD_BITS * n - 1).bit_length())) // 8, dtype=np.uint8)
+        proposed.destroy()
+        proposed = send(_set_bits(bits, grown))
     found = _pass(docs, proposed, [], range(1, longest + 1), least)
-    known, counted = _set_bits(np.zeros_like(proposed), found), [proposed]
-    new = bool((known & ~proposed).any())  # a frequent phrase with a bit that was not proposed: the sample failed
+    known, counted = _set_bits(np.zeros_like(proposed.value), found), [proposed]
+    new = bool((known & ~proposed.value).any())  # a frequent phrase with a bit that was not proposed: the sample failed
     while new:
-        more = _pass(docs, known, counted, range(2, longest + 1), least)
-        counted = [*counted, known]
+        counted = [*counted, send(known)]
+        more = _pass(docs, counted[-1], counted[:-1], range(2, longest + 1), least)
         known = _set_bits(known, more)
         new = not more.where(f"k < {longest}").isEmpty()
         found = found.unionByName(more)
+    for c in counted:  # the tables are written
+        c.destroy()
     return found.select("lang", "k", "phrase", "n")
 
 
