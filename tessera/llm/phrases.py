@@ -1,18 +1,22 @@
-"""Phrase collocations by Toivonen's mining: a sample proposes phrases, full passes count them and their negative border.
+"""Phrase collocations by Toivonen's mining: a sample proposes phrases, a full pass counts them and their negative border.
 
 Phrases are runs of words inside the pieces of a text between stops; everything is per language.
 
 1. A sample of the documents (one in ``SAMPLE`` by a hash) is mined level by level with a lowered threshold.
-2. One pass over all documents counts, exactly, every proposed phrase and the negative border: the phrases
+2. One pass over all documents counts every proposed phrase and the negative border: the phrases
    that were not proposed although the phrases without their first and without their last word were.
    Both are the same test, "both shorter phrases were proposed", so the border is never listed, only met.
-3. A border phrase that turns out frequent is a failure of the sample: longer phrases that hold it may be uncounted.
-   Further passes count the phrases whose shorter phrases are frequent by what is known and that no pass has
-   counted, until a pass finds no new frequent phrase that could grow: then the set is closed, and exact.
+   Most of them are rare, so this pass adds up 64-bit hashes, which can only count too much.
+3. A border phrase that may be frequent is a failure of the sample: longer phrases that hold it were not counted.
+   The next pass counts, with their words and exactly, the phrases whose hash reached the threshold, and expands the
+   failures: a phrase that the pass before did not meet is counted if both its shorter phrases may be frequent
+   or are themselves counted for the first time now.  So everything above a failure is counted at once, and the set
+   is closed: a frequent phrase that no pass counted would have two frequent shorter ones, each counted in
+   one of the two passes, and then it is met in this one.  A failure is barely frequent, so little stands above it.
 
 Proposed phrases reach the tasks as one bit set of at most ``FILTER_BITS``, whatever the corpus (smaller for few words); a false
-hit makes a pass count a phrase more, never one less.  Counts are by the phrases themselves: a task counts
-those of a slice of texts by exact codes, Spark adds them up.  Texts longer than a slice are cut at stops.
+hit makes a pass count a phrase more, never one less.  A task counts the phrases of a slice of texts by exact
+codes, Spark adds them up.  Texts longer than a slice are cut at stops.
 
 Scores need only frequent phrases: each part of a frequent phrase is frequent.  All arithmetic is in 64-bit or
 decimal integers.
@@ -23,13 +27,13 @@ time; ties go to the higher count, then to the phrase's bytes; an empty table gi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -45,7 +49,7 @@ FILTER_BITS, WORD_BITS = 1 << 26, 64
 #: Bytes of text that are counted at a time (their arrays take some 60 times as many).
 SLICE = 2 << 20
 UNKNOWN = "und"
-_COUNTS = "lang string, k int, h long, phrase string, n long"
+_COUNTS = "lang string, k int, phrase string, n long"
 _STOPS = b".,;:!?\n\x0b\x0c\r"
 
 
@@ -155,89 +159,102 @@ def _in(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return out
 
 
-def _levels(w: Words, proposed: np.ndarray, counted: list[np.ndarray], levels: range) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """``k, place, hash, n`` of the different phrases of ``k`` words whose shorter phrases are both proposed.
-
-    Those that an earlier pass (its set in ``counted``) has met the same way are left out.
-    """
-    at, h, code = np.arange(w.n), w.hash, w.code  # of the phrases of k words that pass the test
-    n_codes = len(w.word)
-    alive_before = [np.ones(w.n, dtype=bool) for _ in counted]  # by place: the last level's phrases that an earlier pass met and had in its set
-    for k in range(1, levels.stop):
-        mixed = _mixed(h)
-        met = [alive[at] & (alive[at + 1] if k > 1 else True) for alive in alive_before]
-        if k in levels and len(at):
-            new = ~np.any(met, axis=0) if met else np.ones(len(at), dtype=bool)
-            coded = pa.array(code[new]).dictionary_encode()
-            which = coded.indices.to_numpy()
-            place = np.empty(len(coded.dictionary), dtype=np.int64)
-            place[which[::-1]] = np.flatnonzero(new)[::-1]
-            yield k, at[place], mixed[place], np.bincount(which, minlength=len(place))
-        if k + 1 >= levels.stop:
-            return
-        for i, bits in enumerate(counted):
-            alive_before[i] = np.zeros(w.n + 1, dtype=bool)
-            alive_before[i][at] = met[i] & _in(mixed, bits)
-        alive = np.zeros(w.n + 1, dtype=bool)
-        keep = _in(mixed, proposed)
-        alive[at[keep]] = True
-        # both shorter phrases stand at this place and at the next, in one piece
-        grows = keep & alive[at + 1]
-        if k == 1 and w.n:
-            grows[:-1] &= w.joined
-        at, h, code = at[grows], h[grows], code[grows]
-        last = at + k
-        packed = pa.array(code * n_codes + w.code[last]).dictionary_encode()  # codes stay below the number of words
-        code = packed.indices.to_numpy().astype(np.int64)
-        h = h * np.uint64(0x9E3779B97F4A7C15) + w.hash[last]
-
-
-def _count(batches: Iterator[pa.RecordBatch], proposed: np.ndarray, counted: list[np.ndarray], levels: range) -> Iterator[pa.RecordBatch]:
-    """Rows of ``_COUNTS`` of each slice; ``k`` 0 has the number of words, if words are counted."""
+class _Level:
+    """The phrases of ``k`` words at some places of a slice: their places, hashes and exact codes."""
+
+    def __init__(self, w: Words):
+        self.k, self.at, self.h, self.code, self.w = 1, np.arange(w.n), w.hash, w.code, w
+
+    def longer(self, grows: np.ndarray) -> None:
+        """Goes on to the phrases of one word more that begin where ``grows`` (by place, one more than words) holds here and at the next place."""
+        w, keep = self.w, grows[self.at] & grows[self.at + 1]
+        if self.k == 1 and w.n:
+            keep[:-1] &= w.joined
+        at, last = self.at[keep], self.at[keep] + self.k
+        packed = pa.array(self.code[keep] * len(w.word) + w.code[last]).dictionary_encode()  # codes stay below the number of words
+        self.code = packed.indices.to_numpy().astype(np.int64)
+        self.h = self.h[keep] * np.uint64(0x9E3779B97F4A7C15) + w.hash[last]
+        self.at, self.k = at, self.k + 1
+
+    def different(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of the different phrases among the wanted: one row of each, and how often it stands."""
+        coded = pa.array(self.code[wanted]).dictionary_encode()
+        which, rows = coded.indices.to_numpy(), np.flatnonzero(wanted)
+        one = np.empty(len(coded.dictionary), dtype=np.int64)
+        one[which[::-1]] = rows[::-1]
+        return one, np.bincount(which, minlength=len(one))
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """Values of the phrases by place; False where none is."""
+        out = np.zeros(self.w.n + 1, dtype=bool)
+        out[self.at] = values
+        return out
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], proposed: np.ndarray, levels: range) -> Iterator[pa.RecordBatch]:
+    """``h, n`` of the different phrases of each slice whose shorter phrases are both proposed."""
+    with np.errstate(over="ignore"):
+        for slice_ in _slices(batches):
+            here = _Level(Words(*slice_))
+            for k in range(1, levels.stop):
+                mixed = _mixed(here.h)
+                if k in levels and len(here.at):
+                    one, n = here.different(np.ones(len(here.at), dtype=bool))
+                    yield pa.RecordBatch.from_arrays([pa.array(mixed[one].view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+                if k + 1 < levels.stop:
+                    here.longer(here.spread(_in(mixed, proposed)))
+
+
+def _counted(batches: Iterator[pa.RecordBatch], proposed: np.ndarray, known: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_COUNTS`` of each slice: phrases that the pass with ``proposed`` met and ``known`` may hold, and those above
+    them that it did not meet; ``k`` 0 has the number of words."""
     with np.errstate(over="ignore"):
-        for data, at, langs in _slices(batches):
-            w = Words(data, at, langs)
+        for slice_ in _slices(batches):
+            w = Words(*slice_)
             if not w.n:
                 continue
-            if 1 in levels:
-                per = np.bincount(w.code, minlength=len(w.word))
-                total = pa.table({"lang": w.lang, "n": per}).group_by("lang").aggregate([("n", "sum")])
-                m = total.num_rows
-                yield _rows(total.column("lang").combine_chunks(), 0, np.zeros(m, np.uint64), pa.array([""] * m, pa.string()), total.column("n_sum").to_numpy())
-            for k, place, h, n in _levels(w, proposed, counted, levels):
-                words = [w.word.take(pa.array(w.code[place + j])).cast(pa.large_string()) for j in range(k)]
+            total = pa.table({"lang": w.lang, "n": np.bincount(w.code, minlength=len(w.word))}).group_by("lang").aggregate([("n", "sum")])
+            yield _rows(total.column("lang").combine_chunks(), 0, pa.array([""] * total.num_rows, pa.string()), total.column("n_sum").to_numpy())
+            here, met = _Level(w), np.ones(w.n, dtype=bool)
+            for k in range(1, longest + 1):
+                mixed = _mixed(here.h)
+                wanted = ~met | _in(mixed, known)
+                one, n = here.different(wanted)
+                words = [w.word.take(pa.array(w.code[here.at[one] + j])).cast(pa.large_string()) for j in range(k)]
                 text = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())) if k > 1 else words[0]
-                for a in range(0, len(place), 100_000):
-                    z = a + 100_000
-                    yield _rows(w.lang.take(pa.array(w.code[place[a:z]])), k, h[a:z], text[a:z].cast(pa.string()), n[a:z])
+                if len(one):
+                    yield _rows(w.lang.take(pa.array(w.code[here.at[one]])), k, text.cast(pa.string()), n)
+                if k < longest:
+                    before = here.spread(met & _in(mixed, proposed))
+                    here.longer(here.spread(wanted))
+                    met = before[here.at] & before[here.at + 1]
 
 
-def _rows(lang: pa.Array, k: int, h: np.ndarray, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-    columns = [lang, pa.array(np.full(len(h), k, np.int32)), pa.array(h.view(np.int64)), phrase, pa.array(n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "h", "phrase", "n"])
+def _rows(lang: pa.Array, k: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(n), k, np.int32)), phrase, pa.array(n.astype(np.int64))], names=["lang", "k", "phrase", "n"])
 
 
 # --- passes ----------------------------------------------------------------------------------
 
 
-def _pass(docs: DataFrame, proposed: Broadcast, counted: list[Broadcast], levels: range, least: int) -> DataFrame:
-    """Phrases with at least ``least`` occurrences among those that this pass counts, written as a table."""
+def _pass(docs: DataFrame, count: Callable[..., Iterator[pa.RecordBatch]], sets: list[Broadcast], last: object, schema: str, kept: Column) -> DataFrame:
+    """One pass over the texts: counts of the slices added up, those where ``kept`` holds written as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _count(batches, proposed.value, [c.value for c in counted], levels)
+        yield from count(batches, *[s.value for s in sets], last)
         pa.default_memory_pool().release_unused()
 
-    found = docs.select("lang", "text").mapInArrow(run, _COUNTS)
-    total = found.groupBy("lang", "k", "h", "phrase").agg(F.sum("n").alias("n"))
+    found = docs.select("lang", "text").mapInArrow(run, schema)
+    total = found.groupBy(*[c for c in found.columns if c != "n"]).agg(F.sum("n").alias("n"))
     with arrow_batches(docs.sparkSession):
-        return materialize(total.where((F.col("n") >= least) | (F.col("k") == 0)), "phrases")
+        return materialize(total.where(kept), "phrases")
 
 
-def _set_bits(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
-    """``bits`` with those of the phrases (of a length that can grow); at most ``FILTER_BITS / 64`` rows come back."""
+def _set_bits(bits: np.ndarray, hashes: DataFrame) -> np.ndarray:
+    """``bits`` with two more for each hash ``h``; at most ``FILTER_BITS / 64`` rows come back."""
     size = F.lit(8 * len(bits) - 1).cast("long")
     place = F.explode(F.array(F.col("h").bitwiseAND(size), F.shiftrightunsigned("h", 32).bitwiseAND(size)))
-    places = phrases.where(f"k between 1 and {LONGEST - 1}").select(place.alias("p"))
+    places = hashes.select(place.alias("p"))
     words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("x")).toArrow()
     out = bits.copy()
     at = words.column("w").to_numpy().astype(np.int64)
@@ -248,34 +265,28 @@ def _set_bits(bits: np.ndarray, phrases: DataFrame) -> np.ndarray:
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE, proposing: int | None = None, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``lang, k, phrase, n`` of every phrase of up to ``longest`` words (``k``) with ``least`` occurrences; ``k`` 0: all words.
 
-    ``proposing`` is the threshold in the sample (:func:`sample_least`); any value gives the same rows, with more passes
-    or more counting.
+    ``proposing`` is the threshold in the sample (:func:`sample_least`); any value gives the same rows, with more or less
+    counting.
     """
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), "text", F.xxhash64("doc_id", "text").alias("dealt"))
     part = docs.where(F.pmod("dealt", F.lit(sample)) == 0)
     proposing = sample_least(least, sample) if proposing is None else proposing
     send = docs.sparkSession.sparkContext.broadcast
-    proposed = send(np.zeros(8, dtype=np.uint8))
+    sets = [send(np.zeros(8, dtype=np.uint8))]
     for k in range(1, longest):
-        grown = _pass(part, proposed, [], range(k, k + 1), proposing).where("k > 0")
+        grown = _pass(part, _hashed, sets, range(k, k + 1), "h long, n long", F.col("n") >= proposing)
         n = grown.count()
         if not n:
             break
-        bits = proposed.value if k > 1 else np.zeros(min(filter_bits, max(1 << 9, 1 << (WORD_BITS * n - 1).bit_length())) // 8, dtype=np.uint8)
-        proposed.destroy()
-        proposed = send(_set_bits(bits, grown))
-    found = _pass(docs, proposed, [], range(1, longest + 1), least)
-    known, counted = _set_bits(np.zeros_like(proposed.value), found), [proposed]
-    new = bool((known & ~proposed.value).any())  # a frequent phrase with a bit that was not proposed: the sample failed
-    while new:
-        counted = [*counted, send(known)]
-        more = _pass(docs, counted[-1], counted[:-1], range(2, longest + 1), least)
-        known = _set_bits(known, more)
-        new = not more.where(f"k < {longest}").isEmpty()
-        found = found.unionByName(more)
-    for c in counted:  # the tables are written
-        c.destroy()
-    return found.select("lang", "k", "phrase", "n")
+        bits = sets[0].value if k > 1 else np.zeros(min(filter_bits, max(1 << 9, 1 << (WORD_BITS * n - 1).bit_length())) // 8, dtype=np.uint8)
+        sets[0].destroy()
+        sets = [send(_set_bits(bits, grown))]
+    perhaps = _pass(docs, _hashed, sets, range(1, longest + 1), "h long, n long", F.col("n") >= least)
+    sets.append(send(_set_bits(np.zeros_like(sets[0].value), perhaps)))
+    found = _pass(docs, _counted, sets, longest, _COUNTS, (F.col("n") >= least) | (F.col("k") == 0))
+    for x in sets:  # the tables are written
+        x.destroy()
+    return found
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, **sampling) -> DataFrame:
