@@ -11,8 +11,9 @@ matrices and the product, a few MB whatever the input.  Products are exact: in
 float64 while every partial sum is an integer below 2**53, else in Python integers.
 
 Defined results: vectors that are null, or hold null or non-finite components, take no
-part, nor do rows with a null id; vectors of different lengths are not compared; rows with equal id are
-one vector, the smallest; ties go to the smaller id; extra columns are ignored.
+part (nor those whose components leave the doubles when scaled), nor do rows with a null id; vectors of different lengths are not compared; rows with equal id are
+one vector, the smallest; ties go to the smaller id; a score beyond 64 bits counts as the nearest
+number within them; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -64,10 +65,12 @@ def _pack(rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def _product(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Integer inner products of the rows of ``q`` and ``v`` (float64 holding integers)."""
-    largest = max(np.abs(q).max(initial=0), 1.0) * max(np.abs(v).max(initial=0), 1.0) * q.shape[1]
+    with np.errstate(over="ignore"):
+        largest = max(np.abs(q).max(initial=0), 1.0) * max(np.abs(v).max(initial=0), 1.0) * q.shape[1]
     if largest < 2**53:
         return (q @ v.T).astype(np.int64)
-    return np.array([[int(x) for x in r] for r in q], dtype=object) @ np.array([[int(x) for x in r] for r in v], dtype=object).T
+    exact = np.array([[int(x) for x in r] for r in q], dtype=object) @ np.array([[int(x) for x in r] for r in v], dtype=object).T
+    return np.array([[min(max(x, -(2**63)), 2**63 - 1) for x in r] for r in exact], dtype=np.int64).reshape(exact.shape)
 
 
 def tile_best(score: np.ndarray, q_ids: np.ndarray, v_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -76,9 +79,9 @@ def tile_best(score: np.ndarray, q_ids: np.ndarray, v_ids: np.ndarray, k: int) -
         allowed = np.flatnonzero(v_ids != own)
         if len(allowed) > k:
             row_ = row[allowed]
-            least = np.partition(row_, len(row_) - k)[len(row_) - k] if row_.dtype != object else sorted(row_)[len(row_) - k]
+            least = np.partition(row_, len(row_) - k)[len(row_) - k]
             allowed = allowed[row_ >= least]  # with all ties of the last place
-        yield own, allowed[np.argsort(-row[allowed], kind="stable")][:k]
+        yield own, allowed[np.argsort(~row[allowed], kind="stable")][:k]  # ~ turns the order round without overflow
 
 
 def _tiles(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +113,8 @@ def merge(lists: DataFrame, n_shards: int, k: int) -> DataFrame:
 
 
 def quantized(vector: Column, scale: int = SCALE) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    whole = lambda x: F.when(F.abs(x) < 2.0**52, F.floor(x).cast("double")).otherwise(x)  # noqa: E731  (a long would saturate)
+    return F.transform(vector, lambda x: whole(x.cast("double") * scale))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE) -> DataFrame:
@@ -119,7 +123,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = SCALE)
     ``vectors`` has ``vec_id, embedding``; the rows where ``is_query`` holds are the queries.
     """
     good = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
-        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < float("inf"))
     )
     clean = vectors.where(good).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     clean = clean.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
