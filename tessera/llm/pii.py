@@ -109,6 +109,7 @@ _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 #: at and dot in brackets, with spaces around at will; dot between spaces counts between parts of a host name.
 _AT = re.compile(rf"(?i)\s{{0,3}}{_OPEN}\s?(?:at|@)\s?{_CLOSE}\s{{0,3}}|\s{{1,3}}at\s{{1,3}}(?=[a-z0-9-]+(?:\s{{1,3}}dot\s|\s{{0,3}}{_OPEN}\s?(?:dot|\.)\s?{_CLOSE}))")
 _DOT = re.compile(rf"(?i)\s{{0,3}}{_OPEN}\s?(?:dot|\.)\s?{_CLOSE}\s{{0,3}}|(?<=[a-z0-9])\s{{1,3}}dot\s{{1,3}}(?=[a-z0-9])")
+_HOST = re.compile("[A-Za-z0-9-]+")
 _MAY_AT = re.compile(rf"(?i){_OPEN}\s?(?:at|@)\s?{_CLOSE}|\sat\s")
 
 
@@ -156,9 +157,8 @@ def read_marks(tape: Tape) -> None:
         edits, free = [], 0
         for at in (i for i, c in enumerate(tape.text) if c == "@"):
             stop = at + 1
-            while m := _DOT.search(tape.text, max(stop, free), min(len(tape.text), stop + 80)):
-                if not re.fullmatch(r"[A-Za-z0-9-]+", tape.text[stop : m.start()]):
-                    break
+            # label, spelled point, label and so on: each begins where the one before ends, so long labels cost their length
+            while (label := _HOST.match(tape.text, max(stop, free))) and (m := _DOT.match(tape.text, label.end())):
                 edits.append((*m.span(), "."))
                 stop = free = m.end()
         tape.replace(edits)
