@@ -6,14 +6,12 @@ uses, and over that alphabet a chi-squared test of uniformity, a runs test (abov
 and below the middle of the alphabet) and a lag-1 serial-correlation test; a
 candidate that any of them rejects at ``ALPHA`` is not random.
 
-What passes may still be chance, for short strings above all.  So the index of
-coincidence behind the chi-squared statistic is also compared with that of
-ordinary text: its mean and variance for a string of that length follow from the
-frequencies of the alphabet's characters, counted over *all* documents.  The
-resulting p-values of all candidates of the corpus go through Benjamini-Hochberg:
-the cut comes from a histogram of fixed bins that Spark sums, so the expected
-share of false finds is at most ``FDR`` at every size, and short strings need more
-evidence than long ones.
+What passes may still be ordinary text that looks random by chance, short strings above all.  So its likelihood as a
+random string of its encoding is compared with that as ordinary text, by the pairs of neighbouring key
+characters of *all* documents.  Under ordinary text the ratio is above x with a probability of at most 1 / x, so
+its inverse (times the number of encodings tried) is a p-value, and longer strings reach smaller ones.  The
+p-values of all candidates that the battery did not reject go through Benjamini-Hochberg: the cut comes from a
+histogram of fixed bins that Spark sums, so the expected share of false finds is at most ``FDR`` at every size.
 
 Defined results: a null or empty text has no spans; repeated rows are searched
 each, and count as often as they occur; extra columns are ignored.  Offsets
@@ -30,7 +28,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import map_arrow
@@ -40,8 +38,8 @@ from tessera.operators.core import materialize
 KINDS = ("assign", "access", "hex", "random")
 #: Level of each test of the battery, and the share of false finds allowed.
 ALPHA, FDR = 1e-3, 0.01
-#: Bins of the score by which candidates are ranked: width, and the scores at both ends.
-BIN, LOWEST, HIGHEST = 0.01, -40.0, 5.0
+#: Bins of the evidence (minus log p) by which candidates are ranked: width, and the greatest evidence told apart.
+BIN, HIGHEST = 0.05, 500.0
 
 _ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""")
 _WORDS = ("passw", "secret", "token", "api")
@@ -112,33 +110,58 @@ def battery(run: str, encoding: str) -> tuple[float, float, float]:
     return uniform, p_runs, serial
 
 
-def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, str, int, float, bool]]:
-    """Start, end, encoding, length, index of coincidence and verdict of the battery, of runs outside ``base``."""
+def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, str, bool]]:
+    """Start, end, text and verdict of the battery, of runs outside ``base``."""
     for m in _CANDIDATE.finditer(text):
         run = m[0]
         if bool(_DIGIT.search(run)) + bool(_LOWER.search(run)) + bool(_UPPER.search(run)) < 2:
             continue
         if any(a < m.end() and m.start() < b for a, _, b in base):
             continue
-        n, encoding = len(run), encoding_of(run)
-        ic = sum(c * (c - 1) for c in Counter(run).values()) / (n * (n - 1))
-        yield m.start(), m.end(), encoding, n, ic, min(battery(run, encoding)) >= ALPHA
+        yield m.start(), m.end(), run, min(battery(run, encoding_of(run))) >= ALPHA
 
 
-_CAND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("encoding", pa.string()), ("n", pa.int64()), ("ic", pa.float64()), ("random", pa.bool_())])
+#: Key characters; every other byte is one class of its own after them.
+_KEY = ENCODINGS["any"]
+_OTHER = len(_KEY)
+_KEY_OF = np.full(256, _OTHER, dtype=np.int64)
+_KEY_OF[np.frombuffer(_KEY.encode(), np.uint8)] = np.arange(_OTHER)
+_SIDE = _OTHER + 1
+
+
+def pair_counts(raw: np.ndarray) -> np.ndarray:
+    """How often each class of bytes follows each (flat, ``_SIDE`` by ``_SIDE``); a text begins after another byte."""
+    k = _KEY_OF[raw]
+    return np.bincount(np.append(_OTHER, k[:-1]) * _SIDE + k, minlength=_SIDE * _SIDE) if len(k) else np.zeros(_SIDE * _SIDE, dtype=np.int64)
+
+
+def ordinary_logs(pairs: np.ndarray) -> np.ndarray:
+    """Log-probability of each key character after each class, given that a key character follows (half a count added to each)."""
+    c = pairs.reshape(_SIDE, _SIDE)[:, :_OTHER] + 0.5
+    return np.log(c / c.sum(axis=1, keepdims=True))
+
+
+def evidence(run: str, logs: np.ndarray) -> float:
+    """Minus the log of the p-value that ordinary text looks that random: the log-likelihood ratio, less that of the choice of encodings."""
+    k = _KEY_OF[np.frombuffer(run.encode(), np.uint8)]
+    ordinary = float(logs[np.append(_OTHER, k[:-1]), k].sum())
+    return -len(run) * math.log(len(ENCODINGS[encoding_of(run)])) - ordinary - math.log(len(ENCODINGS))
+
+
+_CAND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("run", pa.string()), ("random", pa.bool_())])
 _BASE = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
 
 
 def scan(kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per document, and one with the task's counts of ASCII characters at the end."""
-    names = ["doc_id", "is_doc", "n_assign", "n_access", "n_hex", "base_sha256", "base", "candidates", "chars"]
-    chars = np.zeros(128, dtype=np.int64)
+    """A row per document, and one with the task's counts of neighbouring characters at the end."""
+    names = ["doc_id", "is_doc", "n_assign", "n_access", "n_hex", "base_sha256", "base", "candidates", "pairs"]
+    pairs = np.zeros(_SIDE * _SIDE, dtype=np.int64)
     for b in batches:
         rows: list[list] = [[], [], [], [], [], []]
         for text in b.column("text").to_pylist():
             text = text or ""
             raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
-            chars += np.bincount(raw, minlength=256)[:128]
+            pairs += pair_counts(raw)
             base = base_spans(text)
             shown = ",".join(f"{KINDS[k]}:{a}:{e}" for a, k, e in base)
             for column, x in zip(rows, (*(sum(s[1] == k for s in base) for k in range(3)), sha256(shown.encode()).hexdigest(), base, [*candidates(text, base)])):
@@ -147,36 +170,29 @@ def scan(kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
         kinds = [pa.int64()] * 3 + [pa.string()]
         own = [pa.array(c, t) for c, t in zip(rows, kinds)]
         own += [pa.array([[dict(zip(("start", "kind", "end"), s)) for s in d] for d in rows[4]], pa.list_(_BASE))]
-        own += [pa.array([[dict(zip(("start", "end", "encoding", "n", "ic", "random"), s)) for s in d] for d in rows[5]], pa.list_(_CAND))]
+        own += [pa.array([[dict(zip(("start", "end", "run", "random"), s)) for s in d] for d in rows[5]], pa.list_(_CAND))]
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([True] * n), *own, pa.nulls(n, pa.list_(pa.int64()))], names=names)
     last = [pa.nulls(1, kind), pa.array([False]), *(pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(_BASE), pa.list_(_CAND)))]
-    yield pa.RecordBatch.from_arrays([*last, pa.array([chars.tolist()], pa.list_(pa.int64()))], names=names)
-
-
-def coincidence(counts: dict[str, int], alphabet: str) -> tuple[float, float]:
-    """Sums of the squares and cubes of the alphabet's character frequencies in ordinary text."""
-    c = np.array([counts.get(x, 0) for x in alphabet], dtype=np.float64)
-    p = c / c.sum() if c.sum() else np.full(len(c), 1 / len(c))
-    return float((p**2).sum()), float((p**3).sum())
-
-
-def ordinary_score(n: Column, ic: Column, s2: Column, s3: Column) -> Column:
-    """Standard errors by which an index of coincidence lies above that of ordinary text of that length."""
-    variance = 2 * (s2 - s2 * s2 + 2 * (n - 2) * (s3 - s2 * s2)) / (n * (n - 1))
-    return (ic - s2) / F.sqrt(F.greatest(variance, F.lit(1e-12)))
+    yield pa.RecordBatch.from_arrays([*last, pa.array([pairs.tolist()], pa.list_(pa.int64()))], names=names)
 
 
 def cut(histogram: list[tuple[int, int]], fdr: float = FDR) -> float:
-    """Benjamini-Hochberg over a histogram of scores: candidates below the returned score are found."""
-    total, below, best = sum(n for _, n in histogram), 0, -math.inf
-    for k, n in sorted(histogram):
-        below += n
-        edge = LOWEST + (k + 1) * BIN  # every p-value of the bin counts as its largest
-        if upper_normal(-edge) <= fdr * below / total:
-            best = edge
+    """Benjamini-Hochberg over a histogram of evidence (bin -> candidates): candidates from the returned evidence on are found."""
+    total, above, best = sum(n for _, n in histogram), 0, math.inf
+    for k, n in sorted(histogram, reverse=True):
+        above += n
+        if math.exp(-max(k, 0) * BIN) <= fdr * above / total:  # every p-value of the bin counts as its largest
+            best = k * BIN
     return best
 
 
+def with_evidence(pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    logs = ordinary_logs(pairs)
+    for b in batches:
+        found = [[min(evidence(c["run"], logs), HIGHEST) if c["random"] else None for c in row] for row in b.column("candidates").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.float64()))], names=[*b.schema.names, "evidence"])
+
+
 def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``): base counts, digest of the base spans, and all spans."""
     spark, doc_type = docs.sparkSession, docs.schema["doc_id"].dataType
@@ -184,26 +200,24 @@ def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     schema = (
         f"doc_id {doc_type.simpleString()}, is_doc boolean, n_assign long, n_access long, n_hex long, base_sha256 string, "
         "base array<struct<start:long,kind:int,end:long>>, "
-        "candidates array<struct<start:long,end:long,encoding:string,n:long,ic:double,random:boolean>>, chars array<long>"
+        "candidates array<struct<start:long,end:long,run:string,random:boolean>>, pairs array<long>"
     )
     rows = materialize(map_arrow(docs.select("doc_id", "text"), lambda it: scan(kind, it), schema), "secrets")
-    # at most 128 rows
-    chars = rows.where(~F.col("is_doc")).select(F.posexplode("chars").alias("point", "n")).groupBy("point").agg(F.sum("n").alias("n")).collect()
-    counts = {chr(r.point): r.n for r in chars}
-    sums = {name: coincidence(counts, alphabet) for name, alphabet in ENCODINGS.items()}
-
-    def score(c: Column) -> Column:
-        pick = [F.coalesce(*(F.when(c["encoding"] == name, F.lit(s[i])) for name, s in sums.items())) for i in (0, 1)]
-        return F.least(F.greatest(ordinary_score(c["n"], c["ic"], *pick), F.lit(LOWEST)), F.lit(HIGHEST))
-
-    scored = rows.where("is_doc").withColumn(
-        "scored", F.transform("candidates", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), c["random"].alias("random"), score(c).alias("score")))
-    )
-    bins = scored.select(F.explode("scored").alias("c")).select(F.floor((F.col("c.score") - LOWEST) / BIN).alias("bin")).groupBy("bin").count()
-    limit = cut([(r["bin"], r["count"]) for r in bins.collect()], fdr)  # at most as many rows as bins
+    # a row for each pair of classes of characters, some thousands whatever the corpus
+    seen = rows.where(~F.col("is_doc")).select(F.posexplode("pairs").alias("pair", "n")).where("n > 0").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(_SIDE * _SIDE, dtype=np.int64)
+    for r in seen:
+        pairs[r.pair] = r.n
+    own = rows.where("is_doc").drop("is_doc", "pairs")
+    scored = own.mapInArrow(lambda it: with_evidence(pairs, it), ", ".join(f"{c} {t}" for c, t in own.dtypes) + ", evidence array<double>")
+    scored = materialize(scored, "scored")
+    bins = scored.select(F.explode("evidence").alias("e")).where("e is not null").select(F.floor(F.col("e") / BIN).alias("bin")).groupBy("bin").count()
+    # as many rows as bins: evidence below 0 is never enough and counts as one bin
+    bins = bins.groupBy(F.greatest("bin", F.lit(-1)).alias("bin")).agg(F.sum("count").alias("n")).collect()
+    limit = cut([(r["bin"], r["n"]) for r in bins], fdr)
     found = F.transform(
-        F.filter("scored", lambda c: c["random"] & (c["score"] < F.lit(limit))),
-        lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")),
+        F.filter(F.arrays_zip("candidates", "evidence"), lambda c: c["evidence"] >= F.lit(limit)),
+        lambda c: F.struct(c["candidates"]["start"].alias("start"), F.lit(3).alias("kind"), c["candidates"]["end"].alias("end")),
     )
     names = F.array(*map(F.lit, KINDS))
     shown = F.array_join(
