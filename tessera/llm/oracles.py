@@ -67,19 +67,19 @@ def _quality() -> str:
     r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS times FROM g WHERE whole),
     rep AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM r WHERE times > 1) GROUP BY doc_id),
     line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d),
-    dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM line WHERE regexp_matches(x, {_WORD}) GROUP BY doc_id),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n, count(*) AS of FROM line WHERE regexp_matches(x, {_WORD}) GROUP BY doc_id),
     c AS (SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
                  CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
-                 CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+                 CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(dup.of, 0) AS n_lines
           FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id)),
     f AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {int(100 * q.MAX_REPEATED)} * n_words AS base_failed,
-                 n_symbols > {q.MAX_SYMBOLS_PER_WORD}::DOUBLE * n_words OR n_dup_lines > {q.MAX_DUPLICATE_LINES}::DOUBLE * n_words
+                 n_symbols > {q.MAX_SYMBOLS_PER_WORD}::DOUBLE * n_words OR n_dup_lines > {q.MAX_DUPLICATE_LINES}::DOUBLE * n_lines
                  OR NOT word_chars BETWEEN {q.MEAN_WORD[0]} * n_words AND {q.MEAN_WORD[1]} * n_words AS more FROM c),
     h AS (SELECT source, count(*) AS n, sum(CAST(base_failed OR more AS BIGINT))::DOUBLE AS bad FROM f GROUP BY source),
     p AS (SELECT sum(bad) / sum(n) AS m, var_pop(bad / n) AS v FROM h),
-    k AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0::DOUBLE), 1e4::DOUBLE) ELSE 1e4::DOUBLE END AS k FROM p),
-    s AS (SELECT source, (bad + m * k) / (n + k) AS rate FROM h, k)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate < {q.HOST_RATE}::DOUBLE AS kept,
+    k AS (SELECT m, CASE WHEN v > 0 THEN greatest(m * (1 - m) / v - 1, 1.0::DOUBLE) ELSE {q.EVEN_WEIGHT}::DOUBLE END AS k FROM p),
+    s AS (SELECT source, (bad + m * k) / (n + k) AS rate, m + {q.HOST_SPREAD}::DOUBLE * sqrt(m * (1 - m) / (k + 1)) AS far FROM h, k)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (rate >= {q.HOST_RATE}::DOUBLE AND rate >= far) AS kept,
            floor(rate * 1000000.0::DOUBLE + 0.5::DOUBLE) / 1000000.0::DOUBLE AS host_rate
     FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source"""
 

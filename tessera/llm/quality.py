@@ -2,8 +2,8 @@
 
 Every document is held against a few text rules.  Failures are summed by host (the
 ``source``), each host's failure rate is shrunk towards the mean of all hosts by an
-empirical beta prior (moment estimate over hosts), and a host whose rate stays high
-after that has all its documents rejected.  Verdicts go back by a join that Spark
+empirical beta prior (moment estimate over hosts), and a host goes with all its documents if most of them fail
+even so and its rate lies far above what hosts are like.  Verdicts go back by a join that Spark
 can split, so one host may hold a third of all rows.
 
 Defined results: a null text has no words (it fails for its length); a null host is
@@ -30,9 +30,14 @@ MIN_WORDS = 50
 MAX_REPEATED = 0.5
 #: Further rules that count against a host, none against a single document.
 MAX_SYMBOLS_PER_WORD, MAX_DUPLICATE_LINES, MEAN_WORD = 0.3, 0.5, (2, 20)
-#: A host goes if its shrunk rate of failed documents reaches this.
-HOST_RATE = 0.9
+#: A host goes if its shrunk rate of failed documents reaches this, and lies this many of the prior's
+#: standard deviations above its mean.
+HOST_RATE, HOST_SPREAD = 0.5, 3.0
+#: Weight of the prior, in documents, where the hosts' rates do not differ at all.
+EVEN_WEIGHT = 1e4
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Further counts that only the rules use.
+MORE_COUNTS = ("n_lines",)
 
 
 def repeated_words(starts: np.ndarray, codes: np.ndarray, kinds: int) -> np.ndarray:
@@ -83,6 +88,7 @@ def count_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "n_symbols": symbols.cast(pa.int64()),
             "n_dup_lines": np.bincount(line_doc, minlength=n_docs) - np.bincount(kinds, minlength=n_docs),
             "n_repeat_words": repeated_words(starts, codes, max(len(words), 1)),
+            "n_lines": np.bincount(line_doc, minlength=n_docs),
         }
         yield pa.RecordBatch.from_arrays([x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x) for x in out.values()], names=list(out))
 
@@ -90,27 +96,30 @@ def count_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_verdicts(counts: DataFrame, failed: Column, host_rate: float = HOST_RATE) -> DataFrame:
     """``host, host_docs, host_failed, host_rate, host_kept``: rates shrunk by an empirical beta prior.
 
-    Prior: mean m and variance v of the hosts' rates give a beta with weight
-    m(1 - m)/v - 1, at least 1 and at most 10,000 documents.
+    Prior: mean m and variance v of the hosts' rates give a beta with weight m(1 - m)/v - 1, at least 1 document
+    (``EVEN_WEIGHT`` if v is 0).  A host goes at a shrunk rate of ``host_rate`` or more that is also
+    ``HOST_SPREAD`` standard deviations of that beta above m.
     """
     hosts = counts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"), F.sum(failed.cast("long")).alias("host_failed"))
     rate = F.col("host_failed") / F.col("host_docs")
     prior = hosts.agg((F.sum("host_failed") / F.sum("host_docs")).alias("m"), F.var_pop(rate).alias("v"))
-    weight = F.when(F.col("v") > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0)), F.lit(1e4))).otherwise(1e4)
+    even = F.col("m") * (1 - F.col("m"))
+    weight = F.when(F.col("v") > 0, F.greatest(even / F.col("v") - 1, F.lit(1.0))).otherwise(EVEN_WEIGHT)
     shrunk = (F.col("host_failed") + F.col("m") * weight) / (F.col("host_docs") + weight)
-    return attach_row(hosts, prior).select("host", "host_docs", "host_failed", shrunk.alias("host_rate"), (shrunk < host_rate).alias("host_kept"))
+    far = shrunk >= F.col("m") + HOST_SPREAD * F.sqrt(even / (weight + 1))
+    return attach_row(hosts, prior).select("host", "host_docs", "host_failed", shrunk.alias("host_rate"), (~((shrunk >= host_rate) & far)).alias("host_kept"))
 
 
 def judge(docs: DataFrame, host: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
     """Counts, rule failures and verdict of each row of ``docs`` (``doc_id, text`` and the host column)."""
     kinds = dict(docs.dtypes)
-    schema = f"doc_id {kinds['doc_id']}, host {kinds[host]}, " + ", ".join(f"{c} long" for c in COUNTS)
+    schema = f"doc_id {kinds['doc_id']}, host {kinds[host]}, " + ", ".join(f"{c} long" for c in (*COUNTS, *MORE_COUNTS))
     counts = materialize(map_arrow(docs.select("doc_id", "text", F.col(host).alias("host")), count_rules, schema), "quality")
     base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     more = (
         base
         | (F.col("n_symbols") > MAX_SYMBOLS_PER_WORD * F.col("n_words"))
-        | (F.col("n_dup_lines") > MAX_DUPLICATE_LINES * F.col("n_words"))
+        | (F.col("n_dup_lines") > MAX_DUPLICATE_LINES * F.col("n_lines"))
         | ~F.col("word_chars").between(MEAN_WORD[0] * F.col("n_words"), MEAN_WORD[1] * F.col("n_words"))
     )
     verdicts = host_verdicts(counts, more, host_rate).withColumnRenamed("host", "judged_host")
