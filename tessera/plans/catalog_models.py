@@ -216,7 +216,7 @@ def l_encoded_trees(spark, sf_dir):
     return rounded(m.join(t, "fold").select("fold", "n", "accuracy", "auc", "logloss", "trees"))
 
 
-_LOW = {**_SMALL, "maxIter": 5}
+_LOW = {**_SMALL, "maxIter": 3}
 LADDER = [
     ME.StageSpec("A0", "row", early=False, numeric=tuple(NUMERIC), params=(_LOW,)),
     ME.StageSpec("A1", "group", numeric=tuple(NUMERIC), params=(_LOW,)),
