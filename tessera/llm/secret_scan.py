@@ -40,6 +40,8 @@ KINDS = ("assign", "access", "hex", "random")
 ALPHA, FDR = 1e-3, 0.01
 #: Bins of the evidence (minus log p) by which candidates are ranked: width, and the greatest evidence told apart.
 BIN, HIGHEST = 0.05, 500.0
+#: Counts that a character's own frequency weighs beside those of a pair.
+BACKOFF = 4.0
 
 _ASSIGN = re.compile(r"""(?ai:(?:password|passwd|secret|token|api_?key))["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""")
 _WORDS = ("passw", "secret", "token", "api")
@@ -135,17 +137,20 @@ def pair_counts(raw: np.ndarray) -> np.ndarray:
     return np.bincount(np.append(_OTHER, k[:-1]) * _SIDE + k, minlength=_SIDE * _SIDE) if len(k) else np.zeros(_SIDE * _SIDE, dtype=np.int64)
 
 
-def ordinary_logs(pairs: np.ndarray) -> np.ndarray:
-    """Log-probability of each key character after each class, given that a key character follows (half a count added to each)."""
-    c = pairs.reshape(_SIDE, _SIDE)[:, :_OTHER] + 0.5
-    return np.log(c / c.sum(axis=1, keepdims=True))
+def evidence(run: str, pairs: np.ndarray) -> float:
+    """Minus the log of the p-value that ordinary text looks that random: the log-likelihood ratio, less that of the choice of encodings.
 
-
-def evidence(run: str, logs: np.ndarray) -> float:
-    """Minus the log of the p-value that ordinary text looks that random: the log-likelihood ratio, less that of the choice of encodings."""
+    ``pairs`` (``_SIDE`` by ``_SIDE``) counts the whole corpus; the run's own pairs are taken out of it, or a key would vouch for
+    itself where its pairs are rare.  A pair's probability backs off to that of its second character with a weight of ``BACKOFF``.
+    """
     k = _KEY_OF[np.frombuffer(run.encode(), np.uint8)]
-    ordinary = float(logs[np.append(_OTHER, k[:-1]), k].sum())
-    return -len(run) * math.log(len(ENCODINGS[encoding_of(run)])) - ordinary - math.log(len(ENCODINGS))
+    before = np.append(_OTHER, k[:-1])
+    own = np.bincount(before * _SIDE + k, minlength=_SIDE * _SIDE).reshape(_SIDE, _SIDE)
+    left = np.maximum(pairs - own, 0)[:, :_OTHER]
+    single = left.sum(axis=0) + 0.5
+    single = single / single.sum()
+    ordinary = (left[before, k] + BACKOFF * single[k]) / (left[before].sum(axis=1) + BACKOFF)
+    return -len(run) * math.log(len(ENCODINGS[encoding_of(run)])) - float(np.log(ordinary).sum()) - math.log(len(ENCODINGS))
 
 
 _CAND = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("run", pa.string()), ("random", pa.bool_())])
@@ -187,9 +192,9 @@ def cut(histogram: list[tuple[int, int]], fdr: float = FDR) -> float:
 
 
 def with_evidence(pairs: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    logs = ordinary_logs(pairs)
+    pairs = pairs.reshape(_SIDE, _SIDE)
     for b in batches:
-        found = [[min(evidence(c["run"], logs), HIGHEST) if c["random"] else None for c in row] for row in b.column("candidates").to_pylist()]
+        found = [[min(evidence(c["run"], pairs), HIGHEST) if c["random"] else None for c in row] for row in b.column("candidates").to_pylist()]
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.float64()))], names=[*b.schema.names, "evidence"])
 
 
