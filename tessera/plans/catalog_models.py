@@ -216,14 +216,14 @@ def l_encoded_trees(spark, sf_dir):
     return rounded(m.join(t, "fold").select("fold", "n", "accuracy", "auc", "logloss", "trees"))
 
 
-_LOW = {**_SMALL, "maxIter": 3}
+_LOW = {**_SMALL, "maxIter": 2, "maxDepth": 2}
 LADDER = [
     ME.StageSpec("A0", "row", early=False, numeric=tuple(NUMERIC), params=(_LOW,)),
     ME.StageSpec("A1", "group", numeric=tuple(NUMERIC), params=(_LOW,)),
     ME.StageSpec("A2", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), params=(_LOW,)),
     ME.StageSpec("A3", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="plain", encoded=("dest", "deck"), refit=True, params=(_LOW,)),
     ME.StageSpec("A3b", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, aggregates=True, params=(_LOW,)),
-    ME.StageSpec("A4", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW, {**_LOW, "maxDepth": 2})),
+    ME.StageSpec("A4", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW, {**_LOW, "maxDepth": 3})),
     ME.StageSpec("A5", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW,), threshold="best"),
     ME.StageSpec("A6", "group", numeric=tuple(NUMERIC), nominal=("home", "vip", "flag"), encoder="oof", encoded=("dest", "deck"), refit=True, params=(_LOW,), seeds=(1, 2)),
     ME.StageSpec("A7", "group", numeric=tuple(NUMERIC), encoder="loo", encoded=("dest",), params=(_LOW,), blend_with="A6"),
