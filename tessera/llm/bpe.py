@@ -45,7 +45,20 @@ NONE, SLOTS, _WIDE = 1 << 60, 1 << 20, 1 << 31
 #: and Python's own tables may not yet.
 _UNICODE_16 = """
     1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D40-10D85 10EC2-10EC4 11380-113E2 116D0-116E3 11BC0-11BF9
-    13460-143FA 16100-16139 16D40-16D79 1CCF0-1CCF9 1E5D0-1E5FA
+    13460-143FA 16100-16139 16D40-16D79 18CFF-18CFF 1CCF0-1CCF9 1E5D0-1E5FA
+"""
+#: Capital letters (first to last) that Unicode 16 and 17 added, and the first one's small letter.  The tokenizers
+#: library knows them, and Python's own tables may not yet.
+_CAPITALS = """
+    1C89-1C89:1C8A A7CB-A7CB:0264 A7CC-A7CC:A7CD A7CE-A7CE:A7CF A7D2-A7D2:A7D3 A7D4-A7D4:A7D5 A7DA-A7DA:A7DB A7DC-A7DC:019B
+    10D50-10D65:10D70 16EA0-16EB8:16EBB
+"""
+#: Marks since Unicode 10, which the library's older composition takes for characters that neither move nor compose.
+_LATE_MARKS = """
+    07FD-07FD 0898-089F 08CA-08D3 09FE-09FE 0C3C-0C3C 0D3B-0D3C 0EBA-0EBA 1715-1715 1ABF-1ACE 1DF6-1DFA A82C-A82C 10D24-10D27
+    10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070-11070 1133B-1133B 1145E-1145E 11839-1183A 11930-11930 11938-11938
+    1193D-1193E 11943-11943 119E0-119E0 11A34-11A34 11A47-11A47 11A99-11A99 11D42-11D42 11D44-11D45 11D97-11D97 11F41-11F42
+    16FF0-16FF1 1E08F-1E08F 1E130-1E136 1E2AE-1E2AE 1E2EC-1E2EF 1E4EC-1E4EF
 """
 
 
@@ -70,11 +83,23 @@ def _newer() -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) or r"\U0010ffff"
 
 
+def _small() -> dict[int, int]:
+    """The small letter of each of the newer capital letters."""
+    out = {}
+    for part in _CAPITALS.split():
+        first, last, small = (int(x, 16) for x in re.split("[-:]", part))
+        out |= {p: small + p - first for p in range(first, last + 1)}
+    return out
+
+
+_SMALL = _small()
 _NEWER = _newer()
 #: Finds a character that only newer Unicode tables call a letter or a number.
 NEWER = regex.compile(f"[{_NEWER}]")
-#: All of those are among these; found faster.
-HIGH = re.compile("[\u0870-\U0010ffff]")
+#: Finds (and keeps, in a split) a mark that doesn't compose.
+LATE = re.compile("([" + "".join("{}-{}".format(*(chr(int(x, 16)) for x in r.split("-"))) for r in _LATE_MARKS.split()) + "])")
+#: All of those, and all newer capital letters, are among these; found faster.
+HIGH = re.compile("[\u0530-\U0010ffff]")
 
 
 def _without_newer(pattern: str) -> str:
@@ -229,8 +254,12 @@ class Bpe:
         if self.plain and text.isascii() and text.isalpha():
             return [text.lower()]
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-            return (self.older_words if HIGH.search(text) and NEWER.search(text) else self.words).findall(text)
+            high = HIGH.search(text)
+            parts = LATE.split(text) if high else [text]
+            text = "".join([unicodedata.normalize("NFC", p) for p in parts]).replace("Σ", "σ").lower()
+            if high:
+                text = text.translate(_SMALL)
+            return (self.older_words if high and NEWER.search(text) else self.words).findall(text)
         return self.words.findall(text.lower())
 
     def encode_column(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:

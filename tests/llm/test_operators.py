@@ -5,7 +5,9 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -165,6 +167,21 @@ def test_bpe_agrees_with_the_tokenizers_library(spark):
         assert own.encode(text) == ids and own.decode(ids) == t.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_agrees_on_every_code_point():
+    """Each assigned code point between letters, digits and marks; ten thousand to a text, so that words and compositions stay apart."""
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(corpus_pipeline.TOKENIZER), bpe.load(open(corpus_pipeline.TOKENIZER, encoding="utf-8").read())
+    points = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 and (regex.match(r"\p{Assigned}|[\p{L}\p{N}]", chr(c)) or 0x530 <= c < 0x590)]
+    points = [c for c in points if not "\u4e00" <= c <= "\u9ff0" and not "\uac00" < c < "\ud7a0"]  # more of the same
+    points = [c for c in points if not "\U00020000" < c < "\U0002a6d0" and regex.match(r"\P{Co}", c)]
+    for k in range(0, len(points), 10_000):
+        texts = [f"a{c}b 1{c}. {c}\u0301x" for c in points[k : k + 10_000]]
+        got = own.encode_column(pa.array(texts))[0].to_pylist()
+        want = [" ".join(map(str, e.ids)) for e in t.encode_batch(texts, add_special_tokens=False)]
+        assert [x for x, g, w in zip(texts, got, want) if g != w] == []
+
+
 def test_quality_counts_agree_with_brute_force(spark):
     rng = random.Random(2)
     texts = ["".join(rng.choice(" \n\tab#é") for _ in range(200)) for _ in range(40)]
