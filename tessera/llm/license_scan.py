@@ -1,14 +1,15 @@
 """License scans: phrases, and text blocks that contain most words of a license notice.
 
-A block is a line, or a window of words of the whole text, whatever its line breaks: windows are twice as
-long as the longest template and start at each multiple of its length, so a wrapped notice stands in one of
-them whole.  A block matches a template if it holds at least ``CONTAINMENT`` of the template's different
-words, whatever their order.  The join is exact: words of all
+A block of a template is a run of consecutive words of the whole text, whatever its line breaks, of at most
+``SPREAD`` times the template's words (upper length).  A text matches a template if one of its blocks holds at least
+``CONTAINMENT`` of the template's different words, whatever their order.  The text is cut into windows twice as long as
+the longest block, which start at each multiple of its length, so every block stands in one of them whole.
+The join of windows and templates is exact: words of all
 templates are ordered by their frequency in the whole corpus, rarest first; a
-block that reaches the threshold shares one of the template's first words in that
+window that reaches the threshold shares one of the template's first words in that
 order (prefix filter), has enough template words at all (length filter), and enough
 of them left behind the first shared one in both orders (positional filter).
-Pairs that pass are verified on the full sets.  The templates are parameters, so
+Pairs that pass are verified on the full sets of the blocks that begin at the window's template words.  The templates are parameters, so
 their words are a table of bounded size.
 
 Words are runs of digits, ASCII letters in lower case and all characters beyond
@@ -50,6 +51,8 @@ TEMPLATES = [
 ]
 #: Share of a template's different words that a block must hold.
 CONTAINMENT = 0.9
+#: Words of a block at most, as a multiple of the template's.
+SPREAD = 1.5
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KEY = ["doc_id", "text_hash"]
 
@@ -58,8 +61,14 @@ def template_words(text: str) -> list[str]:
     return sorted({w for w in re.split(_GAP, text.lower()) if w})
 
 
+def reach(text: str, spread: float = SPREAD) -> int:
+    """Words of the longest block of a template."""
+    return math.ceil(spread * len([w for w in re.split(_GAP, text.lower()) if w]) - 1e-9)
+
+
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), _GAP), "")
+    lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_remove(F.split(lower, _GAP), "")
 
 
 def word_ranks(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
@@ -88,17 +97,28 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
-def _template_table(spark: SparkSession, ranks: dict[str, int], templates: list[tuple[str, str]], containment: float) -> DataFrame:
+def _template_table(spark: SparkSession, ranks: dict[str, int], templates: list[tuple[str, str]], containment: float, spread: float) -> DataFrame:
     """A row per template and prefix word."""
     rows = []
     for k, (label, text) in enumerate(templates):
         own = sorted(ranks[w] for w in template_words(text))
         need = math.ceil(containment * len(own) - 1e-9)
-        rows += [(k, label, own, need, r, p) for p, r in enumerate(own[: len(own) - need + 1])]
-    return spark.createDataFrame(rows, "template int, label string, t_ranks array<int>, need int, rank int, t_at int")
+        rows += [(k, label, own, need, reach(text, spread), r, p) for p, r in enumerate(own[: len(own) - need + 1])]
+    return spark.createDataFrame(rows, "template int, label string, t_ranks array<int>, need int, reach int, rank int, t_at int")
+
+
+def _held() -> Column:
+    """Most different words of the template that one block of it holds; blocks begin at words of the template."""
+    own = F.filter("marks", lambda m: F.array_contains("t_ranks", m["rank"]))
+
+    def block(m: Column) -> Column:
+        near = F.filter(own, lambda o: (o["at"] >= m["at"]) & (o["at"] < m["at"] + F.col("reach")))
+        return F.size(F.array_distinct(F.transform(near, lambda o: o["rank"])))
+
+    return F.array_max(F.transform(own, block))
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containment: float = CONTAINMENT, spread: float = SPREAD) -> DataFrame:
     """Per row of ``docs`` (``doc_id, text``): words, base places and labels, labels and score.
 
     The score is 1 where a phrase stands, else the greatest containment that reached the threshold, else 0.
@@ -106,21 +126,19 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containm
     spark = docs.sparkSession
     vocabulary = sorted({w for _, t in templates for w in template_words(t)})
     ranks = word_ranks(docs, vocabulary)
-    table = _template_table(spark, ranks, templates, containment)
+    table = _template_table(spark, ranks, templates, containment, spread)
     prefix = sorted({w for w, r in ranks.items()} & {next(w for w, x in ranks.items() if x == row["rank"]) for row in table.select("rank").distinct().collect()})
     starts = sorted({w for p in PHRASES for w in p.split(" ")[:1]})
     own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", words(F.coalesce("text", F.lit(""))).alias("words"))
     hit = F.arrays_overlap("words", F.array(*map(F.lit, sorted({*starts, *prefix}))))
-    # template words of each block that has a prefix word, in the order of their ranks
+    # places and ranks of the template words of each window that has a prefix word
     rank_of = F.create_map(*[x for w, r in ranks.items() for x in (F.lit(w), F.lit(r))])
-    vocab, first = F.array(*map(F.lit, vocabulary)), F.array(*map(F.lit, prefix))
-    longest = max((len([w for w in re.split(_GAP, t) if w]) for _, t in templates), default=1)
+    first = F.array(*map(F.lit, prefix))
+    longest = max((reach(t, spread) for _, t in templates), default=1)
     windows = F.sequence(F.lit(0), F.greatest(F.size("words") - longest - 1, F.lit(0)), F.lit(longest))
-    windows = F.transform(windows, lambda i: F.array_intersect(F.slice("words", i + 1, 2 * longest), vocab))
-    lines = F.transform(F.split("text", "\n", -1), lambda x: F.array_intersect(words(x), vocab))
-    blocks = F.when(F.contains("text", F.lit("\n")), F.concat(lines, windows)).otherwise(lines)
-    blocks = F.filter(blocks, lambda b: F.arrays_overlap(b, first))
-    blocks = F.transform(blocks, lambda b: F.array_sort(F.transform(b, lambda w: F.element_at(rank_of, w))))
+    windows = F.filter(F.transform(windows, lambda i: F.slice("words", i + 1, 2 * longest)), lambda ws: F.arrays_overlap(ws, first))
+    marked = lambda w, i: F.struct(i.alias("at"), F.try_element_at(rank_of, w).alias("rank"))
+    blocks = F.transform(windows, lambda ws: F.filter(F.transform(ws, marked), lambda m: m["rank"].isNotNull()))
     none = F.array().cast("array<struct<at:bigint,label:string>>")
     places = F.concat(*[_places(p, label) for p, label in PHRASES.items()])
     rows = own.select(
@@ -130,13 +148,15 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, containm
         F.when(hit, blocks).alias("blocks"),
     )
     rows = materialize(rows, "licenses")
-    block = rows.dropDuplicates(_KEY).select(*_KEY, F.posexplode("blocks").alias("block", "ranks"))
-    tokens = block.select(*_KEY, "block", "ranks", F.posexplode("ranks").alias("b_at", "rank"))
+    block = rows.dropDuplicates(_KEY).select(*_KEY, F.posexplode("blocks").alias("block", "marks"))
+    block = block.withColumn("ranks", F.array_sort(F.array_distinct(F.col("marks.rank"))))
+    tokens = block.select(*_KEY, "block", "marks", "ranks", F.posexplode("ranks").alias("b_at", "rank"))
     left = 1 + F.least(F.size("ranks") - F.col("b_at") - 1, F.size("t_ranks") - F.col("t_at") - 1)
     pairs = (
         tokens.join(F.broadcast(table), "rank")
         .where((F.size("ranks") >= F.col("need")) & (left >= F.col("need")))
-        .withColumn("shared", F.size(F.array_intersect("ranks", "t_ranks")))
+        .where(F.size(F.array_intersect("ranks", "t_ranks")) >= F.col("need"))
+        .withColumn("shared", _held())
         .where("shared >= need")
     )
     found = pairs.groupBy(*_KEY).agg(F.collect_set("label").alias("more"), F.max(F.col("shared") / F.size("t_ranks")).alias("part"))

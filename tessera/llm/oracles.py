@@ -25,7 +25,8 @@ def _licenses() -> str:
     rows = []
     for label, text in license_scan.TEMPLATES:
         own = license_scan.template_words(text)
-        rows.append(f"('{label}', {_list(own)}, {math.ceil(license_scan.CONTAINMENT * len(own) - 1e-9)})")
+        need = math.ceil(license_scan.CONTAINMENT * len(own) - 1e-9)
+        rows.append(f"('{label}', {_list(own)}, {need}, {license_scan.reach(text)})")
     longest = max(len(p.split(" ")) for p in license_scan.PHRASES)
     ahead = ", ".join(f"lead(x, {k}) OVER o" for k in range(1, longest))
     return f"""
@@ -33,10 +34,11 @@ def _licenses() -> str:
     w AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) - 1 AS spot FROM d),
     n AS (SELECT doc_id, spot, [x, {ahead}] AS own FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY spot)),
     base AS (SELECT doc_id, spot, label FROM n, (VALUES {phrases}) p(words, label) WHERE own[1:len(words)] = words),
-    line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents),
-    block AS (SELECT doc_id, regexp_extract_all({_LOWER.format("x")}, {_LICENSE_WORD}) AS w FROM line),
-    more AS (SELECT doc_id, label, len(list_intersect(list_distinct(w), words)) / len(words) AS part
-             FROM block, (VALUES {", ".join(rows)}) t(label, words, need) WHERE len(list_intersect(list_distinct(w), words)) >= need),
+    t AS (SELECT * FROM (VALUES {", ".join(rows)}) t(label, words, need, reach)),
+    held AS (SELECT doc_id, label, need, len(words) AS n_words,
+                    list_max([len(list_intersect(list_distinct(w[i:i + reach - 1]), words)) for i in range(1, len(w) + 1) if list_contains(words, w[i])]) AS n
+             FROM d, t WHERE len(list_intersect(list_distinct(w), words)) >= need),
+    more AS (SELECT doc_id, label, n / n_words AS part FROM held WHERE n >= need),
     b AS (SELECT doc_id, count(*) AS n_base, min(spot) AS first_word, max(spot) AS last_word, list_sort(list_distinct(list(label))) AS labels FROM base GROUP BY doc_id),
     m AS (SELECT doc_id, max(part) AS part, list(label) AS labels FROM more GROUP BY doc_id)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word,

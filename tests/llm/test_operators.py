@@ -155,6 +155,40 @@ def test_mixing_meets_targets_and_reruns_agree(spark):
     assert abs(sum({r[2]: out.target[r[0]] for r in rows}.values()) - 1.5 * out["size"].sum()) < 1e-6
 
 
+def test_licenses_equal_plain_blocks(spark, tmp_path):
+    """Blocks by brute force: words in reach, whatever line breaks; scattered words are no notice; only A-Z are lower-cased."""
+    scattered = "the library is free of charge and this new software was released . later more words into a shared public domain"
+    texts = [scattered, scattered.replace(" more words", "").replace(" of charge", "").replace(" new", "").replace(" later", "").replace(" shared", ""), "\u212a mit licen\u017fe", "M\u0130T license", None, ""]
+    rng = random.Random(4)
+    for label, notice in license_scan.TEMPLATES:
+        for extra in (0, 1, 3, 6, 12, 20):
+            words = notice.split()
+            for _ in range(extra):
+                words.insert(rng.randrange(len(words)), "filler")
+            if extra % 2:
+                words.pop(rng.randrange(len(words)))
+            texts.append(prose(extra, rng.randrange(90)) + "".join(rng.choice(" \n\t") + w for w in words) + "\n" + prose(8, rng.randrange(90)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan(docs).collect()}
+    for i, text in enumerate(texts):
+        own = [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+        labels, part = set(), 0.0
+        for label, notice in license_scan.TEMPLATES:
+            t, n = set(license_scan.template_words(notice)), license_scan.reach(notice)
+            most = max((len(t & set(own[k : k + n])) for k in range(len(own))), default=0)
+            if most >= 0.9 * len(t) - 1e-9:
+                labels.add(label)
+                part = max(part, most / len(t))
+        base = set(got[i].base_labels.split(",")) - {""}
+        assert got[i].n_words == len(own) and set(got[i].labels.split(",")) - {""} == labels | base
+        assert got[i].score == (1.0 if base else part)
+    assert got[0].labels == "" and got[1].labels == "unlicense" and got[2].labels == got[3].labels == ""
+    docs.write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert sorted(con.execute(queries.ORACLES["op1_licenses"]).fetchall()) == sorted(map(tuple, got.values()))
+
+
 def test_bpe_agrees_with_the_tokenizers_library(spark):
     from tokenizers import Tokenizer
 
