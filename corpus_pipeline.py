@@ -7,8 +7,8 @@ document and pass.  The query's columns are digests of those (:func:`run`); :fun
 
 Defined results: null and empty texts are never toxic, have no lines, are no copies of each other,
 and the mixture takes no words of them, so they are not in the result; rows equal in
-``doc_id`` and text are one document from the near-dedup on; extra columns are kept until the
-last stage; an empty table gives no rows.
+``doc_id`` and text are one document from the near-dedup on, which keeps the smallest of its other columns; extra
+columns are kept until the last stage, but an own ``mix_pass`` gives way to the mixture's; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -54,11 +54,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: one document of each group of near duplicates stays."""
     kept = near_dups.near_dups(docs, SIMILARITY).where("kept")
-    return _matching(docs, kept, "left_semi").dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+    order = [f"`{c}`" for c, kind in docs.dtypes if c != "text" and "map<" not in kind and "variant" not in kind]
+    one = F.min_by(F.struct(*[f"`{c}`" for c in docs.columns]), F.struct(*order)).alias("__row")
+    return _matching(docs, kept, "left_semi").groupBy("doc_id", "__hash").agg(one).select("__row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: sources at their target weights; a row per document and pass, with the words that the pass takes."""
+    docs = docs.drop("mix_pass")
     return _with_length(mixing.mixed_texts(docs, "mix_pass"), [*docs.columns, "mix_pass"])
 
 
