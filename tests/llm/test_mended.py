@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tessera.llm import pii, quality, queries, secret_scan, topk
 
 
@@ -143,3 +144,20 @@ def test_scores_of_large_components(spark):
     for i, ranks in got.items():
         best = sorted((-clip(sum(a * b for a, b in zip(v[i], w))), j) for j, w in v.items() if j != i)[:5]
         assert [ranks[k + 1] for k in range(5)] == [(j, -s) for s, j in best]
+
+
+def test_stages_take_clashing_columns_and_order_equal_rows(spark):
+    text = " ".join(f"w{i}" for i in range(90))
+    rows = [(1, text, "en", s, 0, p) for s, p in (("b", 7), ("a", 8), (None, 9))] + [(2, "x y z " * 30, "en", "a", 0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, mix_pass int")
+    kept = corpus_pipeline.drop_near_dups(spark, docs, "")
+    assert kept.columns == docs.columns
+    # nulls come first in each column's turn: lang, source, n_chars, mix_pass
+    assert sorted((r.doc_id, r.source, r.mix_pass) for r in kept.collect()) == [(1, None, 9), (2, "a", 1)]
+    mixed = corpus_pipeline.mix_sources(spark, kept, "")
+    assert mixed.columns == docs.columns
+    assert {c: t for c, t in mixed.dtypes}["mix_pass"] != "int"
+    out = corpus_pipeline.encode(spark, mixed, "").collect()
+    assert {r.doc_id for r in out} <= {1, 2} and all(len(r.ids) == r.n_tokens for r in out) and out
+    empty = corpus_pipeline.encode(spark, corpus_pipeline.mix_sources(spark, corpus_pipeline.drop_near_dups(spark, docs.limit(0), ""), ""), "")
+    assert empty.count() == 0
