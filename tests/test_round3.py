@@ -12,6 +12,7 @@ from tessera.operators import evaluate as EV
 from tessera.operators import features as FE
 from tessera.operators import folds as FO
 from tessera.operators import members as ME
+from tessera.operators import profile as PR
 from tessera.operators import transforms as TR
 from tessera.operators.profile import level_quantiles
 from tessera.sources import readers as RD
@@ -210,3 +211,19 @@ def test_feature_options():
     assert spec["categorical"] == [] and "id" in spec["dropped"]
     with pytest.raises(ValueError):
         FE.feature_spec("cat", ["age"])
+
+
+def test_level_quantiles_add_up_counts_of_the_finest_keys(spark, monkeypatch):
+    rows = [(("x", "y", None)[i % 3], ("p", "q")[i // 3 % 2], float(i * i % 41) if i % 7 else None, -float(i % 11)) for i in range(400)]
+    df = spark.createDataFrame(rows, "a string, b string, u double, v double")
+    plus = ("pos_u", F.when(F.col("u") > 3, F.col("u")))
+    plans, write = [], PR.materialize
+    monkeypatch.setattr(PR, "materialize", lambda t, name: (plans.append(t._jdf.queryExecution().optimizedPlan().toString()), write(t, name))[1])
+    found = PR.level_quantiles(df, [(["a", "b"], ["u", "v"]), (["b"], ["u"]), ([], ["u", "v", plus])], [0.25, 0.5]).collect()
+    assert "Generate" not in plans[0][plans[0].index("Union"):]  # rows are not copied to levels, their counts are
+    got = {(r.level, r.a, r.b, r.variable): (r.n, r.q0, r.q1) for r in found}
+    want = {}
+    for level, by, values in ((0, ["a", "b"], ["u", "v"]), (1, ["b"], ["u"]), (2, [], ["u", "v", plus])):
+        for r in PR.exact_quantiles(df, values, [0.25, 0.5], by=by).collect():
+            want[level, r.asDict().get("a"), r.asDict().get("b"), r.variable] = (r.n, r.q0, r.q1)
+    assert got == want and len(got) == 6 * 2 + 2 + 3
