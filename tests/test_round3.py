@@ -227,3 +227,23 @@ def test_level_quantiles_add_up_counts_of_the_finest_keys(spark, monkeypatch):
         for r in PR.exact_quantiles(df, values, [0.25, 0.5], by=by).collect():
             want[level, r.asDict().get("a"), r.asDict().get("b"), r.variable] = (r.n, r.q0, r.q1)
     assert got == want and len(got) == 6 * 2 + 2 + 3
+
+
+def test_folds_and_members_multiply_no_written_rows(spark, labelled, monkeypatch):
+    """Copies for folds are written once and narrow, scores once for all members of a fold."""
+    rows, df = labelled
+    written = {}
+    for module in (FO, ME):
+        def record(t, name="frame", write=module.materialize):
+            written[name] = out = write(t, name)
+            return out
+
+        monkeypatch.setattr(module, "materialize", record)
+    spec = ME.StageSpec("s", "row", numeric=("total",), encoder="plain", encoded=("city",), refit=True)
+    matrix = ME.stage_matrix(df.withColumn("fold_row", F.col("fold")).withColumn("unused", F.lit("x")), spec, K, ROLES)
+    copied = [n for n, t in written.items() if "fit_fold" in t.columns and "id" in t.columns]
+    assert copied == ["stage"] and "unused" not in written["pack-rows"].columns
+    assert sorted(written["stage"].columns) == sorted(["id", "y", "fit_fold", "role", "total", "te_city", "surname_freq", "num_bin"])
+    scores, _ = ME.fit_members(matrix, [ME.MemberGroup("a", {"maxIter": 1, "maxDepth": 1}, (1, 2))], range(K))
+    asked = matrix.where("role <> 'train'").count()
+    assert written["members"].count() == asked and scores.count() == 2 * asked
