@@ -24,6 +24,7 @@ from tessera.operators.core import attach_row, lookup, ordered_index
 DEFAULT_SMOOTHING = 20.0
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"  # two or more word characters, as sklearn's default token pattern
 MAX_FEATURES = 1000
+RANK_TOLERANCE = 1e-9  # singular values below this share of the largest are none, as in RowMatrix.computeSVD
 
 
 def level_col(c: str) -> Column:
@@ -219,11 +220,14 @@ def tfidf(df: DataFrame, id_col: str, text: str, max_features: int = MAX_FEATURE
 def tfidf_svd(weights: DataFrame, id_col: str, ids: DataFrame, k: int = 5) -> DataFrame:
     """Truncated SVD of the TF-IDF matrix (k components), every row of ``ids`` projected onto V.
 
-    ``RowMatrix.computeSVD`` gives the loadings, a table (term, component, loading) of at most
-    vocabulary x k rows; the projection is its join with the weights and a sum per document.
-    Documents without a vocabulary term are all zeros.  The sign of each component makes its
-    largest loading positive.
+    One pass over the documents adds up the Gram matrix of the terms (``RowMatrix``; vocabulary x vocabulary
+    numbers, so bounded by ``max_features``), whose eigenvectors are the right singular vectors: an
+    iterative SVD would read every document again for each of its steps.  The loadings are a table
+    (term, component, loading) of at most vocabulary x k rows; the projection is its join with the weights
+    and a sum per document.  Documents without a vocabulary term are all zeros.  The sign of each component
+    makes its largest loading positive.
     """
+    import numpy as np
     from pyspark.mllib.linalg import Vectors
     from pyspark.mllib.linalg.distributed import RowMatrix
 
@@ -236,7 +240,9 @@ def tfidf_svd(weights: DataFrame, id_col: str, ids: DataFrame, k: int = 5) -> Da
         F.sort_array(F.collect_list(F.struct("__j", "weight"))).alias("__e")  # at most max_features entries
     )
     matrix = rows.rdd.map(lambda r: Vectors.sparse(n_terms, [(e[0], e[1]) for e in r["__e"]]))
-    v = RowMatrix(matrix).computeSVD(k, computeU=False).V.toArray()
+    values, vectors = np.linalg.eigh(RowMatrix(matrix, numCols=n_terms).computeGramianMatrix().toArray())
+    sigma, v = np.sqrt(np.maximum(values[::-1][:k], 0.0)), vectors[:, ::-1][:, :k]
+    v = v[:, sigma > RANK_TOLERANCE * sigma[0]]
     table = []
     for c in range(v.shape[1]):
         sign = -1.0 if v[abs(v[:, c]).argmax(), c] < 0 else 1.0

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.operators import encode as EN
@@ -64,3 +65,24 @@ def test_tfidf_fits_on_the_chosen_rows_only(spark):
     docs = spark.createDataFrame([(1, "aa bb"), (2, "bb cc"), (3, "zz bb")], "doc_id long, text string")
     terms = {(r.doc_id, r.term) for r in EN.tfidf(docs, "doc_id", "text", fit_on=F.col("doc_id") < 3).collect()}
     assert (3, "bb") in terms and (3, "zz") not in terms
+
+
+def test_tfidf_svd_reads_the_documents_once_for_all_components(spark):
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join(f"t{j:03d}" for j in rng.zipf(1.3, 40) % 130)) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    weights = EN.tfidf(docs, "doc_id", "text").cache()
+    cells = weights.collect()
+    terms = sorted({c.term for c in cells})
+    dense = np.zeros((300, len(terms)))
+    for c in cells:
+        dense[c.doc_id, terms.index(c.term)] = c.weight
+    v = np.linalg.svd(dense, full_matrices=False)[2][:3]
+    v *= np.sign(v[np.arange(3), np.abs(v).argmax(axis=1)])[:, None]
+    spark.sparkContext.setJobGroup("svd", "svd")
+    out = EN.tfidf_svd(weights, "doc_id", docs, k=3)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("svd")
+    got = np.array([[r.svd_0, r.svd_1, r.svd_2] for r in out.orderBy("doc_id").collect()])
+    assert len(terms) >= 100 and np.abs(got - dense @ v.T).max() < 1e-9
+    assert len(jobs) < 15
