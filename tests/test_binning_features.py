@@ -79,3 +79,22 @@ def test_histogram_counts_rows_of_a_null_key(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "k string, x double")
     got = PR.histogram(df, "x", 2, by=["k"]).collect()
     assert sum(r.n for r in got) == 3 and sum(r.n for r in got if r.k is None) == 2
+
+
+def test_histogram_and_box_stats_of_few_groups_leave_the_rows_in_place(spark):
+    rows = [(c, float(i % 40)) for c in ("a", "b", None) for i in range(200)] + [("a", None), ("b", 1000.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in (PR.histogram(df, "x", 4, by=["g"]), PR.box_stats(df, "x", by=["g"]).select("g", "n", "median", "outliers")):
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan
+            found = {(r[0], r[1]): r for r in out.collect()}
+            if "bin" in out.columns:
+                assert "SortMergeJoin" not in plan
+                assert found[None, 0].n == 50 and found["b", 0].n == 200 and found["b", 3].n == 1 and len(found) == 4 + 4 + 2
+            else:
+                assert found["b", 201].outliers == 1 and found[None, 200].median == 19.5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
