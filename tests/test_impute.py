@@ -64,3 +64,25 @@ def test_range_guard(spark):
     df = spark.createDataFrame([(-1.0,), (0.0,), (100.0,), (101.0,), (None,)], "age double")
     out = [(r.age, r.f) for r in IM.range_guard(df, "age", 0, 100, "f").collect()]
     assert out == [(None, 1), (0.0, 0), (100.0, 0), (None, 1), (None, 0)]
+
+
+def test_group_fill_counts_the_rows_of_a_key_over_all_groups(spark):
+    rows = [("tr", "g1", "a"), ("tr", "g1", None), ("te", "g1", "b"), ("te", "g2", None), ("te", None, "c"), (None, "g2", "d")]
+    df = spark.createDataFrame(rows, "split string, g string, v string")
+    out = IM.group_consistent_fill(df, ["split", "g"], ["v"], sizes={"g": "n"})
+    found = sorted((r.split or "", r.g or "", r.v or "", r.n) for r in out.collect())
+    assert found == [("", "g2", "d", 2), ("te", "", "c", None), ("te", "g1", "b", 3), ("te", "g2", "", 2), ("tr", "g1", "a", 3), ("tr", "g1", "a", 3)]
+
+
+def test_common_frame_is_not_shuffled_by_surname_or_group_again(spark):
+    from conftest import SMOKE
+    from tessera.plans import common_frame as CF
+    from tessera.sources.fixtures import wide
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = CF.build(wide(spark, SMOKE))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(surname" not in plan and "hashpartitioning(group_id" not in plan
