@@ -247,3 +247,19 @@ def test_folds_and_members_multiply_no_written_rows(spark, labelled, monkeypatch
     scores, _ = ME.fit_members(matrix, [ME.MemberGroup("a", {"maxIter": 1, "maxDepth": 1}, (1, 2))], range(K))
     asked = matrix.where("role <> 'train'").count()
     assert written["members"].count() == asked and scores.count() == 2 * asked
+
+
+def test_power_moments_merge_over_tasks(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 3, 500), [0.0, -1.0]])
+    rows = [(float(v), float(abs(v)) + 1e6) for v in x] + [(None, None)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    asked = {"a": ("yeo-johnson", [0.0, 0.5, 2.0, -3.0]), "b": ("box-cox", [0.0, 1.5])}
+    found = TR._likelihood_moments(df, asked)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    own = {(k, i): likelihood(v, lam, method) for k, (v, (method, lams)) in enumerate(zip((x, np.abs(x) + 1e6), asked.values())) for i, lam in enumerate(lams)}
+    got = TR._likelihoods(df, asked)
+    for k, c in enumerate(asked):
+        assert [lam for lam, _ in got[c]] == asked[c][1]
+        assert all(abs(value - own[k, i]) < 1e-8 * abs(own[k, i]) + 1e-6 for i, (_, value) in enumerate(got[c]))
+    assert {(r.k, r.i): r.n for r in found.collect()} == {key: len(x) for key in own}
