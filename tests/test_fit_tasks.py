@@ -49,3 +49,25 @@ def test_fit_reads_in_bounded_tasks(spark, rows):
 
     MO.fit(Fit(), rows)
     assert int(seen[0]) >= 80 // 3
+
+
+def written_files(monkeypatch):
+    """``file_rows`` of the tables that are written, by name."""
+    from tessera.operators import core
+
+    seen, write = {}, core.materialize
+
+    def noted(df, name="frame", file_rows=None):
+        seen[name] = file_rows
+        return write(df, name, file_rows)
+
+    return seen, noted
+
+
+def test_tables_of_fits_have_bounded_files(spark, monkeypatch):
+    from tessera.plans import catalog_models as CM
+
+    seen, noted = written_files(monkeypatch)
+    monkeypatch.setattr(CM, "materialize", noted)
+    assert CM.l_nominal_trees(spark, "/root/testdata/sf0.001").count() == 9
+    assert seen["folded"] and seen["nominal"]
