@@ -71,3 +71,17 @@ def test_tables_of_fits_have_bounded_files(spark, monkeypatch):
     monkeypatch.setattr(CM, "materialize", noted)
     assert CM.l_nominal_trees(spark, "/root/testdata/sf0.001").count() == 9
     assert seen["folded"] and seen["nominal"]
+
+
+def test_members_share_stages_and_scan(spark, rows):
+    """Scores of members on one scan are those of whole pipelines, and the bag averages them."""
+    prep, x = MO.prepared(MO.feature_pipeline(["x"], ["home"]), rows.where("fold = 0"), ("y",))
+    models = [(s, MO.fit(RandomForestClassifier(labelCol="y", numTrees=3, maxDepth=3, seed=s), x)) for s in (1, 2)]
+    valid = rows.where("fold = 1 and id < 2000")
+    scores = MO.member_scores(prep.transform(valid), models, ("id",))
+    apart = [MO.probability(m.transform(prep.transform(valid))).select("id", F.lit(s).alias("seed"), "p") for s, m in models]
+    assert sorted(scores.collect()) == sorted(apart[0].unionByName(apart[1]).collect())
+    assert len(valid.inputFiles()) == len(scores.inputFiles())
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert MO.bag(scores).where("members = 2").count() == 1000
