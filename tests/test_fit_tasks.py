@@ -95,3 +95,24 @@ def test_forest_check_fits_its_stages_once_a_fit(spark, monkeypatch):
     monkeypatch.setattr(CM, "_stages", lambda *a: calls.append(1) or stages(*a))
     row = CM.l_forest_check(spark, "/root/testdata/sf0.001").first()
     assert len(calls) == 2 and row.members == 2 and row.test_rows > 0
+
+
+def test_grid_cv_is_cross_validation_with_stages_fitted_once(spark, rows, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml import Pipeline
+    from pyspark.ml.tuning import CrossValidator
+
+    df = rows.where("id < 8000")
+    lr = LogisticRegression(labelCol="y", maxIter=20)
+    grid = [{lr.regParam: r, lr.elasticNetParam: e} for r, e in ((0.5, 1.0), (0.001, 0.0), (0.05, 0.5))]
+    evaluator = BinaryClassificationEvaluator(labelCol="y")
+    stages = MO.feature_pipeline(["x"], ["home"])
+    cv = CrossValidator(estimator=Pipeline(stages=[*stages, lr]), estimatorParamMaps=grid, evaluator=evaluator, foldCol="fold", numFolds=2).fit(df)
+    preps, prepared = [], MO.prepared
+    monkeypatch.setattr(MO, "prepared", lambda *a: preps.append(1) or prepared(*a))
+    means, best = MO.grid_cv(df, stages, lr, grid, evaluator, "fold", 2)
+    assert means == pytest.approx(cv.avgMetrics, abs=1e-6)
+    assert best.stages[-1].coefficients.toArray() == pytest.approx(cv.bestModel.stages[-1].coefficients.toArray(), abs=1e-5)
+    assert len(preps) == 3  # a fold each and the final fit
+    assert spark.conf.get(LEAST, None) is None
