@@ -116,3 +116,14 @@ def test_grid_cv_is_cross_validation_with_stages_fitted_once(spark, rows, monkey
     assert best.stages[-1].coefficients.toArray() == pytest.approx(cv.bestModel.stages[-1].coefficients.toArray(), abs=1e-5)
     assert len(preps) == 3  # a fold each and the final fit
     assert spark.conf.get(LEAST, None) is None
+
+
+def test_search_reads_a_table_of_bounded_files(spark, monkeypatch):
+    from tessera.operators import models
+    from tessera.plans import catalog_models as CM
+
+    seen, noted = written_files(monkeypatch)
+    monkeypatch.setattr(models, "materialize", noted)
+    monkeypatch.setattr(CM, "materialize", noted)
+    assert CM.l_tree_search(spark, "/root/testdata/sf0.001").count() == 4
+    assert seen and all(seen.values())
