@@ -7,8 +7,8 @@ of one length that a batch brings are rows of one matrix, so numpy does each of
 these steps for all of them at once.  For a word of more than ``SHORT`` bytes the
 same merges come from a heap of pairs over linked parts: n log n for any length.
 
-A task keeps the pieces of words it has met in two generations of up to ``CACHE``
-words each (a full one replaces the older), which saves time and changes nothing.  Texts are read whole, documents are independent rows,
+Texts go through in slices of ``SLICE`` bytes.  A task keeps the pieces of words it has met in two generations of up to ``CACHE``
+words each, or a slice's if those are more (a full one replaces the older), which saves time and changes nothing.  Texts are read whole, documents are independent rows,
 nothing is shuffled.
 
 Defined results: a null or empty text has no tokens and decodes to the empty
@@ -31,12 +31,14 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import map_arrow, per_document, words_of
+from tessera.llm.common import map_arrow, per_document, row_slices, words_of
 
 #: Words of at most so many parts are merged by scanning.
 SHORT = 64
 #: Words whose pieces each of a worker's two generations keeps.
-CACHE = 40_000
+CACHE = 60_000
+#: Bytes of text encoded at a time: bounds the different words, and so the pieces, that are held at once.
+SLICE = 1 << 20
 #: Rank of a pair that is no merge; slots of the table of ranks (a power of two); ids are below _WIDE.
 NONE, SLOTS, _WIDE = 1 << 60, 1 << 20, 1 << 31
 
@@ -262,11 +264,10 @@ class Bpe:
             return (self.older_words if high and NEWER.search(text) else self.words).findall(text)
         return self.words.findall(text.lower())
 
-    def encode_column(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
-        """Of each text the ids and the tokens, joined by a space, and their number.
+    def _found(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[tuple[str, str, int]]]:
+        """Different runs between ASCII white space of a column, each encoded once: ``starts, codes`` of ``words_of`` and the pieces.
 
-        No word, special token or composition spans ASCII white space, so each
-        different run between such spaces is encoded once a batch.
+        No word, special token or composition spans such a space.
         """
         starts, codes, runs = words_of(texts)
         lists = []
@@ -278,7 +279,11 @@ class Bpe:
                 lists.append(self.split(run))
         pieces = self.pieces({w for l in lists for w in l} - self.special.keys())
         pieces |= {t: (str(i), t, 1) for t, i in self.special.items()}
-        found = [pieces[l[0]] if len(l) == 1 else _together([pieces[w] for w in l]) for l in lists]
+        return starts, codes, [pieces[l[0]] if len(l) == 1 else _together([pieces[w] for w in l]) for l in lists]
+
+    def encode_column(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Of each text the ids and the tokens, joined by a space, and their number."""
+        starts, codes, found = self._found(texts)
         n = np.array([f[2] for f in found], dtype=np.int64)[codes] if found else np.zeros(0, dtype=np.int64)
         full = n > 0
         offsets = pa.array(np.concatenate([[0], np.cumsum(full)])[starts], pa.int32())
@@ -287,6 +292,17 @@ class Bpe:
         ids, tokens = (pc.binary_join(pa.ListArray.from_arrays(offsets, c), pa.scalar(" ", c.type)) for c in columns)
         return ids, tokens, per_document(starts, n)
 
+    def id_lists(self, texts: pa.Array) -> pa.Array:
+        """Of each text the list of its ids."""
+        starts, codes, found = self._found(texts)
+        size = np.array([f[2] for f in found], dtype=np.int64)
+        pool = np.array(" ".join([f[0] for f in found if f[2]]).split(), dtype=np.int32)
+        n = size[codes] if found else np.zeros(0, dtype=np.int64)
+        total = np.concatenate([[0], np.cumsum(n)])
+        shift = (np.cumsum(size) - size)[codes] - total[:-1] if found else n  # from a run's ids to their place in the column
+        flat = pool[np.repeat(shift, n) + np.arange(total[-1])]
+        return pa.ListArray.from_arrays(pa.array(total[starts], pa.int32()), pa.array(flat, pa.int32()))
+
     def encode(self, text: str) -> list[int]:
         """Ids of one text."""
         return [int(i) for i in self.encode_column(pa.array([text], pa.string()))[0][0].as_py().split()]
@@ -307,12 +323,6 @@ def load(spec: str) -> Bpe:
     return _LOADED[key]
 
 
-def id_lists(ids: pa.Array, n: np.ndarray) -> pa.Array:
-    """Lists of the ``n`` ids of each text, from ids joined by a space."""
-    flat = pc.split_pattern(ids.filter(pa.array(n > 0)), " ").flatten().cast(pa.int32())
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), flat)
-
-
 def token_ids(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` of every row, ``n_tokens`` and the token ``ids`` (array of int) of its ``text``."""
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -320,9 +330,9 @@ def token_ids(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(spec.value)
-        for b in batches:
-            ids, _, n = bpe.encode_column(b.column("text"))
-            yield pa.RecordBatch.from_arrays([*map(b.column, keep), pa.array(n, pa.int64()), id_lists(ids, n)], names=[*keep, "n_tokens", "ids"])
+        for b in (part for batch in batches for part in row_slices(batch, "text", SLICE)):
+            ids = bpe.id_lists(b.column("text"))
+            yield pa.RecordBatch.from_arrays([*map(b.column, keep), ids.value_lengths().cast(pa.int64()), ids], names=[*keep, "n_tokens", "ids"])
         bpe.cache, bpe.older = {}, {}  # a worker lives on, and other operators need its memory
 
     kinds = dict(docs.dtypes)
@@ -345,7 +355,7 @@ def encode(docs: DataFrame, tokenizer_path: str, keep_text: bool = False) -> Dat
         bpe.cache, bpe.older = {}, {}  # a worker lives on, and other operators need its memory
 
     def encoded(bpe: Bpe, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for batch in batches for part in row_slices(batch, "text", SLICE)):
             ids, decoded, n = bpe.encode_column(b.column("text"))
             hashes = [pa.array([sha256(x.as_buffer()).hexdigest() for x in column], pa.string()) for column in (ids, decoded)]
             out = [b.column("doc_id"), pa.array(n, pa.int64()), *hashes]

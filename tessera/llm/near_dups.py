@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import distinct, map_arrow, words_of
+from tessera.llm.common import distinct, map_arrow, release, words_of
 from tessera.operators.core import materialize
 
 #: Words of a shingle, and the similarity of links in hundredths: 100 * intersection >= SIMILARITY * union.
@@ -176,6 +176,8 @@ def tile_links(plan: Plan, group: pa.Table) -> pa.Table:
         if x != y:
             parent[x] = y
             found.append((nodes[i], nodes[j]))
+    del sets, shared, linked
+    release()
     return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
 
 

@@ -43,7 +43,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import distinct, document_of, map_arrow, words_of
+from tessera.llm.common import distinct, document_of, map_arrow, release, words_of
 from tessera.operators.core import materialize
 
 #: Characters of the different words of a part.
@@ -82,12 +82,22 @@ def cells(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     length = np.array([len(w) for w in words], dtype=np.int64)
     points = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
     ends = np.cumsum(length)
-    padded = np.zeros(len(points) + 6 * n, dtype=np.int64)
-    padded[np.arange(len(points)) + 6 * np.repeat(np.arange(n), length) + 5] = points + np.int64(2)
+    padded = np.zeros(len(points) + 6 * n, dtype=np.uint32)
+    at = np.arange(5, len(points) + 5)
+    at += np.repeat(np.arange(0, 6 * n, 6), length)
+    padded[at] = points + np.uint32(2)
+    del at
     padded[ends + 6 * np.arange(n) + 5] = 1
     at = np.flatnonzero(padded)
-    left = (padded[at - 3] << 21 | padded[at - 4]) << 21 | padded[at - 5]
-    return np.repeat(np.arange(n), length + 1), left, padded[at - 1] << 21 | padded[at - 2], padded[at]
+    word, char = np.repeat(np.arange(n), length + 1), padded[at].astype(np.int64)
+    packed = []
+    for places in ((3, 4, 5), (1, 2)):  # in place: a part's arrays are large
+        out = np.zeros(len(at), dtype=np.int64)
+        for k in places:
+            out <<= 21
+            out |= padded[at - k]
+        packed.append(out)
+    return word, *packed, char
 
 
 def _types(starts: np.ndarray, codes: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +140,10 @@ def spell(group: pa.Table) -> pa.Table:
         np.add.at(out, number, group.column(c).to_numpy()[word])
         sums.append(out)
     part = np.full(len(first), group.column("part")[0].as_py(), dtype=np.int64)
-    return pa.table([pa.array(x) for x in (part, left[first], low[first], char[first], *sums)], names=["part", "left", "low", "char", "ordinary", "toxic"])
+    out = pa.table([pa.array(x) for x in (part, left[first], low[first], char[first], *sums)], names=["part", "left", "low", "char", "ordinary", "toxic"])
+    del word, left, low, char, first, number, sums, part
+    release()
+    return out
 
 
 def weigh(group: pa.Table, ratios: pa.Table) -> pa.Table:
@@ -144,6 +157,8 @@ def weigh(group: pa.Table, ratios: pa.Table) -> pa.Table:
     order = np.lexsort((b << 21 | c, a))
     sums = np.bincount(word, weights=ratios.column("ratio").to_numpy()[order][number], minlength=len(words))
     at = np.flatnonzero(sums > MARGIN)
+    del word, left, low, char, first, number, a, b, c, order
+    release()
     return pa.table([pa.array(digests([words[i] for i in at.tolist()]), pa.binary()), pa.array(sums[at] - MARGIN)], names=["word", "evidence"])
 
 
