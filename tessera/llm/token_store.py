@@ -73,8 +73,8 @@ def _places(keys: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarra
     slots = lambda k: (k * np.uint32(2654435769)) >> np.uint32(32 - bits)
     table = np.zeros(1 << bits, dtype=np.uint16)
     table[slots(chosen)] = np.arange(len(chosen), dtype=np.uint16)  # of two in a slot one waits for a later round
-    which = table[slots(keys)]
-    at = np.flatnonzero(chosen[which] == keys)
+    which = table.take(slots(keys))
+    at = np.flatnonzero(chosen.take(which) == keys)
     new = np.append(True, at[1:] != at[:-1] + 1) if len(at) else np.zeros(0, dtype=bool)
     run = np.flatnonzero(new)
     at = at[(at - at[run][np.cumsum(new) - 1]) % 2 == 0] if len(at) else at
@@ -198,21 +198,36 @@ def _mask(*ranges: tuple[int, int]) -> np.ndarray:
 _SOLID = _mask((0x21, 0x7E), (0xC3, 0xE0))
 _PRINTED = _mask((0x21, 0x7E))
 _LETTER = _mask((0x41, 0x5A), (0x61, 0x7A))
-_STOP = _mask(*((ord(c), ord(c)) for c in ".,;:!?"))
+#: Marks that end a run of letters: not the apostrophe of contractions, nor what added tokens are made of (looked for in ``Encoder``).
+_STOPS = ".,;:!?\"#$%&()*+/=@"
+_STOP = _mask(*((ord(c), ord(c)) for c in _STOPS))
+_POINT = _mask(*((ord(c), ord(c)) for c in ".,;:!?"))
+
+
+def _pair_starts() -> np.ndarray:
+    """Of each two bytes (first byte the low one), whether a pre-token begins at the second (1) or the first (2), or
+    may begin after both (4)."""
+    a, b = np.arange(256)[None, :], np.arange(256)[:, None]
+    second = (_LETTER[a] & (_STOP[b] | (b == 10))) | (_POINT[a] & (b == 10))
+    return (second + 2 * ((a == 32) & _SOLID[b]) + 4 * (_PRINTED[a] & (b == 10))).astype(np.uint8).ravel()
+
+
+_PAIRS = _pair_starts()
 
 
 def piece_starts(data: np.ndarray) -> np.ndarray:
     """Whether a byte-level pre-token begins at each byte whatever else the text holds (not all such places).
 
     That is at a space before a solid character, at a stop or line feed after a letter, at
-    a line feed after a stop, and at a letter after a line feed that follows a printed character.
+    a line feed after a point, and at a letter after a line feed that follows a printed character.
     """
     starts = np.zeros(len(data), dtype=bool)
     if len(data) > 1:
-        letter, stop, line = _LETTER[data], _STOP[data], data == 10
-        starts[:-1] = (data[:-1] == 32) & _SOLID[data[1:]]
-        starts[1:] |= (letter[:-1] & (stop[1:] | line[1:])) | (stop[:-1] & line[1:])
-        starts[2:] |= _PRINTED[data[:-2]] & line[1:-1] & letter[2:]
+        pair = _PAIRS[data[:-1] | (data[1:].astype(np.uint16) << 8)]
+        starts[:-1] = pair & 2
+        starts[1:] |= (pair & 1).view(bool)
+        lines = np.flatnonzero(pair[:-1] & 4) + 2
+        starts[lines] |= _LETTER[data[lines]]
     return starts
 
 
@@ -231,7 +246,7 @@ class Encoder:
         j = json.loads(spec)
         pre = j.get("pre_tokenizer") or {}
         added = j.get("added_tokens", [])
-        plain = all(not re.search(r"[\s.,;:!?]", t["content"]) and not t.get("lstrip") and not t.get("rstrip") and not t.get("single_word") for t in added)
+        plain = all(not re.search(rf"[\s{re.escape(_STOPS)}]", t["content"]) and not t.get("lstrip") and not t.get("rstrip") and not t.get("single_word") for t in added)
         plain = plain and not any(_WORD.fullmatch(t["content"]) for t in added)
         self.by_piece = plain and j.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         self.known: dict[bytes, bytes] = {}
