@@ -157,9 +157,9 @@ _COMMON_FEATURES = ["age", "a1", "a2", "a3", "a4", "a5", "home", "dest", "vip",
 def a_common_reload(spark, sf_dir):
     """The common frame stored as one unit with its features, folds and levels, and read back with its version checked."""
     cf = rounded(CF.build(wide(spark, sf_dir)).select(*CF.OUTPUT_COLUMNS))
-    cf = materialize(cf.withColumn("fold", F.when(F.col("split") == "train", C.hash_bucket(5, "id", seed=3))), "common")
+    cf = cf.withColumn("fold", F.when(F.col("split") == "train", C.hash_bucket(5, "id", seed=3)))
     path = _scratch(spark, "common")
-    SK.store_common(cf, path, _COMMON_FEATURES, ["fold"], level_index(cf, ["home", "dest", "deck"]))
+    SK.store_common(cf, path, _COMMON_FEATURES, ["fold"], lambda rows: level_index(rows, ["home", "dest", "deck"]))
     return RD.load_common(spark, path, SK.COMMON_VERSION, label="y").rows
 
 
@@ -172,6 +172,5 @@ def a_common_levels(spark, sf_dir):
     """The level table that the stored unit carries."""
     cf = CF.build(wide(spark, sf_dir)).select(*CF.OUTPUT_COLUMNS)
     path = _scratch(spark, "common")
-    cf = materialize(cf, "common")
-    SK.store_common(cf, path, _COMMON_FEATURES, (), level_index(cf, ["home", "dest", "deck"]))
+    SK.store_common(cf, path, _COMMON_FEATURES, (), lambda rows: level_index(rows, ["home", "dest", "deck"]))
     return RD.load_common(spark, path, SK.COMMON_VERSION, label="y").levels

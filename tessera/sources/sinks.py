@@ -7,11 +7,13 @@ assumption.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.core import write_rows
+
 
 def submission_frame(df: DataFrame, id_col: str, proba: str, threshold: float = 0.5, label: str = "label",
                      keep: Sequence[str] = ()) -> DataFrame:
@@ -51,15 +53,21 @@ def write_json_report(report: DataFrame, path: str) -> None:
 COMMON_VERSION = 1
 
 
-def store_common(df: DataFrame, path: str, features: Sequence[str], folds: Sequence[str] = (), levels: DataFrame | None = None, version: int = COMMON_VERSION) -> None:
+def store_common(
+    df: DataFrame, path: str, features: Sequence[str], folds: Sequence[str] = (), levels: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    version: int = COMMON_VERSION,
+) -> None:
     """One unit on disk: the rows, a level table (``column_name, level, idx``), and a description of both.
 
-    ``features`` and ``folds`` are columns of ``df``.  The description is written last, so a unit without it is not one.
+    ``features`` and ``folds`` are columns of ``df``; ``levels`` may be a function of the rows, which gets the stored ones, so that ``df`` is
+    computed once.  The description is written last, so a unit without it is not one.
     """
     absent = [c for c in [*features, *folds] if c not in df.columns]
     if absent:
         raise ValueError(f"the frame lacks {absent}")
-    df.write.mode("overwrite").parquet(f"{path}/rows")
+    write_rows(df, f"{path}/rows")
+    if callable(levels):
+        levels = levels(df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows"))
     if levels is not None:
         levels.write.mode("overwrite").parquet(f"{path}/levels")
     kinds = dict(df.dtypes)
